@@ -1,0 +1,545 @@
+"""Bindings of the operators to the driver's tables, each with an independent DuckDB oracle.
+
+``QUERIES[name](spark, sf_dir) -> DataFrame`` runs an operator on the test tables.
+``oracle_sql()[name]`` is ANSI SQL over the same Parquet tables (registered as views by the name of
+the table) that must return the same rows.
+
+Measurement inputs come from ``M``, a projection of ``events`` that has the raw-measurement columns
+of the source system (decimal commas, ``<`` detection limits, unparseable text, NULL keys).  Every
+row of ``events`` is kept; ``%`` only varies the generated values.  The same SQL text builds ``M`` on
+both engines.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hydrix.functions.categories import DEFAULT_CATEGORY, DEFAULT_RULES
+from hydrix.functions.dates import in_window, iso_date_part, parse_date, year_of
+from hydrix.functions.measures import NUMERIC_TEXT, parse_measurement
+from hydrix.operators import quality as Q
+from hydrix.operators.columns import (
+    count_parse_failures,
+    date_window,
+    require_fields,
+    standardize_columns,
+)
+from hydrix.operators.dedup import dedup_keys, dedup_stats
+from hydrix.operators.metrics import (
+    conformity_by_group,
+    distinct_values,
+    nonconformity_by_group,
+    value_counts,
+    worst_k,
+    yearly_trend,
+)
+from hydrix.operators.profile import describe_numeric, null_profile, numeric_extremes
+from hydrix.plans.explore import raw_profile
+from hydrix.plans.gates import gold_gate, silver_gate, source_silver_checks
+from hydrix.plans.gold import GoldSpec, build_gold, category_is, status_is
+from hydrix.plans.silver import DEFAULT_RENAMES, SilverSpec, build_silver, clean
+from hydrix.session import scratch_path
+from hydrix.sources.files import read_json, read_parquet, write_json, write_parquet, written_counts
+from hydrix.sources.paged import page_rows, page_stats, read_pages, write_pages
+from hydrix.sources.preview import preview_rows
+
+# --------------------------------------------------------------------------------------------
+# inputs
+
+M_SQL = """select case when event_id % 97 = 0 then null else 'P' || cast(user_id as string) end as code_prelevement,
+ 'X' || cast(event_id % 9 as string) as code_parametre,
+ case when event_id % 83 = 0 then null else
+  case event_id % 9 when 0 then 'Escherichia coli' when 1 then 'Nitrates (en NO3)' when 2 then 'Plomb' when 3 then 'pH'
+   when 4 then 'Tritium' when 5 then 'Chlore libre' when 6 then 'Glyphosate' when 7 then 'Entérocoques' else 'TEMPÉRATURE' end end as libelle_parametre,
+ case when event_id % 89 = 0 then null else 'C' || cast(user_id % 40 as string) end as nom_commune,
+ 'D' || cast(user_id % 10 as string) as nom_departement, cast(user_id % 10 as string) as code_departement,
+ case when event_id % 101 = 0 then null else substr(cast(ts as string),1,10) || 'T' || substr(cast(ts as string),12,8) || 'Z' end as date_prelevement,
+ case event_id % 5 when 0 then '<' || replace(cast(value as string),'.',',') when 1 then replace(cast(value as string),'.',',')
+  when 2 then ' ' || cast(value as string) when 3 then 'N.M.' else null end as resultat_alphanumerique,
+ case when event_id % 5 < 3 then value end as resultat_numerique, 'mg/L' as libelle_unite,
+ case when event_id % 2 = 0 then 'N' else 'O' end as code_type_parametre,
+ case event_id % 3 when 0 then 'CONFORME' when 1 then 'NON CONFORME' else null end as conclusion_conformite_prelevement,
+ event_id
+from {events}"""
+
+M_COLUMNS = (
+    "code_prelevement", "code_parametre", "libelle_parametre", "nom_commune", "nom_departement",
+    "code_departement", "date_prelevement", "resultat_alphanumerique", "resultat_numerique",
+    "libelle_unite", "code_type_parametre", "conclusion_conformite_prelevement", "event_id",
+)
+
+# Binding parameters.
+SILVER_SPEC = SilverSpec(tie_break=("event_id",))
+GOLD_SPEC = GoldSpec(trend_round=4)
+STATUS_OK = "CONFORME"
+WINDOW = ("2024-01-10", "2024-01-20")
+PAGE_SIZE = 1000
+K = 10
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def m_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(M_SQL, events=table(spark, sf_dir, "events"))
+
+
+def silver_m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_silver(m_view(spark, sf_dir), SILVER_SPEC)
+
+
+def _orders(spark, sf_dir):
+    return table(spark, sf_dir, "orders")
+
+
+def _f_pred():
+    return F.col("o_orderstatus") == F.lit("F")
+
+
+# --------------------------------------------------------------------------------------------
+# Spark side
+
+
+def q_conformity_by_group(spark, sf_dir):
+    return conformity_by_group(_orders(spark, sf_dir), ["o_custkey"], _f_pred())
+
+
+def q_worst_k(spark, sf_dir):
+    return worst_k(q_conformity_by_group(spark, sf_dir), K, keys=["o_custkey"])
+
+
+def q_yearly_trend(spark, sf_dir):
+    return yearly_trend(
+        _orders(spark, sf_dir), year_of("o_orderdate").alias("annee"), ["o_orderpriority"], "o_totalprice",
+        round_digits=4,
+    )
+
+
+def q_nonconformity_by_group(spark, sf_dir):
+    return nonconformity_by_group(_orders(spark, sf_dir), ["o_orderpriority"], _f_pred())
+
+
+def q_value_counts(spark, sf_dir):
+    return value_counts(silver_m(spark, sf_dir), "categorie")
+
+
+def q_parse_measurement(spark, sf_dir):
+    m = m_view(spark, sf_dir)
+    return m.select("event_id", "resultat_alphanumerique",
+                    parse_measurement("resultat_alphanumerique").alias("resultat_valeur_float"))
+
+
+def q_parse_measurement_censored_null(spark, sf_dir):
+    m = m_view(spark, sf_dir)
+    return m.select("event_id", "resultat_alphanumerique",
+                    parse_measurement("resultat_alphanumerique", censored="null").alias("resultat_valeur_float"))
+
+
+def q_parse_failures(spark, sf_dir):
+    return count_parse_failures(clean(m_view(spark, sf_dir), SILVER_SPEC), "resultat_alphanumerique",
+                                "resultat_valeur_float")
+
+
+def q_categorize_keywords(spark, sf_dir):
+    return clean(m_view(spark, sf_dir), SILVER_SPEC).select("event_id", "parametre_nom", "categorie")
+
+
+def q_clean_dates(spark, sf_dir):
+    m = m_view(spark, sf_dir)
+    d = parse_date("date_prelevement")
+    return m.select("event_id", "date_prelevement", d.alias("date_prelevement_clean"), year_of(d).alias("annee"))
+
+
+def q_iso_date_part(spark, sf_dir):
+    return m_view(spark, sf_dir).select("event_id", iso_date_part("date_prelevement").alias("date_text"))
+
+
+def q_date_window(spark, sf_dir):
+    m = m_view(spark, sf_dir).withColumn("date_prelevement_clean", parse_date("date_prelevement"))
+    return date_window(m, "date_prelevement_clean", *WINDOW).select("event_id", "date_prelevement_clean")
+
+
+def q_standardize_columns(spark, sf_dir):
+    return standardize_columns(m_view(spark, sf_dir), DEFAULT_RENAMES)
+
+
+def q_require_fields(spark, sf_dir):
+    return require_fields(m_view(spark, sf_dir), ["code_prelevement", "libelle_parametre", "nom_commune"])
+
+
+def q_dedup_keys(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return dedup_keys(ev, ["user_id", "event_type", "day"], ["event_id"])
+
+
+def q_dedup_stats(spark, sf_dir):
+    m = m_view(spark, sf_dir).withColumn("date_prelevement_clean", parse_date("date_prelevement"))
+    return dedup_stats(m, SILVER_SPEC.dedup_keys)
+
+
+def q_distinct_pairs(spark, sf_dir):
+    return distinct_values(clean(m_view(spark, sf_dir), SILVER_SPEC), ["parametre_nom", "categorie"])
+
+
+def q_numeric_extremes(spark, sf_dir):
+    return numeric_extremes(m_view(spark, sf_dir), "resultat_numerique", digits=6)
+
+
+def q_describe_numeric(spark, sf_dir):
+    return describe_numeric(m_view(spark, sf_dir), digits=6)
+
+
+def q_null_profile(spark, sf_dir):
+    return null_profile(m_view(spark, sf_dir))
+
+
+def q_paged_json_rows(spark, sf_dir):
+    m = m_view(spark, sf_dir)
+    path = write_pages(m, scratch_path(spark, "pages"), PAGE_SIZE, "event_id")
+    return page_rows(read_pages(spark, path, m.schema))
+
+
+def q_paged_json_stats(spark, sf_dir):
+    m = m_view(spark, sf_dir)
+    path = write_pages(m, scratch_path(spark, "pages"), PAGE_SIZE, "event_id")
+    return page_stats(read_pages(spark, path, m.schema))
+
+
+def q_jsonl_roundtrip(spark, sf_dir):
+    m = m_view(spark, sf_dir)
+    return read_json(spark, write_json(m, scratch_path(spark, "jsonl")), m.schema)
+
+
+def q_parquet_roundtrip(spark, sf_dir):
+    return read_parquet(spark, write_parquet(m_view(spark, sf_dir), scratch_path(spark, "parquet")))
+
+
+def q_silver_verify(spark, sf_dir):
+    path = write_parquet(silver_m(spark, sf_dir), scratch_path(spark, "silver"))
+    return written_counts(spark, path, "categorie")
+
+
+def q_preview_rows(spark, sf_dir):
+    return preview_rows(table(spark, sf_dir, "events"), K, order_by=["event_id"])
+
+
+def q_silver_layer(spark, sf_dir):
+    return silver_m(spark, sf_dir)
+
+
+def _gold(spark, sf_dir, predicate=None):
+    return build_gold(silver_m(spark, sf_dir), category_is() if predicate is None else predicate, GOLD_SPEC)
+
+
+def q_gold_conformity(spark, sf_dir):
+    return _gold(spark, sf_dir)["conformite_commune"]
+
+
+def q_gold_conformity_status(spark, sf_dir):
+    return _gold(spark, sf_dir, status_is(STATUS_OK))["conformite_commune"]
+
+
+def q_gold_trend(spark, sf_dir):
+    return _gold(spark, sf_dir)["evolution_temporelle"]
+
+
+def q_gold_worst_k(spark, sf_dir):
+    return _gold(spark, sf_dir)["top_10_pires_communes"]
+
+
+def q_gold_nonconformity(spark, sf_dir):
+    return _gold(spark, sf_dir)["non_conformites_parametre"]
+
+
+def q_check_not_null(spark, sf_dir):
+    return Q.check_not_null(m_view(spark, sf_dir), ["code_prelevement", "nom_commune", "libelle_parametre"], "raw")
+
+
+def q_check_between(spark, sf_dir):
+    s = silver_m(spark, sf_dir)
+    return Q.check_between(s, "annee", 2000, 2030, "silver").unionByName(
+        Q.check_between(s, "resultat_valeur_float", 0, 100, "silver")
+    )
+
+
+def q_check_min(spark, sf_dir):
+    conf = q_conformity_by_group(spark, sf_dir)
+    return Q.check_min(conf, "total_tests", 0, "conformity", strict=True).unionByName(
+        Q.check_min(conf, "nb_conformes", 1, "conformity")
+    )
+
+
+def q_check_min_tolerance(spark, sf_dir):
+    m = m_view(spark, sf_dir)
+    return Q.check_min_tolerance(m, "resultat_numerique", 0, "raw").unionByName(
+        Q.check_min_tolerance(m, "resultat_numerique", 10, "raw")
+    )
+
+
+def q_check_suite(spark, sf_dir):
+    return silver_gate(silver_m(spark, sf_dir), source_silver_checks())
+
+
+def q_check_suite_summary(spark, sf_dir):
+    return Q.suite_summary(q_check_suite(spark, sf_dir))
+
+
+def q_check_aggregate_consistency(spark, sf_dir):
+    g = _gold(spark, sf_dir)
+    return Q.aggregate_consistency(
+        g["conformite_commune"], g["top_10_pires_communes"], ["commune"], "conformite_commune", worst_max_rows=K
+    )
+
+
+def q_silver_gate(spark, sf_dir):
+    return silver_gate(silver_m(spark, sf_dir))
+
+
+def q_gold_gate(spark, sf_dir):
+    return gold_gate(_gold(spark, sf_dir), GOLD_SPEC)
+
+
+def q_raw_profile(spark, sf_dir):
+    return raw_profile(m_view(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
+}
+
+
+# --------------------------------------------------------------------------------------------
+# DuckDB oracle (hand-written SQL; shares only the fixed rule list and number pattern)
+
+
+def _m() -> str:
+    return M_SQL.format(events="events")
+
+
+def _sql_date(c: str) -> str:
+    return f"TRY_CAST(substr({c}, 1, 10) AS DATE)"
+
+
+def _sql_parse(c: str, censored: str = "limit") -> str:
+    b = f"trim(replace({c}, ',', '.'))"
+    t = f"trim(CASE WHEN starts_with({b}, '<') THEN substr({b}, 2) ELSE {b} END)"
+    v = f"CASE WHEN regexp_full_match({t}, '{NUMERIC_TEXT}') THEN CAST(TRY_CAST({t} AS DOUBLE) AS FLOAT) END"
+    if censored == "null":
+        v = f"CASE WHEN starts_with({b}, '<') THEN NULL ELSE {v} END"
+    return v
+
+
+def _sql_category(c: str) -> str:
+    whens = []
+    for label, kws in DEFAULT_RULES:
+        cond = " OR ".join(f"contains(lower({c}), '{kw}')" for kw in kws)
+        whens.append(f"WHEN {cond} THEN '{label}'")
+    return f"CASE {' '.join(whens)} ELSE '{DEFAULT_CATEGORY}' END"
+
+
+_CLEAN_SELECT = f"""SELECT code_prelevement, code_parametre, libelle_parametre AS parametre_nom, nom_commune AS commune,
+  nom_departement AS departement, code_departement AS code_dept, date_prelevement, resultat_alphanumerique,
+  resultat_numerique, libelle_unite, code_type_parametre, conclusion_conformite_prelevement, event_id,
+  {_sql_date('date_prelevement')} AS date_prelevement_clean,
+  CAST(year({_sql_date('date_prelevement')}) AS INTEGER) AS annee,
+  {_sql_parse('resultat_alphanumerique')} AS resultat_valeur_float,
+  {_sql_category('libelle_parametre')} AS categorie
+FROM m"""
+
+_SILVER_CTE = f"""m AS ({_m()}),
+c AS ({_CLEAN_SELECT}),
+silver AS (
+  SELECT * FROM c WHERE code_prelevement IS NOT NULL AND parametre_nom IS NOT NULL AND commune IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY code_prelevement, code_parametre, date_prelevement_clean ORDER BY event_id) = 1)"""
+
+
+def _sql_conformity(src: str, group: str, pred: str) -> str:
+    ok = f"count(CASE WHEN {pred} THEN TRUE END)"
+    return f"""SELECT {group}, count(*) AS total_tests, {ok} AS nb_conformes,
+  count(CASE WHEN NOT ({pred}) THEN TRUE END) AS nb_non_conformes,
+  CAST({ok} AS DOUBLE) / CAST(count(*) AS DOUBLE) AS taux_conformite
+FROM {src} GROUP BY {group}"""
+
+
+def _sql_violation(check: Q.Check) -> str:
+    c = check.column
+    if check.kind == Q.NOT_NULL:
+        return f"{c} IS NULL"
+    if check.kind == Q.BETWEEN:
+        return f"({c} < {check.lo} OR {c} > {check.hi})"
+    op = "<=" if check.strict else "<"
+    return f"{c} {op} {check.lo}"
+
+
+def _sql_check(src: str, table_name: str, check: Q.Check, *, skipped: bool = False, violation: str | None = None) -> str:
+    head = f"SELECT '{table_name}' AS table_name, '{check.kind}' AS check_name, '{check.column}' AS column_name, '{check.rule()}' AS rule"
+    total = "CAST(count(*) AS BIGINT) AS total"
+    if skipped:
+        return (f"{head}, CAST(NULL AS BIGINT) AS unexpected_count, {total}, CAST(NULL AS BOOLEAN) AS success, "
+                f"'skipped' AS status FROM {src}")
+    u = f"count(*) FILTER (WHERE {violation or _sql_violation(check)})"
+    if check.kind == Q.MIN_TOLERANCE:
+        ok = (f"(coalesce(CAST({u} AS DOUBLE) / NULLIF(CAST(count(*) AS DOUBLE), 0) * 100.0, 0.0) "
+              f"< {float(check.max_pct)})")
+    else:
+        ok = f"({u} = 0)"
+    return (f"{head}, CAST({u} AS BIGINT) AS unexpected_count, {total}, {ok} AS success, "
+            f"CASE WHEN {ok} THEN 'passed' ELSE 'failed' END AS status FROM {src}")
+
+
+def _sql_checks(src: str, table_name: str, checks: list, present: set[str]) -> str:
+    return "\nUNION ALL\n".join(
+        _sql_check(src, table_name, ch, skipped=ch.column not in present) for ch in checks
+    )
+
+
+_SILVER_COLUMNS = {
+    DEFAULT_RENAMES.get(c, c) for c in M_COLUMNS
+} | {"date_prelevement_clean", "annee", "resultat_valeur_float", "categorie"}
+
+
+def _gold_cte() -> str:
+    return f"""{_SILVER_CTE},
+conf AS ({_sql_conformity('silver', 'commune', "categorie = 'Conforme'")}),
+worst AS (SELECT * FROM conf ORDER BY taux_conformite ASC NULLS FIRST, commune ASC NULLS FIRST LIMIT {K}),
+trend AS (SELECT annee, parametre_nom, round(avg(resultat_valeur_float), 4) AS moyenne_resultat,
+                 count(*) AS nb_mesures FROM silver GROUP BY annee, parametre_nom),
+nonconf AS (SELECT parametre_nom, count(*) AS nb_non_conformes FROM silver
+            WHERE NOT (categorie = 'Conforme') GROUP BY parametre_nom)"""
+
+
+def _sql_consistency() -> str:
+    rule = Q.Check(Q.RULE, "nb_conformes+nb_non_conformes", rule_text="nb_conformes + nb_non_conformes <= total_tests")
+    first = _sql_check("conf", "conformite_commune", rule,
+                       violation="nb_conformes + nb_non_conformes > total_tests")
+    sub = """SELECT 'conformite_commune' AS table_name, 'subset_of' AS check_name, 'commune' AS column_name,
+  'keys present in parent table' AS rule,
+  CAST(count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM conf WHERE conf.commune IS NOT DISTINCT FROM wk.commune)) AS BIGINT) AS unexpected_count,
+  CAST(count(*) AS BIGINT) AS total,
+  count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM conf WHERE conf.commune IS NOT DISTINCT FROM wk.commune)) = 0 AS success,
+  CASE WHEN count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM conf WHERE conf.commune IS NOT DISTINCT FROM wk.commune)) = 0
+       THEN 'passed' ELSE 'failed' END AS status
+FROM (SELECT DISTINCT commune FROM worst) wk"""
+    return f"{first}\nUNION ALL\n{sub}"
+
+
+def _sql_raw_profile() -> str:
+    numeric = ["resultat_numerique", "event_id"]
+    parts = ["SELECT 'rows' AS section, '*' AS column_name, 'count' AS item, CAST(count(*) AS DOUBLE) AS value FROM m"]
+    for c in numeric:
+        x = f"CAST({c} AS DOUBLE)"
+        for item, expr in (("n", f"count({x})"), ("mean", f"round(avg({x}), 6)"), ("stddev", f"round(stddev_samp({x}), 6)"),
+                           ("min", f"min({x})"), ("max", f"max({x})")):
+            parts.append(f"SELECT 'describe', '{c}', '{item}', CAST({expr} AS DOUBLE) FROM m")
+    for c in M_COLUMNS:
+        z = f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE)"
+        parts.append(f"SELECT 'nulls', '{c}', 'null_count', {z} FROM m")
+        parts.append(f"SELECT 'nulls', '{c}', 'null_pct', round({z} * 100.0 / NULLIF(CAST(count(*) AS DOUBLE), 0), 2) FROM m")
+    r = "resultat_numerique"
+    parts += [
+        f"SELECT 'extremes', '{r}', 'min', CAST(min({r}) AS DOUBLE) FROM m",
+        f"SELECT 'extremes', '{r}', 'max', CAST(max({r}) AS DOUBLE) FROM m",
+        f"SELECT 'extremes', '{r}', 'avg', round(avg({r}), 6) FROM m",
+    ]
+    for c in ("nom_departement", "code_type_parametre", "conclusion_conformite_prelevement"):
+        parts.append(f"SELECT 'distribution', '{c}', CAST({c} AS VARCHAR), CAST(count(*) AS DOUBLE) FROM m GROUP BY {c}")
+    return f"WITH m AS ({_m()})\n" + "\nUNION ALL\n".join(parts)
+
+
+def _sql_m_renamed() -> str:
+    cols = ", ".join(f"{c} AS {DEFAULT_RENAMES[c]}" if c in DEFAULT_RENAMES else c for c in M_COLUMNS)
+    return f"WITH m AS ({_m()}) SELECT {cols} FROM m"
+
+
+def _oracle() -> dict[str, str]:
+    m = f"WITH m AS ({_m()})"
+    conf_orders = _sql_conformity("orders", "o_custkey", "o_orderstatus = 'F'")
+    parsed = f"{m} SELECT event_id, resultat_alphanumerique, {{v}} AS resultat_valeur_float FROM m"
+    silver_src = f"WITH {_SILVER_CTE}"
+    gold_src = f"WITH {_gold_cte()}"
+    check_suite = _sql_checks("silver", "silver", source_silver_checks(), _SILVER_COLUMNS)
+    from hydrix.plans.gates import silver_checks
+
+    sql = {
+        "conformity_by_group": conf_orders,
+        "worst_k": f"SELECT * FROM ({conf_orders}) ORDER BY taux_conformite ASC NULLS FIRST, o_custkey ASC NULLS FIRST LIMIT {K}",
+        "yearly_trend": """SELECT CAST(year(o_orderdate) AS INTEGER) AS annee, o_orderpriority,
+  round(avg(o_totalprice), 4) AS moyenne_resultat, count(*) AS nb_mesures
+FROM orders GROUP BY 1, 2""",
+        "nonconformity_by_group": """SELECT o_orderpriority, count(*) AS nb_non_conformes FROM orders
+WHERE NOT (o_orderstatus = 'F') GROUP BY o_orderpriority""",
+        "value_counts": f"{silver_src} SELECT categorie, count(*) AS count FROM silver GROUP BY categorie",
+        "parse_measurement": parsed.format(v=_sql_parse("resultat_alphanumerique")),
+        "parse_measurement_censored_null": parsed.format(v=_sql_parse("resultat_alphanumerique", "null")),
+        "parse_failures": f"""{m} SELECT count(*) AS parse_failures FROM m
+WHERE resultat_alphanumerique IS NOT NULL AND ({_sql_parse('resultat_alphanumerique')}) IS NULL""",
+        "categorize_keywords": f"{m} SELECT event_id, libelle_parametre AS parametre_nom, {_sql_category('libelle_parametre')} AS categorie FROM m",
+        "clean_dates": f"""{m} SELECT event_id, date_prelevement, {_sql_date('date_prelevement')} AS date_prelevement_clean,
+  CAST(year({_sql_date('date_prelevement')}) AS INTEGER) AS annee FROM m""",
+        "iso_date_part": f"{m} SELECT event_id, split_part(nullif(date_prelevement, ''), 'T', 1) AS date_text FROM m",
+        "date_window": f"""{m} SELECT event_id, {_sql_date('date_prelevement')} AS date_prelevement_clean FROM m
+WHERE {_sql_date('date_prelevement')} BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'""",
+        "standardize_columns": _sql_m_renamed(),
+        "require_fields": f"{m} SELECT * FROM m WHERE code_prelevement IS NOT NULL AND libelle_parametre IS NOT NULL AND nom_commune IS NOT NULL",
+        "dedup_keys": """SELECT *, CAST(ts AS DATE) AS day FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id) = 1""",
+        "dedup_stats": f"""{m}, g AS (SELECT count(*) AS n FROM m
+  GROUP BY code_prelevement, code_parametre, {_sql_date('date_prelevement')})
+SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after, CAST(sum(n) - count(*) AS BIGINT) AS rows_removed FROM g""",
+        "distinct_pairs": f"WITH m AS ({_m()}), c AS ({_CLEAN_SELECT}) SELECT DISTINCT parametre_nom, categorie FROM c",
+        "numeric_extremes": f"""{m} SELECT round(CAST(min(resultat_numerique) AS DOUBLE), 6) AS min,
+  round(CAST(max(resultat_numerique) AS DOUBLE), 6) AS max, round(avg(resultat_numerique), 6) AS avg FROM m""",
+        "describe_numeric": f"{m} " + "\nUNION ALL\n".join(
+            f"""SELECT '{c}' AS column_name, count({c}) AS n, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+  round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM m"""
+            for c in ("resultat_numerique", "event_id")),
+        "null_profile": f"{m} " + "\nUNION ALL\n".join(
+            f"""SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count,
+  round(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0 / NULLIF(CAST(count(*) AS DOUBLE), 0), 2) AS null_pct FROM m"""
+            for c in M_COLUMNS),
+        "paged_json_rows": f"{m} SELECT * FROM m",
+        "paged_json_stats": f"""SELECT count(DISTINCT event_id // {PAGE_SIZE}) AS n_pages, count(*) AS n_rows,
+  CAST(0 AS BIGINT) AS n_empty_pages, count(*) > 0 AS has_last_page FROM events""",
+        "jsonl_roundtrip": f"{m} SELECT * FROM m",
+        "parquet_roundtrip": f"{m} SELECT * FROM m",
+        "silver_verify": f"{silver_src} SELECT categorie, count(*) AS count FROM silver GROUP BY categorie",
+        "preview_rows": f"SELECT * FROM events ORDER BY event_id LIMIT {K}",
+        "silver_layer": f"{silver_src} SELECT * FROM silver",
+        "gold_conformity": f"{gold_src} SELECT * FROM conf",
+        "gold_conformity_status": f"{silver_src} {_sql_conformity('silver', 'commune', f'conclusion_conformite_prelevement = {chr(39)}{STATUS_OK}{chr(39)}')}",
+        "gold_trend": f"{gold_src} SELECT * FROM trend",
+        "gold_worst_k": f"{gold_src} SELECT * FROM worst",
+        "gold_nonconformity": f"{gold_src} SELECT * FROM nonconf",
+        "check_not_null": f"{m} " + _sql_checks("m", "raw", [Q.not_null(c) for c in ("code_prelevement", "nom_commune", "libelle_parametre")], set(M_COLUMNS)),
+        "check_between": f"{silver_src} " + _sql_checks("silver", "silver", [Q.between("annee", 2000, 2030), Q.between("resultat_valeur_float", 0, 100)], _SILVER_COLUMNS),
+        "check_min": f"WITH conf AS ({conf_orders}) " + _sql_checks("conf", "conformity", [Q.greater_than("total_tests", 0), Q.at_least("nb_conformes", 1)], {"total_tests", "nb_conformes"}),
+        "check_min_tolerance": f"{m} " + _sql_checks("m", "raw", [Q.at_least_mostly("resultat_numerique", 0), Q.at_least_mostly("resultat_numerique", 10)], set(M_COLUMNS)),
+        "check_suite": f"{silver_src} {check_suite}",
+        "check_suite_summary": f"""{silver_src}, r AS ({check_suite})
+SELECT count(*) AS n_rules, count(*) FILTER (WHERE success IS NOT NULL) AS n_checks,
+  count(*) FILTER (WHERE success) AS n_passed, count(*) FILTER (WHERE NOT success) AS n_failed,
+  count(*) FILTER (WHERE success IS NULL) AS n_skipped, count(*) FILTER (WHERE NOT success) = 0 AS all_passed,
+  coalesce(string_agg(CASE WHEN NOT success THEN concat_ws(':', table_name, check_name, column_name) END, ','
+           ORDER BY CASE WHEN NOT success THEN concat_ws(':', table_name, check_name, column_name) END), '') AS failed
+FROM r""",
+        "check_aggregate_consistency": f"{gold_src} {_sql_consistency()}",
+        "silver_gate": f"{silver_src} " + _sql_checks("silver", "silver", silver_checks(), _SILVER_COLUMNS),
+        "gold_gate": f"""{gold_src}
+{_sql_checks('conf', 'conformite_commune', [Q.between('taux_conformite', 0, 1), Q.greater_than('total_tests', 0), Q.not_null('commune')], {'taux_conformite', 'total_tests', 'commune'})}
+UNION ALL
+{_sql_checks('trend', 'evolution_temporelle', [Q.between('annee', 2000, 2030), Q.greater_than('nb_mesures', 0)], {'annee', 'nb_mesures'})}
+UNION ALL
+{_sql_checks('nonconf', 'non_conformites_parametre', [Q.at_least('nb_non_conformes', 0), Q.not_null('parametre_nom')], {'nb_non_conformes', 'parametre_nom'})}
+UNION ALL
+{_sql_consistency()}""",
+        "raw_profile": _sql_raw_profile(),
+    }
+    return sql
+
+
+def oracle_sql() -> dict[str, str]:
+    return _oracle()

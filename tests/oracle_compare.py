@@ -1,0 +1,51 @@
+"""Driver-like comparison of a Spark query with DuckDB SQL over the same Parquet tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+          "benchmark labels conversations").split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if isinstance(v, float) and math.isnan(v):
+        return "NaN"
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None)
+    return v
+
+
+def _key(row):
+    return tuple((v is None, type(v).__name__, repr(v)) for v in row)
+
+
+def compare(spark_df, con, sql: str) -> list[str]:
+    """Problems found (empty list = match): columns, row count, sorted values."""
+    problems = []
+    s_cols = spark_df.columns
+    rel = con.sql(sql)
+    d_cols = rel.columns
+    if sorted(s_cols) != sorted(d_cols):
+        return [f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"]
+    order = sorted(s_cols)
+    s_rows = [tuple(_norm(r[c]) for c in order) for r in spark_df.collect()]
+    idx = [d_cols.index(c) for c in order]
+    d_rows = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
+    if len(s_rows) != len(d_rows):
+        problems.append(f"row count spark={len(s_rows)} duck={len(d_rows)}")
+    s_sorted, d_sorted = sorted(s_rows, key=_key), sorted(d_rows, key=_key)
+    if s_sorted != d_sorted:
+        diff = [(a, b) for a, b in zip(s_sorted, d_sorted) if a != b][:3]
+        problems.append(f"values differ ({order}); first diffs: {diff}")
+    return problems
