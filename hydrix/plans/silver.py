@@ -73,9 +73,30 @@ def clean(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
 
 
 def build_silver(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
-    """Steps 1-6.  The only shuffle is the keyed dedup (hash exchange on ``spec.dedup_keys``)."""
-    cleaned = require_fields(clean(raw, spec), spec.required)
+    """Steps 1-6.  The only shuffle is the keyed dedup (hash exchange on ``spec.dedup_keys``).
+
+    Only what the filter and the dedup need (renames, the parsed date) is computed before the
+    shuffle; the result parser, the year and the keyword family are computed after it, on the
+    surviving rows only and in the post-shuffle tasks.  The shuffle carries the raw columns, which
+    the silver table keeps anyway.
+    """
+    require_columns(raw, [spec.date_col, spec.result_col, *spec.renames])
+    keyed = raw.withColumn(spec.clean_date_col, parse_date(spec.date_col)).withColumnsRenamed(
+        dict(spec.renames)
+    )
+    require_columns(keyed, [spec.parameter_col, *spec.required, *spec.dedup_keys])
+    kept = require_fields(keyed, spec.required)
     order = spec.tie_break
     if order is None:
-        order = orderable_columns(cleaned, exclude=spec.dedup_keys)
-    return dedup_keys(cleaned, spec.dedup_keys, order)
+        order = orderable_columns(kept, exclude=spec.dedup_keys)
+    survivors = dedup_keys(kept, spec.dedup_keys, order)
+    out = survivors.withColumns(
+        {
+            spec.year_col: year_of(spec.clean_date_col),
+            spec.value_col: parse_measurement(spec.result_col, spec.censored),
+            spec.category_col: categorize(spec.parameter_col, spec.rules, spec.default_category),
+        }
+    )
+    # same column order as ``clean``: source columns, then the derived ones
+    derived = [spec.clean_date_col, spec.year_col, spec.value_col, spec.category_col]
+    return out.select(*[c for c in out.columns if c not in derived], *derived)

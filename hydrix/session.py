@@ -63,3 +63,17 @@ def local_session(
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)  # make sure a checkpoint dir exists
     return spark
+
+
+def stage(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared scratch root and return the re-read table.
+
+    Use it where several branches of a plan reuse one expensive input (e.g. every gold table and
+    gate reads the deduplicated silver table): the branches then scan column-pruned Parquet
+    instead of each recomputing the input, and the written table cuts lineage, so a lost executor
+    recomputes from it rather than from the raw source.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
