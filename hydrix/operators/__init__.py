@@ -32,6 +32,8 @@ from hydrix.operators.quality import (
     check_not_null,
     check_subset,
     expect,
+    failing_rows,
+    render_report,
     greater_than,
     not_null,
     run_checks,

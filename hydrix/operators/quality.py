@@ -158,6 +158,16 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table_name: str) -> DataF
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+def failing_rows(df: DataFrame, check: Check) -> DataFrame:
+    """The rows a check counts as unexpected (out of range, below the bound, NULL...), for inspection.
+
+    A filter on the check's row predicate: pushed to the Parquet scan where the predicate allows.
+    """
+    if check.kind != RULE and check.column not in df.columns:
+        raise ValueError(f"column {check.column!r} not in {df.columns}")
+    return df.filter(check.violation())
+
+
 def check_not_null(df: DataFrame, cols: Sequence[str], table_name: str) -> DataFrame:
     return run_checks(df, [not_null(c) for c in as_list(cols)], table_name)
 
@@ -239,6 +249,22 @@ def suite_summary(results: DataFrame) -> DataFrame:
     )
 
 
+MARKS = {PASSED: "PASS", FAILED: "FAIL", SKIPPED: "SKIP"}
+
+
+def render_report(rows: Sequence) -> str:
+    """Text report of collected check rows: a mark and a title per check, a detail line when it
+    did not pass (the console output of a gate)."""
+    lines = []
+    for r in rows:
+        lines.append(f"{MARKS.get(r['status'], '?')} {r['table_name']}.{r['column_name']} {r['rule']}")
+        if r["status"] == FAILED:
+            lines.append(f"    {r['unexpected_count']} of {r['total']} rows unexpected")
+        elif r["status"] == SKIPPED:
+            lines.append("    column absent")
+    return "\n".join(lines)
+
+
 class CheckFailed(AssertionError):
     """Raised by ``assert_checks`` when at least one evaluated check failed."""
 

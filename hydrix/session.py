@@ -36,6 +36,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/hydrix/{name}-{uuid.uuid4().hex}"
 
 
+def scale_conf(
+    input_bytes: int,
+    *,
+    target_partition_bytes: int = 256 << 20,
+    min_partitions: int = 200,
+    max_partitions: int = 200_000,
+) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    The initial shuffle width gives every reducer about ``target_partition_bytes`` of input (the
+    aggregates here shrink data, so this is an upper bound on shuffle bytes); AQE then coalesces
+    small partitions and splits skewed join partitions at run time.  Scan splits use the same
+    target so that a task's working set stays well inside executor memory.
+    """
+    n = -(-int(input_bytes) // int(target_partition_bytes))
+    n = max(min_partitions, min(max_partitions, n))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.parquet.filterPushdown": "true",
+    }
+
+
 def local_session(
     cores: int | None = None,
     shuffle_partitions: int | None = None,

@@ -210,3 +210,26 @@ def test_aggregate_consistency(spark):
     res = {r.check_name: r for r in aggregate_consistency(conf, worst, ["commune"], "c", worst_max_rows=3).collect()}
     assert res["rule"].unexpected_count == 1 and res["rule"].success is False  # b: 2 + 1 > 2
     assert res["subset_of"].unexpected_count == 1 and res["subset_of"].total == 3  # zz is not a group
+
+
+def test_failing_rows_and_report(spark):
+    from hydrix.operators import failing_rows, render_report
+
+    df = spark.createDataFrame([(1999,), (2000,), (None,), (2031,)], "y int")
+    assert sorted(r.y for r in failing_rows(df, between("y", 2000, 2030)).collect()) == [1999, 2031]
+    assert failing_rows(df, not_null("y")).count() == 1
+    with pytest.raises(ValueError):
+        failing_rows(df, not_null("nope"))
+    rows = run_checks(df, [between("y", 2000, 2030), not_null("gone")], "t").collect()
+    text = render_report(rows)
+    assert "FAIL t.y between 2000 and 2030" in text and "2 of 4 rows unexpected" in text
+    assert "SKIP t.gone is not null" in text
+
+
+def test_scale_conf():
+    from hydrix.session import scale_conf
+
+    conf = scale_conf(100 * 10**12)  # 100 TB
+    n = int(conf["spark.sql.shuffle.partitions"])
+    assert 300_000 > n >= 200 and 100 * 10**12 / n <= 256 << 20 or n == 200_000
+    assert int(scale_conf(10)["spark.sql.shuffle.partitions"]) == 200
