@@ -43,10 +43,8 @@ from hydrix.plans.gold import (
     GoldSpec,
     build_gold,
     category_is,
-    gold_conformity,
-    gold_nonconformity,
-    gold_trend,
-    gold_worst,
+    gold_aggregate,
+    split_gold,
     status_is,
 )
 from hydrix.plans.silver import DEFAULT_RENAMES, SilverSpec, build_silver, clean
@@ -298,16 +296,10 @@ def q_check_suite_summary(spark, sf_dir):
 
 
 def _gold_staged(spark, sf_dir):
-    """Gold tables as the end-to-end run produces them: silver written once, gold tables written
-    from it (worst-k from the written conformity table), gates over the written tables."""
+    """Gold tables as the end-to-end run produces them: silver written once, one grouping-sets
+    aggregate for all grouped gold tables written once, tables split from it, gates over them."""
     silver = stage(silver_m(spark, sf_dir), "silver")
-    conformity = stage(gold_conformity(silver, category_is(), GOLD_SPEC), "gold-conformity")
-    return {
-        "conformite_commune": conformity,
-        "top_10_pires_communes": stage(gold_worst(conformity, GOLD_SPEC), "gold-worst"),
-        "evolution_temporelle": stage(gold_trend(silver, GOLD_SPEC), "gold-trend"),
-        "non_conformites_parametre": stage(gold_nonconformity(silver, category_is(), GOLD_SPEC), "gold-nonconf"),
-    }
+    return split_gold(stage(gold_aggregate(silver, category_is(), GOLD_SPEC), "gold-aggregate"), GOLD_SPEC)
 
 
 def q_check_aggregate_consistency(spark, sf_dir):

@@ -20,7 +20,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hydrix.functions.arith import count_true, ratio
 from hydrix.operators.metrics import (
+    KO,
+    MEAN,
+    N_MEASURES,
+    OK,
+    RATE,
+    TOTAL,
     conformity_by_group,
     nonconformity_by_group,
     worst_k,
@@ -80,3 +87,71 @@ def build_gold(silver: DataFrame, predicate: Column, spec: GoldSpec = GoldSpec()
         WORST: gold_worst(conformity, spec),
         NONCONFORMITY: gold_nonconformity(silver, predicate, spec),
     }
+
+
+def _gid(cols: Sequence[str], grouping: Sequence[str]) -> int:
+    """``grouping_id()`` of a grouping set: bit (n-1-i) is set when cols[i] is aggregated away."""
+    n = len(cols)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in grouping)
+
+
+def _sets(spec: GoldSpec) -> tuple[list[str], dict[str, list[str]]]:
+    tables = {
+        CONFORMITY: list(spec.group),
+        TREND: [spec.year_col, spec.parameter_col],
+        NONCONFORMITY: [spec.parameter_col],
+    }
+    cols: list[str] = []
+    for g in tables.values():
+        cols += [c for c in g if c not in cols]
+    return cols, tables
+
+
+def gold_aggregate(silver: DataFrame, predicate: Column, spec: GoldSpec = GoldSpec()) -> DataFrame:
+    """Conformity, trend and non-conformity figures in ONE aggregate over silver (GROUPING SETS).
+
+    Plan: one scan, an ``Expand`` (one copy per grouping set, inside the scan stage), a partial
+    aggregate, one hash exchange, a final aggregate.  Three gold tables for the price of one shuffle
+    whose size is the number of groups, not the number of rows.  ``split_gold`` turns the result
+    into the gold tables.
+    """
+    cols, tables = _sets(spec)
+    sets = []
+    for g in tables.values():
+        if g not in sets:
+            sets.append(g)
+    return silver.groupingSets(sets, *cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        count_true(predicate).alias("_ok"),
+        count_true(~predicate).alias("_ko"),
+        F.avg(F.col(spec.value_col)).alias("_mean"),
+        F.grouping_id().alias("_gid"),
+    )
+
+
+def split_gold(agg: DataFrame, spec: GoldSpec = GoldSpec()) -> dict[str, DataFrame]:
+    """The four gold tables from ``gold_aggregate``'s output (ideally a written/staged copy)."""
+    cols, tables = _sets(spec)
+    part = {t: agg.filter(F.col("_gid") == _gid(cols, g)) for t, g in tables.items()}
+    conformity = part[CONFORMITY].select(
+        *spec.group,
+        F.col("_n").alias(TOTAL),
+        F.col("_ok").alias(OK),
+        F.col("_ko").alias(KO),
+        ratio(F.col("_ok"), F.col("_n")).alias(RATE),
+    )
+    mean = F.col("_mean") if spec.trend_round is None else F.round("_mean", spec.trend_round)
+    trend = part[TREND].select(spec.year_col, spec.parameter_col, mean.alias(MEAN), F.col("_n").alias(N_MEASURES))
+    # rows whose predicate is FALSE, per parameter; a parameter without any is absent, as with a filter
+    nonconf = (
+        part[NONCONFORMITY]
+        .filter(F.col("_ko") > 0)
+        .select(spec.parameter_col, F.col("_ko").alias(KO))
+        .orderBy(F.col(KO).desc(), F.col(spec.parameter_col).asc_nulls_first())
+    )
+    return {
+        CONFORMITY: conformity,
+        TREND: trend,
+        WORST: gold_worst(conformity, spec),
+        NONCONFORMITY: nonconf,
+    }

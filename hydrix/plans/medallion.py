@@ -2,9 +2,10 @@
 
 Each layer is written once and read back, so later stages start from a short plan over Parquet (the
 written table cuts lineage; a lost executor recomputes from the last written layer, not from the raw
-JSON).  Gold tables are four aggregates of the written silver table; the worst-k table is taken from
-the written conformity table.  The cleaning report (parse failures, rows dropped, duplicates removed)
-is one extra aggregate pass over bronze.
+JSON).  The three grouped gold tables come from ONE grouping-sets aggregate over the written silver
+table (one scan, one shuffle); the worst-k table is taken from the written conformity table.  The
+cleaning report (parse failures, rows dropped, duplicates removed) is one extra aggregate pass over
+bronze.
 """
 
 from __future__ import annotations
@@ -25,10 +26,9 @@ from hydrix.plans.gold import (
     WORST,
     GoldSpec,
     category_is,
-    gold_conformity,
-    gold_nonconformity,
-    gold_trend,
+    gold_aggregate,
     gold_worst,
+    split_gold,
 )
 from hydrix.plans.silver import SilverSpec, build_silver, clean
 from hydrix.sources.files import read_json, read_parquet, write_parquet
@@ -85,12 +85,13 @@ def run_medallion(
     write_parquet(build_silver(bronze, silver_spec), silver_path, partition_by=silver_partition_by)
     silver = read_parquet(spark, silver_path)
 
+    # one aggregate pass over silver for every gold table, written once, then split
+    agg_path = write_parquet(gold_aggregate(silver, predicate, gold_spec), f"{out_root}/gold/_aggregate")
+    tables = split_gold(read_parquet(spark, agg_path), gold_spec)
     gold_paths = {t: f"{out_root}/gold/{t}" for t in (CONFORMITY, TREND, WORST, NONCONFORMITY)}
-    write_parquet(gold_conformity(silver, predicate, gold_spec), gold_paths[CONFORMITY])
-    conformity = read_parquet(spark, gold_paths[CONFORMITY])
-    write_parquet(gold_worst(conformity, gold_spec), gold_paths[WORST])
-    write_parquet(gold_trend(silver, gold_spec), gold_paths[TREND])
-    write_parquet(gold_nonconformity(silver, predicate, gold_spec), gold_paths[NONCONFORMITY])
+    for t in (CONFORMITY, TREND, NONCONFORMITY):
+        write_parquet(tables[t], gold_paths[t])
+    write_parquet(gold_worst(read_parquet(spark, gold_paths[CONFORMITY]), gold_spec), gold_paths[WORST])
     gold = {t: read_parquet(spark, p) for t, p in gold_paths.items()}
 
     quality_path = f"{out_root}/quality/checks"

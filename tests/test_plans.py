@@ -126,3 +126,32 @@ def test_medallion_from_jsonl(spark, m):
     res = run_medallion(spark, read_bronze(spark, path, row_schema=m.schema), root, predicate=status_is("CONFORME"))
     conf = {r.commune: r for r in spark.read.parquet(res.gold_paths["conformite_commune"]).collect()}
     assert conf["C0"].nb_conformes == 15
+
+
+def test_one_pass_gold_equals_separate_tables(silver):
+    from hydrix.plans.gold import GoldSpec, gold_aggregate, split_gold
+
+    for pred in (category_is(), status_is("CONFORME")):
+        spec = GoldSpec(trend_round=6)
+        one = split_gold(gold_aggregate(silver, pred, spec), spec)
+        sep = build_gold(silver, pred, spec)
+        for name in sep:
+            a = sorted(map(repr, one[name].collect()))
+            b = sorted(map(repr, sep[name].collect()))
+            assert a == b, name
+            assert one[name].columns == sep[name].columns
+
+
+def test_one_pass_gold_is_one_shuffle(spark, silver):
+    import contextlib
+    import io
+
+    from hydrix.plans.gold import gold_aggregate
+    from hydrix.session import stage
+
+    written = stage(silver, "t-silver")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        gold_aggregate(written, category_is()).explain()
+    text = buf.getvalue()
+    assert "Expand" in text and text.count("Exchange hashpartitioning") == 1
