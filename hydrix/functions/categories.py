@@ -31,14 +31,39 @@ DEFAULT_RULES: tuple[Rule, ...] = (
 DEFAULT_CATEGORY = "Autre"
 
 
+def sql_string(value: str) -> str:
+    """A Spark SQL string literal for ``value`` (backslash and quote escaped)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def categorize_sql(column: str, rules: Sequence[Rule] = DEFAULT_RULES, default: str = DEFAULT_CATEGORY) -> str:
+    """The same CASE chain as Spark SQL text over a named column."""
+    if not rules:
+        raise ValueError("rules must not be empty")
+    text = f"lower(`{column.replace('`', '``')}`)"
+    whens = []
+    for label, keywords in rules:
+        if not keywords:
+            raise ValueError(f"rule {label!r} has no keywords")
+        hit = " OR ".join(f"contains({text}, {sql_string(kw.lower())})" for kw in keywords)
+        whens.append(f"WHEN {hit} THEN {sql_string(label)}")
+    return f"CASE {' '.join(whens)} ELSE {sql_string(default)} END"
+
+
 def categorize(
     c: Column | str,
     rules: Sequence[Rule] = DEFAULT_RULES,
     default: str = DEFAULT_CATEGORY,
 ) -> Column:
-    """Family label of a parameter name; first matching rule wins, else ``default``."""
+    """Family label of a parameter name; first matching rule wins, else ``default``.
+
+    For a column name the chain is handed to Spark as one SQL expression (one call instead of one
+    per keyword while building the plan); the evaluated expression is the same either way.
+    """
     if not rules:
         raise ValueError("rules must not be empty")
+    if isinstance(c, str):
+        return F.expr(categorize_sql(c, rules, default))
     text = F.lower(as_col(c))
     chain = None
     for label, keywords in rules:
