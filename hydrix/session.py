@@ -17,17 +17,30 @@ _OWN_SCRATCH: dict[int, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared scratch root: the session's checkpoint dir, or (if unset) a fresh local one."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    """Shared scratch root: the session's checkpoint dir, or (if unset) a fresh local one.
+
+    Works for classic sessions (``SparkContext.getCheckpointDir``) and Spark Connect sessions
+    (the ``spark.checkpoint.dir`` setting only).
+    """
+    root = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+        try:
+            root = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:
+            root = None
     if not root:
-        key = id(sc)
+        key = id(sc) if sc is not None else id(spark)
         if key not in _OWN_SCRATCH:
             _OWN_SCRATCH[key] = tempfile.mkdtemp(prefix="hydrix-ckpt-")
-            sc.setCheckpointDir(_OWN_SCRATCH[key])
-        root = sc.getCheckpointDir() or _OWN_SCRATCH[key]
+            if sc is not None:
+                sc.setCheckpointDir(_OWN_SCRATCH[key])
+        root = (sc.getCheckpointDir() if sc is not None else None) or _OWN_SCRATCH[key]
     return root.rstrip("/")
 
 
