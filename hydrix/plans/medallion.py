@@ -45,16 +45,28 @@ class RunResult:
 
 
 def read_bronze(
-    spark: SparkSession, path: str, *, fmt: str = "jsonl", row_schema: StructType | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    fmt: str = "jsonl",
+    row_schema: StructType | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """``jsonl`` (one row per line), ``pages`` (one envelope per line) or ``parquet``."""
+    """``jsonl`` (one row per line), ``pages`` (one envelope per line) or ``parquet``.
+
+    ``partitions`` spreads the rows over that many tasks with one round-robin shuffle.  Use it only
+    for landing files that cannot be split (e.g. large gzip JSON, one task per file); splittable
+    input is already read in parallel and needs no extra shuffle.
+    """
     if fmt == "jsonl":
-        return read_json(spark, path, row_schema)
-    if fmt == "pages":
-        return page_rows(read_pages(spark, path, row_schema))
-    if fmt == "parquet":
-        return read_parquet(spark, path)
-    raise ValueError(f"unknown bronze format {fmt!r}")
+        df = read_json(spark, path, row_schema)
+    elif fmt == "pages":
+        df = page_rows(read_pages(spark, path, row_schema))
+    elif fmt == "parquet":
+        df = read_parquet(spark, path)
+    else:
+        raise ValueError(f"unknown bronze format {fmt!r}")
+    return df.repartition(int(partitions)) if partitions else df
 
 
 def cleaning_report(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:

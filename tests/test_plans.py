@@ -1,5 +1,7 @@
 """Silver, gold, gates, raw profile and an end-to-end run on the measurement view of sf0.001."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +157,24 @@ def test_one_pass_gold_is_one_shuffle(spark, silver):
         gold_aggregate(written, category_is()).explain()
     text = buf.getvalue()
     assert "Expand" in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_partitioned_silver_prunes_years(spark, m):
+    import contextlib
+    import io
+
+    from hydrix.operators import date_window
+    from hydrix.sources import read_parquet
+
+    root = scratch_path(spark, "t-run-part")
+    path = write_json(m, f"{root}/bronze")
+    bronze = read_bronze(spark, path, row_schema=m.schema, partitions=4)
+    res = run_medallion(spark, bronze, root, silver_spec=B.SILVER_SPEC, silver_partition_by=("annee",))
+    silver = read_parquet(spark, res.silver_path)
+    win = date_window(silver, "date_prelevement_clean", "2024-01-10", "2024-01-20", year_col="annee")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        win.explain()
+    assert re.search(r"PartitionFilters: \[isnotnull\(annee#\d+\), \(annee#\d+ >= 2024\), \(annee#\d+ <= 2024\)\]", buf.getvalue())
+    assert win.count() == date_window(silver, "date_prelevement_clean", "2024-01-10", "2024-01-20").count() > 0
+    assert res.report["rows_silver"] == 878
