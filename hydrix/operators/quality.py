@@ -208,6 +208,11 @@ def check_subset(
     return marked.agg(F.inline(F.array(_row(table_name, check, unexpected, total, unexpected == 0))))
 
 
+def counts_within_total(total: str = "total_tests", ok: str = "nb_conformes", ko: str = "nb_non_conformes") -> Check:
+    """Rule: the conforming and non-conforming counts never exceed the group's row count."""
+    return expect(f"{ok}+{ko}", (F.col(ok) + F.col(ko)) > F.col(total), f"{ok} + {ko} <= {total}")
+
+
 def aggregate_consistency(
     conformity: DataFrame,
     worst: DataFrame | None,
@@ -220,12 +225,7 @@ def aggregate_consistency(
     worst_max_rows: int | None = None,
 ) -> DataFrame:
     """Q10: ``ok + ko <= total`` on every group, and every worst-k row is a group of the table."""
-    counts = expect(
-        f"{ok}+{ko}",
-        (F.col(ok) + F.col(ko)) > F.col(total),
-        f"{ok} + {ko} <= {total}",
-    )
-    out = run_checks(conformity, [counts], table_name)
+    out = run_checks(conformity, [counts_within_total(total, ok, ko)], table_name)
     if worst is not None:
         out = out.unionByName(check_subset(worst, conformity, keys, table_name, sub_max_rows=worst_max_rows))
     return out

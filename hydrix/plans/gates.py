@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hydrix.operators.quality import (
     Check,
-    aggregate_consistency,
     at_least,
     at_least_mostly,
     between,
+    check_subset,
+    counts_within_total,
     greater_than,
     not_null,
     run_checks,
@@ -69,12 +70,22 @@ def silver_gate_at(
 
 
 def gold_gate(tables: Mapping[str, DataFrame], spec: GoldSpec = GoldSpec()) -> DataFrame:
-    """Seven column rules over three gold tables plus the conformity/worst-k consistency checks."""
+    """Seven column rules over three gold tables plus the conformity/worst-k consistency checks.
+
+    One aggregate pass per table: the consistency rule ``ok + ko <= total`` is evaluated in the same
+    pass as the conformity table's column rules; the worst-k subset check is a broadcast semi-join
+    whose build side is bounded by ``k``.
+    """
     conf, trend, nonconf = tables[CONFORMITY], tables[TREND], tables[NONCONFORMITY]
     group = list(spec.group)
     out = run_checks(
         conf,
-        [between("taux_conformite", 0, 1), greater_than("total_tests", 0), *[not_null(g) for g in group]],
+        [
+            between("taux_conformite", 0, 1),
+            greater_than("total_tests", 0),
+            *[not_null(g) for g in group],
+            counts_within_total(),
+        ],
         CONFORMITY,
     )
     out = out.unionByName(
@@ -83,6 +94,7 @@ def gold_gate(tables: Mapping[str, DataFrame], spec: GoldSpec = GoldSpec()) -> D
     out = out.unionByName(
         run_checks(nonconf, [at_least("nb_non_conformes", 0), not_null(spec.parameter_col)], NONCONFORMITY)
     )
-    return out.unionByName(
-        aggregate_consistency(conf, tables.get(WORST), group, CONFORMITY, worst_max_rows=spec.k)
-    )
+    worst = tables.get(WORST)
+    if worst is not None:
+        out = out.unionByName(check_subset(worst, conf, group, CONFORMITY, sub_max_rows=spec.k))
+    return out
