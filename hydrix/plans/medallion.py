@@ -79,6 +79,24 @@ def cleaning_report(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFram
     )
 
 
+def write_gold(
+    spark: SparkSession, silver: DataFrame, predicate: Column, gold_root: str, spec: GoldSpec = GoldSpec()
+) -> dict[str, str]:
+    """Write the four gold tables under ``gold_root``; returns their paths.
+
+    One grouping-sets aggregate over silver is written once (``_aggregate``) and split into the
+    grouped tables; the worst-k table is taken from the written conformity table.
+    """
+    gold_root = gold_root.rstrip("/")
+    agg_path = write_parquet(gold_aggregate(silver, predicate, spec), f"{gold_root}/_aggregate")
+    tables = split_gold(read_parquet(spark, agg_path), spec)
+    paths = {t: f"{gold_root}/{t}" for t in (CONFORMITY, TREND, WORST, NONCONFORMITY)}
+    for t in (CONFORMITY, TREND, NONCONFORMITY):
+        write_parquet(tables[t], paths[t])
+    write_parquet(gold_worst(read_parquet(spark, paths[CONFORMITY]), spec), paths[WORST])
+    return paths
+
+
 def run_medallion(
     spark: SparkSession,
     bronze: DataFrame,
@@ -97,13 +115,7 @@ def run_medallion(
     write_parquet(build_silver(bronze, silver_spec), silver_path, partition_by=silver_partition_by)
     silver = read_parquet(spark, silver_path)
 
-    # one aggregate pass over silver for every gold table, written once, then split
-    agg_path = write_parquet(gold_aggregate(silver, predicate, gold_spec), f"{out_root}/gold/_aggregate")
-    tables = split_gold(read_parquet(spark, agg_path), gold_spec)
-    gold_paths = {t: f"{out_root}/gold/{t}" for t in (CONFORMITY, TREND, WORST, NONCONFORMITY)}
-    for t in (CONFORMITY, TREND, NONCONFORMITY):
-        write_parquet(tables[t], gold_paths[t])
-    write_parquet(gold_worst(read_parquet(spark, gold_paths[CONFORMITY]), gold_spec), gold_paths[WORST])
+    gold_paths = write_gold(spark, silver, predicate, f"{out_root}/gold", gold_spec)
     gold = {t: read_parquet(spark, p) for t, p in gold_paths.items()}
 
     quality_path = f"{out_root}/quality/checks"
