@@ -24,6 +24,7 @@ from hydrix.operators import quality as Q
 from hydrix.operators.columns import (
     count_parse_failures,
     date_window,
+    parse_failures,
     require_fields,
     standardize_columns,
 )
@@ -321,6 +322,49 @@ def q_raw_profile(spark, sf_dir):
     return raw_profile(m_view(spark, sf_dir))
 
 
+def _gold_one_pass(spark, sf_dir):
+    return split_gold(gold_aggregate(silver_m(spark, sf_dir), category_is(), GOLD_SPEC), GOLD_SPEC)
+
+
+def q_gold_onepass_conformity(spark, sf_dir):
+    return _gold_one_pass(spark, sf_dir)["conformite_commune"]
+
+
+def q_gold_onepass_trend(spark, sf_dir):
+    return _gold_one_pass(spark, sf_dir)["evolution_temporelle"]
+
+
+def q_gold_onepass_nonconformity(spark, sf_dir):
+    return _gold_one_pass(spark, sf_dir)["non_conformites_parametre"]
+
+
+def q_gold_onepass_worst_k(spark, sf_dir):
+    return _gold_one_pass(spark, sf_dir)["top_10_pires_communes"]
+
+
+def q_parse_failure_rows(spark, sf_dir):
+    typed = clean(m_view(spark, sf_dir), SILVER_SPEC)
+    return parse_failures(typed, "resultat_alphanumerique", "resultat_valeur_float").select(
+        "event_id", "resultat_alphanumerique")
+
+
+def q_out_of_range_rows(spark, sf_dir):
+    rows = Q.failing_rows(silver_m(spark, sf_dir), Q.between("resultat_valeur_float", 0, 100))
+    return rows.select("event_id", "resultat_valeur_float")
+
+
+def q_department_counts(spark, sf_dir):
+    return value_counts(m_view(spark, sf_dir), "nom_departement")
+
+
+def q_parameter_type_counts(spark, sf_dir):
+    return value_counts(m_view(spark, sf_dir), "code_type_parametre", sort=False)
+
+
+def q_status_counts(spark, sf_dir):
+    return value_counts(m_view(spark, sf_dir), "conclusion_conformite_prelevement", sort=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -551,6 +595,18 @@ UNION ALL
 UNION ALL
 {_sql_consistency()}""",
         "raw_profile": _sql_raw_profile(),
+        "gold_onepass_conformity": f"{gold_src} SELECT * FROM conf",
+        "gold_onepass_trend": f"{gold_src} SELECT * FROM trend",
+        "gold_onepass_nonconformity": f"{gold_src} SELECT * FROM nonconf",
+        "gold_onepass_worst_k": f"{gold_src} SELECT * FROM worst",
+        "parse_failure_rows": f"""{m} SELECT event_id, resultat_alphanumerique FROM m
+WHERE resultat_alphanumerique IS NOT NULL AND ({_sql_parse('resultat_alphanumerique')}) IS NULL""",
+        "out_of_range_rows": f"""{silver_src} SELECT event_id, resultat_valeur_float FROM silver
+WHERE resultat_valeur_float < 0 OR resultat_valeur_float > 100""",
+        "department_counts": f"{m} SELECT nom_departement, count(*) AS count FROM m GROUP BY nom_departement",
+        "parameter_type_counts": f"{m} SELECT code_type_parametre, count(*) AS count FROM m GROUP BY code_type_parametre",
+        "status_counts": f"""{m} SELECT conclusion_conformite_prelevement, count(*) AS count FROM m
+GROUP BY conclusion_conformite_prelevement""",
     }
     return sql
 
