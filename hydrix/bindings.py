@@ -39,7 +39,7 @@ from hydrix.operators.metrics import (
 )
 from hydrix.operators.profile import describe_numeric, null_profile, numeric_extremes
 from hydrix.plans.explore import raw_profile
-from hydrix.plans.gates import gold_gate, silver_gate, source_silver_checks
+from hydrix.plans.gates import gold_gate, silver_checks, silver_gate, source_silver_checks
 from hydrix.plans.gold import (
     GoldSpec,
     build_gold,
@@ -520,8 +520,6 @@ def _oracle() -> dict[str, str]:
     silver_src = f"WITH {_SILVER_CTE}"
     gold_src = f"WITH {_gold_cte()}"
     check_suite = _sql_checks("silver", "silver", source_silver_checks(), _SILVER_COLUMNS)
-    from hydrix.plans.gates import silver_checks
-
     sql = {
         "conformity_by_group": conf_orders,
         "worst_k": f"SELECT * FROM ({conf_orders}) ORDER BY taux_conformite ASC NULLS FIRST, o_custkey ASC NULLS FIRST LIMIT {K}",

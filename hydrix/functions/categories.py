@@ -40,7 +40,7 @@ def categorize_sql(column: str, rules: Sequence[Rule] = DEFAULT_RULES, default:
     """The same CASE chain as Spark SQL text over a named column."""
     if not rules:
         raise ValueError("rules must not be empty")
-    text = f"lower(`{column.replace('`', '``')}`)"
+    text = f"lower(CAST(`{column.replace('`', '``')}` AS STRING))"
     whens = []
     for label, keywords in rules:
         if not keywords:
@@ -64,7 +64,7 @@ def categorize(
         raise ValueError("rules must not be empty")
     if isinstance(c, str):
         return F.expr(categorize_sql(c, rules, default))
-    text = F.lower(as_col(c))
+    text = F.lower(as_col(c).cast("string"))
     chain = None
     for label, keywords in rules:
         if not keywords:

@@ -44,7 +44,8 @@ def parse_measurement(c: Column | str, censored: str = "limit") -> Column:
     """Text such as ``<0,005``, ``0,010`` or `` 12.5 `` -> FLOAT (see module docstring)."""
     if censored not in CENSORED_POLICIES:
         raise ValueError(f"censored must be one of {CENSORED_POLICIES}, got {censored!r}")
-    text = strip_blanks(F.translate(as_col(c), ",", "."))
+    # any input type is read as its text, as the source's str() did (e.g. a column inferred as double)
+    text = strip_blanks(F.translate(as_col(c).cast("string"), ",", "."))
     below_limit = text.startswith("<")
     body = strip_blanks(F.when(below_limit, F.substring(text, 2, 1 << 30)).otherwise(text))
     value = F.when(body.rlike(NUMERIC_TEXT), body.try_cast("double")).cast("float")

@@ -144,3 +144,11 @@ def test_ratio_and_percentage(spark):
     assert rows[0]["r"] == 1 / 3 and rows[0]["p"] == 33.33
     assert rows[1]["r"] is None and rows[1]["p"] is None  # no ANSI divide-by-zero error
     assert rows[2]["r"] is None
+
+
+def test_non_string_inputs_are_read_as_text(spark):
+    df = spark.createDataFrame([(0.005, 7), (None, None)], "d double, n int")
+    rows = df.select(parse_measurement("d").alias("v"), parse_measurement(F.col("n")).alias("w"),
+                     categorize("n").alias("c")).collect()
+    assert (rows[0].v, rows[0].w, rows[0].c) == (f32(0.005), 7.0, "Autre")
+    assert (rows[1].v, rows[1].w, rows[1].c) == (None, None, "Autre")
