@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydrix.functions.categories import DEFAULT_CATEGORY, DEFAULT_RULES
-from hydrix.functions.dates import in_window, iso_date_part, parse_date, year_of
+from hydrix.functions.dates import iso_date_part, parse_date, year_of
 from hydrix.functions.measures import NUMERIC_TEXT, parse_measurement
 from hydrix.operators import quality as Q
 from hydrix.operators.columns import (

@@ -18,7 +18,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from hydrix._util import require_columns
 from hydrix.functions.categories import DEFAULT_CATEGORY, DEFAULT_RULES, Rule, categorize
