@@ -51,15 +51,19 @@ def read_bronze(
     fmt: str = "jsonl",
     row_schema: StructType | None = None,
     partitions: int | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """``jsonl`` (one row per line), ``pages`` (one envelope per line) or ``parquet``.
 
+    ``corrupt_column`` (JSON Lines) keeps malformed lines as rows with the raw text in that column
+    instead of all-NULL rows; ``cleaning_report`` then counts them.
+
     ``partitions`` spreads the rows over that many tasks with one round-robin shuffle.  Use it only
     for landing files that cannot be split (e.g. large gzip JSON, one task per file); splittable
     input is already read in parallel and needs no extra shuffle.
     """
     if fmt == "jsonl":
-        df = read_json(spark, path, row_schema)
+        df = read_json(spark, path, row_schema, corrupt_column=corrupt_column)
     elif fmt == "pages":
         df = page_rows(read_pages(spark, path, row_schema))
     elif fmt == "parquet":
@@ -69,14 +73,20 @@ def read_bronze(
     return df.repartition(int(partitions)) if partitions else df
 
 
-def cleaning_report(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
-    """One row: raw rows, parse failures, rows with all required fields (one aggregate pass)."""
+def cleaning_report(
+    raw: DataFrame, spec: SilverSpec = SilverSpec(), corrupt_column: str | None = None
+) -> DataFrame:
+    """One row: raw rows, parse failures, rows with all required fields (one aggregate pass), and
+    malformed input lines when ``corrupt_column`` is given."""
     typed = clean(raw, spec)
-    return typed.agg(
+    aggs = [
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(parse_failure(spec.result_col, spec.value_col)).alias("parse_failures"),
         F.count_if(not_null_all(spec.required)).alias("rows_required"),
-    )
+    ]
+    if corrupt_column is not None and corrupt_column in raw.columns:
+        aggs.append(F.count_if(F.col(corrupt_column).isNotNull()).alias("rows_malformed"))
+    return typed.agg(*aggs)
 
 
 def write_gold(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from hydrix._util import as_list
 
@@ -38,6 +38,9 @@ def _read(reader, path: str, fmt: str, on_missing: str) -> DataFrame | None:
         raise
 
 
+JSON_MODES = ("PERMISSIVE", "FAILFAST", "DROPMALFORMED")
+
+
 def read_json(
     spark: SparkSession,
     path: str,
@@ -45,15 +48,35 @@ def read_json(
     *,
     multiline: bool = False,
     on_missing: str = "raise",
+    mode: str = "PERMISSIVE",
+    corrupt_column: str | None = None,
 ) -> DataFrame | None:
-    """JSON Lines (or ``multiline`` documents).  With no schema, Spark infers one (an extra pass);
-    malformed lines then land in ``_corrupt_record``."""
-    reader = spark.read.option("multiLine", multiline)
+    """JSON Lines (or ``multiline`` documents).
+
+    With no schema, Spark infers one (an extra pass) and malformed lines land in ``_corrupt_record``.
+    With a declared schema, pass ``corrupt_column`` to keep malformed lines visible in that string
+    column (otherwise PERMISSIVE mode turns them into all-NULL rows), or ``mode="FAILFAST"`` to stop
+    on the first one.
+    """
+    if mode not in JSON_MODES:
+        raise ValueError(f"mode must be one of {JSON_MODES}, got {mode!r}")
+    reader = spark.read.option("multiLine", multiline).option("mode", mode)
     if schema is not None:
+        if corrupt_column is not None:
+            if isinstance(schema, str):
+                schema = StructType.fromDDL(schema) if hasattr(StructType, "fromDDL") else _ddl(spark, schema)
+            if corrupt_column not in schema.fieldNames():
+                schema = StructType(schema.fields + [StructField(corrupt_column, StringType())])
         reader = reader.schema(schema)
+    if corrupt_column is not None:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return _read(reader, path, "json", on_missing)
 
 
+def _ddl(spark: SparkSession, ddl: str) -> StructType:
+    return spark.createDataFrame([], ddl).schema
+
+
 def read_parquet(spark: SparkSession, path: str, *, on_missing: str = "raise") -> DataFrame | None:
     return _read(spark.read, path, "parquet", on_missing)
 

@@ -178,3 +178,17 @@ def test_partitioned_silver_prunes_years(spark, m):
     assert re.search(r"PartitionFilters: \[isnotnull\(annee#\d+\), \(annee#\d+ >= 2024\), \(annee#\d+ <= 2024\)\]", buf.getvalue())
     assert win.count() == date_window(silver, "date_prelevement_clean", "2024-01-10", "2024-01-20").count() > 0
     assert res.report["rows_silver"] == 878
+
+
+def test_malformed_bronze_lines_are_counted(spark, m):
+    import os
+
+    root = scratch_path(spark, "t-bad-bronze")
+    path = write_json(m, f"{root}/bronze")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    with open(os.path.join(local, "zz-extra.json"), "w") as f:
+        f.write("{not json at all\n")
+    bronze = read_bronze(spark, path, row_schema=m.schema, corrupt_column="_corrupt_record")
+    r = cleaning_report(bronze, B.SILVER_SPEC, corrupt_column="_corrupt_record").first()
+    assert (r.rows_raw, r.rows_malformed) == (1001, 1)
+    assert build_silver(bronze, B.SILVER_SPEC).count() == 878  # the malformed line has no keys

@@ -110,3 +110,18 @@ def test_preview(spark, small):
     assert "name: string" in schema_text(small)
     with pytest.raises(ValueError):
         preview_rows(small, 0)
+
+
+def test_json_malformed_lines_visible_or_fatal(spark):
+    d = _local(scratch_path(spark, "t-bad-json"))
+    os.makedirs(d)
+    with open(f"{d}/part.json", "w") as f:
+        f.write('{"id": 1, "name": "a", "v": 0.5}\n{broken\n{"id": 3, "name": "c", "v": 1.5}\n')
+    df = read_json(spark, d, ROW_SCHEMA, corrupt_column="_bad").cache()
+    assert df.count() == 3 and df.filter("_bad IS NOT NULL").count() == 1
+    assert df.filter("_bad IS NULL").count() == 2
+    with pytest.raises(Exception):
+        read_json(spark, d, ROW_SCHEMA, mode="FAILFAST").collect()
+    assert read_json(spark, d, ROW_SCHEMA, mode="DROPMALFORMED").count() == 2
+    with pytest.raises(ValueError):
+        read_json(spark, d, ROW_SCHEMA, mode="LENIENT")
