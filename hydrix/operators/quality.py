@@ -257,7 +257,8 @@ def render_report(rows: Sequence) -> str:
     did not pass (the console output of a gate)."""
     lines = []
     for r in rows:
-        lines.append(f"{MARKS.get(r['status'], '?')} {r['table_name']}.{r['column_name']} {r['rule']}")
+        title = r["rule"] if r["check_name"] == RULE else f"{r['column_name']} {r['rule']}"
+        lines.append(f"{MARKS.get(r['status'], '?')} {r['table_name']}.{title}")
         if r["status"] == FAILED:
             lines.append(f"    {r['unexpected_count']} of {r['total']} rows unexpected")
         elif r["status"] == SKIPPED:
