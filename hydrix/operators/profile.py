@@ -21,6 +21,13 @@ def _r(c: Column, digits: int | None) -> Column:
     return c if digits is None else F.round(c, digits)
 
 
+def _require_numeric(df: DataFrame, cols: Sequence[str]) -> None:
+    numeric = set(numeric_columns(df))
+    bad = [c for c in cols if c not in numeric]
+    if bad:
+        raise ValueError(f"not numeric: {bad}")
+
+
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
@@ -28,6 +35,7 @@ def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
 def numeric_extremes(df: DataFrame, col: str, *, digits: int | None = None) -> DataFrame:
     """One row: ``min``, ``max``, ``avg`` of ``col`` (NULLs skipped)."""
     require_columns(df, [col])
+    _require_numeric(df, [col])
     c = F.col(col)
     return df.agg(
         _r(F.min(c).cast("double"), digits).alias("min"),
@@ -46,6 +54,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, *, digits
     require_columns(df, cols)
     if not cols:
         raise ValueError("no numeric column to describe")
+    _require_numeric(df, cols)
     aggs, rows = [], []
     for i, name in enumerate(cols):
         c = F.col(name).cast("double")

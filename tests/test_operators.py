@@ -233,3 +233,11 @@ def test_scale_conf():
     n = int(conf["spark.sql.shuffle.partitions"])
     assert 300_000 > n >= 200 and 100 * 10**12 / n <= 256 << 20 or n == 200_000
     assert int(scale_conf(10)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_numeric_profiles_reject_text_columns(spark):
+    df = spark.createDataFrame([(1, "a")], "i int, s string")
+    with pytest.raises(ValueError, match="not numeric"):
+        numeric_extremes(df, "s")
+    with pytest.raises(ValueError, match="not numeric"):
+        describe_numeric(df, ["i", "s"])
