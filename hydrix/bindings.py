@@ -285,24 +285,19 @@ def q_check_not_null(spark, sf_dir):
 
 
 def q_check_between(spark, sf_dir):
-    s = silver_m(spark, sf_dir)
-    return Q.check_between(s, "annee", 2000, 2030, "silver").unionByName(
-        Q.check_between(s, "resultat_valeur_float", 0, 100, "silver")
-    )
+    # both range rules in one aggregate pass over silver
+    checks = [Q.between("annee", 2000, 2030), Q.between("resultat_valeur_float", 0, 100)]
+    return Q.run_checks(silver_m(spark, sf_dir), checks, "silver")
 
 
 def q_check_min(spark, sf_dir):
-    conf = q_conformity_by_group(spark, sf_dir)
-    return Q.check_min(conf, "total_tests", 0, "conformity", strict=True).unionByName(
-        Q.check_min(conf, "nb_conformes", 1, "conformity")
-    )
+    checks = [Q.greater_than("total_tests", 0), Q.at_least("nb_conformes", 1)]
+    return Q.run_checks(q_conformity_by_group(spark, sf_dir), checks, "conformity")
 
 
 def q_check_min_tolerance(spark, sf_dir):
-    m = m_view(spark, sf_dir)
-    return Q.check_min_tolerance(m, "resultat_numerique", 0, "raw").unionByName(
-        Q.check_min_tolerance(m, "resultat_numerique", 10, "raw")
-    )
+    checks = [Q.at_least_mostly("resultat_numerique", 0), Q.at_least_mostly("resultat_numerique", 10)]
+    return Q.run_checks(m_view(spark, sf_dir), checks, "raw")
 
 
 def q_check_suite(spark, sf_dir):
