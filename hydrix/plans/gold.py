@@ -130,8 +130,15 @@ def gold_aggregate(silver: DataFrame, predicate: Column, spec: GoldSpec = GoldSp
 
 
 def split_gold(agg: DataFrame, spec: GoldSpec = GoldSpec()) -> dict[str, DataFrame]:
-    """The four gold tables from ``gold_aggregate``'s output (ideally a written/staged copy)."""
+    """The four gold tables from ``gold_aggregate``'s output (ideally a written/staged copy).
+
+    ``spec`` must be the one the aggregate was built with: the grouping ids depend on it, so a
+    different grouping is refused rather than split wrongly.
+    """
     cols, tables = _sets(spec)
+    grouping = [c for c in agg.columns if not c.startswith("_")]
+    if grouping != cols:
+        raise ValueError(f"aggregate grouped by {grouping}, spec expects {cols}: pass the same GoldSpec")
     part = {t: agg.filter(F.col("_gid") == _gid(cols, g)) for t, g in tables.items()}
     conformity = part[CONFORMITY].select(
         *spec.group,

@@ -192,3 +192,13 @@ def test_malformed_bronze_lines_are_counted(spark, m):
     r = cleaning_report(bronze, B.SILVER_SPEC, corrupt_column="_corrupt_record").first()
     assert (r.rows_raw, r.rows_malformed) == (1001, 1)
     assert build_silver(bronze, B.SILVER_SPEC).count() == 878  # the malformed line has no keys
+
+
+def test_split_gold_refuses_another_spec(silver):
+    from hydrix.plans.gold import GoldSpec, gold_aggregate, split_gold
+
+    spec = GoldSpec(group=("commune", "departement"))
+    agg = gold_aggregate(silver, category_is(), spec)
+    assert split_gold(agg, spec)["conformite_commune"].count() == 15
+    with pytest.raises(ValueError, match="same GoldSpec"):
+        split_gold(agg)
