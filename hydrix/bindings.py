@@ -229,6 +229,17 @@ def q_paged_json_stats(spark, sf_dir):
     return page_stats(read_pages(spark, path, m.schema))
 
 
+def q_paged_json_crawl_rows(spark, sf_dir):
+    """S1 with the paging rules.  The landing also holds a re-requested last page and a stray page
+    past the end (a copy of the first page under a later number); every M row comes out once."""
+    m = m_view(spark, sf_dir)
+    path = write_pages(m, scratch_path(spark, "pages-crawl"), PAGE_SIZE, "event_id", with_page=True)
+    pages = read_pages(spark, path, m.schema, with_page=True)
+    repeated_last = pages.filter(F.col("next").isNull())
+    stray = pages.filter(F.col("page") == 0).withColumn("page", F.lit(10**9).cast("long"))
+    return page_rows(pages.unionByName(repeated_last).unionByName(stray), page_col="page")
+
+
 def q_jsonl_roundtrip(spark, sf_dir):
     m = m_view(spark, sf_dir)
     return read_json(spark, write_json(m, scratch_path(spark, "jsonl")), m.schema)
@@ -570,6 +581,7 @@ SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after, CAST(sum(n
   round(CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) * 100.0 / NULLIF(CAST(count(*) AS DOUBLE), 0), 2) AS null_pct FROM m"""
             for c in M_COLUMNS),
         "paged_json_rows": f"{m} SELECT * FROM m",
+        "paged_json_crawl_rows": f"{m} SELECT * FROM m",
         "paged_json_stats": f"""SELECT count(DISTINCT event_id // {PAGE_SIZE}) AS n_pages, count(*) AS n_rows,
   CAST(0 AS BIGINT) AS n_empty_pages, count(*) > 0 AS has_last_page FROM events""",
         "jsonl_roundtrip": f"{m} SELECT * FROM m",

@@ -52,11 +52,13 @@ def read_bronze(
     row_schema: StructType | None = None,
     partitions: int | None = None,
     corrupt_column: str | None = None,
+    page_col: str | None = None,
 ) -> DataFrame:
     """``jsonl`` (one row per line), ``pages`` (one envelope per line) or ``parquet``.
 
     ``corrupt_column`` (JSON Lines) keeps malformed lines as rows with the raw text in that column
-    instead of all-NULL rows; ``cleaning_report`` then counts them.
+    instead of all-NULL rows; ``cleaning_report`` then counts them.  ``page_col`` (pages landed
+    with their page number) applies the paging rules: one copy per page, nothing after the end page.
 
     ``partitions`` spreads the rows over that many tasks with one round-robin shuffle.  Use it only
     for landing files that cannot be split (e.g. large gzip JSON, one task per file); splittable
@@ -65,7 +67,7 @@ def read_bronze(
     if fmt == "jsonl":
         df = read_json(spark, path, row_schema, corrupt_column=corrupt_column)
     elif fmt == "pages":
-        df = page_rows(read_pages(spark, path, row_schema))
+        df = page_rows(read_pages(spark, path, row_schema, with_page=page_col is not None), page_col=page_col)
     elif fmt == "parquet":
         df = read_parquet(spark, path)
     else:

@@ -8,10 +8,11 @@ from hydrix.sources.files import (
     write_parquet,
     written_counts,
 )
-from hydrix.sources.paged import envelope_schema, page_rows, page_stats, read_pages, write_pages
+from hydrix.sources.paged import crawl_pages, envelope_schema, page_rows, page_stats, read_pages, write_pages
 from hydrix.sources.preview import preview_rows, schema_text
 
 __all__ = [
+    "crawl_pages",
     "envelope_schema",
     "guard_not_input",
     "page_rows",

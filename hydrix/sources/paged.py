@@ -5,7 +5,11 @@ pages are landed as files (one envelope per line, or one pretty-printed document
 ``multiline=True``) and read in parallel:
 
 * ``page_rows``  -- every ``data`` element as a row (``inline``); empty or NULL ``data`` adds nothing.
-* ``page_stats`` -- page and row totals, empty pages, and whether the last page (no ``next``) is there.
+  When the landing recorded the page number (``with_page``), ``page_rows(pages, page_col="page")``
+  follows the source's paging rules: one envelope per page number (a re-requested page is read
+  once), and nothing after the first page that is empty or has no ``next`` link (``crawl_pages``).
+* ``page_stats`` -- page and row totals, empty pages, and whether the last page (no ``next``) is there;
+  with page numbers also the end page, repeated pages and pages past the end.
 * ``write_pages`` -- lands a table as page envelopes (pages of ``page_size`` consecutive key values);
   used to build fixtures and to re-page data.
 
@@ -17,16 +21,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from hydrix._util import require_columns
+from hydrix.operators.dedup import dedup_keys
 from hydrix.sources.files import read_json, write_json
 
-DATA, NEXT = "data", "next"
+DATA, NEXT, PAGE = "data", "next", "page"
 
 
-def envelope_schema(row_schema: StructType) -> StructType:
-    return StructType([StructField(DATA, ArrayType(row_schema)), StructField(NEXT, StringType())])
+def envelope_schema(row_schema: StructType, with_page: bool = False) -> StructType:
+    fields = [StructField(DATA, ArrayType(row_schema)), StructField(NEXT, StringType())]
+    if with_page:
+        fields.insert(0, StructField(PAGE, LongType()))
+    return StructType(fields)
 
 
 def read_pages(
@@ -36,37 +44,94 @@ def read_pages(
     *,
     multiline: bool = False,
     on_missing: str = "raise",
+    with_page: bool = False,
 ) -> DataFrame | None:
-    """Envelope DataFrame (``data``, ``next``); declared row schema recommended (no inference pass)."""
-    schema = envelope_schema(row_schema) if row_schema is not None else None
+    """Envelope DataFrame (``data``, ``next``[, ``page``]); a declared row schema avoids an inference pass."""
+    schema = envelope_schema(row_schema, with_page) if row_schema is not None else None
     return read_json(spark, path, schema, multiline=multiline, on_missing=on_missing)
 
 
-def page_rows(pages: DataFrame) -> DataFrame:
-    """Flatten envelopes to rows; runs inside the scan stage (no shuffle)."""
+def _size(data: str = DATA):
+    n = F.coalesce(F.size(data), F.lit(0))
+    return F.when(n < 0, F.lit(0)).otherwise(n)  # size(NULL) is -1 in legacy mode
+
+
+def _ends_crawl():
+    """The fetch loop stops here: no rows, or no link to a next page."""
+    return (_size() == 0) | F.col(NEXT).isNull() | (F.col(NEXT) == "")
+
+
+def crawl_pages(pages: DataFrame, page_col: str = PAGE) -> DataFrame:
+    """The envelopes the paging loop would have used.
+
+    One envelope per page number: copies of a re-requested page form a small group, and the
+    copy with the most rows wins, then the one with a ``next`` link, then the lowest content
+    hash. Pages after the end page (the first page that is empty or has no ``next``) are dropped.
+    The end page is one global minimum (a scalar subquery). If no end page has landed yet, every
+    page is kept.
+    """
+    require_columns(pages, [DATA, NEXT, page_col])
+    order = [_size().desc(), F.col(NEXT).asc_nulls_last(), F.xxhash64(F.to_json(F.col(DATA))).asc()]
+    once = dedup_keys(pages, [page_col], order)
+    end = pages.filter(_ends_crawl()).select(F.min(page_col)).scalar()
+    return once.filter(end.isNull() | (F.col(page_col) <= end))
+
+
+def page_rows(pages: DataFrame, page_col: str | None = None) -> DataFrame:
+    """Flatten envelopes to rows (inside the scan stage, no shuffle); with ``page_col``, only the
+    pages ``crawl_pages`` keeps."""
     require_columns(pages, [DATA])
+    if page_col is not None:
+        pages = crawl_pages(pages, page_col)
     return pages.select(F.inline(DATA))
 
 
-def page_stats(pages: DataFrame) -> DataFrame:
-    """One row: ``n_pages``, ``n_rows``, ``n_empty_pages``, ``has_last_page``."""
-    require_columns(pages, [DATA, NEXT])
-    n = F.coalesce(F.size(DATA), F.lit(0))
-    n = F.when(n < 0, F.lit(0)).otherwise(n)  # size(NULL) is -1 in legacy mode
-    return pages.agg(
+def page_stats(pages: DataFrame, page_col: str | None = None) -> DataFrame:
+    """One row: ``n_pages``, ``n_rows``, ``n_empty_pages``, ``has_last_page``; with ``page_col`` also
+    ``end_page`` (first empty or link-less page), ``n_repeated_pages`` and ``n_pages_after_end``."""
+    require_columns(pages, [DATA, NEXT] + ([page_col] if page_col else []))
+    n = _size()
+    aggs = [
         F.count(F.lit(1)).alias("n_pages"),
         F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("n_rows"),
         F.count_if(n == 0).alias("n_empty_pages"),
         (F.count_if(F.col(NEXT).isNull() | (F.col(NEXT) == "")) > 0).alias("has_last_page"),
+    ]
+    if page_col is None:
+        return pages.agg(*aggs)
+    # per page number: copies, rows, and whether a copy ends the crawl; then one global row
+    per_page = pages.groupBy(page_col).agg(
+        F.count(F.lit(1)).alias("_copies"),
+        F.coalesce(F.sum(n), F.lit(0)).alias("_rows"),
+        F.count_if(n == 0).alias("_empty"),
+        F.count_if(F.col(NEXT).isNull() | (F.col(NEXT) == "")).alias("_last"),
+        F.min(F.when(_ends_crawl(), F.col(page_col))).alias("_end"),
+    )
+    return _stats_with_end(per_page, page_col)
+
+
+def _stats_with_end(per_page: DataFrame, page_col: str) -> DataFrame:
+    end = per_page.select(F.min("_end")).scalar()
+    return per_page.agg(
+        F.sum("_copies").cast("long").alias("n_pages"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("n_rows"),
+        F.coalesce(F.sum("_empty"), F.lit(0)).cast("long").alias("n_empty_pages"),
+        (F.coalesce(F.sum("_last"), F.lit(0)) > 0).alias("has_last_page"),
+        end.alias("end_page"),
+        (F.sum("_copies") - F.count(F.lit(1))).cast("long").alias("n_repeated_pages"),
+        F.count_if(F.col(page_col) > end).alias("n_pages_after_end"),
     )
 
 
-def write_pages(df: DataFrame, path: str, page_size: int, key: str, *, link: str = "page={}") -> str:
+def write_pages(
+    df: DataFrame, path: str, page_size: int, key: str, *, link: str = "page={}", with_page: bool = False
+) -> str:
     """Land ``df`` as JSON Lines of envelopes: page ``p`` holds rows with ``key div page_size == p``.
 
     ``key`` should be a unique integer key so a page holds at most ``page_size`` rows (the group is
     bounded).  ``next`` links to page ``p + 1``; the highest page has no ``next``.  The highest page
     number comes from a scalar subquery (one global max), not from a driver round trip.
+    ``with_page`` also records the page number, as a landing step that knows its request would.
     """
     if page_size <= 0:
         raise ValueError(f"page_size must be positive, got {page_size}")
@@ -80,8 +145,6 @@ def write_pages(df: DataFrame, path: str, page_size: int, key: str, *, link: str
         .select("_page", F.col("_rows._r").alias(DATA))
     )
     last = df.select(F.max(page)).scalar()
-    pages = pages.select(
-        DATA,
-        F.when(F.col("_page") < last, F.format_string(link.replace("{}", "%d"), F.col("_page") + 1)).alias(NEXT),
-    )
-    return write_json(pages, path)
+    nxt = F.when(F.col("_page") < last, F.format_string(link.replace("{}", "%d"), F.col("_page") + 1))
+    cols = ([F.col("_page").cast("long").alias(PAGE)] if with_page else []) + [F.col(DATA), nxt.alias(NEXT)]
+    return write_json(pages.select(*cols), path)

@@ -202,3 +202,10 @@ def test_split_gold_refuses_another_spec(silver):
     assert split_gold(agg, spec)["conformite_commune"].count() == 15
     with pytest.raises(ValueError, match="same GoldSpec"):
         split_gold(agg)
+
+
+def test_read_bronze_pages_with_crawl_rules(spark, m):
+    root = scratch_path(spark, "t-crawl-bronze")
+    path = write_pages(m, f"{root}/bronze", 300, "event_id", with_page=True)
+    bronze = read_bronze(spark, path, fmt="pages", row_schema=m.schema, page_col="page")
+    assert bronze.count() == 1000

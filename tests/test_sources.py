@@ -125,3 +125,38 @@ def test_json_malformed_lines_visible_or_fatal(spark):
     assert read_json(spark, d, ROW_SCHEMA, mode="DROPMALFORMED").count() == 2
     with pytest.raises(ValueError):
         read_json(spark, d, ROW_SCHEMA, mode="LENIENT")
+
+
+def test_crawl_follows_the_paging_rules(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from hydrix.sources import crawl_pages, envelope_schema
+
+    row = _parse_datatype_string(ROW_SCHEMA)
+    env = [
+        (0, [(1, "a", 0.5), (2, "b", None)], "p1"),
+        (1, [(3, "c", 1.0)], "p2"),
+        (1, [(3, "c", 1.0)], "p2"),  # re-requested page
+        (2, [], "p3"),  # empty page: the crawl stops here
+        (3, [(9, "z", 9.0)], None),  # never reached
+    ]
+    pages = spark.createDataFrame(env, envelope_schema(row, with_page=True))
+    assert sorted(r.id for r in page_rows(pages, page_col="page").collect()) == [1, 2, 3]
+    assert sorted(r.page for r in crawl_pages(pages).collect()) == [0, 1, 2]
+    s = page_stats(pages, page_col="page").first()
+    assert (s.n_pages, s.n_rows, s.end_page, s.n_repeated_pages, s.n_pages_after_end) == (5, 5, 2, 1, 1)
+    # no end page landed yet: every page is kept
+    open_ended = pages.filter("page < 2")
+    assert sorted(r.id for r in page_rows(open_ended, page_col="page").collect()) == [1, 2, 3]
+    assert page_stats(open_ended, page_col="page").first().end_page is None
+    # a page without "next" ends the crawl after its own rows
+    last = spark.createDataFrame([(0, [(1, "a", 0.5)], None), (1, [(2, "b", 1.0)], None)],
+                                 envelope_schema(row, with_page=True))
+    assert [r.id for r in page_rows(last, page_col="page").collect()] == [1]
+
+
+def test_write_pages_with_page_numbers(spark, small):
+    path = write_pages(small, scratch_path(spark, "t-pages-n"), 10, "id", with_page=True)
+    pages = read_pages(spark, path, small.schema, with_page=True)
+    assert sorted((r.page, r.next) for r in pages.collect()) == [(0, "page=1"), (1, "page=2"), (2, None)]
+    assert sorted(page_rows(pages, page_col="page").collect()) == sorted(small.collect())
