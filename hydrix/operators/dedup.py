@@ -29,11 +29,11 @@ def _sort_key(c: Column | str) -> Column:
 
 
 def orderable_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    """Columns whose type has a total order usable as a tie-break (maps excluded)."""
+    """Columns whose type has a total order usable as a tie-break (maps and variants excluded)."""
     skip = set(exclude)
 
     def ok(t) -> bool:
-        if isinstance(t, MapType):
+        if isinstance(t, MapType) or type(t).__name__ == "VariantType":
             return False
         if isinstance(t, ArrayType):
             return ok(t.elementType)

@@ -241,3 +241,11 @@ def test_numeric_profiles_reject_text_columns(spark):
         numeric_extremes(df, "s")
     with pytest.raises(ValueError, match="not numeric"):
         describe_numeric(df, ["i", "s"])
+
+
+def test_orderable_columns_skip_maps_and_variants(spark):
+    from hydrix.operators.dedup import orderable_columns
+
+    df = spark.sql("select 1 as k, map('a', 1) as m, parse_json('{\"a\": 1}') as v, array(struct(1 as x)) as s, 'x' as t")
+    assert orderable_columns(df, exclude=["k"]) == ["s", "t"]
+    assert dedup_keys(df, ["k"], orderable_columns(df, exclude=["k"])).count() == 1
