@@ -187,18 +187,19 @@ def check_min_tolerance(df: DataFrame, col: str, bound: float, table_name: str,
 def check_subset(
     sub: DataFrame, sup: DataFrame, keys: Sequence[str], table_name: str, *, sub_max_rows: int | None = None
 ) -> DataFrame:
-    """Rows of ``sub`` whose ``keys`` are absent from ``sup`` (NULL keys match NULL keys).
+    """Distinct ``keys`` combinations of ``sub`` that are absent from ``sup`` (NULL matches NULL).
 
     ``sup`` LEFT SEMI JOIN ``sub``: the (small) ``sub`` side is the build side.  It is broadcast
     only when the caller proves its size with ``sub_max_rows`` (e.g. a top-k table); otherwise the
-    join strategy is left to Spark / AQE's runtime statistics.
+    join strategy is left to Spark / AQE's runtime statistics.  The matched keys are made distinct
+    (they are bounded by ``sub``), so repeated keys in ``sup`` are not counted twice.
     """
     keys = as_list(keys)
     sub_keys = sub.select(*keys).distinct()
     if sub_max_rows is not None and sub_max_rows <= 1_000_000:
         sub_keys = F.broadcast(sub_keys)
     cond = [sup[k].eqNullSafe(sub_keys[k]) for k in keys]
-    found = sup.join(sub_keys, on=cond, how="left_semi").select(*keys)
+    found = sup.join(sub_keys, on=cond, how="left_semi").select(*keys).distinct()
     marked = sub_keys.select(F.lit(1).alias("_in_sub"), F.lit(0).alias("_found")).unionByName(
         found.select(F.lit(0).alias("_in_sub"), F.lit(1).alias("_found"))
     )

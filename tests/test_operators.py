@@ -249,3 +249,12 @@ def test_orderable_columns_skip_maps_and_variants(spark):
     df = spark.sql("select 1 as k, map('a', 1) as m, parse_json('{\"a\": 1}') as v, array(struct(1 as x)) as s, 'x' as t")
     assert orderable_columns(df, exclude=["k"]) == ["s", "t"]
     assert dedup_keys(df, ["k"], orderable_columns(df, exclude=["k"])).count() == 1
+
+
+def test_check_subset_with_repeated_parent_keys(spark):
+    from hydrix.operators import check_subset
+
+    sup = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    sub = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
+    r = check_subset(sub, sup, ["k"], "t", sub_max_rows=10).first()
+    assert (r.total, r.unexpected_count, r.success) == (3, 1, False)
