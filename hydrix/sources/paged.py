@@ -61,18 +61,24 @@ def _ends_crawl():
     return (_size() == 0) | F.col(NEXT).isNull() | (F.col(NEXT) == "")
 
 
-def crawl_pages(pages: DataFrame, page_col: str = PAGE) -> DataFrame:
+def crawl_pages(pages: DataFrame, page_col: str = PAGE, *, end_page: int | None = None) -> DataFrame:
     """The envelopes the paging loop would have used.
 
     One envelope per page number: copies of a re-requested page form a small group, and the
     copy with the most rows wins, then the one with a ``next`` link, then the lowest content
     hash. Pages after the end page (the first page that is empty or has no ``next``) are dropped.
-    The end page is one global minimum (a scalar subquery). If no end page has landed yet, every
-    page is kept.
+    If no end page has landed yet, every page is kept.
+
+    The end page is one global minimum. Pass ``end_page`` if the landing step already knows it.
+    Otherwise it is a scalar subquery: a second, filter-only pass over ``pages`` whose result is
+    one number. The page filter is pushed below the dedup (it is on the dedup key), so pages past
+    the end are not shuffled.
     """
     require_columns(pages, [DATA, NEXT, page_col])
     order = [_size().desc(), F.col(NEXT).asc_nulls_last(), F.xxhash64(F.to_json(F.col(DATA))).asc()]
     once = dedup_keys(pages, [page_col], order)
+    if end_page is not None:
+        return once.filter(F.col(page_col) <= F.lit(int(end_page)))
     end = pages.filter(_ends_crawl()).select(F.min(page_col)).scalar()
     return once.filter(end.isNull() | (F.col(page_col) <= end))
 

@@ -160,3 +160,14 @@ def test_write_pages_with_page_numbers(spark, small):
     pages = read_pages(spark, path, small.schema, with_page=True)
     assert sorted((r.page, r.next) for r in pages.collect()) == [(0, "page=1"), (1, "page=2"), (2, None)]
     assert sorted(page_rows(pages, page_col="page").collect()) == sorted(small.collect())
+
+
+def test_crawl_with_known_end_page(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from hydrix.sources import crawl_pages, envelope_schema
+
+    row = _parse_datatype_string(ROW_SCHEMA)
+    env = [(0, [(1, "a", 0.5)], "p1"), (1, [(2, "b", 1.0)], "p2"), (2, [(3, "c", 2.0)], "p3")]
+    pages = spark.createDataFrame(env, envelope_schema(row, with_page=True))
+    assert sorted(r.page for r in crawl_pages(pages, end_page=1).collect()) == [0, 1]
