@@ -55,6 +55,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         sp.add_argument("--status-column", default="conclusion_conformite_prelevement")
         sp.add_argument("--on-failure", default="report", choices=["report", "raise"])
         sp.add_argument("--k", type=int, default=10)
+        sp.add_argument("--input-bytes", type=int, default=None,
+                        help="size of the input; sets shuffle width, AQE and scan split size for it")
 
     ing = sub.add_parser("ingest")
     ing.add_argument("--landing", required=True)
@@ -83,6 +85,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         q.awaitTermination()
         return 0
 
+    if getattr(args, "input_bytes", None):
+        from hydrix.session import apply_conf, scale_conf
+
+        apply_conf(spark, scale_conf(args.input_bytes))
+
     out = args.out.rstrip("/")
     silver_path = f"{out}/silver/water_quality_clean"
     gold_paths = {t: f"{out}/gold/{t}" for t in GOLD_TABLES}

@@ -77,6 +77,16 @@ def scale_conf(
     }
 
 
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> dict[str, str | None]:
+    """Set runtime SQL options (e.g. ``scale_conf(...)``) on a session; returns the previous values
+    so a caller can restore them."""
+    previous = {}
+    for key, value in conf.items():
+        previous[key] = spark.conf.get(key, None)
+        spark.conf.set(key, value)
+    return previous
+
+
 def local_session(
     cores: int | None = None,
     shuffle_partitions: int | None = None,

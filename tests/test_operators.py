@@ -258,3 +258,16 @@ def test_check_subset_with_repeated_parent_keys(spark):
     sub = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     r = check_subset(sub, sup, ["k"], "t", sub_max_rows=10).first()
     assert (r.total, r.unexpected_count, r.success) == (3, 1, False)
+
+
+def test_apply_conf_sets_and_returns_previous(spark):
+    from hydrix.session import apply_conf, scale_conf
+
+    conf = scale_conf(10 * 10**12)
+    before = apply_conf(spark, conf)
+    try:
+        assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"]
+        assert int(conf["spark.sql.shuffle.partitions"]) == 37253  # 10 TB / 256 MiB, rounded up
+    finally:
+        apply_conf(spark, {k: v for k, v in before.items() if v is not None})
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
