@@ -271,3 +271,11 @@ def test_apply_conf_sets_and_returns_previous(spark):
     finally:
         apply_conf(spark, {k: v for k, v in before.items() if v is not None})
     assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
+
+
+def test_row_count_and_select_numeric(spark):
+    from hydrix.operators import row_count, select_numeric
+
+    df = spark.createDataFrame([(1, 2.0, "a"), (2, None, "b")], "i int, d double, s string")
+    assert row_count(df).first().n_rows == 2 and row_count(df.filter("false")).first().n_rows == 0
+    assert select_numeric(df).columns == ["i", "d"]
