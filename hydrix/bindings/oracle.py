@@ -1,400 +1,20 @@
-"""Bindings of the operators to the driver's tables, each with an independent DuckDB oracle.
+"""DuckDB oracle SQL for every registered query, written by hand.
 
-``QUERIES[name](spark, sf_dir) -> DataFrame`` runs an operator on the test tables.
-``oracle_sql()[name]`` is ANSI SQL over the same Parquet tables (registered as views by the name of
-the table) that must return the same rows.
-
-Measurement inputs come from ``M``, a projection of ``events`` that has the raw-measurement columns
-of the source system (decimal commas, ``<`` detection limits, unparseable text, NULL keys).  Every
-row of ``events`` is kept; ``%`` only varies the generated values.  The same SQL text builds ``M`` on
-both engines.
+It shares only fixed values with the Spark side: the rule list, the number pattern, the ``M``
+text, the check rules' display text and the binding parameters.  Column names and types match the
+Spark output (counts BIGINT, years INTEGER, rates and means DOUBLE, parsed values FLOAT).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
+from hydrix.bindings.inputs import K, M_COLUMNS, M_SQL, PAGE_SIZE, STATUS_OK, WINDOW
 from hydrix.functions.categories import DEFAULT_CATEGORY, DEFAULT_RULES
-from hydrix.functions.dates import iso_date_part, parse_date, year_of
-from hydrix.functions.measures import NUMERIC_TEXT, parse_measurement
+from hydrix.functions.measures import NUMERIC_TEXT
 from hydrix.operators import quality as Q
-from hydrix.operators.columns import (
-    count_parse_failures,
-    date_window,
-    parse_failures,
-    require_fields,
-    standardize_columns,
-)
-from hydrix.operators.dedup import dedup_keys, dedup_stats
-from hydrix.operators.metrics import (
-    conformity_by_group,
-    distinct_values,
-    nonconformity_by_group,
-    value_counts,
-    worst_k,
-    yearly_trend,
-)
-from hydrix.operators.profile import describe_numeric, null_profile, numeric_extremes
-from hydrix.plans.explore import raw_profile
-from hydrix.plans.gates import gold_gate, silver_checks, silver_gate, source_silver_checks
-from hydrix.plans.gold import (
-    GoldSpec,
-    build_gold,
-    category_is,
-    gold_aggregate,
-    split_gold,
-    status_is,
-)
-from hydrix.plans.silver import DEFAULT_RENAMES, SilverSpec, build_silver, clean
-from hydrix.session import scratch_path, stage
-from hydrix.sources.files import read_json, read_parquet, write_json, write_parquet, written_counts
-from hydrix.sources.paged import page_rows, page_stats, read_pages, write_pages
-from hydrix.sources.preview import preview_rows
-
-# --------------------------------------------------------------------------------------------
-# inputs
-
-M_SQL = """select case when event_id % 97 = 0 then null else 'P' || cast(user_id as string) end as code_prelevement,
- 'X' || cast(event_id % 9 as string) as code_parametre,
- case when event_id % 83 = 0 then null else
-  case event_id % 9 when 0 then 'Escherichia coli' when 1 then 'Nitrates (en NO3)' when 2 then 'Plomb' when 3 then 'pH'
-   when 4 then 'Tritium' when 5 then 'Chlore libre' when 6 then 'Glyphosate' when 7 then 'Entérocoques' else 'TEMPÉRATURE' end end as libelle_parametre,
- case when event_id % 89 = 0 then null else 'C' || cast(user_id % 40 as string) end as nom_commune,
- 'D' || cast(user_id % 10 as string) as nom_departement, cast(user_id % 10 as string) as code_departement,
- case when event_id % 101 = 0 then null else substr(cast(ts as string),1,10) || 'T' || substr(cast(ts as string),12,8) || 'Z' end as date_prelevement,
- case event_id % 5 when 0 then '<' || replace(cast(value as string),'.',',') when 1 then replace(cast(value as string),'.',',')
-  when 2 then ' ' || cast(value as string) when 3 then 'N.M.' else null end as resultat_alphanumerique,
- case when event_id % 5 < 3 then value end as resultat_numerique, 'mg/L' as libelle_unite,
- case when event_id % 2 = 0 then 'N' else 'O' end as code_type_parametre,
- case event_id % 3 when 0 then 'CONFORME' when 1 then 'NON CONFORME' else null end as conclusion_conformite_prelevement,
- event_id
-from {events}"""
-
-M_COLUMNS = (
-    "code_prelevement", "code_parametre", "libelle_parametre", "nom_commune", "nom_departement",
-    "code_departement", "date_prelevement", "resultat_alphanumerique", "resultat_numerique",
-    "libelle_unite", "code_type_parametre", "conclusion_conformite_prelevement", "event_id",
-)
-
-# Binding parameters.
-SILVER_SPEC = SilverSpec(tie_break=("event_id",))
-GOLD_SPEC = GoldSpec(trend_round=4)
-STATUS_OK = "CONFORME"
-WINDOW = ("2024-01-10", "2024-01-20")
-PAGE_SIZE = 1000
-K = 10
-
-
-# Declared schemas of the driver tables the bindings read (no schema-inference job).
-TABLE_SCHEMAS = {
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-              "o_orderdate timestamp_ntz, o_orderpriority string",
-}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; known tables are read with their declared schema (no footer-inference job)."""
-    reader = spark.read
-    if name in TABLE_SCHEMAS:
-        reader = reader.schema(TABLE_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def m_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(M_SQL, events=table(spark, sf_dir, "events"))
-
-
-def silver_m(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_silver(m_view(spark, sf_dir), SILVER_SPEC)
-
-
-def _orders(spark, sf_dir):
-    return table(spark, sf_dir, "orders")
-
-
-def _f_pred():
-    return F.col("o_orderstatus") == F.lit("F")
-
-
-# --------------------------------------------------------------------------------------------
-# Spark side
-
-
-def q_conformity_by_group(spark, sf_dir):
-    return conformity_by_group(_orders(spark, sf_dir), ["o_custkey"], _f_pred())
-
-
-def q_worst_k(spark, sf_dir):
-    return worst_k(q_conformity_by_group(spark, sf_dir), K, keys=["o_custkey"])
-
-
-def q_yearly_trend(spark, sf_dir):
-    return yearly_trend(
-        _orders(spark, sf_dir), year_of("o_orderdate").alias("annee"), ["o_orderpriority"], "o_totalprice",
-        round_digits=4,
-    )
-
-
-def q_nonconformity_by_group(spark, sf_dir):
-    return nonconformity_by_group(_orders(spark, sf_dir), ["o_orderpriority"], _f_pred())
-
-
-def q_value_counts(spark, sf_dir):
-    return value_counts(silver_m(spark, sf_dir), "categorie")
-
-
-def q_parse_measurement(spark, sf_dir):
-    m = m_view(spark, sf_dir)
-    return m.select("event_id", "resultat_alphanumerique",
-                    parse_measurement("resultat_alphanumerique").alias("resultat_valeur_float"))
-
-
-def q_parse_measurement_censored_null(spark, sf_dir):
-    m = m_view(spark, sf_dir)
-    return m.select("event_id", "resultat_alphanumerique",
-                    parse_measurement("resultat_alphanumerique", censored="null").alias("resultat_valeur_float"))
-
-
-def q_parse_failures(spark, sf_dir):
-    return count_parse_failures(clean(m_view(spark, sf_dir), SILVER_SPEC), "resultat_alphanumerique",
-                                "resultat_valeur_float")
-
-
-def q_categorize_keywords(spark, sf_dir):
-    return clean(m_view(spark, sf_dir), SILVER_SPEC).select("event_id", "parametre_nom", "categorie")
-
-
-def q_clean_dates(spark, sf_dir):
-    m = m_view(spark, sf_dir)
-    d = parse_date("date_prelevement")
-    return m.select("event_id", "date_prelevement", d.alias("date_prelevement_clean"), year_of(d).alias("annee"))
-
-
-def q_iso_date_part(spark, sf_dir):
-    return m_view(spark, sf_dir).select("event_id", iso_date_part("date_prelevement").alias("date_text"))
-
-
-def q_date_window(spark, sf_dir):
-    m = m_view(spark, sf_dir).withColumn("date_prelevement_clean", parse_date("date_prelevement"))
-    return date_window(m, "date_prelevement_clean", *WINDOW).select("event_id", "date_prelevement_clean")
-
-
-def q_standardize_columns(spark, sf_dir):
-    return standardize_columns(m_view(spark, sf_dir), DEFAULT_RENAMES)
-
-
-def q_require_fields(spark, sf_dir):
-    return require_fields(m_view(spark, sf_dir), ["code_prelevement", "libelle_parametre", "nom_commune"])
-
-
-def q_dedup_keys(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    return dedup_keys(ev, ["user_id", "event_type", "day"], ["event_id"])
-
-
-def q_dedup_stats(spark, sf_dir):
-    m = m_view(spark, sf_dir).withColumn("date_prelevement_clean", parse_date("date_prelevement"))
-    return dedup_stats(m, SILVER_SPEC.dedup_keys)
-
-
-def q_distinct_pairs(spark, sf_dir):
-    return distinct_values(clean(m_view(spark, sf_dir), SILVER_SPEC), ["parametre_nom", "categorie"])
-
-
-def q_numeric_extremes(spark, sf_dir):
-    return numeric_extremes(m_view(spark, sf_dir), "resultat_numerique", digits=6)
-
-
-def q_describe_numeric(spark, sf_dir):
-    return describe_numeric(m_view(spark, sf_dir), digits=6)
-
-
-def q_null_profile(spark, sf_dir):
-    return null_profile(m_view(spark, sf_dir))
-
-
-def q_paged_json_rows(spark, sf_dir):
-    m = m_view(spark, sf_dir)
-    path = write_pages(m, scratch_path(spark, "pages"), PAGE_SIZE, "event_id")
-    return page_rows(read_pages(spark, path, m.schema))
-
-
-def q_paged_json_stats(spark, sf_dir):
-    m = m_view(spark, sf_dir)
-    path = write_pages(m, scratch_path(spark, "pages"), PAGE_SIZE, "event_id")
-    return page_stats(read_pages(spark, path, m.schema))
-
-
-def q_paged_json_crawl_rows(spark, sf_dir):
-    """S1 with the paging rules.  The landing also holds a re-requested last page and a stray page
-    past the end (a copy of the first page under a later number); every M row comes out once."""
-    m = m_view(spark, sf_dir)
-    path = write_pages(m, scratch_path(spark, "pages-crawl"), PAGE_SIZE, "event_id", with_page=True)
-    pages = read_pages(spark, path, m.schema, with_page=True)
-    repeated_last = pages.filter(F.col("next").isNull())
-    stray = pages.filter(F.col("page") == 0).withColumn("page", F.lit(10**9).cast("long"))
-    return page_rows(pages.unionByName(repeated_last).unionByName(stray), page_col="page")
-
-
-def q_jsonl_roundtrip(spark, sf_dir):
-    m = m_view(spark, sf_dir)
-    return read_json(spark, write_json(m, scratch_path(spark, "jsonl")), m.schema)
-
-
-def q_jsonl_roundtrip_inferred(spark, sf_dir):
-    """S5 as the source uses it: no declared schema, Spark infers one (an extra pass over the files)."""
-    return read_json(spark, write_json(m_view(spark, sf_dir), scratch_path(spark, "jsonl-inferred")))
-
-
-def q_parquet_roundtrip(spark, sf_dir):
-    return read_parquet(spark, write_parquet(m_view(spark, sf_dir), scratch_path(spark, "parquet")))
-
-
-def q_silver_verify(spark, sf_dir):
-    path = write_parquet(silver_m(spark, sf_dir), scratch_path(spark, "silver"))
-    return written_counts(spark, path, "categorie")
-
-
-def q_preview_rows(spark, sf_dir):
-    return preview_rows(table(spark, sf_dir, "events"), K, order_by=["event_id"])
-
-
-def q_silver_layer(spark, sf_dir):
-    return silver_m(spark, sf_dir)
-
-
-def _gold(spark, sf_dir, predicate=None):
-    return build_gold(silver_m(spark, sf_dir), category_is() if predicate is None else predicate, GOLD_SPEC)
-
-
-def q_gold_conformity(spark, sf_dir):
-    return _gold(spark, sf_dir)["conformite_commune"]
-
-
-def q_gold_conformity_status(spark, sf_dir):
-    return _gold(spark, sf_dir, status_is(STATUS_OK))["conformite_commune"]
-
-
-def q_gold_trend(spark, sf_dir):
-    return _gold(spark, sf_dir)["evolution_temporelle"]
-
-
-def q_gold_worst_k(spark, sf_dir):
-    return _gold(spark, sf_dir)["top_10_pires_communes"]
-
-
-def q_gold_nonconformity(spark, sf_dir):
-    return _gold(spark, sf_dir)["non_conformites_parametre"]
-
-
-def q_check_not_null(spark, sf_dir):
-    return Q.check_not_null(m_view(spark, sf_dir), ["code_prelevement", "nom_commune", "libelle_parametre"], "raw")
-
-
-def q_check_between(spark, sf_dir):
-    # both range rules in one aggregate pass over silver
-    checks = [Q.between("annee", 2000, 2030), Q.between("resultat_valeur_float", 0, 100)]
-    return Q.run_checks(silver_m(spark, sf_dir), checks, "silver")
-
-
-def q_check_min(spark, sf_dir):
-    checks = [Q.greater_than("total_tests", 0), Q.at_least("nb_conformes", 1)]
-    return Q.run_checks(q_conformity_by_group(spark, sf_dir), checks, "conformity")
-
-
-def q_check_min_tolerance(spark, sf_dir):
-    checks = [Q.at_least_mostly("resultat_numerique", 0), Q.at_least_mostly("resultat_numerique", 10)]
-    return Q.run_checks(m_view(spark, sf_dir), checks, "raw")
-
-
-def q_check_suite(spark, sf_dir):
-    return silver_gate(silver_m(spark, sf_dir), source_silver_checks())
-
-
-def q_check_suite_summary(spark, sf_dir):
-    return Q.suite_summary(q_check_suite(spark, sf_dir))
-
-
-def _gold_staged(spark, sf_dir):
-    """Gold tables as the end-to-end run produces them: one grouping-sets aggregate over silver
-    (silver's only consumer, so it is computed once inside that job) written once, the tables split
-    from it, the gates reading the written aggregate."""
-    return split_gold(stage(gold_aggregate(silver_m(spark, sf_dir), category_is(), GOLD_SPEC), "gold-aggregate"), GOLD_SPEC)
-
-
-def q_check_aggregate_consistency(spark, sf_dir):
-    g = _gold_staged(spark, sf_dir)
-    return Q.aggregate_consistency(
-        g["conformite_commune"], g["top_10_pires_communes"], ["commune"], "conformite_commune", worst_max_rows=K
-    )
-
-
-def q_silver_gate(spark, sf_dir):
-    return silver_gate(silver_m(spark, sf_dir))
-
-
-def q_gold_gate(spark, sf_dir):
-    return gold_gate(_gold_staged(spark, sf_dir), GOLD_SPEC)
-
-
-def q_raw_profile(spark, sf_dir):
-    return raw_profile(m_view(spark, sf_dir))
-
-
-def _gold_one_pass(spark, sf_dir):
-    return split_gold(gold_aggregate(silver_m(spark, sf_dir), category_is(), GOLD_SPEC), GOLD_SPEC)
-
-
-def q_gold_onepass_conformity(spark, sf_dir):
-    return _gold_one_pass(spark, sf_dir)["conformite_commune"]
-
-
-def q_gold_onepass_trend(spark, sf_dir):
-    return _gold_one_pass(spark, sf_dir)["evolution_temporelle"]
-
-
-def q_gold_onepass_nonconformity(spark, sf_dir):
-    return _gold_one_pass(spark, sf_dir)["non_conformites_parametre"]
-
-
-def q_gold_onepass_worst_k(spark, sf_dir):
-    return _gold_one_pass(spark, sf_dir)["top_10_pires_communes"]
-
-
-def q_parse_failure_rows(spark, sf_dir):
-    typed = clean(m_view(spark, sf_dir), SILVER_SPEC)
-    return parse_failures(typed, "resultat_alphanumerique", "resultat_valeur_float").select(
-        "event_id", "resultat_alphanumerique")
-
-
-def q_out_of_range_rows(spark, sf_dir):
-    rows = Q.failing_rows(silver_m(spark, sf_dir), Q.between("resultat_valeur_float", 0, 100))
-    return rows.select("event_id", "resultat_valeur_float")
-
-
-def q_department_counts(spark, sf_dir):
-    return value_counts(m_view(spark, sf_dir), "nom_departement")
-
-
-def q_parameter_type_counts(spark, sf_dir):
-    return value_counts(m_view(spark, sf_dir), "code_type_parametre", sort=False)
-
-
-def q_status_counts(spark, sf_dir):
-    return value_counts(m_view(spark, sf_dir), "conclusion_conformite_prelevement", sort=False)
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
-}
+from hydrix.plans.gates import silver_checks, source_silver_checks
+from hydrix.plans.silver import DEFAULT_RENAMES
 
 
-# --------------------------------------------------------------------------------------------
-# DuckDB oracle (hand-written SQL; shares only the fixed rule list and number pattern)
 
 
 def _m() -> str:

@@ -79,7 +79,7 @@ def scale_conf(
 
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> dict[str, str | None]:
     """Set runtime SQL options (e.g. ``scale_conf(...)``) on a session; returns the previous values
-    so a caller can restore them."""
+    (None for options that were not set) for ``restore_conf``."""
     previous = {}
     for key, value in conf.items():
         previous[key] = spark.conf.get(key, None)
@@ -87,6 +87,15 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> dict[str, str | Non
     return previous
 
 
+def restore_conf(spark: SparkSession, previous: dict[str, str | None]) -> None:
+    """Undo ``apply_conf``: reset changed options and unset the ones that were not set before."""
+    for key, value in previous.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
 def local_session(
     cores: int | None = None,
     shuffle_partitions: int | None = None,
@@ -107,6 +116,10 @@ def local_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory or os.environ.get("HYDRIX_DRIVER_MEMORY", "8g"))
+        # the status store keeps finished executions with their plan text even with the UI off
+        .config("spark.sql.ui.retainedExecutions", "50")
+        .config("spark.ui.retainedJobs", "100")
+        .config("spark.ui.retainedStages", "100")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

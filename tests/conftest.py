@@ -21,6 +21,11 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "4g")
+        # a long-lived session: keep few finished executions (with their plan text) in the status store
+        .config("spark.sql.ui.retainedExecutions", "20")
+        .config("spark.ui.retainedJobs", "50")
+        .config("spark.ui.retainedStages", "50")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -12,7 +12,7 @@ def test_bench_prints_one_json_line():
     env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="2", BENCH_RUNS="1",
                BENCH_QUERIES="conformity_by_group,silver_layer,gold_gate,medallion_run")
     out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], capture_output=True, text=True,
-                         timeout=600, check=True, env=env).stdout.strip().splitlines()
+                         timeout=1800, check=True, env=env).stdout.strip().splitlines()
     assert len(out) == 1
     r = json.loads(out[0])
     assert r["unit"] == "sec" and r["sf"] == 0.001 and r["value"] > 0

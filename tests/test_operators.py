@@ -261,16 +261,20 @@ def test_check_subset_with_repeated_parent_keys(spark):
 
 
 def test_apply_conf_sets_and_returns_previous(spark):
-    from hydrix.session import apply_conf, scale_conf
+    from hydrix.session import apply_conf, restore_conf, scale_conf
 
     conf = scale_conf(10 * 10**12)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert spark.conf.get(initial, None) is None
     before = apply_conf(spark, conf)
     try:
         assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"]
         assert int(conf["spark.sql.shuffle.partitions"]) == 37253  # 10 TB / 256 MiB, rounded up
     finally:
-        apply_conf(spark, {k: v for k, v in before.items() if v is not None})
+        restore_conf(spark, before)
+    # every option is back, including those that were unset (left set, they would slow the session)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
+    assert spark.conf.get(initial, None) is None
 
 
 def test_row_count_and_select_numeric(spark):

@@ -26,7 +26,7 @@ def test_no_python_in_any_plan(spark, name):
 
 
 def test_dedup_limits_rows_before_the_shuffle(spark):
-    text = plan(B.q_silver_layer(spark, SF_SMALL), "simple")
+    text = plan(B.QUERIES["silver_layer"](spark, SF_SMALL), "simple")
     partial = text.index("WindowGroupLimit")  # printed top-down: final first
     assert "Partial" in text and "Final" in text
     lines = [ln for ln in text.splitlines() if "WindowGroupLimit" in ln or "Exchange hashpartitioning" in ln]
@@ -44,26 +44,26 @@ def test_required_fields_reach_the_scan(spark, tmp_path):
 
 
 def test_scans_read_only_needed_columns(spark):
-    text = plan(B.q_conformity_by_group(spark, SF_SMALL))
+    text = plan(B.QUERIES["conformity_by_group"](spark, SF_SMALL))
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string>" in text
-    text = plan(B.q_gold_trend(spark, SF_SMALL))
+    text = plan(B.QUERIES["gold_trend"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in text
 
 
 def test_aggregates_are_partial_then_final(spark):
-    text = plan(B.q_conformity_by_group(spark, SF_SMALL), "simple")
+    text = plan(B.QUERIES["conformity_by_group"](spark, SF_SMALL), "simple")
     assert text.count("HashAggregate") == 2 and "partial_count" in text
     assert "SortAggregate" not in text
 
 
 def test_worst_k_is_a_top_k_not_a_sort(spark):
-    text = plan(B.q_worst_k(spark, SF_SMALL), "simple")
+    text = plan(B.QUERIES["worst_k"](spark, SF_SMALL), "simple")
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
 def test_checks_are_one_aggregate_pass(spark):
-    text = plan(B.q_silver_gate(spark, SF_SMALL), "simple")
+    text = plan(B.QUERIES["silver_gate"](spark, SF_SMALL), "simple")
     # one global aggregate over silver: a single Exchange SinglePartition
     assert text.count("Exchange SinglePartition") == 1
-    text = plan(B.q_null_profile(spark, SF_SMALL), "simple")
+    text = plan(B.QUERIES["null_profile"](spark, SF_SMALL), "simple")
     assert text.count("Exchange SinglePartition") == 1 and text.count("FileScan parquet") == 1

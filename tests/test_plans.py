@@ -28,12 +28,16 @@ from hydrix.sources import write_json, write_pages
 
 @pytest.fixture(scope="module")
 def m(spark):
-    return B.m_view(spark, SF_SMALL).cache()
+    df = B.m_view(spark, SF_SMALL).cache()
+    yield df
+    df.unpersist()
 
 
 @pytest.fixture(scope="module")
 def silver(spark, m):
-    return build_silver(m, B.SILVER_SPEC).cache()
+    df = build_silver(m, B.SILVER_SPEC).cache()
+    yield df
+    df.unpersist()
 
 
 def test_fixture_counts(m, silver):

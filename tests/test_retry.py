@@ -14,7 +14,7 @@ from conftest import ROOT, SF_ORACLE
 def test_retried_tasks_give_the_same_tables():
     probe = os.path.join(ROOT, "tests", "probes", "retry_probe.py")
     out = subprocess.run(
-        [sys.executable, probe, ROOT, SF_ORACLE], capture_output=True, text=True, timeout=600, check=True
+        [sys.executable, probe, ROOT, SF_ORACLE], capture_output=True, text=True, timeout=1800, check=True
     ).stdout.strip().splitlines()[-1]
     r = json.loads(out)
     assert r["injected_failures"] >= 1

@@ -120,6 +120,7 @@ def test_json_malformed_lines_visible_or_fatal(spark):
     df = read_json(spark, d, ROW_SCHEMA, corrupt_column="_bad").cache()
     assert df.count() == 3 and df.filter("_bad IS NOT NULL").count() == 1
     assert df.filter("_bad IS NULL").count() == 2
+    df.unpersist()
     with pytest.raises(Exception):
         read_json(spark, d, ROW_SCHEMA, mode="FAILFAST").collect()
     assert read_json(spark, d, ROW_SCHEMA, mode="DROPMALFORMED").count() == 2
