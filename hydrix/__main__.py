@@ -77,11 +77,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"hydrix-{args.step}").getOrCreate()
 
     if args.step == "ingest":
-        from pyspark.sql.types import _parse_datatype_string
-
         from hydrix.streaming import ingest_pages
 
-        q = ingest_pages(spark, args.landing, args.bronze, _parse_datatype_string(args.schema), checkpoint=args.checkpoint)
+        row_schema = spark.createDataFrame([], args.schema).schema  # DDL -> StructType
+        q = ingest_pages(spark, args.landing, args.bronze, row_schema, checkpoint=args.checkpoint)
         q.awaitTermination()
         return 0
 
