@@ -89,10 +89,11 @@ def build_silver(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
     if order is None:
         order = orderable_columns(kept, exclude=spec.dedup_keys)
     survivors = dedup_keys(kept, spec.dedup_keys, order)
+    result_col = spec.renames.get(spec.result_col, spec.result_col)  # the result text may be renamed too
     out = survivors.withColumns(
         {
             spec.year_col: year_of(spec.clean_date_col),
-            spec.value_col: parse_measurement(spec.result_col, spec.censored),
+            spec.value_col: parse_measurement(result_col, spec.censored),
             spec.category_col: categorize(spec.parameter_col, spec.rules, spec.default_category),
         }
     )

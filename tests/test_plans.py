@@ -213,3 +213,13 @@ def test_read_bronze_pages_with_crawl_rules(spark, m):
     path = write_pages(m, f"{root}/bronze", 300, "event_id", with_page=True)
     bronze = read_bronze(spark, path, fmt="pages", row_schema=m.schema, page_col="page")
     assert bronze.count() == 1000
+
+
+def test_silver_with_renamed_result_column(spark, m):
+    from hydrix.plans.silver import DEFAULT_RENAMES
+
+    renames = dict(DEFAULT_RENAMES, resultat_alphanumerique="resultat_texte")
+    spec = SilverSpec(renames=renames, tie_break=("event_id",))
+    out = build_silver(m, spec)
+    assert "resultat_texte" in out.columns and "resultat_alphanumerique" not in out.columns
+    assert out.count() == 878 and out.filter("resultat_valeur_float IS NOT NULL").count() == 529
