@@ -81,9 +81,10 @@ def cleaning_report(
     """One row: raw rows, parse failures, rows with all required fields (one aggregate pass), and
     malformed input lines when ``corrupt_column`` is given."""
     typed = clean(raw, spec)
+    result_col = spec.renames.get(spec.result_col, spec.result_col)
     aggs = [
         F.count(F.lit(1)).alias("rows_raw"),
-        F.count_if(parse_failure(spec.result_col, spec.value_col)).alias("parse_failures"),
+        F.count_if(parse_failure(result_col, spec.value_col)).alias("parse_failures"),
         F.count_if(not_null_all(spec.required)).alias("rows_required"),
     ]
     if corrupt_column is not None and corrupt_column in raw.columns:

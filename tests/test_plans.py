@@ -223,3 +223,11 @@ def test_silver_with_renamed_result_column(spark, m):
     out = build_silver(m, spec)
     assert "resultat_texte" in out.columns and "resultat_alphanumerique" not in out.columns
     assert out.count() == 878 and out.filter("resultat_valeur_float IS NOT NULL").count() == 529
+
+
+def test_cleaning_report_with_renamed_result_column(m):
+    from hydrix.plans.silver import DEFAULT_RENAMES
+
+    spec = SilverSpec(renames=dict(DEFAULT_RENAMES, resultat_alphanumerique="resultat_texte"))
+    r = cleaning_report(m, spec).first()
+    assert (r.rows_raw, r.parse_failures, r.rows_required) == (1000, 200, 966)
