@@ -7,6 +7,8 @@ operators/   DataFrame -> DataFrame transforms (cleaning, dedup, metrics, profil
 sources/     readers and writers (JSON Lines, Parquet, paged envelopes, previews)
 plans/       compositions: silver, gold, quality gates, raw profile, end-to-end runs
 streaming/   incremental ingest of landed page files with Structured Streaming
+bindings/    the registered queries over the driver's test tables and their DuckDB oracle SQL
+session.py   shared scratch folder (spark.checkpoint.dir), staging, cluster sizing, local sessions
 
 Every operator is lazy: it returns a DataFrame (or Column) and leaves planning to Catalyst.
 No operator calls ``collect``/``toPandas`` or a Python UDF.
