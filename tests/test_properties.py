@@ -90,3 +90,32 @@ def test_null_profile_matches_brute_force(spark, rows):
         # Spark's round(): HALF_UP on the double's shortest decimal form
         exp = float(Decimal(repr(z * 100.0 / n)).quantize(Decimal("0.01"), ROUND_HALF_UP)) if n else None
         assert got[c][1] == exp
+
+
+# keyword fragments (some cut, some upper-cased) mixed with noise, to hit and miss the rules
+_FRAGMENTS = ["coli", "Nitrate", "PLOMB", "fer", "ph", "Tritium", "dose", "bactérie", "magnésium", "température",
+              "conductivit", "radi", "spore", "é", "E", " ", "x", "o", "-", "(", "3"]
+
+
+def _family(text):
+    from hydrix.functions.categories import DEFAULT_CATEGORY, DEFAULT_RULES
+
+    if text is None:
+        return DEFAULT_CATEGORY
+    low = text.lower()
+    for label, keywords in DEFAULT_RULES:
+        if any(k in low for k in keywords):
+            return label
+    return DEFAULT_CATEGORY
+
+
+@settings(**SETTINGS)
+@given(texts=st.lists(st.one_of(st.none(), st.lists(st.sampled_from(_FRAGMENTS), max_size=5).map("".join)),
+                      min_size=1, max_size=30))
+def test_categorize_matches_first_rule_model(spark, texts):
+    from hydrix.functions import categorize
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, p string")
+    rows = df.select("i", categorize("p").alias("by_name"), categorize(F.col("p")).alias("by_column")).collect()
+    for r in rows:
+        assert r.by_name == r.by_column == _family(texts[r.i]), texts[r.i]
