@@ -14,7 +14,6 @@ sys.path.insert(0, sys.argv[1])
 
 from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 from hydrix import bindings as B  # noqa: E402
 from hydrix.plans.gold import category_is, gold_aggregate  # noqa: E402
