@@ -1,8 +1,9 @@
 """Session and shared-scratch helpers.
 
 Scratch output (round trips, intermediate tables that cut lineage) goes under the shared folder the
-cluster names in ``spark.checkpoint.dir`` -- never a machine-local temp dir on a cluster.  Only when
-that setting is absent (tests, a laptop) do we create one of our own.
+cluster names in ``spark.checkpoint.dir`` -- never a machine-local temp dir on a cluster.  Only a
+local-mode session without that setting (tests, a laptop) gets a folder of our own; on any other
+master the missing setting is an error.
 """
 
 from __future__ import annotations
@@ -16,11 +17,17 @@ from pyspark.sql import SparkSession
 _OWN_SCRATCH: dict[int, str] = {}
 
 
+def is_local_master(master: str) -> bool:
+    """Whether driver and executors are one JVM (``local``, ``local[8]``; not ``local-cluster[...]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Shared scratch root: the session's checkpoint dir, or (if unset) a fresh local one.
+    """Shared scratch root: the session's checkpoint dir, or (if unset, local mode) a fresh local one.
 
     Works for classic sessions (``SparkContext.getCheckpointDir``) and Spark Connect sessions
-    (the ``spark.checkpoint.dir`` setting only).
+    (the ``spark.checkpoint.dir`` setting only).  Raises ``RuntimeError`` when the master is not
+    local and no folder is named: executors could not see a folder that the driver made.
     """
     root = None
     try:
@@ -35,12 +42,13 @@ def scratch_root(spark: SparkSession) -> str:
         except Exception:
             root = None
     if not root:
-        key = id(sc) if sc is not None else id(spark)
+        if sc is None or not is_local_master(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        key = id(sc)
         if key not in _OWN_SCRATCH:
             _OWN_SCRATCH[key] = tempfile.mkdtemp(prefix="hydrix-ckpt-")
-            if sc is not None:
-                sc.setCheckpointDir(_OWN_SCRATCH[key])
-        root = (sc.getCheckpointDir() if sc is not None else None) or _OWN_SCRATCH[key]
+            sc.setCheckpointDir(_OWN_SCRATCH[key])
+        root = sc.getCheckpointDir() or _OWN_SCRATCH[key]
     return root.rstrip("/")
 
 
@@ -141,3 +149,47 @@ def stage(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table folder on whatever file system it is in."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(jvm_path, True)
+
+
+class Scratch:
+    """Owner of a job's staged tables: ``with Scratch(spark) as s: t = s.stage(df)``.
+
+    On leaving the block the staged tables are deleted, except those marked with ``keep=True``:
+    such a table backs the DataFrame that the job returns, and stays until the cluster's retention
+    rules expire ``<spark.checkpoint.dir>/hydrix``.
+    """
+
+    def __init__(self, spark: SparkSession, name: str = "scratch"):
+        self.spark, self.name, self._owned = spark, name, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stage(self, df, name: str = "t", keep: bool = False):
+        """Write ``df`` as Parquet, cut its lineage, return the re-read table."""
+        path = scratch_path(self.spark, f"{self.name}-{name}")
+        if not keep:
+            self._owned.append(path)
+        df.write.mode("overwrite").parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        table._scratch_path = path
+        return table
+
+    def drop(self, *tables) -> None:
+        """Delete staged tables early, once nothing reads them any more."""
+        for table in tables:
+            path = table._scratch_path
+            if path in self._owned:
+                self._owned.remove(path)
+                delete_path(self.spark, path)
+
+    def __exit__(self, *exc) -> None:
+        for path in self._owned:
+            delete_path(self.spark, path)
+        self._owned = []

@@ -22,7 +22,7 @@ from hydrix.plans import (
     status_is,
 )
 from hydrix.plans.silver import SilverSpec
-from hydrix.session import scratch_path
+from hydrix.session import Scratch, scratch_path, scratch_root
 from hydrix.sources import write_json, write_pages
 
 
@@ -231,3 +231,30 @@ def test_cleaning_report_with_renamed_result_column(m):
     spec = SilverSpec(renames=dict(DEFAULT_RENAMES, resultat_alphanumerique="resultat_texte"))
     r = cleaning_report(m, spec).first()
     assert (r.rows_raw, r.parse_failures, r.rows_required) == (1000, 200, 966)
+
+
+class _Master:
+    """Just what scratch_root asks of a session."""
+
+    def __init__(self, master):
+        self.master, self.sparkContext, self.conf = master, self, {}
+
+    def getCheckpointDir(self):
+        return None
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://h"])
+def test_no_machine_local_scratch_on_a_cluster(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(_Master(master))
+
+
+def test_scratch_tables_are_removed_by_their_owner(spark):
+    import os
+
+    with Scratch(spark, "owner") as s:
+        gone, kept = s.stage(spark.range(3), "a"), s.stage(spark.range(4), "b", keep=True)
+        assert gone.count() == 3
+    assert kept.count() == 4
+    path = gone._scratch_path.removeprefix("file:")
+    assert not os.path.exists(path) and os.path.exists(os.path.dirname(path))
