@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrix.llm import byte_cnn, fm_decontam, mixing, secrets, sharding, url_graph
+from hydrix.llm import byte_cnn, fm_decontam, minhash_join, mixing, secrets, sharding, url_graph
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op6_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), "language.score")
 
 
+def op7_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
 def op8_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = fm_decontam.find_contamination(docs, _table(spark, sf_dir, "benchmark")).select("doc_id", "contamination.*")
@@ -70,7 +74,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_graph, op2_secret_linking, op3_sharding, op6_byte_cnn, op8_fm_decontam, op10_source_mix)
+    for f in (op1_url_graph, op2_secret_linking, op3_sharding, op6_byte_cnn, op7_minhash_join, op8_fm_decontam, op10_source_mix)
 }
 
 
