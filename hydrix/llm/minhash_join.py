@@ -9,9 +9,9 @@
    (prefix); only those are joined, and the frequent lists at the end are skipped: the matches of a
    joined pair are counted from the two signatures.  At the least similarity, 0.75, fewer than MATCHES
    of COORDINATES agree with a chance of about 3e-6.
-3. Pairs are formed without listing a group's pairs: each class is tried with the leader that it shares
-   most lists with, then component with component, and at the end every posted pair that lies in
-   different components.  Pairs inside one component cannot change the result.
+3. Pairs are formed without listing a group's pairs: each class is tried with two leaders of its lists,
+   then component with component, and at the end every posted pair that still lies in different
+   components.  Pairs inside one component cannot change the result.
 4. A pair is a link only if the full shingle sets confirm it.
 
 The sets of classes that share a posting are recomputed from the texts and shuffled once; texts that
@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ SHINGLE = 5
 PERCENT = 75
 COORDINATES, MATCHES = 64, 32
 PREFIX = COORDINATES - MATCHES + 1
+#: Pairs of a list that go one by one; members of a block of a longer list, and shingles counted at once.
+SHORT_LIST, BLOCK, COLUMNS = 64, 256, 8192
 
 _U = np.uint64
 _FLIP, _TURN = seeds(COORDINATES, 11), seeds(COORDINATES, 12) | _U(1)
@@ -141,7 +144,11 @@ def common_size(left: Column, right: Column) -> Column:
 
 
 def postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(key, cls)``: the prefix postings of every class that can have a partner."""
+    """``(key, cls, rank)``: the prefix postings of every class that can have a partner.
+
+    ``rank`` orders classes by how many postings they share in all: the original of a group of edited
+    copies has the values that most of the group kept, so it ranks first in the lists of the group.
+    """
     posted = classes.select("cls", F.explode("keys").alias("key"))
     shared = scratch.stage(
         posted.groupBy("key").agg(F.count(F.lit(1)).alias("freq")).where("freq > 1"), "shared"
@@ -150,8 +157,9 @@ def postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
     counted = near.join(shared, "key").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("freq", "key"))).alias("v"))
     # values that no other class has come first in the order: they use up the prefix but post nothing
     room = F.lit(PREFIX) - (F.lit(COORDINATES) - F.size("v"))
-    kept = counted.where(room > 0).select("cls", F.explode(F.slice("v", 1, room)).alias("p"))
-    return scratch.stage(kept.select(F.col("p.key").alias("key"), "cls"), "postings")
+    rank = F.struct(F.aggregate("v", F.lit(0).cast("long"), lambda acc, x: acc + x["freq"]).alias("shared"), "cls")
+    kept = counted.where(room > 0).select(rank.alias("rank"), F.explode(F.slice("v", 1, room)).alias("p"))
+    return scratch.stage(kept.select(F.col("p.key").alias("key"), "rank.cls", "rank"), "postings")
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
@@ -169,46 +177,106 @@ def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scra
     return scratch.stage(common.where(100 * F.col("i") >= PERCENT * (F.col("s") - F.col("i"))).select("a", "b"), "links")
 
 
-def _labelled(posted: DataFrame, links: DataFrame | None, scratch: Scratch) -> DataFrame:
+def _labelled(posted: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """Postings with each class's component so far."""
     found = scratch.stage(connected_components(links, scratch), "components")
     return scratch.stage(
-        posted.join(found, posted.cls == found.node, "left").select("key", "cls", F.coalesce("component", "cls").alias("comp")),
+        posted.join(found, posted.cls == found.node, "left").select("key", "cls", "rank", F.coalesce("component", "cls").alias("comp")),
         "labelled",
     )
 
 
+def _met(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """One pair for every component that meets the component of a list's leader: ``(a, b)``."""
+    members = rows.groupBy("key", "comp").agg(F.max("rank").alias("rank"))
+    first = members.groupBy("key").agg(F.max(F.struct("rank", "comp")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = scratch.stage(first.where("n > 1").select("key", "first"), "first")
+    met = members.join(first, "key").where(F.col("comp") != F.col("first.comp"))
+    best = met.groupBy("comp").agg(F.max(F.struct("first.rank", F.col("rank").alias("own"))).alias("p"))
+    return best.select(F.col("p.rank.cls").alias("a"), F.col("p.own.cls").alias("b"))
+
+
 def link_components(posted: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """``(node, component)`` over classes, from prefix postings and confirmed links."""
-    # each class with the leader (smallest class of a list) that it shares most lists with
-    leader = scratch.stage(posted.groupBy("key").agg(F.min("cls").alias("leader")), "leaders")
-    tried = posted.join(leader, "key").where("cls <> leader").groupBy("cls", "leader").agg(F.count(F.lit(1)).alias("n"))
-    best = tried.groupBy("cls").agg(F.max(F.struct("n", -F.col("leader"), F.col("leader"))).alias("m"))
-    links = confirm(best.select(F.col("cls").alias("b"), F.col("m.leader").alias("a")), classes, sets, scratch)
-    # one pair for every two components that meet in a list
+    # each class with two leaders of its lists: the first in rank, and the one it shares most lists with
+    leader = scratch.stage(posted.groupBy("key").agg(F.max("rank").alias("leader")), "leaders")
+    tried = posted.join(leader, "key").where(F.col("cls") != F.col("leader.cls")).groupBy("cls", "leader").agg(F.count(F.lit(1)).alias("n"))
+    best = tried.groupBy("cls").agg(F.max("leader").alias("x"), F.max(F.struct("n", "leader")).alias("y"))
+    best = best.select("cls", F.explode(F.array_distinct(F.array("x.cls", "y.leader.cls"))).alias("a"))
+    links = confirm(best.select("a", F.col("cls").alias("b")), classes, sets, scratch)
+    # component with component, through the lists that they share
     rows = _labelled(posted, links, scratch)
-    members = rows.groupBy("key", "comp").agg(F.min("cls").alias("cls"))
-    first = scratch.stage(members.groupBy("key").agg(F.min(F.struct("comp", "cls")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "first")
-    met = members.join(first, "key").where(F.col("comp") != F.col("first.comp"))
-    met = met.groupBy("comp", "first.comp").agg(F.min(F.struct(F.col("first.cls").alias("a"), F.col("cls").alias("b"))).alias("p"))
-    more = confirm(met.select("p.a", "p.b"), classes, sets, scratch)
-    links = links.unionByName(more)
-    # every posted pair that is still in different components: a list's members outside its largest
-    # component, each with all members of other components
+    links = links.unionByName(confirm(_met(rows, scratch), classes, sets, scratch))
     rows = _labelled(posted, links, scratch)
-    sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    mixed = scratch.stage(
-        sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
-        .select("key", F.col("m.comp").alias("largest")), "mixed",
-    )
-    left = scratch.stage(rows.join(mixed, "key"), "open")
-    x = left.where("comp <> largest").select("key", F.col("cls").alias("x"), F.col("comp").alias("cx"))
-    y = left.select("key", F.col("cls").alias("y"), F.col("comp").alias("cy"))
-    rest = x.join(y, "key").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    links = links.unionByName(confirm(rest, classes, sets, scratch))
+    links = links.unionByName(_open_links(rows, classes, sets, scratch))
     return connected_components(links, scratch)
 
 
+def _open_links(rows: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links among all posted pairs that are still in different components.
+
+    Lists with the same leader are taken together.  Members outside such a list's largest component
+    meet all members of other components: pair by pair in a short list, and in blocks of ``BLOCK`` by
+    ``BLOCK`` sets in a long one, where a task counts the common shingles of whole blocks and returns
+    at most one link for two components.
+    """
+    mixed = rows.groupBy("key").agg(F.max("rank").alias("top"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    mixed = scratch.stage(mixed.where("c0 <> c1").select("key", F.col("top.cls").alias("leader")), "mixed")
+    members = scratch.stage(rows.join(mixed, "key").select("leader", "cls", "comp").distinct(), "members")
+    sizes = members.groupBy("leader", "comp").agg(F.count(F.lit(1)).alias("n"))
+    plan = sizes.groupBy("leader").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("n_all"))
+    plan = plan.select("leader", F.col("m.comp").alias("largest"), (F.col("n_all") - F.col("m.n")).alias("n_open"), "n_all")
+    plan = scratch.stage(plan.withColumn("short", F.col("n_open") * F.col("n_all") <= SHORT_LIST), "plan")
+    open_ = scratch.stage(members.join(plan, "leader"), "open")
+    x = open_.where("short and comp <> largest").select("leader", F.col("cls").alias("x"), F.col("comp").alias("cx"))
+    y = open_.where("short").select("leader", F.col("cls").alias("y"), F.col("comp").alias("cy"))
+    pairs = x.join(y, "leader").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    found = confirm(pairs, classes, sets, scratch)
+    long_ = open_.where("not short").join(sets, "cls")
+    chunks = {side: F.ceil(F.col(n) / BLOCK).cast("long") for side, n in (("x", "n_open"), ("y", "n_all"))}
+    own = {side: F.pmod(F.xxhash64("cls"), n) for side, n in chunks.items()}
+    xs = long_.where("comp <> largest").select(
+        "leader", own["x"].alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), chunks["y"] - 1)).alias("j"),
+        F.lit(True).alias("open"), "cls", "comp", "grams",
+    )
+    ys = long_.select(
+        "leader", F.explode(F.sequence(F.lit(0).cast("long"), chunks["x"] - 1)).alias("i"), own["y"].alias("j"),
+        F.lit(False).alias("open"), "cls", "comp", "grams",
+    )
+    blocks = xs.unionByName(ys).groupBy("leader", "i", "j").applyInPandas(_block_links, "a bigint, b bigint")
+    return scratch.stage(found.unionByName(blocks), "open-links")
+
+
+def _block_links(block: pd.DataFrame) -> pd.DataFrame:
+    """Links between a block's open members and its other members, one for every two components."""
+    sides = []
+    for mask in (block["open"].to_numpy(), ~block["open"].to_numpy()):
+        part = block[mask]
+        grams = [np.frombuffer(g, _U) for g in part["grams"]]
+        row = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        flat = np.concatenate([*grams, np.zeros(0, _U)])
+        sides.append((part["cls"].to_numpy(), part["comp"].to_numpy(), flat, row, np.bincount(row, minlength=len(grams))))
+    (xc, xk, xg, xr, xn), (yc, yk, yg, yr, yn) = sides
+    shared = np.intersect1d(xg, yg)
+    common = np.zeros((len(xc), len(yc)), np.float32)  # counts below 2^24 are exact
+    for lo in range(0, len(shared), COLUMNS):
+        part = shared[lo : lo + COLUMNS]
+        common += _incidence(xg, xr, len(xc), part) @ _incidence(yg, yr, len(yc), part).T
+    link = 100 * common >= PERCENT * (xn[:, None] + yn[None, :] - common)
+    i, j = np.nonzero(link & (xk[:, None] != yk[None, :]))
+    _, first = np.unique(np.stack([xk[i], yk[j]]), axis=1, return_index=True)
+    return pd.DataFrame({"a": xc[i[first]], "b": yc[j[first]]})
+
+
+def _incidence(grams: np.ndarray, rows: np.ndarray, n: int, columns: np.ndarray) -> np.ndarray:
+    """Dense 0/1 matrix: which row's set holds which of the given (sorted) shingles."""
+    at = np.minimum(np.searchsorted(columns, grams), len(columns) - 1)
+    held = columns[at] == grams
+    out = np.zeros((n, len(columns)), np.float32)
+    out[rows[held], at[held]] = 1
+    return out
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """``(rows, classes)``, both kept: one row per document (doc_id, n, cls, thash), and for every class
     (cls, comp, component_id, rows): the smallest doc_id of its component."""
