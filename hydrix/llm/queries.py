@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrix.llm import byte_cnn, fm_decontam, minhash_join, mixing, secrets, sharding, url_graph
+from hydrix.llm import (
+    bucket_pointer,
+    byte_cnn,
+    embed_dedup,
+    fm_decontam,
+    interpolation_lm,
+    minhash_join,
+    mixing,
+    secrets,
+    sharding,
+    url_graph,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +57,14 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs).select("doc_id", "slot", "shard")
 
 
+def op4_projection_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.linked_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation_lm.score_texts(_table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
+
+
 def op6_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 5) == 0
@@ -67,6 +86,11 @@ def op8_fm_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bucket_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bucket_pointer.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -74,7 +98,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_graph, op2_secret_linking, op3_sharding, op6_byte_cnn, op7_minhash_join, op8_fm_decontam, op10_source_mix)
+    for f in (
+        op1_url_graph, op2_secret_linking, op3_sharding, op4_projection_collisions, op5_deleted_interpolation,
+        op6_byte_cnn, op7_minhash_join, op8_fm_decontam, op9_bucket_pointer, op10_source_mix,
+    )
 }
 
 
