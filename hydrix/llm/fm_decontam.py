@@ -345,18 +345,23 @@ def find_contamination(
     rows = docs.withColumns(dict(zip(names, scans)))
     items = F.array_sort(F.array_distinct(F.flatten(F.array(*(F.col(f"{n}.items") for n in names)))))
 
-    def merged(start: str, end: str) -> Column:  # spans of several passes, merged in order of their starts
-        spans = F.array_sort(F.flatten(F.array(*(F.arrays_zip(F.col(f"{n}.{start}").alias("s"), F.col(f"{n}.{end}").alias("e")) for n in names))))
-        empty = F.array().cast("array<struct<s:bigint,e:bigint>>")
-        return F.aggregate(spans, empty, lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["e"] >= x["s"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e")))),
-        ).otherwise(F.concat(acc, F.array(x))))
-
-    words, chars = merged("word_starts", "word_ends"), merged("starts", "ends")
-    hit = F.aggregate(words, F.lit(0).cast("long"), lambda acc, x: acc + x["e"] - x["s"])
+    # spans of all passes in order of their first word; those that touch or overlap become one
+    parts = ("word_starts", "word_ends", "starts", "ends")
+    zipped = (F.arrays_zip(*(F.col(f"{n}.{p}").alias(p) for p in parts)) for n in names)
+    spans = F.array_sort(F.flatten(F.array(*zipped)))
+    empty = F.array().cast("array<struct<word_starts:bigint,word_ends:bigint,starts:bigint,ends:bigint>>")
+
+    def extend(last: Column, x: Column) -> Column:
+        return F.struct(
+            last["word_starts"].alias("word_starts"), F.greatest(last["word_ends"], x["word_ends"]).alias("word_ends"),
+            last["starts"].alias("starts"), F.greatest(last["ends"], x["ends"]).alias("ends"),
+        )
+
+    spans = F.aggregate(spans, empty, lambda acc, x: F.when(
+        (F.size(acc) > 0) & (F.element_at(acc, -1)["word_ends"] >= x["word_starts"]),
+        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(extend(F.element_at(acc, -1), x))),
+    ).otherwise(F.concat(acc, F.array(x))))
+    hit = F.aggregate(spans, F.lit(0).cast("long"), lambda acc, x: acc + x["word_ends"] - x["word_starts"])
     return rows.withColumn(out, F.struct(
-        F.col(f"{names[0]}.n_words").alias("n_words"), hit.alias("n_hit"), items.alias("items"),
-        words["s"].alias("word_starts"), words["e"].alias("word_ends"), chars["s"].alias("starts"), chars["e"].alias("ends"),
+        F.col(f"{names[0]}.n_words").alias("n_words"), hit.alias("n_hit"), items.alias("items"), *(spans[p].alias(p) for p in parts),
     )).drop(*names)
