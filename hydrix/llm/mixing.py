@@ -92,7 +92,8 @@ def shard_quotas(targets: DataFrame, block: int = BLOCK, shards: int = SHARDS) -
     )
     name = F.col("source").cast("binary").asc_nulls_last()
     high = F.row_number().over(Window.partitionBy("shard").orderBy(F.col("quotient").desc(), name, "step"))
-    low = F.row_number().over(Window.partitionBy("shard").orderBy(F.col("quotient").asc(), name, "step"))
+    last = F.col("source").cast("binary").desc_nulls_first()  # ties go back in the reverse order
+    low = F.row_number().over(Window.partitionBy("shard").orderBy(F.col("quotient").asc(), last, "step"))
     moves = moves.withColumn("high", high).withColumn("low", low)
     moved = moves.where(
         F.when(F.col("missing") > 0, F.col("high") <= F.col("missing")).otherwise(F.col("low") <= -F.col("missing"))
