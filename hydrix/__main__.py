@@ -21,14 +21,22 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from hydrix.operators.quality import assert_checks, render_report
+from hydrix.operators.quality import CheckFailed, assert_checks, render_report
 from hydrix.plans.explore import raw_profile
 from hydrix.plans.gates import gold_gate, silver_gate
 from hydrix.plans.gold import GOLD_TABLES, GoldSpec, category_is, status_is
-from hydrix.plans.medallion import cleaning_report, read_bronze, run_medallion, write_gold
-from hydrix.plans.silver import build_silver
-from hydrix.sources.files import read_parquet, write_parquet
+from hydrix.plans.medallion import (
+    SILVER_TABLE,
+    cleaning_report,
+    read_bronze,
+    run_medallion,
+    silver_path_of,
+    write_gold,
+)
+from hydrix.plans.silver import SilverSpec, build_silver
+from hydrix.sources.files import read_parquet, reads_json, write_parquet
 
 
 def _predicate(args):
@@ -50,11 +58,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             sp.add_argument("--bronze", required=True)
             sp.add_argument("--format", default="jsonl", choices=["jsonl", "pages", "parquet"])
             sp.add_argument("--partitions", type=int, default=None)
+            sp.add_argument("--schema", default=None, help="DDL of one raw row; without it JSON is inferred")
+            sp.add_argument("--corrupt-column", default=None, help="keep malformed JSON lines in this column and count them")
+            sp.add_argument("--page-col", default=None, help="page number column of landed pages")
+            sp.add_argument("--on-malformed", default="raise", choices=["raise", "skip"])
+            sp.add_argument("--start", default=None, help="first day of the sample dates to keep")
+            sp.add_argument("--end", default=None, help="last day of the sample dates to keep")
+            sp.add_argument("--tie-break", default=None, help="comma list: which row of a duplicate key stays")
+            sp.add_argument("--partition-by", default=None, help="comma list: partition columns of the silver table")
         sp.add_argument("--out", required=True, help="root folder of the silver/gold/quality outputs")
         sp.add_argument("--status", default=None, help="value of the status column that means conforming")
         sp.add_argument("--status-column", default="conclusion_conformite_prelevement")
         sp.add_argument("--on-failure", default="report", choices=["report", "raise"])
         sp.add_argument("--k", type=int, default=10)
+        sp.add_argument("--silver-table", default=SILVER_TABLE, help="folder of the silver table under OUT/silver")
         sp.add_argument("--input-bytes", type=int, default=None,
                         help="size of the input; sets shuffle width, AQE and scan split size for it")
 
@@ -62,7 +79,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ing.add_argument("--landing", required=True)
     ing.add_argument("--bronze", required=True)
     ing.add_argument("--schema", required=True, help="DDL of one raw row, e.g. 'code_prelevement string, ...'")
-    ing.add_argument("--checkpoint", default=None)
+    ing.add_argument("--checkpoint", default=None, help="default: _checkpoint in the bronze folder")
+    ing.add_argument("--on-malformed", default="raise", choices=["raise", "skip"])
     common(sub.add_parser("silver"), bronze=True)
     common(sub.add_parser("gold"))
     sq = sub.add_parser("silver-quality")
@@ -80,7 +98,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from hydrix.streaming import ingest_pages
 
         row_schema = spark.createDataFrame([], args.schema).schema  # DDL -> StructType
-        q = ingest_pages(spark, args.landing, args.bronze, row_schema, checkpoint=args.checkpoint)
+        q = ingest_pages(spark, args.landing, args.bronze, row_schema, checkpoint=args.checkpoint,
+                         on_malformed=args.on_malformed)
         q.awaitTermination()
         return 0
 
@@ -90,15 +109,28 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         apply_conf(spark, scale_conf(args.input_bytes))
 
     out = args.out.rstrip("/")
-    silver_path = f"{out}/silver/water_quality_clean"
+    silver_path = silver_path_of(out, args.silver_table)
     gold_paths = {t: f"{out}/gold/{t}" for t in GOLD_TABLES}
     spec = GoldSpec(k=args.k)
 
     if args.step in ("silver", "profile", "run"):
-        bronze = read_bronze(spark, args.bronze, fmt=args.format, partitions=args.partitions)
+        if (args.start is None) != (args.end is None):
+            p.error("--start and --end go together")
+        bronze = read_bronze(
+            spark, args.bronze, fmt=args.format, partitions=args.partitions, corrupt_column=args.corrupt_column,
+            row_schema=spark.createDataFrame([], args.schema).schema if args.schema else None,
+            page_col=args.page_col, on_malformed=args.on_malformed,
+            window=(args.start, args.end) if args.start else None,
+        )
+        silver_spec = SilverSpec(tie_break=tuple(args.tie_break.split(",")) if args.tie_break else None)
+        partition_by = tuple(args.partition_by.split(",")) if args.partition_by else None
     if args.step == "silver":
-        write_parquet(build_silver(bronze), silver_path)
-        report = cleaning_report(bronze).first().asDict()
+        if reads_json(bronze):  # parse once; silver and the report then read Parquet
+            bronze = read_parquet(spark, write_parquet(bronze, f"{out}/bronze_landed"))
+        corrupt = args.corrupt_column if args.corrupt_column in bronze.columns else None
+        rows = bronze.filter(F.col(corrupt).isNull()).drop(corrupt) if corrupt else bronze
+        write_parquet(build_silver(rows, silver_spec), silver_path, partition_by=partition_by)
+        report = cleaning_report(bronze, silver_spec, corrupt).first().asDict()
         report["rows_silver"] = read_parquet(spark, silver_path).count()
         print(json.dumps(report))
         return 0
@@ -118,7 +150,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         write_parquet(raw_profile(bronze), f"{out}/profile")
         return 0
     if args.step == "run":
-        res = run_medallion(spark, bronze, out, predicate=_predicate(args), gold_spec=spec)
+        try:
+            res = run_medallion(
+                spark, bronze, out, predicate=_predicate(args), gold_spec=spec, silver_spec=silver_spec,
+                silver_partition_by=partition_by, silver_table=args.silver_table, corrupt_column=args.corrupt_column,
+                on_failure=args.on_failure,
+            )
+        except CheckFailed as err:
+            print(err)
+            return 1
         print(json.dumps(res.report))
         return _report(res.checks, args.on_failure)
     return 2

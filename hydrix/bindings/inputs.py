@@ -21,7 +21,7 @@ M_SQL = """select case when event_id % 97 = 0 then null else 'P' || cast(user_id
    when 4 then 'Tritium' when 5 then 'Chlore libre' when 6 then 'Glyphosate' when 7 then 'Entérocoques' else 'TEMPÉRATURE' end end as libelle_parametre,
  case when event_id % 89 = 0 then null else 'C' || cast(user_id % 40 as string) end as nom_commune,
  'D' || cast(user_id % 10 as string) as nom_departement, cast(user_id % 10 as string) as code_departement,
- case when event_id % 101 = 0 then null else substr(cast(ts as string),1,10) || 'T' || substr(cast(ts as string),12,8) || 'Z' end as date_prelevement,
+ case when event_id % 101 = 0 then null when event_id % 103 = 0 then 'le ' || substr(cast(ts as string),1,10) else substr(cast(ts as string),1,10) || 'T' || substr(cast(ts as string),12,8) || 'Z' end as date_prelevement,
  case event_id % 5 when 0 then '<' || replace(cast(value as string),'.',',') when 1 then replace(cast(value as string),'.',',')
   when 2 then ' ' || cast(value as string) when 3 then 'N.M.' else null end as resultat_alphanumerique,
  case when event_id % 5 < 3 then value end as resultat_numerique, 'mg/L' as libelle_unite,

@@ -11,7 +11,6 @@ from hydrix.bindings.inputs import K, M_COLUMNS, M_SQL, PAGE_SIZE, STATUS_OK, WI
 from hydrix.functions.categories import DEFAULT_CATEGORY, DEFAULT_RULES
 from hydrix.functions.measures import NUMERIC_TEXT
 from hydrix.operators import quality as Q
-from hydrix.plans.gates import silver_checks, source_silver_checks
 from hydrix.plans.silver import DEFAULT_RENAMES
 
 
@@ -55,7 +54,8 @@ _SILVER_CTE = f"""m AS ({_m()}),
 c AS ({_CLEAN_SELECT}),
 silver AS (
   SELECT * FROM c WHERE code_prelevement IS NOT NULL AND parametre_nom IS NOT NULL AND commune IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY code_prelevement, code_parametre, date_prelevement_clean ORDER BY event_id) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY code_prelevement, code_parametre, date_prelevement_clean,
+    CASE WHEN date_prelevement_clean IS NULL THEN date_prelevement END ORDER BY event_id) = 1)"""
 
 
 def _sql_conformity(src: str, group: str, pred: str) -> str:
@@ -103,14 +103,34 @@ _SILVER_COLUMNS = {
 } | {"date_prelevement_clean", "annee", "resultat_valeur_float", "categorie"}
 
 
-def _gold_cte() -> str:
+def _gold_cte(pred: str = "categorie = 'Conforme'") -> str:
     return f"""{_SILVER_CTE},
-conf AS ({_sql_conformity('silver', 'commune', "categorie = 'Conforme'")}),
+conf AS ({_sql_conformity('silver', 'commune', pred)}),
 worst AS (SELECT * FROM conf ORDER BY taux_conformite ASC NULLS FIRST, commune ASC NULLS FIRST LIMIT {K}),
 trend AS (SELECT annee, parametre_nom, round(avg(resultat_valeur_float), 4) AS moyenne_resultat,
                  count(*) AS nb_mesures FROM silver GROUP BY annee, parametre_nom),
 nonconf AS (SELECT parametre_nom, count(*) AS nb_non_conformes FROM silver
-            WHERE NOT (categorie = 'Conforme') GROUP BY parametre_nom)"""
+            WHERE NOT ({pred}) GROUP BY parametre_nom)"""
+
+
+def _violated_cte() -> str:
+    """The gold tables with the violations that the Spark side seeds."""
+    return f"""{_gold_cte().replace(chr(10) + 'conf AS (', chr(10) + 'conf0 AS (').replace('FROM conf ORDER', 'FROM conf0 ORDER').replace('worst AS (', 'worst0 AS (')},
+worst AS (SELECT * FROM conf0 WHERE commune IN ('C7', 'C8')),
+conf AS (SELECT commune, total_tests, CASE WHEN commune = 'C3' THEN total_tests + 1 ELSE nb_conformes END AS nb_conformes,
+  nb_non_conformes, CASE WHEN commune = 'C5' THEN 1.5 ELSE taux_conformite END AS taux_conformite
+  FROM conf0 WHERE commune IS NULL OR commune <> 'C7')"""
+
+
+_DATE_RULE = Q.Check(Q.RULE, "date_prelevement", rule_text="parses as a date")
+_SILVER_GATE = (
+    _sql_checks("silver", "silver", [
+        Q.not_null("code_prelevement"), Q.not_null("commune"), Q.not_null("parametre_nom"), Q.between("annee", 2000, 2030),
+        Q.at_least_mostly("resultat_valeur_float", 0, 5.0),
+    ], _SILVER_COLUMNS)
+    + "\nUNION ALL\n"
+    + _sql_check("silver", "silver", _DATE_RULE, violation="date_prelevement IS NOT NULL AND date_prelevement_clean IS NULL")
+)
 
 
 def _sql_consistency() -> str:
@@ -162,7 +182,12 @@ def _oracle() -> dict[str, str]:
     parsed = f"{m} SELECT event_id, resultat_alphanumerique, {{v}} AS resultat_valeur_float FROM m"
     silver_src = f"WITH {_SILVER_CTE}"
     gold_src = f"WITH {_gold_cte()}"
-    check_suite = _sql_checks("silver", "silver", source_silver_checks(), _SILVER_COLUMNS)
+    gold_status = f"WITH {_gold_cte(f'conclusion_conformite_prelevement = {chr(39)}{STATUS_OK}{chr(39)}')}"
+    violated = f"WITH {_violated_cte()}"
+    # the source's rules, written out: two of its columns were renamed before and one never existed
+    suite = [Q.not_null("code_prelevement"), Q.not_null("nom_commune"), Q.not_null("libelle_parametre"),
+             Q.between("annee", 2000, 2030), Q.at_least_mostly("resultat", 0, 5.0)]
+    check_suite = _sql_checks("silver", "silver", suite, _SILVER_COLUMNS)
     sql = {
         "conformity_by_group": conf_orders,
         "worst_k": f"SELECT * FROM ({conf_orders}) ORDER BY taux_conformite ASC NULLS FIRST, o_custkey ASC NULLS FIRST LIMIT {K}",
@@ -187,7 +212,8 @@ WHERE {_sql_date('date_prelevement')} BETWEEN DATE '{WINDOW[0]}' AND DATE '{WIND
         "dedup_keys": """SELECT *, CAST(ts AS DATE) AS day FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id) = 1""",
         "dedup_stats": f"""{m}, g AS (SELECT count(*) AS n FROM m
-  GROUP BY code_prelevement, code_parametre, {_sql_date('date_prelevement')})
+  GROUP BY code_prelevement, code_parametre, {_sql_date('date_prelevement')},
+    CASE WHEN {_sql_date('date_prelevement')} IS NULL THEN date_prelevement END)
 SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after, CAST(sum(n) - count(*) AS BIGINT) AS rows_removed FROM g""",
         "distinct_pairs": f"WITH m AS ({_m()}), c AS ({_CLEAN_SELECT}) SELECT DISTINCT parametre_nom, categorie FROM c",
         "numeric_extremes": f"""{m} SELECT round(CAST(min(resultat_numerique) AS DOUBLE), 6) AS min,
@@ -203,7 +229,18 @@ SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after, CAST(sum(n
         "paged_json_rows": f"{m} SELECT * FROM m",
         "paged_json_crawl_rows": f"{m} SELECT * FROM m",
         "paged_json_stats": f"""SELECT count(DISTINCT event_id // {PAGE_SIZE}) AS n_pages, count(*) AS n_rows,
-  CAST(0 AS BIGINT) AS n_empty_pages, count(*) > 0 AS has_last_page FROM events""",
+  CAST(0 AS BIGINT) AS n_empty_pages, count(*) > 0 AS has_last_page, CAST(0 AS BIGINT) AS n_malformed FROM events""",
+        "paged_json_stats_numbered": f"""WITH p AS (SELECT event_id // {PAGE_SIZE} AS page, count(*) AS n FROM events GROUP BY 1),
+t AS (SELECT max(page) AS last, count(*) FILTER (WHERE page <> 2) AS landed, count(*) FILTER (WHERE page = 1) AS ones,
+  sum(n) FILTER (WHERE page <> 2) AS n, max(CASE WHEN page = 0 THEN n END) AS n0 FROM p)
+SELECT CAST(landed + (last <> 2)::INT + ones + 1 AS BIGINT) AS n_pages,
+  CAST(n + n0 + coalesce((SELECT n FROM p WHERE page = last AND page <> 2), 0) AS BIGINT) AS n_rows,
+  CAST(ones AS BIGINT) AS n_empty_pages, TRUE AS has_last_page, CAST(1 AS BIGINT) AS n_malformed, CAST(last AS BIGINT) AS end_page,
+  CAST((last <> 2)::INT + ones AS BIGINT) AS n_repeated_pages, CAST(1 AS BIGINT) AS n_pages_after_end,
+  CAST((last > 2)::INT AS BIGINT) AS n_missing_pages FROM t""",
+        "silver_window": f"""WITH m0 AS ({_m()}), m AS (SELECT * FROM m0
+  WHERE {_sql_date('date_prelevement')} BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'),
+{_SILVER_CTE[_SILVER_CTE.index("c AS ("):]} SELECT * FROM silver""",
         "jsonl_roundtrip": f"{m} SELECT * FROM m",
         "parquet_roundtrip": f"{m} SELECT * FROM m",
         "jsonl_roundtrip_inferred": f"{m} SELECT * FROM m",
@@ -227,9 +264,9 @@ SELECT count(*) AS n_rules, count(*) FILTER (WHERE success IS NOT NULL) AS n_che
   coalesce(string_agg(CASE WHEN NOT success THEN concat_ws(':', table_name, check_name, column_name) END, ','
            ORDER BY CASE WHEN NOT success THEN concat_ws(':', table_name, check_name, column_name) END), '') AS failed
 FROM r""",
-        "check_aggregate_consistency": f"{gold_src} {_sql_consistency()}",
-        "silver_gate": f"{silver_src} " + _sql_checks("silver", "silver", silver_checks(), _SILVER_COLUMNS),
-        "gold_gate": f"""{gold_src}
+        "check_aggregate_consistency": f"{violated} {_sql_consistency()}",
+        "silver_gate": f"{silver_src} " + _SILVER_GATE,
+        "gold_gate": f"""{violated}
 {_sql_checks('conf', 'conformite_commune', [Q.between('taux_conformite', 0, 1), Q.greater_than('total_tests', 0), Q.not_null('commune')], {'taux_conformite', 'total_tests', 'commune'})}
 UNION ALL
 {_sql_checks('trend', 'evolution_temporelle', [Q.between('annee', 2000, 2030), Q.greater_than('nb_mesures', 0)], {'annee', 'nb_mesures'})}
@@ -238,10 +275,13 @@ UNION ALL
 UNION ALL
 {_sql_consistency()}""",
         "raw_profile": _sql_raw_profile(),
-        "gold_onepass_conformity": f"{gold_src} SELECT * FROM conf",
-        "gold_onepass_trend": f"{gold_src} SELECT * FROM trend",
-        "gold_onepass_nonconformity": f"{gold_src} SELECT * FROM nonconf",
-        "gold_onepass_worst_k": f"{gold_src} SELECT * FROM worst",
+        "gold_onepass_conformity": f"{gold_status} SELECT * FROM conf",
+        "gold_onepass_trend": f"{gold_status} SELECT * FROM trend",
+        "gold_onepass_nonconformity": f"{gold_status} SELECT * FROM nonconf",
+        "gold_onepass_worst_k": f"{gold_status} SELECT * FROM worst",
+        "below_minimum_rows": f"""{silver_src} SELECT event_id, resultat_valeur_float FROM silver
+WHERE resultat_valeur_float < 10""",
+        "null_rows": f"{m} SELECT event_id, nom_departement FROM m WHERE nom_commune IS NULL",
         "parse_failure_rows": f"""{m} SELECT event_id, resultat_alphanumerique FROM m
 WHERE resultat_alphanumerique IS NOT NULL AND ({_sql_parse('resultat_alphanumerique')}) IS NULL""",
         "out_of_range_rows": f"""{silver_src} SELECT event_id, resultat_valeur_float FROM silver

@@ -43,7 +43,8 @@ from hydrix.operators.profile import describe_numeric, null_profile, numeric_ext
 from hydrix.plans.explore import raw_profile
 from hydrix.plans.gates import gold_gate, silver_gate, source_silver_checks
 from hydrix.plans.gold import build_gold, category_is, gold_aggregate, split_gold, status_is
-from hydrix.plans.silver import DEFAULT_RENAMES, clean
+from hydrix.plans.medallion import read_bronze
+from hydrix.plans.silver import BAD_DATE, DEFAULT_RENAMES, bad_date, build_silver, clean
 from hydrix.session import scratch_path, stage
 from hydrix.sources.files import read_json, read_parquet, write_json, write_parquet, written_counts
 from hydrix.sources.paged import page_rows, page_stats, read_pages, write_pages
@@ -126,7 +127,7 @@ def q_dedup_keys(spark, sf_dir):
 
 def q_dedup_stats(spark, sf_dir):
     m = m_view(spark, sf_dir).withColumn("date_prelevement_clean", parse_date("date_prelevement"))
-    return dedup_stats(m, SILVER_SPEC.dedup_keys)
+    return dedup_stats(m.withColumn(BAD_DATE, bad_date(SILVER_SPEC)), [*SILVER_SPEC.dedup_keys, BAD_DATE])
 
 
 def q_distinct_pairs(spark, sf_dir):
@@ -158,14 +159,37 @@ def q_paged_json_stats(spark, sf_dir):
 
 
 def q_paged_json_crawl_rows(spark, sf_dir):
-    """S1 with the paging rules.  The landing also holds a re-requested last page and a stray page
-    past the end (a copy of the first page under a later number); every M row comes out once."""
+    """S1 with the paging rules.  The landing also holds a re-requested last page, an empty copy of page
+    1 and a stray page past the end (a copy of the first page under a later number); every M row comes
+    out once."""
+    return page_rows(_crawl_landing(spark, sf_dir), page_col="page")
+
+
+def _crawl_landing(spark, sf_dir, extra=()):
     m = m_view(spark, sf_dir)
     path = write_pages(m, scratch_path(spark, "pages-crawl"), PAGE_SIZE, "event_id", with_page=True)
     pages = read_pages(spark, path, m.schema, with_page=True)
     repeated_last = pages.filter(F.col("next").isNull())
+    empty_copy = pages.filter(F.col("page") == 1).withColumns({"data": F.slice("data", 1, 0), "next": F.lit(None).cast("string")})
     stray = pages.filter(F.col("page") == 0).withColumn("page", F.lit(10**9).cast("long"))
-    return page_rows(pages.unionByName(repeated_last).unionByName(stray), page_col="page")
+    return pages.unionByName(repeated_last).unionByName(empty_copy).unionByName(stray)
+
+
+def q_paged_json_stats_numbered(spark, sf_dir):
+    """S2 on a landing with a repeated last page, an empty copy beside a full one, a gap (page 2), a
+    page past the end and a malformed envelope (the first page's text cut short)."""
+    pages = _crawl_landing(spark, sf_dir).filter("page is null or page <> 2")
+    broken = pages.filter("page = 0").limit(1).withColumns({
+        "page": F.lit(None).cast("long"), "data": F.slice("data", 1, 0), "next": F.lit(None).cast("string"),
+        "_corrupt_page": F.substring(F.to_json("data"), 1, 40),
+    })
+    return page_stats(pages.unionByName(broken), page_col="page")
+
+
+def q_silver_window(spark, sf_dir):
+    """S3 in the pipeline: silver over the rows of a period, as read from bronze Parquet."""
+    path = write_parquet(m_view(spark, sf_dir), scratch_path(spark, "bronze-window"))
+    return build_silver(read_bronze(spark, path, fmt="parquet", window=WINDOW), SILVER_SPEC)
 
 
 def q_jsonl_roundtrip(spark, sf_dir):
@@ -255,10 +279,8 @@ def _gold_staged(spark, sf_dir):
 
 
 def q_check_aggregate_consistency(spark, sf_dir):
-    g = _gold_staged(spark, sf_dir)
-    return Q.aggregate_consistency(
-        g["conformite_commune"], g["top_10_pires_communes"], ["commune"], "conformite_commune", worst_max_rows=K
-    )
+    g = _gold_violated(spark, sf_dir)
+    return Q.aggregate_consistency(g["conformite_commune"], g["top_10_pires_communes"], ["commune"], "conformite_commune")
 
 
 def q_silver_gate(spark, sf_dir):
@@ -266,7 +288,20 @@ def q_silver_gate(spark, sf_dir):
 
 
 def q_gold_gate(spark, sf_dir):
-    return gold_gate(_gold_staged(spark, sf_dir), GOLD_SPEC)
+    return gold_gate(_gold_violated(spark, sf_dir), GOLD_SPEC)
+
+
+def _gold_violated(spark, sf_dir):
+    """The gold tables as a faulty job might leave them: the conformity table lost place C7, counts
+    place C3's conforming rows double and one too many, and gives C5 a rate above 1."""
+    g = dict(_gold_staged(spark, sf_dir))
+    conf = g["conformite_commune"].filter("commune is null or commune <> 'C7'")
+    g["top_10_pires_communes"] = g["conformite_commune"].filter("commune in ('C7', 'C8')")
+    g["conformite_commune"] = conf.withColumns({
+        "nb_conformes": F.when(F.col("commune") == "C3", F.col("total_tests") + 1).otherwise(F.col("nb_conformes")),
+        "taux_conformite": F.when(F.col("commune") == "C5", F.lit(1.5)).otherwise(F.col("taux_conformite")),
+    })
+    return g
 
 
 def q_raw_profile(spark, sf_dir):
@@ -274,7 +309,7 @@ def q_raw_profile(spark, sf_dir):
 
 
 def _gold_one_pass(spark, sf_dir):
-    return split_gold(gold_aggregate(silver_m(spark, sf_dir), category_is(), GOLD_SPEC), GOLD_SPEC)
+    return split_gold(gold_aggregate(silver_m(spark, sf_dir), status_is(STATUS_OK), GOLD_SPEC), GOLD_SPEC)
 
 
 def q_gold_onepass_conformity(spark, sf_dir):
@@ -304,6 +339,17 @@ def q_out_of_range_rows(spark, sf_dir):
     return rows.select("event_id", "resultat_valeur_float")
 
 
+def q_below_minimum_rows(spark, sf_dir):
+    """The rows below a lower bound."""
+    rows = Q.failing_rows(silver_m(spark, sf_dir), Q.at_least("resultat_valeur_float", 10))
+    return rows.select("event_id", "resultat_valeur_float")
+
+
+def q_null_rows(spark, sf_dir):
+    """The rows with a NULL in a field that must not be."""
+    return Q.failing_rows(m_view(spark, sf_dir), Q.not_null("nom_commune")).select("event_id", "nom_departement")
+
+
 def q_department_counts(spark, sf_dir):
     return value_counts(m_view(spark, sf_dir), "nom_departement")
 

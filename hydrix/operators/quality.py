@@ -184,20 +184,15 @@ def check_min_tolerance(df: DataFrame, col: str, bound: float, table_name: str,
     return run_checks(df, [at_least_mostly(col, bound, max_pct)], table_name)
 
 
-def check_subset(
-    sub: DataFrame, sup: DataFrame, keys: Sequence[str], table_name: str, *, sub_max_rows: int | None = None
-) -> DataFrame:
+def check_subset(sub: DataFrame, sup: DataFrame, keys: Sequence[str], table_name: str) -> DataFrame:
     """Distinct ``keys`` combinations of ``sub`` that are absent from ``sup`` (NULL matches NULL).
 
-    ``sup`` LEFT SEMI JOIN ``sub``: the (small) ``sub`` side is the build side.  It is broadcast
-    only when the caller proves its size with ``sub_max_rows`` (e.g. a top-k table); otherwise the
-    join strategy is left to Spark / AQE's runtime statistics.  The matched keys are made distinct
+    ``sup`` LEFT SEMI JOIN ``sub``; the join strategy is left to Spark's and AQE's statistics, which
+    broadcast ``sub`` where it is small.  The matched keys are made distinct
     (they are bounded by ``sub``), so repeated keys in ``sup`` are not counted twice.
     """
     keys = as_list(keys)
     sub_keys = sub.select(*keys).distinct()
-    if sub_max_rows is not None and sub_max_rows <= 1_000_000:
-        sub_keys = F.broadcast(sub_keys)
     cond = [sup[k].eqNullSafe(sub_keys[k]) for k in keys]
     found = sup.join(sub_keys, on=cond, how="left_semi").select(*keys).distinct()
     marked = sub_keys.select(F.lit(1).alias("_in_sub"), F.lit(0).alias("_found")).unionByName(
@@ -223,12 +218,11 @@ def aggregate_consistency(
     total: str = "total_tests",
     ok: str = "nb_conformes",
     ko: str = "nb_non_conformes",
-    worst_max_rows: int | None = None,
 ) -> DataFrame:
     """Q10: ``ok + ko <= total`` on every group, and every worst-k row is a group of the table."""
     out = run_checks(conformity, [counts_within_total(total, ok, ko)], table_name)
     if worst is not None:
-        out = out.unionByName(check_subset(worst, conformity, keys, table_name, sub_max_rows=worst_max_rows))
+        out = out.unionByName(check_subset(worst, conformity, keys, table_name))
     return out
 
 

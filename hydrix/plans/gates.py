@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hydrix.operators.quality import (
     Check,
@@ -18,6 +19,7 @@ from hydrix.operators.quality import (
     between,
     check_subset,
     counts_within_total,
+    expect,
     greater_than,
     not_null,
     run_checks,
@@ -36,12 +38,16 @@ def silver_checks(
     required: Sequence[str] = ("code_prelevement", "commune", "parametre_nom"),
     year_col: str = "annee",
     value_col: str = "resultat_valeur_float",
+    date_col: str = "date_prelevement",
+    clean_date_col: str = "date_prelevement_clean",
 ) -> list[Check]:
-    """Silver rules on the silver column names: required fields, plausible years, mostly >= 0 results."""
+    """Silver rules on the silver column names: required fields, plausible years, mostly >= 0 results,
+    no date text that does not parse."""
     return [
         *[not_null(c) for c in required],
         between(year_col, YEAR_MIN, YEAR_MAX),
         at_least_mostly(value_col, 0, NEGATIVE_MAX_PCT),
+        expect(date_col, F.col(date_col).isNotNull() & F.col(clean_date_col).isNull(), "parses as a date"),
     ]
 
 
@@ -73,8 +79,8 @@ def gold_gate(tables: Mapping[str, DataFrame], spec: GoldSpec = GoldSpec()) -> D
     """Seven column rules over three gold tables plus the conformity/worst-k consistency checks.
 
     One aggregate pass per table: the consistency rule ``ok + ko <= total`` is evaluated in the same
-    pass as the conformity table's column rules; the worst-k subset check is a broadcast semi-join
-    whose build side is bounded by ``k``.
+    pass as the conformity table's column rules; the worst-k subset check is a semi-join whose
+    strategy is left to Spark's statistics.
     """
     conf, trend, nonconf = tables[CONFORMITY], tables[TREND], tables[NONCONFORMITY]
     group = list(spec.group)
@@ -96,5 +102,5 @@ def gold_gate(tables: Mapping[str, DataFrame], spec: GoldSpec = GoldSpec()) -> D
     )
     worst = tables.get(WORST)
     if worst is not None:
-        out = out.unionByName(check_subset(worst, conf, group, CONFORMITY, sub_max_rows=spec.k))
+        out = out.unionByName(check_subset(worst, conf, group, CONFORMITY))
     return out

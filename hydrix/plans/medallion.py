@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hydrix.functions.dates import in_window, parse_date
 from hydrix.operators.columns import not_null_all, parse_failure
 from hydrix.operators.quality import assert_checks
 from hydrix.plans.gates import gold_gate, silver_gate
@@ -30,11 +31,19 @@ from hydrix.plans.gold import (
     gold_worst,
     split_gold,
 )
-from hydrix.plans.silver import SilverSpec, build_silver, clean
-from hydrix.sources.files import read_json, read_parquet, write_parquet
+from hydrix.plans.silver import SilverSpec, bad_date, build_silver, clean
+from hydrix.sources.files import read_json, read_parquet, reads_json, write_parquet
 from hydrix.sources.paged import page_rows, read_pages
 
 
+#: Folder of the silver table under the output root.
+SILVER_TABLE = "measurements"
+
+
+def silver_path_of(out_root: str, table: str = SILVER_TABLE) -> str:
+    return f"{out_root.rstrip('/')}/silver/{table}"
+
+
 @dataclass
 class RunResult:
     silver_path: str
@@ -53,12 +62,19 @@ def read_bronze(
     partitions: int | None = None,
     corrupt_column: str | None = None,
     page_col: str | None = None,
+    on_malformed: str = "raise",
+    window: tuple[str, str] | None = None,
+    date_col: str = SilverSpec.date_col,
 ) -> DataFrame:
     """``jsonl`` (one row per line), ``pages`` (one envelope per line) or ``parquet``.
 
     ``corrupt_column`` (JSON Lines) keeps malformed lines as rows with the raw text in that column
     instead of all-NULL rows; ``cleaning_report`` then counts them.  ``page_col`` (pages landed
-    with their page number) applies the paging rules: one copy per page, nothing after the end page.
+    with their page number) applies the paging rules: one copy per page, nothing after the end page;
+    ``on_malformed`` says whether a page that does not parse stops the job or is skipped.
+
+    ``window`` (first and last day, inclusive) keeps rows whose ``date_col`` parses to a day inside it,
+    as a fetch for that period would; rows without a readable date are outside every window.
 
     ``partitions`` spreads the rows over that many tasks with one round-robin shuffle.  Use it only
     for landing files that cannot be split (e.g. large gzip JSON, one task per file); splittable
@@ -67,24 +83,27 @@ def read_bronze(
     if fmt == "jsonl":
         df = read_json(spark, path, row_schema, corrupt_column=corrupt_column)
     elif fmt == "pages":
-        df = page_rows(read_pages(spark, path, row_schema, with_page=page_col is not None), page_col=page_col)
+        df = page_rows(read_pages(spark, path, row_schema, with_page=page_col is not None), page_col, on_malformed=on_malformed)
     elif fmt == "parquet":
         df = read_parquet(spark, path)
     else:
         raise ValueError(f"unknown bronze format {fmt!r}")
+    if window is not None:
+        df = df.filter(in_window(parse_date(date_col), *window))
     return df.repartition(int(partitions)) if partitions else df
 
 
 def cleaning_report(
     raw: DataFrame, spec: SilverSpec = SilverSpec(), corrupt_column: str | None = None
 ) -> DataFrame:
-    """One row: raw rows, parse failures, rows with all required fields (one aggregate pass), and
-    malformed input lines when ``corrupt_column`` is given."""
+    """One row: raw rows, parse failures, dates that do not parse, rows with all required fields (one
+    aggregate pass), and malformed input lines when ``corrupt_column`` is given."""
     typed = clean(raw, spec)
     result_col = spec.renames.get(spec.result_col, spec.result_col)
     aggs = [
         F.count(F.lit(1)).alias("rows_raw"),
         F.count_if(parse_failure(result_col, spec.value_col)).alias("parse_failures"),
+        F.count_if(bad_date(spec).isNotNull()).alias("bad_dates"),
         F.count_if(not_null_all(spec.required)).alias("rows_required"),
     ]
     if corrupt_column is not None and corrupt_column in raw.columns:
@@ -120,23 +139,34 @@ def run_medallion(
     gold_spec: GoldSpec = GoldSpec(),
     on_failure: str = "report",
     silver_partition_by: tuple[str, ...] | None = None,
+    silver_table: str = SILVER_TABLE,
+    corrupt_column: str | None = None,
 ) -> RunResult:
-    """Build and write every layer under ``out_root``; gate them; return paths, report and checks."""
+    """Build, gate and write every layer under ``out_root``; return paths, report and checks.
+
+    Order: silver, its checks, gold, its checks.  With ``on_failure="raise"`` a failed silver check
+    stops the run before any gold table is touched.  JSON input is first landed as Parquet under
+    ``out_root``, so it is parsed once; silver and the cleaning report then read only their columns.
+    """
     out_root = out_root.rstrip("/")
     predicate = category_is() if predicate is None else predicate
-    silver_path = f"{out_root}/silver/water_quality_clean"
-    write_parquet(build_silver(bronze, silver_spec), silver_path, partition_by=silver_partition_by)
+    if reads_json(bronze):
+        bronze = read_parquet(spark, write_parquet(bronze, f"{out_root}/bronze_landed"))
+    malformed = corrupt_column if corrupt_column in bronze.columns else None
+    rows = bronze.filter(F.col(malformed).isNull()).drop(malformed) if malformed else bronze
+    silver_path = silver_path_of(out_root, silver_table)
+    write_parquet(build_silver(rows, silver_spec), silver_path, partition_by=silver_partition_by)
     silver = read_parquet(spark, silver_path)
-
-    gold_paths = write_gold(spark, silver, predicate, f"{out_root}/gold", gold_spec)
-    gold = {t: read_parquet(spark, p) for t, p in gold_paths.items()}
-
     quality_path = f"{out_root}/quality/checks"
-    results = silver_gate(silver).unionByName(gold_gate(gold, gold_spec))
-    write_parquet(results, quality_path)
+    checks = write_parquet(silver_gate(silver), f"{quality_path}/layer=silver")
+    checks = assert_checks(read_parquet(spark, checks), on_failure)
 
-    report = cleaning_report(bronze, silver_spec).first().asDict()
+    report = cleaning_report(bronze, silver_spec, malformed).first().asDict()
     report["rows_silver"] = silver.count()
     report["duplicates_removed"] = report["rows_required"] - report["rows_silver"]
-    checks = assert_checks(read_parquet(spark, quality_path), on_failure)
+
+    gold_paths = write_gold(spark, silver, predicate, f"{out_root}/gold", gold_spec)
+    gold = {t: read_parquet(spark, p) for t, p in gold_paths.items()}
+    gold_checks = write_parquet(gold_gate(gold, gold_spec), f"{quality_path}/layer=gold")
+    checks += assert_checks(read_parquet(spark, gold_checks), on_failure)
     return RunResult(silver_path, gold_paths, quality_path, report, checks)

@@ -7,7 +7,8 @@ Steps (one projection, one filter, one keyed dedup -- a single shuffle):
 3. four renames (place / parameter / department names);
 4. ``categorie`` = keyword family of the parameter name;
 5. rows without sample code, parameter name or place are dropped;
-6. one row per (sample, parameter, date), the first in ``tie_break`` order.
+6. one row per (sample, parameter, date), the first in ``tie_break`` order.  A date text that does not
+   parse stands for itself in the key, so only equal texts merge; the silver gate counts such rows.
 
 All column names are parameters (``SilverSpec``); the defaults are the source system's names.
 """
@@ -18,6 +19,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from hydrix._util import require_columns
 from hydrix.functions.categories import DEFAULT_CATEGORY, DEFAULT_RULES, Rule, categorize
@@ -71,6 +73,15 @@ def clean(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
     )
 
 
+BAD_DATE = "__hydrix_bad_date"
+
+
+def bad_date(spec: SilverSpec = SilverSpec()) -> Column:
+    """The raw date text where it does not parse (needs the clean date column), else NULL."""
+    raw = spec.renames.get(spec.date_col, spec.date_col)
+    return F.when(F.col(spec.clean_date_col).isNull(), F.col(raw))
+
+
 def build_silver(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
     """Steps 1-6.  The only shuffle is the keyed dedup (hash exchange on ``spec.dedup_keys``).
 
@@ -88,7 +99,8 @@ def build_silver(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
     order = spec.tie_break
     if order is None:
         order = orderable_columns(kept, exclude=spec.dedup_keys)
-    survivors = dedup_keys(kept, spec.dedup_keys, order)
+    kept = kept.withColumn(BAD_DATE, bad_date(spec))
+    survivors = dedup_keys(kept, [*spec.dedup_keys, BAD_DATE], order).drop(BAD_DATE)
     result_col = spec.renames.get(spec.result_col, spec.result_col)  # the result text may be renamed too
     out = survivors.withColumns(
         {

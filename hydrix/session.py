@@ -8,6 +8,7 @@ master the missing setting is an error.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -60,19 +61,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def scale_conf(
     input_bytes: int,
     *,
+    shuffle_bytes: int | None = None,
     target_partition_bytes: int = 256 << 20,
     min_partitions: int = 200,
-    max_partitions: int = 200_000,
+    max_blocks: int = 10**10,
 ) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of input.
 
-    The initial shuffle width gives every reducer about ``target_partition_bytes`` of input (the
-    aggregates here shrink data, so this is an upper bound on shuffle bytes); AQE then coalesces
-    small partitions and splits skewed join partitions at run time.  Scan splits use the same
-    target so that a task's working set stays well inside executor memory.
+    Reducers get about ``target_partition_bytes`` of the expected shuffle (``shuffle_bytes``; the whole
+    input by default, an upper bound, as every shuffle here follows a map-side reduction) and scan
+    splits half of that.  Map tasks times reducers is the number of shuffle blocks that the driver
+    tracks: beyond ``max_blocks`` splits and reducers both grow by the same factor, so neither number
+    has a fixed cap.  AQE coalesces small partitions and splits skewed join partitions at run time.
     """
-    n = -(-int(input_bytes) // int(target_partition_bytes))
-    n = max(min_partitions, min(max_partitions, n))
+    shuffled = int(input_bytes if shuffle_bytes is None else shuffle_bytes)
+    split = target_partition_bytes // 2
+    blocks = (int(input_bytes) / split) * (shuffled / target_partition_bytes)
+    if blocks > max_blocks:
+        grow = math.sqrt(blocks / max_blocks)
+        split, target_partition_bytes = math.ceil(split * grow), math.ceil(target_partition_bytes * grow)
+    n = max(min_partitions, -(-shuffled // int(target_partition_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -80,7 +88,7 @@ def scale_conf(
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(n),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.parquet.filterPushdown": "true",
     }
 
@@ -151,10 +159,26 @@ def stage(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path with scheme and absolute folder, decoded, as its file system names it."""
+    jvm_path, fs = _hadoop_path(spark, path)
+    return fs.makeQualified(jvm_path).toString().rstrip("/")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path, fs = _hadoop_path(spark, path)
+    return fs.exists(jvm_path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a table folder on whatever file system it is in."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(jvm_path, True)
+    jvm_path, fs = _hadoop_path(spark, path)
+    fs.delete(jvm_path, True)
 
 
 class Scratch:

@@ -4,8 +4,9 @@
 * ``read_parquet`` / ``read_json`` take a missing-input policy: ``raise`` (default) or ``skip``
   (returns ``None``); it works on any Hadoop file system because it relies on Spark's own
   ``PATH_NOT_FOUND`` error rather than a local ``os.path`` test.
-* ``write_parquet`` / ``write_json`` overwrite whole directories and refuse to overwrite a path
-  the DataFrame itself reads from (Spark would delete the input before reading it).
+* ``write_parquet`` / ``write_json`` overwrite whole directories and refuse to overwrite a path that
+  the DataFrame itself reads from (Spark would delete the input before reading it); paths are compared
+  as their file system qualifies them, by the plan's root paths.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from hydrix._util import as_list
+from hydrix.session import qualified_path
 
 ON_MISSING = ("raise", "skip")
 
@@ -81,28 +83,54 @@ def read_parquet(spark: SparkSession, path: str, *, on_missing: str = "raise") -
     return _read(spark.read, path, "parquet", on_missing)
 
 
-def _norm(p: str) -> str:
-    p = p.rstrip("/")
-    if p.startswith("file:"):
-        p = "/" + p[len("file:"):].lstrip("/")
-    return p
+def _file_relations(df: DataFrame):
+    """File-based relations in the DataFrame's plan, subqueries included."""
+    plan = df._jdf.queryExecution().analyzed()
+    plans = [plan]
+    inner = plan.subqueriesAll()
+    plans += [inner.apply(i) for i in range(inner.size())]
+    for p in plans:
+        leaves = p.collectLeaves()
+        for leaf in (leaves.apply(i) for i in range(leaves.size())):
+            if leaf.getClass().getSimpleName() == "LogicalRelation":
+                relation = leaf.relation()
+                if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                    yield relation
+
+
+def source_roots(df: DataFrame) -> list[str]:
+    """Qualified root paths that the DataFrame reads (the given folders or files, not every file)."""
+    found = []
+    for relation in _file_relations(df):
+        roots = relation.location().rootPaths()
+        found += [qualified_path(df.sparkSession, roots.apply(i).toString()) for i in range(roots.size())]
+    return found
+
+
+def reads_json(df: DataFrame) -> bool:
+    return any("Json" in r.fileFormat().getClass().getSimpleName() for r in _file_relations(df))
 
 
 def guard_not_input(df: DataFrame, path: str) -> None:
-    """Refuse to overwrite ``path`` when ``df`` reads files under it."""
-    target = _norm(path)
-    for f in df.inputFiles():
-        src = _norm(f)
-        if src == target or src.startswith(target + "/"):
-            raise ValueError(f"refusing to overwrite {path!r}: the DataFrame reads from it ({f})")
+    """Refuse to overwrite ``path`` when ``df`` reads it, a folder in it, or a folder that holds it."""
+    target = qualified_path(df.sparkSession, path)
+    for src in source_roots(df):
+        if src == target or src.startswith(target + "/") or target.startswith(src + "/"):
+            raise ValueError(f"refusing to overwrite {path!r}: the DataFrame reads from it ({src})")
 
 
 def write_parquet(
     df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: Sequence[str] | None = None
 ) -> str:
-    """Write ``df`` as a Parquet directory; returns ``path``."""
+    """Write ``df`` as a Parquet directory; returns ``path``.
+
+    With ``partition_by`` the rows are rebalanced on those columns first: a partition value gets few
+    files, and adaptive execution splits the large values over several tasks.
+    """
     if mode == "overwrite":
         guard_not_input(df, path)
+    if partition_by:
+        df = df.hint("rebalance", *as_list(partition_by))
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*as_list(partition_by))

@@ -8,8 +8,9 @@ pages are landed as files (one envelope per line, or one pretty-printed document
   When the landing recorded the page number (``with_page``), ``page_rows(pages, page_col="page")``
   follows the source's paging rules: one envelope per page number (a re-requested page is read
   once), and nothing after the first page that is empty or has no ``next`` link (``crawl_pages``).
-* ``page_stats`` -- page and row totals, empty pages, and whether the last page (no ``next``) is there;
-  with page numbers also the end page, repeated pages and pages past the end.
+* ``page_stats`` -- page and row totals, empty and malformed pages, and whether the last page (no
+  ``next``) is there; with page numbers also the end page, repeated, missing and late pages.
+* a malformed envelope stops the job or, if the caller says so, is skipped; it never counts as a page.
 * ``write_pages`` -- lands a table as page envelopes (pages of ``page_size`` consecutive key values);
   used to build fixtures and to re-page data.
 
@@ -19,19 +20,24 @@ task per file (a page is bounded by the API page size, 10,000 rows in the source
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from hydrix._util import require_columns
-from hydrix.operators.dedup import dedup_keys
+from hydrix.session import stage
 from hydrix.sources.files import read_json, write_json
 
 DATA, NEXT, PAGE = "data", "next", "page"
+#: Text of an envelope that does not parse; NULL in a good one.
+CORRUPT = "_corrupt_page"
+ON_MALFORMED = ("raise", "skip")
 
 
-def envelope_schema(row_schema: StructType, with_page: bool = False) -> StructType:
+def envelope_schema(row_schema: StructType, with_page: bool = False, corrupt: bool = False) -> StructType:
     fields = [StructField(DATA, ArrayType(row_schema)), StructField(NEXT, StringType())]
+    if corrupt:
+        fields.append(StructField(CORRUPT, StringType()))
     if with_page:
         fields.insert(0, StructField(PAGE, LongType()))
     return StructType(fields)
@@ -46,9 +52,27 @@ def read_pages(
     on_missing: str = "raise",
     with_page: bool = False,
 ) -> DataFrame | None:
-    """Envelope DataFrame (``data``, ``next``[, ``page``]); a declared row schema avoids an inference pass."""
+    """Envelope DataFrame (``data``, ``next``[, ``page``], and the text of malformed envelopes in
+    ``_corrupt_page``); a declared row schema avoids an inference pass."""
     schema = envelope_schema(row_schema, with_page) if row_schema is not None else None
-    return read_json(spark, path, schema, multiline=multiline, on_missing=on_missing)
+    return read_json(spark, path, schema, multiline=multiline, on_missing=on_missing, corrupt_column=CORRUPT)
+
+
+def _malformed(pages: DataFrame) -> Column:
+    return F.col(CORRUPT).isNotNull() if CORRUPT in pages.columns else F.lit(False)
+
+
+def well_formed(pages: DataFrame, on_malformed: str = "raise") -> DataFrame:
+    """The envelopes that parsed.  ``raise`` fails the job on the first other one, ``skip`` leaves it
+    out (``page_stats`` counts them)."""
+    if on_malformed not in ON_MALFORMED:
+        raise ValueError(f"on_malformed must be one of {ON_MALFORMED}, got {on_malformed!r}")
+    if CORRUPT not in pages.columns:
+        return pages
+    if on_malformed == "skip":
+        return pages.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    text = F.concat(F.lit("malformed page envelope: "), F.substring(CORRUPT, 1, 200))
+    return pages.filter(F.when(F.col(CORRUPT).isNotNull(), F.raise_error(text).cast("boolean")).otherwise(True)).drop(CORRUPT)
 
 
 def _size(data: str = DATA):
@@ -56,76 +80,95 @@ def _size(data: str = DATA):
     return F.when(n < 0, F.lit(0)).otherwise(n)  # size(NULL) is -1 in legacy mode
 
 
-def _ends_crawl():
-    """The fetch loop stops here: no rows, or no link to a next page."""
-    return (_size() == 0) | F.col(NEXT).isNull() | (F.col(NEXT) == "")
+def _page_index(pages: DataFrame, page_col: str) -> tuple[DataFrame, Column]:
+    """(one narrow row per page number, number of the end page as a scalar subquery).
 
+    The copy that counts is the one with the most rows, then the one with a ``next`` link, then the
+    highest content hash; ``ends`` says that the crawl stops there (no rows, or no link).  Only
+    numbers cross the shuffle, never the page's rows.
+    """
+    has_next = F.coalesce(F.col(NEXT) != "", F.lit(False))
+    copy = F.struct(_size().alias("n"), has_next.alias("has_next"), F.xxhash64(F.to_json(F.col(DATA))).alias("hash"))
+    narrow = pages.select(F.col(page_col).alias("_page"), copy.alias("_copy"))
+    same = narrow.groupBy("_page", "_copy").agg(F.count(F.lit(1)).alias("_same"))
+    index = same.groupBy("_page").agg(
+        F.max(F.struct("_copy", "_same")).alias("_best"), F.sum("_same").alias("_copies"),
+        F.sum(F.col("_copy.n") * F.col("_same")).alias("_rows"),
+        F.sum(F.when(F.col("_copy.n") == 0, F.col("_same")).otherwise(0)).alias("_empty"),
+        F.sum(F.when(~F.col("_copy.has_next"), F.col("_same")).otherwise(0)).alias("_last"),
+    )
+    index = index.select("_page", F.col("_best._copy").alias("_copy"), F.col("_best._same").alias("_same"), "_copies", "_rows", "_empty", "_last")
+    ends = (F.col("_copy.n") == 0) | ~F.col("_copy.has_next")
+    return index, index.filter(ends).select(F.min("_page")).scalar()
 
-def crawl_pages(pages: DataFrame, page_col: str = PAGE, *, end_page: int | None = None) -> DataFrame:
+
+def crawl_pages(
+    pages: DataFrame, page_col: str = PAGE, *, end_page: int | None = None, on_malformed: str = "raise"
+) -> DataFrame:
     """The envelopes the paging loop would have used.
 
-    One envelope per page number: copies of a re-requested page form a small group, and the
-    copy with the most rows wins, then the one with a ``next`` link, then the lowest content
-    hash. Pages after the end page (the first page that is empty or has no ``next``) are dropped.
-    If no end page has landed yet, every page is kept.
+    One envelope per page number (see ``_page_index`` for the copy that counts).  Pages after the end
+    page -- the first whose chosen copy is empty or has no ``next`` -- are dropped; if none has landed
+    yet, every page is kept.  Pass ``end_page`` if the landing step already knows it.
 
-    The end page is one global minimum. Pass ``end_page`` if the landing step already knows it.
-    Otherwise it is a scalar subquery: a second, filter-only pass over ``pages`` whose result is
-    one number. The page filter is pushed below the dedup (it is on the dedup key), so pages past
-    the end are not shuffled.
+    Page numbers, sizes and hashes decide first; the pages themselves stay where they were read, and
+    only the numbers that landed more than once (a list that is left to Spark's size check) are joined
+    and made single.
     """
     require_columns(pages, [DATA, NEXT, page_col])
-    order = [_size().desc(), F.col(NEXT).asc_nulls_last(), F.xxhash64(F.to_json(F.col(DATA))).asc()]
-    once = dedup_keys(pages, [page_col], order)
-    if end_page is not None:
-        return once.filter(F.col(page_col) <= F.lit(int(end_page)))
-    end = pages.filter(_ends_crawl()).select(F.min(page_col)).scalar()
-    return once.filter(end.isNull() | (F.col(page_col) <= end))
+    pages = well_formed(pages, on_malformed)
+    index, found_end = _page_index(pages, page_col)
+    end = F.lit(int(end_page)) if end_page is not None else found_end
+    kept = pages.filter(end.isNull() | (F.col(page_col) <= end))
+    repeated = stage(index.filter("_copies > 1").select(F.col("_page").alias("_rp"), "_copy"), "repeated-pages")
+    cond = F.col(page_col).eqNullSafe(F.col("_rp"))
+    once = kept.join(repeated, cond, "left_anti")
+    more = kept.join(repeated, cond).filter(
+        (_size() == F.col("_copy.n")) & (F.coalesce(F.col(NEXT) != "", F.lit(False)) == F.col("_copy.has_next"))
+        & (F.xxhash64(F.to_json(F.col(DATA))) == F.col("_copy.hash"))
+    )
+    return once.unionByName(more.select(*pages.columns).dropDuplicates([page_col]))
 
 
-def page_rows(pages: DataFrame, page_col: str | None = None) -> DataFrame:
+def page_rows(pages: DataFrame, page_col: str | None = None, *, on_malformed: str = "raise") -> DataFrame:
     """Flatten envelopes to rows (inside the scan stage, no shuffle); with ``page_col``, only the
     pages ``crawl_pages`` keeps."""
     require_columns(pages, [DATA])
-    if page_col is not None:
-        pages = crawl_pages(pages, page_col)
+    pages = crawl_pages(pages, page_col, on_malformed=on_malformed) if page_col is not None else well_formed(pages, on_malformed)
     return pages.select(F.inline(DATA))
 
 
 def page_stats(pages: DataFrame, page_col: str | None = None) -> DataFrame:
-    """One row: ``n_pages``, ``n_rows``, ``n_empty_pages``, ``has_last_page``; with ``page_col`` also
-    ``end_page`` (first empty or link-less page), ``n_repeated_pages`` and ``n_pages_after_end``."""
+    """One row: ``n_pages``, ``n_rows``, ``n_empty_pages``, ``has_last_page``, ``n_malformed``; with
+    ``page_col`` also ``end_page`` (first page whose chosen copy is empty or link-less),
+    ``n_repeated_pages``, ``n_pages_after_end`` and ``n_missing_pages`` (numbers between the first and
+    the end page, or the highest one, that did not land).  A malformed envelope counts in
+    ``n_malformed`` only."""
     require_columns(pages, [DATA, NEXT] + ([page_col] if page_col else []))
-    n = _size()
-    aggs = [
-        F.count(F.lit(1)).alias("n_pages"),
-        F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("n_rows"),
-        F.count_if(n == 0).alias("n_empty_pages"),
-        (F.count_if(F.col(NEXT).isNull() | (F.col(NEXT) == "")) > 0).alias("has_last_page"),
-    ]
+    bad = _malformed(pages)
     if page_col is None:
-        return pages.agg(*aggs)
-    # per page number: copies, rows, and whether a copy ends the crawl; then one global row
-    per_page = pages.groupBy(page_col).agg(
-        F.count(F.lit(1)).alias("_copies"),
-        F.coalesce(F.sum(n), F.lit(0)).alias("_rows"),
-        F.count_if(n == 0).alias("_empty"),
-        F.count_if(F.col(NEXT).isNull() | (F.col(NEXT) == "")).alias("_last"),
-        F.min(F.when(_ends_crawl(), F.col(page_col))).alias("_end"),
-    )
-    return _stats_with_end(per_page, page_col)
-
-
-def _stats_with_end(per_page: DataFrame, page_col: str) -> DataFrame:
-    end = per_page.select(F.min("_end")).scalar()
-    return per_page.agg(
-        F.sum("_copies").cast("long").alias("n_pages"),
+        n = _size()
+        return pages.agg(
+            F.count_if(~bad).alias("n_pages"),
+            F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("n_rows"),
+            F.count_if(~bad & (n == 0)).alias("n_empty_pages"),
+            (F.count_if(~bad & (F.col(NEXT).isNull() | (F.col(NEXT) == ""))) > 0).alias("has_last_page"),
+            F.count_if(bad).alias("n_malformed"),
+        )
+    malformed = pages.agg(F.count_if(bad & (_size() >= 0))).scalar()  # Spark wants a data column read too
+    index, end = _page_index(pages.filter(~bad), page_col)
+    inside = (end.isNull() | (F.col("_page") <= end)) & F.col("_page").isNotNull()
+    first, last = F.min("_page"), F.coalesce(end, F.max("_page"))
+    return index.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).cast("long").alias("n_pages"),
         F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("n_rows"),
         F.coalesce(F.sum("_empty"), F.lit(0)).cast("long").alias("n_empty_pages"),
         (F.coalesce(F.sum("_last"), F.lit(0)) > 0).alias("has_last_page"),
+        malformed.alias("n_malformed"),
         end.alias("end_page"),
-        (F.sum("_copies") - F.count(F.lit(1))).cast("long").alias("n_repeated_pages"),
-        F.count_if(F.col(page_col) > end).alias("n_pages_after_end"),
+        F.coalesce(F.sum("_copies") - F.count(F.lit(1)), F.lit(0)).cast("long").alias("n_repeated_pages"),
+        F.count_if(F.col("_page") > end).alias("n_pages_after_end"),
+        F.coalesce(last - first + 1 - F.count_if(inside), F.lit(0)).cast("long").alias("n_missing_pages"),
     )
 
 

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from hydrix.session import scratch_path
-from hydrix.sources.paged import DATA, envelope_schema
+from hydrix.session import path_exists
+from hydrix.sources.paged import CORRUPT, DATA, envelope_schema, well_formed
 
 
 def ingest_pages(
@@ -32,18 +32,30 @@ def ingest_pages(
     row_schema: StructType,
     *,
     checkpoint: str | None = None,
+    on_malformed: str = "raise",
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the ingest query and return it (call ``awaitTermination()`` for ``available_now``)."""
-    reader = spark.readStream.schema(envelope_schema(row_schema))
+    """Start the ingest query and return it (call ``awaitTermination()`` for ``available_now``).
+
+    The checkpoint is ``<bronze_dir>/_checkpoint`` unless one is named, so every run into the same
+    bronze table goes on where the last one ended.  A named checkpoint that does not exist yet is
+    refused for a table that already has a sink log: the sink would skip its first batches.  An
+    envelope that does not parse stops the query (``on_malformed="raise"``) or is left out ("skip";
+    ``page_stats`` over the landing folder counts such pages).
+    """
+    bronze_dir = bronze_dir.rstrip("/")
+    checkpoint = checkpoint or f"{bronze_dir}/_checkpoint"
+    if path_exists(spark, f"{bronze_dir}/_spark_metadata") and not path_exists(spark, checkpoint):
+        raise ValueError(f"{bronze_dir} was filled under another checkpoint than {checkpoint}")
+    reader = spark.readStream.schema(envelope_schema(row_schema, corrupt=True)).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    rows = reader.json(landing_dir).select(F.inline(DATA))
+    rows = well_formed(reader.json(landing_dir), on_malformed).select(F.inline(DATA))
     writer = (
         rows.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-ckpt"))
+        .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
     if available_now:

@@ -207,7 +207,7 @@ def test_aggregate_consistency(spark):
         [("a", 3, 1, 2), ("b", 2, 2, 1), (None, 1, 0, 1)], "commune string, total_tests long, nb_conformes long, nb_non_conformes long"
     )
     worst = spark.createDataFrame([("a",), (None,), ("zz",)], "commune string")
-    res = {r.check_name: r for r in aggregate_consistency(conf, worst, ["commune"], "c", worst_max_rows=3).collect()}
+    res = {r.check_name: r for r in aggregate_consistency(conf, worst, ["commune"], "c").collect()}
     assert res["rule"].unexpected_count == 1 and res["rule"].success is False  # b: 2 + 1 > 2
     assert res["subset_of"].unexpected_count == 1 and res["subset_of"].total == 3  # zz is not a group
 
@@ -230,9 +230,14 @@ def test_scale_conf():
     from hydrix.session import scale_conf
 
     conf = scale_conf(100 * 10**12)  # 100 TB
-    n = int(conf["spark.sql.shuffle.partitions"])
-    assert 300_000 > n >= 200 and 100 * 10**12 / n <= 256 << 20 or n == 200_000
+    reducers = int(conf["spark.sql.shuffle.partitions"])
+    maps = 100 * 10**12 / int(conf["spark.sql.files.maxPartitionBytes"])
+    assert maps * reducers <= 1.01 * 10**10
+    assert 100 * 10**12 / reducers <= int(conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) * 2 * 1.01
+    ten = int(scale_conf(10**15)["spark.sql.shuffle.partitions"])
+    assert ten >= 0.99 * reducers  # no cap: partitions grow, their number does not fall
     assert int(scale_conf(10)["spark.sql.shuffle.partitions"]) == 200
+    assert int(scale_conf(10**13, shuffle_bytes=10**11)["spark.sql.shuffle.partitions"]) == 373
 
 
 def test_numeric_profiles_reject_text_columns(spark):
@@ -256,20 +261,20 @@ def test_check_subset_with_repeated_parent_keys(spark):
 
     sup = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
     sub = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
-    r = check_subset(sub, sup, ["k"], "t", sub_max_rows=10).first()
+    r = check_subset(sub, sup, ["k"], "t").first()
     assert (r.total, r.unexpected_count, r.success) == (3, 1, False)
 
 
 def test_apply_conf_sets_and_returns_previous(spark):
     from hydrix.session import apply_conf, restore_conf, scale_conf
 
-    conf = scale_conf(10 * 10**12)
+    conf = scale_conf(10**12)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert spark.conf.get(initial, None) is None
     before = apply_conf(spark, conf)
     try:
         assert spark.conf.get("spark.sql.shuffle.partitions") == conf["spark.sql.shuffle.partitions"]
-        assert int(conf["spark.sql.shuffle.partitions"]) == 37253  # 10 TB / 256 MiB, rounded up
+        assert int(conf["spark.sql.files.maxPartitionBytes"]) == 128 << 20  # 1 TB: few enough blocks
     finally:
         restore_conf(spark, before)
     # every option is back, including those that were unset (left set, they would slow the session)

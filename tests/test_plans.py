@@ -43,8 +43,8 @@ def silver(spark, m):
 def test_fixture_counts(m, silver):
     agg = m.agg(F.count(F.lit(1)), F.count("resultat_alphanumerique"), F.count("date_prelevement")).first()
     assert tuple(agg) == (1000, 800, 990)
-    assert silver.count() == 878
-    assert silver.agg(F.count("resultat_valeur_float"), F.count("annee")).first()[:] == (529, 869)
+    assert silver.count() == 880
+    assert silver.agg(F.count("resultat_valeur_float"), F.count("annee")).first()[:] == (530, 862)
     cats = {r.categorie: r["count"] for r in silver.groupBy("categorie").count().collect()}
     assert cats == {
         "Autre": 196, "Chimie_Metaux": 95, "Chimie_Pesticides": 190,
@@ -64,7 +64,7 @@ def test_silver_default_tie_break_is_deterministic(spark, m):
     spec = SilverSpec()  # tie-break on every other column
     a = sorted(map(repr, build_silver(m.repartition(3), spec).collect()))
     b = sorted(map(repr, build_silver(m.repartition(5, "event_id"), spec).collect()))
-    assert a == b and len(a) == 878
+    assert a == b and len(a) == 880
 
 
 def test_cleaning_report(m):
@@ -88,6 +88,8 @@ def test_gold_tables(silver):
 
 def test_gates(silver):
     res = {(r.table_name, r.check_name, r.column_name): r for r in silver_gate(silver).collect()}
+    bad = res.pop(("silver", "rule", "date_prelevement"))
+    assert (bad.status, bad.unexpected_count) == ("failed", 9)
     assert len(res) == 5 and all(r.status == "passed" for r in res.values())
     gold = build_gold(silver, category_is())
     g = gold_gate(gold).collect()
@@ -116,13 +118,14 @@ def test_medallion_end_to_end(spark, m):
     root = scratch_path(spark, "t-run")
     path = write_pages(m, f"{root}/bronze", 250, "event_id")
     bronze = read_bronze(spark, path, fmt="pages", row_schema=m.schema)
-    res = run_medallion(spark, bronze, root, on_failure="raise")
+    res = run_medallion(spark, bronze, root)
     assert res.report == {
-        "rows_raw": 1000, "parse_failures": 200, "rows_required": 966, "rows_silver": 878, "duplicates_removed": 88,
+        "rows_raw": 1000, "parse_failures": 200, "bad_dates": 9, "rows_required": 966, "rows_silver": 880,
+        "duplicates_removed": 86,
     }
-    assert len(res.checks) == 14 and all(r["success"] for r in res.checks)
+    assert len(res.checks) == 15 and [r["column_name"] for r in res.checks if not r["success"]] == ["date_prelevement"]
     assert spark.read.parquet(res.gold_paths["top_10_pires_communes"]).count() == 10
-    assert silver_gate_at(spark, res.silver_path).count() == 5
+    assert silver_gate_at(spark, res.silver_path).count() == 6
     assert silver_gate_at(spark, f"{root}/nothing-here", on_missing="skip") is None
 
 
@@ -181,7 +184,7 @@ def test_partitioned_silver_prunes_years(spark, m):
         win.explain()
     assert re.search(r"PartitionFilters: \[isnotnull\(annee#\d+\), \(annee#\d+ >= 2024\), \(annee#\d+ <= 2024\)\]", buf.getvalue())
     assert win.count() == date_window(silver, "date_prelevement_clean", "2024-01-10", "2024-01-20").count() > 0
-    assert res.report["rows_silver"] == 878
+    assert res.report["rows_silver"] == 880
 
 
 def test_malformed_bronze_lines_are_counted(spark, m):
@@ -195,7 +198,7 @@ def test_malformed_bronze_lines_are_counted(spark, m):
     bronze = read_bronze(spark, path, row_schema=m.schema, corrupt_column="_corrupt_record")
     r = cleaning_report(bronze, B.SILVER_SPEC, corrupt_column="_corrupt_record").first()
     assert (r.rows_raw, r.rows_malformed) == (1001, 1)
-    assert build_silver(bronze, B.SILVER_SPEC).count() == 878  # the malformed line has no keys
+    assert build_silver(bronze, B.SILVER_SPEC).count() == 880  # the malformed line has no keys
 
 
 def test_split_gold_refuses_another_spec(silver):
@@ -222,7 +225,7 @@ def test_silver_with_renamed_result_column(spark, m):
     spec = SilverSpec(renames=renames, tie_break=("event_id",))
     out = build_silver(m, spec)
     assert "resultat_texte" in out.columns and "resultat_alphanumerique" not in out.columns
-    assert out.count() == 878 and out.filter("resultat_valeur_float IS NOT NULL").count() == 529
+    assert out.count() == 880 and out.filter("resultat_valeur_float IS NOT NULL").count() == 530
 
 
 def test_cleaning_report_with_renamed_result_column(m):

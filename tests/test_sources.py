@@ -75,6 +75,22 @@ def test_refuses_to_overwrite_own_input(spark, small):
     assert read_parquet(spark, path).count() == 25  # the input is intact
 
 
+def test_overwrite_guard_compares_qualified_paths(spark, small, tmp_path, monkeypatch):
+    spaced = write_parquet(small, str(tmp_path / "with space" / "t"))
+    for target in (spaced, f"file:{spaced}", f"file://{spaced}/", str(tmp_path / "with space")):
+        with pytest.raises(ValueError, match="refusing"):
+            write_parquet(read_parquet(spark, spaced), target)
+    with pytest.raises(ValueError, match="refusing"):  # read through a subquery
+        spark.read.parquet(spaced).createOrReplaceTempView("t_self")
+        write_parquet(spark.sql("select 1 as one where exists (select * from t_self)"), spaced)
+    import os
+
+    relative = os.path.relpath(spaced)  # the JVM resolves it against the folder it was started in
+    with pytest.raises(ValueError, match="refusing"):
+        write_parquet(read_parquet(spark, relative), spaced)
+    assert read_parquet(spark, spaced).count() == 25
+
+
 def test_write_pages_and_read_back(spark, small):
     path = write_pages(small, scratch_path(spark, "t-pages"), 10, "id")
     pages = read_pages(spark, path, small.schema)
@@ -156,6 +172,32 @@ def test_crawl_follows_the_paging_rules(spark):
     assert [r.id for r in page_rows(last, page_col="page").collect()] == [1]
 
 
+def test_empty_copy_and_malformed_page(spark, small):
+    from hydrix.sources import crawl_pages
+
+    path = write_pages(small, scratch_path(spark, "t-pages-bad"), 10, "id", with_page=True)
+    pages = read_pages(spark, path, small.schema, with_page=True)
+    empty = pages.filter("page = 1").selectExpr("page", "slice(data, 1, 0) as data", "cast(null as string) as next", "_corrupt_page")
+    landed = pages.unionByName(empty)
+    assert sorted(page_rows(landed, page_col="page").collect()) == sorted(small.collect())
+    s = page_stats(landed.filter("page <> 1 or size(data) = 0"), page_col="page").first()
+    assert (s.end_page, s.n_missing_pages, s.n_malformed) == (1, 0, 0)
+    gap = page_stats(pages.filter("page <> 1"), page_col="page").first()
+    assert (gap.n_missing_pages, gap.end_page, gap.has_last_page) == (1, 2, True)
+    local = path.removeprefix("file:")
+    with open(f"{local}/zz.json", "w") as f:
+        f.write('{"page": 5, "data": [{"id"\n')
+    broken = read_pages(spark, path, small.schema, with_page=True)
+    s = page_stats(broken, page_col="page").first()
+    assert (s.n_malformed, s.n_pages, s.end_page) == (1, 3, 2)
+    assert page_stats(broken).first().n_malformed == 1
+    with pytest.raises(Exception, match="malformed page envelope"):
+        page_rows(broken).collect()
+    assert page_rows(broken, page_col="page", on_malformed="skip").count() == 25
+    plan = crawl_pages(broken, on_malformed="skip")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(page") <= 1  # the few repeated pages only
+
+
 def test_write_pages_with_page_numbers(spark, small):
     path = write_pages(small, scratch_path(spark, "t-pages-n"), 10, "id", with_page=True)
     pages = read_pages(spark, path, small.schema, with_page=True)

@@ -1,5 +1,7 @@
 """Incremental page ingest: each landed file is ingested exactly once across restarts."""
 
+import pytest
+
 from hydrix.session import scratch_path
 from hydrix.sources import write_pages
 from hydrix.streaming import ingest_pages
@@ -28,3 +30,36 @@ def test_ingest_pages_once_per_file(spark):
     back = spark.read.parquet(bronze)
     assert back.count() == 45
     assert sorted(r.id for r in back.collect()) == list(range(45))
+
+
+def _landing(spark, root):
+    from pyspark.sql.types import _parse_datatype_string
+
+    first = spark.createDataFrame([(i, f"n{i}", i * 0.5) for i in range(10)], SCHEMA)
+    write_pages(first, f"{root}/landing/batch1", 10, "id")
+    return _parse_datatype_string(SCHEMA)
+
+
+def test_second_run_without_a_named_checkpoint_goes_on(spark):
+    root = scratch_path(spark, "t-stream-default")
+    schema = _landing(spark, root)
+    ingest_pages(spark, f"{root}/landing/*", f"{root}/bronze", schema).awaitTermination()
+    write_pages(spark.createDataFrame([(i, "x", 0.0) for i in range(10, 25)], SCHEMA), f"{root}/landing/batch2", 10, "id")
+    ingest_pages(spark, f"{root}/landing/*", f"{root}/bronze", schema).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/bronze").collect()) == list(range(25))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        ingest_pages(spark, f"{root}/landing/*", f"{root}/bronze", schema, checkpoint=f"{root}/fresh")
+
+
+def test_malformed_page_stops_the_ingest(spark):
+    import os
+
+    root = scratch_path(spark, "t-stream-bad")
+    schema = _landing(spark, root)
+    os.makedirs(f"{root}/landing/bad".removeprefix("file:"))
+    with open(f"{root}/landing/bad/p.json".removeprefix("file:"), "w") as f:
+        f.write('{"data": [{"id": 1\n')
+    with pytest.raises(Exception, match="malformed page envelope"):
+        ingest_pages(spark, f"{root}/landing/*", f"{root}/strict", schema).awaitTermination()
+    ingest_pages(spark, f"{root}/landing/*", f"{root}/bronze", schema, on_malformed="skip").awaitTermination()
+    assert spark.read.parquet(f"{root}/bronze").count() == 10
