@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame, scratch: Scratch, a: str = "a", b: st
         least = scratch.stage(both.groupBy("u").agg(F.min("v").alias("m")), "large-least")
         # only neighbours above u move, so u's own minimum is min(u, m)
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        large = scratch.stage(large.distinct(), "large")
+        large = scratch.stage(large, "large")
         below = scratch.stage(large.groupBy("u").agg(F.min("v").alias("m")), "small-least")
         moved = large.join(below, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         new = scratch.stage(moved.unionByName(below.select("u", F.col("m").alias("v"))).distinct(), "edges")

@@ -9,9 +9,9 @@
    (prefix); only those are joined, and the frequent lists at the end are skipped: the matches of a
    joined pair are counted from the two signatures.  At the least similarity, 0.75, fewer than MATCHES
    of COORDINATES agree with a chance of about 3e-6.
-3. Pairs are formed without listing a group's pairs: each class is tried with two leaders of its lists,
-   then component with component, and at the end every posted pair that still lies in different
-   components.  Pairs inside one component cannot change the result.
+3. Pairs are formed without listing a group's pairs: each class is tried with two leaders of its lists;
+   then every posted pair that is not yet under one leader is compared, in long lists block by block
+   inside tasks.  Pairs under one leader are connected already and cannot change the result.
 4. A pair is a link only if the full shingle sets confirm it.
 
 The sets of classes that share a posting are recomputed from the texts and shuffled once; texts that
@@ -163,37 +163,32 @@ def postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """The links among ``(a, b)`` pairs: enough matching coordinates, then the full sets."""
+    """The links among ``(a, b)`` pairs: enough matching coordinates, then the full sets.  Further
+    columns of the pairs stay."""
     keys = classes.select("cls", "keys")
     counted = pairs.join(keys.withColumnsRenamed({"cls": "a", "keys": "ka"}), "a").join(
         keys.withColumnsRenamed({"cls": "b", "keys": "kb"}), "b"
     )
     matches = F.size(F.filter(F.zip_with("ka", "kb", lambda x, y: x == y), lambda same: same))
-    close = scratch.stage(counted.where(matches >= MATCHES).select("a", "b"), "close")
+    close = scratch.stage(counted.where(matches >= MATCHES).select(*pairs.columns), "close")
     full = close.join(sets.withColumnsRenamed({"cls": "a", "grams": "ga"}), "a").join(
         sets.withColumnsRenamed({"cls": "b", "grams": "gb"}), "b"
     )
-    common = full.select("a", "b", common_size(F.col("ga"), F.col("gb")).alias("i"), ((F.octet_length("ga") + F.octet_length("gb")) / 8).cast("long").alias("s"))
-    return scratch.stage(common.where(100 * F.col("i") >= PERCENT * (F.col("s") - F.col("i"))).select("a", "b"), "links")
+    common = full.select(*pairs.columns, common_size(F.col("ga"), F.col("gb")).alias("i"), ((F.octet_length("ga") + F.octet_length("gb")) / 8).cast("long").alias("s"))
+    return scratch.stage(common.where(100 * F.col("i") >= PERCENT * (F.col("s") - F.col("i"))).select(*pairs.columns), "links")
 
 
 def _labelled(posted: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """Postings with each class's component so far."""
-    found = scratch.stage(connected_components(links, scratch), "components")
-    return scratch.stage(
-        posted.join(found, posted.cls == found.node, "left").select("key", "cls", "rank", F.coalesce("component", "cls").alias("comp")),
-        "labelled",
-    )
-
+    """Postings with a label that only connected classes share: the leader's leader, where confirmed.
 
-def _met(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """One pair for every component that meets the component of a list's leader: ``(a, b)``."""
-    members = rows.groupBy("key", "comp").agg(F.max("rank").alias("rank"))
-    first = members.groupBy("key").agg(F.max(F.struct("rank", "comp")).alias("first"), F.count(F.lit(1)).alias("n"))
-    first = scratch.stage(first.where("n > 1").select("key", "first"), "first")
-    met = members.join(first, "key").where(F.col("comp") != F.col("first.comp"))
-    best = met.groupBy("comp").agg(F.max(F.struct("first.rank", F.col("rank").alias("own"))).alias("p"))
-    return best.select(F.col("p.rank.cls").alias("a"), F.col("p.own.cls").alias("b"))
+    A leader ranks above its followers, so there are no loops.
+    """
+    up = links.groupBy("b").agg(F.max(F.struct("w", "a")).alias("m")).select(F.col("b").alias("cls"), F.col("m.a").alias("up"))
+    up = scratch.stage(up, "up")
+    above = up.select(F.col("cls").alias("up"), F.col("up").alias("top"))
+    top = scratch.stage(up.join(above, "up", "left").select("cls", F.coalesce("top", "up").alias("comp")), "top")
+    rows = posted.join(top, "cls", "left").select("key", "cls", "rank", F.coalesce("comp", "cls").alias("comp"))
+    return scratch.stage(rows, "labelled")
 
 
 def link_components(posted: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
@@ -202,23 +197,19 @@ def link_components(posted: DataFrame, classes: DataFrame, sets: DataFrame, scra
     leader = scratch.stage(posted.groupBy("key").agg(F.max("rank").alias("leader")), "leaders")
     tried = posted.join(leader, "key").where(F.col("cls") != F.col("leader.cls")).groupBy("cls", "leader").agg(F.count(F.lit(1)).alias("n"))
     best = tried.groupBy("cls").agg(F.max("leader").alias("x"), F.max(F.struct("n", "leader")).alias("y"))
-    best = best.select("cls", F.explode(F.array_distinct(F.array("x.cls", "y.leader.cls"))).alias("a"))
-    links = confirm(best.select("a", F.col("cls").alias("b")), classes, sets, scratch)
-    # component with component, through the lists that they share
-    rows = _labelled(posted, links, scratch)
-    links = links.unionByName(confirm(_met(rows, scratch), classes, sets, scratch))
-    rows = _labelled(posted, links, scratch)
-    links = links.unionByName(_open_links(rows, classes, sets, scratch))
-    return connected_components(links, scratch)
+    best = best.select("cls", F.explode(F.array_distinct(F.array("x", "y.leader"))).alias("l"))
+    links = confirm(best.select(F.col("l.cls").alias("a"), F.col("cls").alias("b"), F.col("l.shared").alias("w")), classes, sets, scratch)
+    more = _open_links(_labelled(posted, links, scratch), classes, sets, scratch)
+    return connected_components(links.select("a", "b").unionByName(more), scratch)
 
 
 def _open_links(rows: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links among all posted pairs that are still in different components.
+    """Links among all posted pairs with different labels.
 
-    Lists with the same leader are taken together.  Members outside such a list's largest component
-    meet all members of other components: pair by pair in a short list, and in blocks of ``BLOCK`` by
+    Lists with the same leader are taken together.  Members outside such a list's largest label
+    meet all members of other labels: pair by pair in a short list, and in blocks of ``BLOCK`` by
     ``BLOCK`` sets in a long one, where a task counts the common shingles of whole blocks and returns
-    at most one link for two components.
+    at most one link for two labels.
     """
     mixed = rows.groupBy("key").agg(F.max("rank").alias("top"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     mixed = scratch.stage(mixed.where("c0 <> c1").select("key", F.col("top.cls").alias("leader")), "mixed")
@@ -248,7 +239,7 @@ def _open_links(rows: DataFrame, classes: DataFrame, sets: DataFrame, scratch: S
 
 
 def _block_links(block: pd.DataFrame) -> pd.DataFrame:
-    """Links between a block's open members and its other members, one for every two components."""
+    """Links between a block's open members and its other members, one for every two labels."""
     sides = []
     for mask in (block["open"].to_numpy(), ~block["open"].to_numpy()):
         part = block[mask]
