@@ -157,8 +157,10 @@ def postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
     counted = near.join(shared, "key").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("freq", "key"))).alias("v"))
     # values that no other class has come first in the order: they use up the prefix but post nothing
     room = F.lit(PREFIX) - (F.lit(COORDINATES) - F.size("v"))
-    rank = F.struct(F.aggregate("v", F.lit(0).cast("long"), lambda acc, x: acc + x["freq"]).alias("shared"), "cls")
-    kept = counted.where(room > 0).select(rank.alias("rank"), F.explode(F.slice("v", 1, room)).alias("p"))
+    shared_by = F.aggregate("v", F.lit(0).cast("long"), lambda acc, x: acc + x["freq"])
+    kept = counted.where(room > 0).withColumn("shared", shared_by).select(
+        F.struct("shared", "cls").alias("rank"), F.explode(F.slice("v", 1, room)).alias("p")
+    )
     return scratch.stage(kept.select(F.col("p.key").alias("key"), "rank.cls", "rank"), "postings")
 
 
