@@ -19,7 +19,7 @@ def plan(df, mode="formatted") -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(bindings.QUERIES))
+@pytest.mark.parametrize("name", sorted(B.QUERIES))
 def test_no_python_in_any_plan(spark, name):
     text = plan(E.queries()[name](spark, SF_SMALL))
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", text)
