@@ -5,20 +5,23 @@ sqrt(2 (1 - c)), so two vectors at the threshold fall into a window of half-widt
 with a known chance, and vectors of random directions much more rarely.
 
 * Equal vectors of a label are one class; only classes are compared.
-* The leading projections cut a large label into cells; a query goes to every cell that its window
-  meets, a vector lies in one cell, so each pair meets at most once.  A label gets one more such
-  projection per doubling beyond ``BLOCK`` vectors.
+* Leading projections cut a large label into cells, one more per doubling beyond ``BLOCK`` vectors, in
+  several independent *tables*: as many as a pair at the threshold needs to share a cell in one of them.
+  A vector is in one cell of each table, so its entries grow with the logarithm of the label's size and a
+  small power of it, and a pair counts in the first table in which it shares a cell.
+* Most of a hot group shares its cell in every table.  In later tables the members of a cell that come
+  from its largest cell of the first table have met already; only the others are queries there.
 * Within a cell, blocks of ``BLOCK`` queries and ``BLOCK`` vectors: each of ``PROJECTIONS`` sorted
   projections adds one to the pairs inside its query-centred windows, and pairs that reach the
   calibrated count are verified by their cosine in double precision.
 
-Window and count are calibrated on the chance of a pair exactly at the threshold (``RECALL``; closer
+Tables, window and count are calibrated on the chance of a pair exactly at the threshold (``RECALL``; closer
 pairs are safer).  A hot label or cell is many blocks, dealt as separate groups.
 """
 
 from __future__ import annotations
 
-from math import comb
+from math import ceil, comb, log, pi, sqrt
 from statistics import NormalDist
 
 import numpy as np
@@ -33,8 +36,10 @@ from hydrix.session import Scratch
 
 THRESHOLD = 0.98
 PROJECTIONS, WINDOW_SIGMAS, RECALL, SEED = 24, 2.0, 0.999, 23
-#: Vectors of a block; the most cell projections of one label.
-BLOCK, MOST_CELL_PROJECTIONS = 512, 16
+#: Vectors of a block; the most cell projections of a label (enough for 2^32 blocks of vectors).
+BLOCK, MOST_CELL_PROJECTIONS = 512, 32
+#: Width of a cell, in deviations of a pair at the threshold.
+CELL_SIGMAS = 10.0
 
 _U = np.uint64
 
@@ -54,9 +59,11 @@ def least_count(recall: float = RECALL, n: int = PROJECTIONS, sigmas: float = WI
     return 0
 
 
-def cell_window(n: int, threshold: float, recall: float = RECALL) -> float:
-    """Half-width that holds a pair at the threshold in all n cell projections with the given chance."""
-    return deviation(threshold) * NormalDist().inv_cdf((1 + recall ** (1 / max(n, 1))) / 2)
+def tables(n: int, recall: float = RECALL) -> int:
+    """Tables of n cell projections in which a pair at the threshold shares a cell at least once, with
+    the given chance."""
+    same = (1 - sqrt(2 / pi) / CELL_SIGMAS) ** n
+    return 1 if same >= recall else ceil(log(1 - recall) / log(1 - same))
 
 
 def directions(dim: int, n: int, stream: int) -> np.ndarray:
@@ -70,36 +77,33 @@ def unit_rows(blobs) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def _cell_numbers(cells: np.ndarray) -> np.ndarray:
-    h = np.zeros(len(cells), _U)
-    for column in cells.T:
-        h = mix(h * _U(31) + column.astype(np.int64).view(_U) + _U(1))
-    return h.view(np.int64)
+def _cell_numbers(unit: np.ndarray, n: int, threshold: float) -> np.ndarray:
+    """(vectors, tables) cell numbers of unit vectors for n cell projections a table."""
+    out = np.zeros((len(unit), tables(n)), _U)
+    width = CELL_SIGMAS * deviation(threshold)
+    for t in range(out.shape[1] if n else 0):
+        g = directions(unit.shape[1], n, 3 + t)
+        offset = np.random.default_rng([SEED, 1, t]).uniform(0, width, n)
+        for column in np.floor((unit @ g + offset) / width).T:
+            out[:, t] = mix(out[:, t] * _U(31) + column.astype(np.int64).view(_U) + _U(1))
+    return out.view(np.int64)
 
 
 def cells(vector: Column, n_cell: Column, threshold: float) -> Column:
-    """Struct (packed: the vector in double precision, cell: its cell, probes: the cells that its window
-    meets) for the label's number of cell projections."""
+    """Struct (packed: the vector in double precision, cells: its cell in each table) for the label's
+    number of cell projections."""
 
-    @F.arrow_udf("struct<packed:binary,cell:bigint,probes:array<bigint>>")
+    @F.arrow_udf("struct<packed:binary,cells:array<bigint>>")
     def apply(vectors: pa.Array, numbers: pa.Array) -> pa.Array:
-        packed, own, probes = [], [], []
-        for v, n in zip(vectors.to_pylist(), numbers.to_pylist()):
-            packed.append(np.asarray(v, "<f8").tobytes())
-            if not n:
-                own.append(0)
-                probes.append([0])
-                continue
-            w = cell_window(n, threshold)
-            x = (unit_rows(packed[-1:]) @ directions(len(v), MOST_CELL_PROJECTIONS, 1)[:, :n])[0]
-            own.append(int(_cell_numbers(np.floor(x / (2 * w))[None])[0]))
-            low, high = np.floor((x - w) / (2 * w)), np.floor((x + w) / (2 * w))
-            grid = [sorted({a, b}) for a, b in zip(low, high)]
-            probes.append(_cell_numbers(np.stack([g.ravel() for g in np.meshgrid(*grid)], axis=1)).tolist())
-        return pa.StructArray.from_arrays(
-            [pa.array(packed, pa.binary()), pa.array(own, pa.int64()), pa.array(probes, pa.list_(pa.int64()))],
-            ["packed", "cell", "probes"],
-        )
+        packed = [np.asarray(v, "<f8").tobytes() for v in vectors.to_pylist()]
+        own: list = [None] * len(packed)
+        alike: dict[tuple[int, int], list[int]] = {}
+        for i, n in enumerate(numbers.to_pylist()):
+            alike.setdefault((n, len(packed[i])), []).append(i)
+        for (n, _), at in alike.items():
+            for i, c in zip(at, _cell_numbers(unit_rows([packed[i] for i in at]), n, threshold).tolist()):
+                own[i] = c
+        return pa.StructArray.from_arrays([pa.array(packed, pa.binary()), pa.array(own, pa.list_(pa.int64()))], ["packed", "cells"])
 
     return apply(vector, n_cell)
 
@@ -127,12 +131,16 @@ def block_links(threshold: float):
             return pd.DataFrame({"cls": [], "peer": [], "n": []}).astype("int64")
         a, b = unit_rows(q["packed"]), unit_rows(v["packed"])
         ca, cb = q["cls"].to_numpy(), v["cls"].to_numpy()
+        before_a, before_b = (np.stack(x["cells"].to_list())[:, : block["t"].iloc[0]] for x in (q, v))
         counts = collisions(a, b, WINDOW_SIGMAS * deviation(threshold))
-        i, j = np.nonzero((counts >= least_count()) & (ca[:, None] < cb[None, :]))
+        # a pair of two queries comes twice: its lesser class asks
+        asks = (ca[:, None] < cb[None, :]) | ~v["open"].to_numpy()[None, :]
+        i, j = np.nonzero((counts >= least_count()) & asks)
         close = np.zeros(len(i), bool)
         for lo in range(0, len(i), 1 << 16):
             s = slice(lo, lo + (1 << 16))
-            close[s] = (a[i[s]] * b[j[s]]).sum(axis=1) >= threshold
+            met = (before_a[i[s]] == before_b[j[s]]).any(axis=1)
+            close[s] = ((a[i[s]] * b[j[s]]).sum(axis=1) >= threshold) & ~met
         link = np.zeros(counts.shape, bool)
         link[i[close], j[close]] = True
         n_a = link @ v["rows"].to_numpy()
@@ -180,22 +188,31 @@ def linked_vectors(
         doublings = F.ceil(F.log2(F.col("n") / BLOCK)).cast("int")
         sizes = scratch.stage(sizes.select("label", "dim", F.least(F.greatest(doublings, F.lit(0)), F.lit(MOST_CELL_PROJECTIONS)).alias("n_cell")), "labels")
         placed = classes.join(sizes, ["label", "dim"]).withColumn("c", cells(F.col("v"), F.col("n_cell"), threshold))
-        placed = scratch.stage(placed.select("cls", "rows", "label", "dim", "c.packed", "c.cell", "c.probes"), "placed")
-        at = ["label", "dim", "cell"]
-        queries = placed.select("cls", "rows", "label", "dim", "packed", F.explode("probes").alias("cell"))
-        n_vectors = placed.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("nv"))
-        n_queries = queries.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("nq"))
-        plan = scratch.stage(n_vectors.join(n_queries, at), "plan")
+        placed = scratch.stage(placed.select("cls", "rows", "label", "dim", "c.packed", "c.cells"), "placed")
+        at = ["label", "dim", "t", "cell"]
+        home = F.when(F.col("t") > 0, F.col("cells")[0])
+        members = placed.select("cls", "label", "dim", "cells", F.posexplode("cells").alias("t", "cell")).select("cls", *at, home.alias("home"))
+        n_homes = members.groupBy(*at, "home").agg(F.count(F.lit(1)).alias("n"))
+        plan = n_homes.groupBy(*at).agg(F.max(F.struct("n", "home")).alias("m"), F.sum("n").alias("n_all"))
+        plan = plan.withColumn("n_open", F.when(F.col("t") == 0, F.col("n_all")).otherwise(F.col("n_all") - F.col("m.n")))
+        plan = plan.where("n_open > 0 and n_all > 1").select(
+            *at, F.col("m.home").alias("largest"), F.ceil(F.col("n_all") / BLOCK).cast("long").alias("nv"),
+            F.ceil(F.col("n_open") / BLOCK).cast("long").alias("nq"),
+        )
+        plan = scratch.stage(plan, "plan")
         zero = F.lit(0).cast("long")
-        left = queries.join(plan, at).select(
-            *at, F.pmod(F.xxhash64("cls"), "nq").alias("i"), F.explode(F.sequence(zero, F.col("nv") - 1)).alias("j"),
-            F.lit(True).alias("query"), "cls", "rows", "packed",
+        is_open = (F.col("t") == 0) | (F.col("home") != F.col("largest"))
+        met = scratch.stage(members.join(plan, at).select("cls", *at, "nv", "nq", is_open.alias("open")), "met")
+        left = met.where("open").select(
+            "cls", *at, F.pmod(F.xxhash64("cls"), "nq").alias("i"), F.explode(F.sequence(zero, F.col("nv") - 1)).alias("j"),
+            F.lit(True).alias("query"), "open",
         )
-        right = placed.join(plan, at).select(
-            *at, F.explode(F.sequence(zero, F.col("nq") - 1)).alias("i"), F.pmod(F.xxhash64("cls", F.lit(1)), "nv").alias("j"),
-            F.lit(False).alias("query"), "cls", "rows", "packed",
+        right = met.select(
+            "cls", *at, F.explode(F.sequence(zero, F.col("nq") - 1)).alias("i"), F.pmod(F.xxhash64("cls", F.lit(1)), "nv").alias("j"),
+            F.lit(False).alias("query"), "open",
         )
-        found = left.unionByName(right).groupBy(*at, "i", "j").applyInPandas(block_links(threshold), "cls bigint, peer bigint, n bigint")
+        blocks = left.unionByName(right).join(placed.select("cls", "rows", "packed", "cells"), "cls")
+        found = blocks.groupBy(*at, "i", "j").applyInPandas(block_links(threshold), "cls bigint, peer bigint, n bigint")
         found = scratch.stage(found, "found")
         comps = scratch.stage(connected_components(found, scratch, "cls", "peer"), "components")
         counts = found.groupBy("cls").agg(F.sum("n").alias("n"))

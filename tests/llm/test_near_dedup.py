@@ -113,3 +113,18 @@ def test_empty_tables(spark):
     assert minhash_join.drop_near_duplicates(none).count() == 0
     assert bucket_pointer.remove_repeats(none).count() == 0
     assert embed_dedup.linked_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
+
+
+def test_tables_meet_pairs_at_the_threshold():
+    assert embed_dedup.tables(0) == 1 and embed_dedup.tables(embed_dedup.MOST_CELL_PROJECTIONS) < 128
+    rng = np.random.default_rng(3)
+    a, noise = rng.normal(size=(2, 3000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    noise -= (noise * a).sum(axis=1, keepdims=True) * a
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    c = embed_dedup.THRESHOLD
+    b = c * a + np.sqrt(1 - c * c) * noise
+    for n in (3, 12):
+        cells = [embed_dedup._cell_numbers(x, n, c) for x in (a, b)]
+        assert (cells[0] == cells[1]).any(axis=1).mean() > 0.99
+        assert (cells[0][:-1] == cells[1][1:]).mean() < 0.6**n  # random pairs rarely share a cell
