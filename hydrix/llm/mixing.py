@@ -29,6 +29,8 @@ MAX_REPEAT = 2.0
 BLOCK = 128
 SHARDS = 16
 SEED = 17
+#: Bits of the order key; four a digit.
+KEY_BITS = 60
 #: Leading bits of the order key in the histogram; its rows are bounded by sources x 2^BITS.
 BITS = 14
 
@@ -38,8 +40,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def order_key(docs: DataFrame, key: str, text: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.col(f"`{text}`"))
+def order_key(key: str, text: str, seed: int) -> Column:
+    """A non-negative number of 60 bits: the leading digits of the MD5 of seed, id and text."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(f"`{key}`").cast("string"), F.col(f"`{text}`")).cast("binary"))
+    return F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
 def source_targets(
@@ -110,9 +114,8 @@ def shard_quotas(targets: DataFrame, block: int = BLOCK, shards: int = SHARDS) -
 
 def _boundaries(words: DataFrame, plan: DataFrame) -> DataFrame:
     """Per source: copies that every document gives, and the key at which the last copy ends."""
-    words = words.withColumn("bucket", F.shiftrightunsigned("okey", 64 - BITS))
+    words = words.withColumn("bucket", F.shiftrightunsigned("okey", KEY_BITS - BITS))
     hist = words.groupBy("source", "bucket").agg(F.sum("size").alias("bsize"))
-    # a signed shift keeps -2^63.. keys in unsigned order only by bucket; keys compare within a bucket
     upto = F.sum("bsize").over(Window.partitionBy("source").orderBy("bucket"))
     ends = hist.withColumn("upto", upto).alias("h").join(plan.alias("p"), F.expr("h.source <=> p.source")).where(
         (F.col("rest") > 0) & (F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("bsize") < F.col("rest"))
@@ -153,7 +156,7 @@ def mix_plan(
     words = scratch.stage(
         docs.select(
             F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
-            order_key(docs, key, text, seed).alias("okey"), word_count(F.col(f"`{text}`")).alias("size"),
+            order_key(key, text, seed).alias("okey"), word_count(F.col(f"`{text}`")).alias("size"),
         ),
         "words", keep=True,
     )
@@ -180,7 +183,7 @@ def mix_plan(
 
 def taken_words(size: Column, okey: Column) -> Column:
     """Words that the mix takes of a document, given its source's plan columns."""
-    bucket = F.shiftrightunsigned(okey, 64 - BITS)
+    bucket = F.shiftrightunsigned(okey, KEY_BITS - BITS)
     before = (bucket < F.col("end_bucket")) | ((bucket == F.col("end_bucket")) & (okey < F.col("end_key")))
     part = F.when(before, size).when(okey == F.col("end_key"), F.least(size, F.col("end_words"))).otherwise(0)
     return (F.col("copies") * size + F.coalesce(part, F.lit(0))).cast("long")
@@ -213,9 +216,9 @@ def mixed_documents(
     with Scratch(docs.sparkSession, "mix") as scratch:
         _, plan, _ = mix_plan(docs, scratch, key=key, source=source, text=text, seed=seed, **options)
     plan = plan.select(F.struct("copies", "end_bucket", "end_key", "end_words", "source").alias("__plan"))
-    rows = docs.withColumn("__okey", order_key(docs, key, text, seed))
+    rows = docs.withColumn("__okey", order_key(key, text, seed))
     rows = rows.join(plan, F.col(f"`{source}`").eqNullSafe(F.col("__plan.source")), "left")
-    bucket = F.shiftrightunsigned("__okey", 64 - BITS)
+    bucket = F.shiftrightunsigned("__okey", KEY_BITS - BITS)
     before = (bucket < F.col("__plan.end_bucket")) | (
         (bucket == F.col("__plan.end_bucket")) & (F.col("__okey") < F.col("__plan.end_key"))
     )

@@ -23,6 +23,7 @@ from hydrix.llm import (
     sharding,
     url_graph,
 )
+from hydrix.llm.oracle import ORACLE_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,4 +107,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)
