@@ -27,7 +27,7 @@ from hydrix.llm.words import LOWER, NOT_BLANK, buffers, mix, row_chunks, seeds,
 from hydrix.session import Scratch
 
 #: Bytes of text of a group; tokens whose requests one reducer adds up.
-GROUP_BYTES, PART_TOKENS = 6 << 20, 3 << 20
+GROUP_BYTES, PART_TOKENS = 6 << 20, 2 << 20
 #: Frequency buckets of contexts; EM grid cells per factor of two, and factors of two covered.
 BUCKETS, STEPS, OCTAVES = 16, 2, 40
 EM_ROUNDS, FLOOR = 60, 1e-6
@@ -86,7 +86,10 @@ def _pairs(words: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> tuple[n
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
     before[bounds[:-1]] = end
-    return mix(words[before] * _LEFT + words[tokens] * _RIGHT), before
+    pair = words[before]
+    pair *= _LEFT
+    pair += words[tokens] * _RIGHT
+    return mix(pair), before
 
 
 def _train_mask(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -106,16 +109,19 @@ def requests(parts: int):
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # a row is a whole group: one at a time
+                row = {c: batch.column(c)[i].as_py() for c in ("gid", "held", "bounds", "words", "tokens")}
                 words, tokens = _unpack(row["words"], _U), _unpack(row["tokens"], np.uint32)
                 train, bounds = _train_mask(row)
-                pair, _ = _pairs(words, tokens, bounds)
+                pair = _pairs(words, tokens, bounds)[0]
                 order = np.argsort(pair)
                 ordered = pair[order]
+                del pair
                 first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
                 pair_counts = np.add.reduceat(train[order].astype(np.uint32), first)
                 word_counts = np.bincount(tokens[train], minlength=len(words)).astype(np.uint32)
                 pairs = ordered[first]
+                del order, ordered, first
                 w, p = _split(words, parts), _split(pairs, parts)
                 columns = [[], [], [], [], [], []]
                 for k in range(parts):
@@ -132,15 +138,20 @@ def requests(parts: int):
 
 def _totals(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], int, int]:
     """Each request's keys' summed counts; the sum and the number of keys that have any."""
+    bounds = np.cumsum([len(k) for k in keys])[:-1]
     flat, n = np.concatenate(keys), np.concatenate(counts)
+    keys.clear()
+    counts.clear()
     order = np.argsort(flat)
-    ordered = flat[order]
-    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(flat)]
+    flat, n = flat[order], n[order]
+    new = np.concatenate([[True], flat[1:] != flat[:-1]])[: len(flat)]
+    del flat
     first = np.flatnonzero(new)
-    sums = np.add.reduceat(n[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-    answer = np.empty(len(flat), np.uint32)
-    answer[order] = np.minimum(sums, 0xFFFFFFFF)[np.cumsum(new) - 1]
-    return np.split(answer, np.cumsum([len(k) for k in keys])[:-1]), int(sums.sum()), int(np.count_nonzero(sums))
+    sums = np.add.reduceat(n, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+    answer = np.empty(len(n), np.uint32)
+    del n
+    answer[order] = np.repeat(np.minimum(sums, 0xFFFFFFFF).astype(np.uint32), np.diff(np.append(first, len(new))))
+    return np.split(answer, bounds), int(sums.sum()), int(np.count_nonzero(sums))
 
 
 def answers(part: pd.DataFrame) -> pd.DataFrame:
