@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydrix.llm.words import LOWER, NOT_BLANK, buffers, mix, row_chunks, seeds, word_hashes, word_spans
+from hydrix.llm.words import LOWER, NOT_BLANK, buffers, mix, release_memory, row_chunks, seeds, word_hashes, word_spans
 from hydrix.session import Scratch
 
 #: Bytes of text of a group; tokens whose requests one reducer adds up.
@@ -65,6 +65,7 @@ def tokenised(id_type: pa.DataType):
                     parts.append(np.insert(word_hashes(text, starts, ends), first[1:], END[0]))
                     sizes.append(np.diff(first) + 1)
                 words, tokens = np.unique(np.concatenate(parts), return_inverse=True)
+                parts.clear()
                 bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -76,6 +77,8 @@ def tokenised(id_type: pa.DataType):
                     ["gid", "n_tokens", "doc_ids", "held", "bounds", "words", "tokens"],
                 )
                 count += 1
+                del words, tokens, bounds
+                release_memory()
 
     return apply
 
@@ -131,7 +134,11 @@ def requests(parts: int):
                         for c, v in zip(columns, values):
                             c.append(v)
                 kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["part", "gid", "w", "nw", "p", "np"])
+                asked = [pa.array(c, t) for c, t in zip(columns, kinds)]
+                del row, words, tokens, train, pairs, pair_counts, columns, values
+                release_memory()
+                yield pa.RecordBatch.from_arrays(asked, ["part", "gid", "w", "nw", "p", "np"])
+                del asked
 
     return apply
 
@@ -159,6 +166,7 @@ def answers(part: pd.DataFrame) -> pd.DataFrame:
     part = part.sort_values("gid")
     words, n, v = _totals([_unpack(b, _U) for b in part["w"]], [_unpack(b, np.uint32) for b in part["nw"]])
     pairs, _, _ = _totals([_unpack(b, _U) for b in part["p"]], [_unpack(b, np.uint32) for b in part["np"]])
+    release_memory()
     return pd.DataFrame({
         "gid": part["gid"].to_numpy(), "part": part["part"].to_numpy(), "cw": [_pack(x) for x in words], "cp": [_pack(x) for x in pairs],
         "n": [n] + [0] * (len(part) - 1), "v": [v] + [0] * (len(part) - 1),
@@ -203,6 +211,8 @@ def joined(n_train: int, n_types: int):
         p1 = c1 / max(n_train - 1, 1)
         cell = (bucket_of(cv) * _SIDE + _grid(p2 / p0)) * _SIDE + _grid(p1 / p0)
         cells, n = np.unique(cell, return_counts=True)
+        del train, pair, before, place, c2, c1, cv, p2, p1, cell
+        release_memory()
         return pd.DataFrame({
             "doc_ids": [row["doc_ids"]], "held": [row["held"]], "bounds": [row["bounds"]], "tokens": [row["tokens"]],
             "end": [int(np.searchsorted(words, END[0]))], "cw": [_pack(cw)], "cp": [_pack(cp)], "cells": [cells], "cell_counts": [n],
@@ -232,6 +242,7 @@ def scored(id_type: pa.DataType, weights: np.ndarray, n_train: int, n_types: int
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
+                release_memory()
                 row = {c: batch.column(c)[i].as_py() for c in ("held", "bounds", "tokens", "end", "cw", "cp")}
                 ids = batch.column("doc_ids")[i].values
                 bounds, tokens = _unpack(row["bounds"], np.int64), _unpack(row["tokens"], np.uint32)

@@ -6,6 +6,7 @@ Texts of an Arrow batch are handled as one UTF-8 byte buffer with row offsets, s
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,16 @@ BLOCK_BYTES = 1 << 16
 _U = np.uint64
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release_memory() -> None:
+    """Gives freed memory back to the system: a reused Python worker otherwise keeps its last task's peak."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply), elementwise; a bijection."""
     x = x.astype(_U, copy=True)
