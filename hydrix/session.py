@@ -16,6 +16,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 _OWN_SCRATCH: dict[int, str] = {}
+#: Spark removes the shuffle files of a finished execution instead of waiting for the driver's collector.
+_SHUFFLE_CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def is_local_master(master: str) -> bool:
@@ -196,11 +198,18 @@ class Scratch:
         return self
 
     def stage(self, df, name: str = "t", keep: bool = False):
-        """Write ``df`` as Parquet, cut its lineage, return the re-read table."""
+        """Write ``df`` as Parquet, cut its lineage, return the re-read table.
+
+        The committed table replaces the write's shuffle files, so Spark deletes them at once.
+        """
         path = scratch_path(self.spark, f"{self.name}-{name}")
         if not keep:
             self._owned.append(path)
-        df.write.mode("overwrite").parquet(path)
+        previous = apply_conf(self.spark, _SHUFFLE_CLEANUP)
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            restore_conf(self.spark, previous)
         table = self.spark.read.schema(df.schema).parquet(path)
         table._scratch_path = path
         return table
