@@ -6,8 +6,8 @@ pooled features into language probabilities.  A text's probabilities are the mea
 windows, so whole texts count whatever their length.
 
 The network is trained in numpy on the driver with Adam, on a bounded sample of labelled rows
-(``SAMPLE_PER_LANG`` texts per language, ``SAMPLE_ROWS`` in all, ``WINDOWS_PER_TEXT`` windows each;
-the smallest seeded hashes).  It is some 25 KB and travels with the task code.  Applying it is a
+(``SAMPLE_PER_LANG`` distinct texts per language, ``SAMPLE_ROWS`` in all, ``WINDOWS_PER_TEXT`` windows
+each; the smallest seeded hashes).  It is some 25 KB and travels with the task code.  Applying it is a
 map over the texts: no shuffle, and rows keep their columns.
 """
 
@@ -141,7 +141,8 @@ def training_sample(
 ) -> DataFrame:
     """``(lang, windows)``: byte windows of a bounded, reproducible sample of the labelled texts.
 
-    The windows lie evenly over a text; only they leave the executors, never whole texts.
+    Copies of a text count once.  The windows lie evenly over a text; only they leave the executors,
+    never whole texts.
     """
     raw = F.col(f"`{text}`").cast("binary")
     size = F.octet_length(raw)
@@ -150,8 +151,9 @@ def training_sample(
     labelled = docs.where(F.col(f"`{lang}`").isNotNull() & (size > 0)).select(
         F.col(f"`{lang}`").alias("lang"), cuts.alias("windows"), F.xxhash64(F.lit(seed), raw).alias("__h")
     )
-    best = Window.partitionBy("lang").orderBy("__h", "windows")  # a rank limit: each task keeps per_lang rows
-    ranked = labelled.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= per_lang)
+    distinct = labelled.groupBy("lang", "__h").agg(F.min("windows").alias("windows"))  # each task sends a text once
+    best = Window.partitionBy("lang").orderBy("__h")  # a rank limit: each task keeps per_lang rows
+    ranked = distinct.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= per_lang)
     return ranked.orderBy("__r", "lang").limit(rows).select("lang", "windows")
 
 
