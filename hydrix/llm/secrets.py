@@ -47,12 +47,12 @@ WEAK_ID = re.compile(
     re.IGNORECASE | re.ASCII,
 )
 WEAK_SECRET = re.compile(
-    r"(?:(?:password|passwd|pwd|pass|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{4,}"
+    r"(?:(?i:password|passwd|pwd|pass|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{4,}"
     r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]*[A-Z])(?=[A-Za-z0-9+/_=-]*[a-z])(?=[A-Za-z0-9+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,})",
     re.ASCII,
 )
 ENDPOINT = re.compile(
-    r"(?:[a-z][a-z0-9+]{1,9}://[A-Za-z0-9][^\s\"'<>]*|(?:host|endpoint|server|url)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9][A-Za-z0-9.-]*(?::[0-9]{2,5})?)",
+    r"(?:[A-Za-z][A-Za-z0-9+]{1,9}://[A-Za-z0-9][^\s\"'<>]*|(?i:host|endpoint|server|url)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9][A-Za-z0-9.-]*(?::[0-9]{2,5})?)",
     re.ASCII,
 )
 #: A text without one of these cannot hold a weak part that links; it saves the three weak scans.

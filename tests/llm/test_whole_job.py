@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hydrix.llm import byte_cnn
+from hydrix.llm import byte_cnn, secrets
 
 
 def test_training_sample_takes_distinct_texts(spark):
@@ -13,3 +13,16 @@ def test_training_sample_takes_distinct_texts(spark):
     got = [(r.lang, bytes(r.windows[0])) for r in byte_cnn.training_sample(copied, per_lang=50).collect()]
     assert len(set(got)) == len(got) == 52
     assert sorted(got) == sorted((r.lang, bytes(r.windows[0])) for r in byte_cnn.training_sample(df, per_lang=50).collect())
+
+
+def test_weak_labels_in_any_case():
+    def kinds(text):
+        return sorted(k for _, _, k in secrets.linked_spans(text, secrets.base_spans(text)))
+
+    every = ["endpoint", "weak_id", "weak_secret"]
+    assert kinds("DB_USER=alice\nDB_PASSWORD=hunter2\nDB_HOST=db.example.org:5432") == every
+    assert kinds("Username: alice Password: hunter2") == ["weak_id", "weak_secret"]
+    assert kinds("Login: alice PWD=abcd HTTPS://db.example.org/x") == every
+    assert kinds("Login: alice Pass=abcd Server: db") == every
+    assert kinds("Password: hunter2") == [] and kinds("HOST=db PASSWORD=abcd") == []
+    assert kinds("login: alice " + "abcdefghij" * 3 + "1") == []  # a long token counts only in mixed case
