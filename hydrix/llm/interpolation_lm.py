@@ -48,6 +48,16 @@ def _unpack(blob: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
 
+def _pack_counts(counts: np.ndarray) -> bytes:
+    """A byte with the item size that all of the counts fit, then the counts packed."""
+    kind = np.min_scalar_type(int(counts.max(initial=0)))
+    return bytes([kind.itemsize]) + _pack(counts.astype(kind))
+
+
+def _unpack_counts(blob: bytes) -> np.ndarray:
+    return _unpack(memoryview(blob)[1:], f"u{blob[0]}").astype(np.int64)
+
+
 def tokenised(id_type: pa.DataType):
     """Groups of whole texts: distinct word fingerprints, tokens as places in them, row bounds."""
 
@@ -155,9 +165,9 @@ def _totals(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.n
     del flat
     first = np.flatnonzero(new)
     sums = np.add.reduceat(n, first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
-    answer = np.empty(len(n), np.uint32)
+    answer = np.empty(len(n), np.int64)
     del n
-    answer[order] = np.repeat(np.minimum(sums, 0xFFFFFFFF).astype(np.uint32), np.diff(np.append(first, len(new))))
+    answer[order] = np.repeat(sums, np.diff(np.append(first, len(new))))
     return np.split(answer, bounds), int(sums.sum()), int(np.count_nonzero(sums))
 
 
@@ -168,7 +178,8 @@ def answers(part: pd.DataFrame) -> pd.DataFrame:
     pairs, _, _ = _totals([_unpack(b, _U) for b in part["p"]], [_unpack(b, np.uint32) for b in part["np"]])
     release_memory()
     return pd.DataFrame({
-        "gid": part["gid"].to_numpy(), "part": part["part"].to_numpy(), "cw": [_pack(x) for x in words], "cp": [_pack(x) for x in pairs],
+        "gid": part["gid"].to_numpy(), "part": part["part"].to_numpy(), "cw": [_pack_counts(x) for x in words],
+        "cp": [_pack_counts(x) for x in pairs],
         "n": [n] + [0] * (len(part) - 1), "v": [v] + [0] * (len(part) - 1),
     })
 
@@ -202,8 +213,8 @@ def joined(n_train: int, n_types: int):
         train, bounds = _train_mask(row)
         pair, before = _pairs(words, tokens, bounds)
         _, place = np.unique(pair, return_inverse=True)
-        cw = np.concatenate([_unpack(b, np.uint32) for b in replies["cw"]])
-        cp = np.concatenate([_unpack(b, np.uint32) for b in replies["cp"]])[place]
+        cw = np.concatenate([_unpack_counts(b) for b in replies["cw"]])
+        cp = np.concatenate([_unpack_counts(b) for b in replies["cp"]])[place]
         # held-out counts: each training token without itself
         c2, c1, cv = (x[train].astype(np.float64) - 1 for x in (cp, cw[tokens], cw[before]))
         p0 = 1 / (n_types + 1)
@@ -215,7 +226,7 @@ def joined(n_train: int, n_types: int):
         release_memory()
         return pd.DataFrame({
             "doc_ids": [row["doc_ids"]], "held": [row["held"]], "bounds": [row["bounds"]], "tokens": [row["tokens"]],
-            "end": [int(np.searchsorted(words, END[0]))], "cw": [_pack(cw)], "cp": [_pack(cp)], "cells": [cells], "cell_counts": [n],
+            "end": [int(np.searchsorted(words, END[0]))], "cw": [_pack_counts(cw)], "cp": [_pack_counts(cp)], "cells": [cells], "cell_counts": [n],
         })
 
     return apply
@@ -246,7 +257,7 @@ def scored(id_type: pa.DataType, weights: np.ndarray, n_train: int, n_types: int
                 row = {c: batch.column(c)[i].as_py() for c in ("held", "bounds", "tokens", "end", "cw", "cp")}
                 ids = batch.column("doc_ids")[i].values
                 bounds, tokens = _unpack(row["bounds"], np.int64), _unpack(row["tokens"], np.uint32)
-                cw, c2 = _unpack(row["cw"], np.uint32).astype(np.float64), _unpack(row["cp"], np.uint32)
+                cw, c2 = _unpack_counts(row["cw"]).astype(np.float64), _unpack_counts(row["cp"])
                 before = np.empty_like(tokens)
                 before[1:] = tokens[:-1]
                 before[bounds[:-1]] = row["end"]

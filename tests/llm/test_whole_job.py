@@ -1,8 +1,14 @@
 """Cases of the review of round 2: what the operators left out before."""
 
+import math
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from hydrix.llm import byte_cnn, secrets
+from hydrix.llm import byte_cnn, interpolation_lm, secrets
 
 
 def test_training_sample_takes_distinct_texts(spark):
@@ -26,3 +32,26 @@ def test_weak_labels_in_any_case():
     assert kinds("Login: alice Pass=abcd Server: db") == every
     assert kinds("Password: hunter2") == [] and kinds("HOST=db PASSWORD=abcd") == []
     assert kinds("login: alice " + "abcdefghij" * 3 + "1") == []  # a long token counts only in mixed case
+
+
+def test_lm_counts_beyond_32_bits():
+    lm = interpolation_lm
+    words = np.sort(np.array([lm.END[0], 12345], np.uint64))
+    end = int(np.searchsorted(words, lm.END[0]))
+    group = {
+        "gid": 0, "doc_ids": [1], "held": np.array([False]).tobytes(), "bounds": lm._pack(np.array([0, 2])),
+        "words": lm._pack(words), "tokens": lm._pack(np.array([1 - end, end], np.uint32)),
+    }
+    columns = {c: pa.array([group[c]]) for c in ("gid", "held", "bounds", "words", "tokens")}
+    (asked,) = lm.requests(1)(iter([pa.RecordBatch.from_pydict(columns)]))
+    many, groups = 0xF0000000, 3  # groups that each hold the text "w" as often
+    part = pd.concat([asked.to_pandas().assign(gid=g, nw=lm._pack(np.full(2, many, np.uint32)), np=lm._pack(np.full(2, many, np.uint32))) for g in range(groups)])
+    replies = lm.answers(part)
+    n, v = int(replies["n"].sum()), int(replies["v"].sum())
+    assert (n, v) == (2 * groups * many, 2)
+    counted = lm.joined(n, v)(pd.DataFrame([group]), replies[replies["gid"] == 0])
+    weights = np.full((lm.BUCKETS, 3), [0.5, 0.25, 0.25])
+    (got,) = lm.scored(pa.int64(), weights, n, v)(iter([pa.RecordBatch.from_pandas(counted, preserve_index=False)]))
+    c = groups * many
+    assert got["base_score"][0].as_py() == pytest.approx(2 * math.log10((c + 0.1) / (n + 0.1 * (v + 1))), rel=1e-12)
+    assert got["score"][0].as_py() == pytest.approx(2 * math.log10(0.5 + 0.25 * c / n + 0.25 / (v + 1)), rel=1e-12)
