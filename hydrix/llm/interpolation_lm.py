@@ -28,8 +28,9 @@ from hydrix.session import Scratch
 
 #: Bytes of text of a group; tokens whose requests one reducer adds up.
 GROUP_BYTES, PART_TOKENS = 6 << 20, 2 << 20
-#: Frequency buckets of contexts; EM grid cells per factor of two, and factors of two covered.
-BUCKETS, STEPS, OCTAVES = 16, 2, 40
+#: Frequency buckets of contexts; EM grid cells per factor of two, and factors of two covered (half of
+#: them above 1: a ratio is at most V + 1 and at least (V + 1) / N, both within 2^64).
+BUCKETS, STEPS, OCTAVES = 16, 2, 128
 EM_ROUNDS, FLOOR = 60, 1e-6
 ADDED = 0.1  # fixed value: the base score's added count
 
@@ -312,7 +313,7 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
         )
         counted = scratch.stage(both, "counted", keep=True)
         grid = counted.select(F.explode(F.arrays_zip("cells", "cell_counts")).alias("c")).groupBy("c.cells").agg(F.sum("c.cell_counts").alias("n"))
-        grid = grid.collect()  # at most BUCKETS x (STEPS x OCTAVES + 1)^2 cells, whatever the corpus
+        grid = grid.collect()  # occupied cells: at most BUCKETS x (STEPS x log2(N) + 2)^2 for N training tokens
     weights = learn_weights(np.array([r["cells"] for r in grid], np.int64), np.array([r["n"] for r in grid], np.int64))
     return counted.drop("cells", "cell_counts").mapInArrow(
         scored(id_type, weights, n_train, n_types),

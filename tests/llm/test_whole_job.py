@@ -55,3 +55,15 @@ def test_lm_counts_beyond_32_bits():
     c = groups * many
     assert got["base_score"][0].as_py() == pytest.approx(2 * math.log10((c + 0.1) / (n + 0.1 * (v + 1))), rel=1e-12)
     assert got["score"][0].as_py() == pytest.approx(2 * math.log10(0.5 + 0.25 * c / n + 0.25 / (v + 1)), rel=1e-12)
+
+
+def test_lm_grid_covers_every_ratio():
+    lm = interpolation_lm
+    ratios = 2.0 ** np.arange(-63.9, 64, 0.31)  # up to V + 1, down to (V + 1) / N
+    assert np.abs(np.log2(lm._ratios(lm._grid(ratios)) / ratios)).max() <= 0.5 / lm.STEPS + 1e-9
+    assert lm._grid(np.array([0.0]))[0] == 0 and lm._grid(ratios).max() < lm._SIDE
+    # pair counts of 16 million types: half of the tokens are sure, half unseen, so the pair weight is 1/2
+    types = 1 << 24
+    cells = ((5 * lm._SIDE + lm._grid(np.array([types, 0.0]))) * lm._SIDE + lm._grid(np.array([1.0, 1.0]))).astype(np.int64)
+    pair, _, _ = lm.learn_weights(cells, np.array([500, 500]))[5]
+    assert pair == pytest.approx(0.5, abs=1e-6)
