@@ -14,6 +14,8 @@ distinct edges before the iterations, each of which is written to the shared scr
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +32,6 @@ RULES = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 DAMPING = 0.85
-ITERATIONS = 15
 TOLERANCE = 1e-6
 THRESHOLD = 0.5
 
@@ -84,15 +85,23 @@ def host_edges(pages: DataFrame, html: str, host: str) -> DataFrame:
     return linked.unionByName(tree).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
+def step_bound(damping: float = DAMPING, tolerance: float = TOLERANCE) -> int:
+    """Steps after which trust and distrust together move less than ``tolerance``, whatever the graph:
+    step k moves at most 2 damping^k of each."""
+    return math.ceil(math.log(tolerance / 4) / math.log(damping)) + 1
+
+
 def propagate(
     edges: DataFrame, seeds: DataFrame, scratch: Scratch, damping: float = DAMPING,
-    iterations: int = ITERATIONS, tolerance: float = TOLERANCE,
+    iterations: int | None = None, tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``(kind, host, score)``: personalised PageRank of every kind of seed over its own edges.
 
     ``edges``: kind, src, dst, n.  ``seeds``: kind, host, seed (summing to 1 per kind).  Stops when a
-    step moves less than ``tolerance`` in all.
+    step moves less than ``tolerance`` in all, which ``step_bound`` steps always reach; fewer
+    ``iterations`` cut that off.
     """
+    iterations = step_bound(damping, tolerance) if iterations is None else iterations
     out = edges.groupBy("kind", "src").agg(F.sum("n").alias("total"))
     flows = scratch.stage(
         edges.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("n") / F.col("total")).alias("share")),
@@ -121,7 +130,7 @@ def propagate(
 
 def judge_urls(
     pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules=RULES,
-    damping: float = DAMPING, iterations: int = ITERATIONS, threshold: float = THRESHOLD,
+    damping: float = DAMPING, iterations: int | None = None, threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row per page: ``key``, host, path, rule, verdict, trust, distrust (its host's scores).
 

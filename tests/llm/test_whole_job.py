@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from hydrix.llm import byte_cnn, interpolation_lm, secrets
+from hydrix.llm import byte_cnn, interpolation_lm, secrets, url_graph
 
 
 def test_training_sample_takes_distinct_texts(spark):
@@ -67,3 +67,12 @@ def test_lm_grid_covers_every_ratio():
     cells = ((5 * lm._SIDE + lm._grid(np.array([types, 0.0]))) * lm._SIDE + lm._grid(np.array([1.0, 1.0]))).astype(np.int64)
     pair, _, _ = lm.learn_weights(cells, np.array([500, 500]))[5]
     assert pair == pytest.approx(0.5, abs=1e-6)
+
+
+def test_url_scores_settle_on_cycles_and_long_chains(spark):
+    link = '<a href="http://{}/">'
+    pages = [(0, "http://a.x.org/", "")] + [(i + 1, f"http://h{i}/", link.format(f"h{i + 1}")) for i in range(20)] + [(21, "http://h20/", "")]
+    rules = (("a.x.org", "/", "allow"), ("h0", "/", "allow"))
+    got = {r.host: r for r in url_graph.judge_urls(spark.createDataFrame(pages, "page_id bigint, url string, html string"), rules=rules).collect()}
+    assert got["a.x.org"].trust == pytest.approx(0.5 * 0.15 / (1 - 0.85**2), abs=1e-5)  # to its parent and back
+    assert got["h20"].trust == pytest.approx(0.5 * 0.15 * 0.85**20, abs=1e-9)
