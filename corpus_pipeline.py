@@ -24,11 +24,14 @@ def _free(docs: DataFrame, name: str) -> str:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts in which no language can be told: null texts and those without any letter.
 
-    The network learns from the labelled rows of this stage's own input; a table without labels has no
-    model, and then every document goes.
+    The network learns from the labelled rows of this stage's own input, but it rejects nothing: which
+    language it predicts, and with what score, does not change the outcome.  A table without labels has
+    no model, and the same texts stay.
     """
     out = _free(docs, "language")
     model = byte_cnn.fit(docs.where(fold("doc_id", 5) != 0))
+    if model is None:
+        return docs.where(byte_cnn.letters(F.col("text")))
     found = byte_cnn.identify(docs, model, out=out)
     return found.where(F.col(f"{out}.lang") != byte_cnn.UNDETERMINED).drop(out)
 

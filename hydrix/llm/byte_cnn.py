@@ -180,6 +180,17 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and (bool(_ASCII_LETTER.search(text)) or any(c.isalpha() for c in text))
 
 
+def letters(text: Column) -> Column:
+    """Boolean column: ``has_letter``, by which ``language`` tells a language from ``und``."""
+
+    @F.arrow_udf("boolean")
+    def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([has_letter(t) for t in texts.to_pylist()], pa.bool_())
+
+    return apply(text)
+
+
 def _windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All windows of the texts and the row of each; a text's last window is padded with zeros."""
     sizes = np.diff(offsets)

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hydrix.llm import byte_cnn, interpolation_lm, secrets, url_graph
 
 
@@ -76,3 +77,10 @@ def test_url_scores_settle_on_cycles_and_long_chains(spark):
     got = {r.host: r for r in url_graph.judge_urls(spark.createDataFrame(pages, "page_id bigint, url string, html string"), rules=rules).collect()}
     assert got["a.x.org"].trust == pytest.approx(0.5 * 0.15 / (1 - 0.85**2), abs=1e-5)  # to its parent and back
     assert got["h20"].trust == pytest.approx(0.5 * 0.15 * 0.85**20, abs=1e-9)
+
+
+def test_unlabelled_texts_with_letters_stay(spark):
+    rows = [(1, "some text", None), (2, "123 --", None), (3, None, None), (4, "é中", None), (5, "", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = corpus_pipeline.language_id(spark, df, "")
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4]
