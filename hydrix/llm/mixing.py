@@ -22,6 +22,7 @@ from hydrix.session import Scratch
 
 # Fixed values of the mixing contract: the word pattern, the repeating weights, the budget and cap.
 WORD = r"[^\x20\x09-\x0D]+"
+BLANKS = r"[\x20\x09-\x0D]*"
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET = 1.5
 MAX_REPEAT = 2.0
@@ -210,8 +211,9 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row per copy that the mix takes of a document.
 
-    A document on a quota's boundary also gives a row with its first words (joined by single blanks).
-    ``n_chars``, where it is a column, follows the text.
+    A document on a quota's boundary (one per source, with each row that repeats it) also gives a row
+    under its own id that is cut after its last taken word: a prefix of the text as it stands, or all of
+    it where every word is taken.  ``n_chars``, where it is a column, follows the text.
     """
     with Scratch(docs.sparkSession, "mix") as scratch:
         _, plan, _ = mix_plan(docs, scratch, key=key, source=source, text=text, seed=seed, **options)
@@ -225,7 +227,9 @@ def mixed_documents(
     whole = (F.coalesce("__plan.copies", F.lit(0)) + F.coalesce(before.cast("long"), F.lit(0))).cast("int")
     words = F.when(F.col("__okey") == F.col("__plan.end_key"), F.col("__plan.end_words")).otherwise(0)
     body = F.col(f"`{text}`")
-    part = F.array_join(F.slice(F.regexp_extract_all(body, F.lit(f"({WORD})")), 1, F.greatest(words, F.lit(1)).cast("int")), " ")
+    pieces = F.regexp_extract_all(body, F.lit(f"({BLANKS}{WORD})"))
+    part = F.array_join(F.slice(pieces, 1, F.greatest(words, F.lit(1)).cast("int")), "")
+    part = F.when(words >= F.size(pieces), body).otherwise(part)
     cut = F.when(F.coalesce(words, F.lit(0)) > 0, F.array(part)).otherwise(F.array().cast("array<string>"))
     has_words = F.regexp_like(body, F.lit(WORD))
     texts = F.when(has_words, F.concat(F.array_repeat(body, whole), cut)).otherwise(F.array().cast("array<string>"))

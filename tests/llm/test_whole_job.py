@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hydrix.llm import byte_cnn, interpolation_lm, secrets, url_graph
+from hydrix.llm import byte_cnn, interpolation_lm, mixing, secrets, url_graph
 
 
 def test_training_sample_takes_distinct_texts(spark):
@@ -84,3 +84,12 @@ def test_unlabelled_texts_with_letters_stay(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     kept = corpus_pipeline.language_id(spark, df, "")
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
+def test_cut_documents_are_prefixes_as_they_stand(spark):
+    texts = {i: f" \t{i}  " + "word \n\n next\tone  " * 40 for i in range(60)}
+    df = spark.createDataFrame([(i, t, "ab"[i % 2]) for i, t in texts.items()], "doc_id bigint, text string, source string")
+    got = mixing.mixed_documents(df).collect()
+    cut = [r for r in got if r.text != texts[r.doc_id]]
+    assert 1 <= len(cut) <= 2 and len({r.source for r in cut}) == len(cut)
+    assert all(texts[r.doc_id].startswith(r.text) and not r.text[-1].isspace() for r in cut)
