@@ -5,7 +5,8 @@ times its source and the excess is reshared by weight (solved at once: sources s
 weight are capped while the remaining budget still fills them).  The budget is then a whole number of
 blocks of ``block`` words, awarded to sources by the highest quotients target / (2 s + 1); cumulative
 apportionments for each output shard give integer quotas per shard (the method is house monotone, so
-they never fall).  Selection: a source's documents form one word stream in a seeded order, cut into
+they never fall).  Only a source's total over all shards reaches the selection: no block or document is
+assigned to a shard here, and ``first_block`` is not used.  Selection: a source's documents form one word stream in a seeded order, cut into
 blocks; its quota takes the first blocks of that stream, wrapping round into a second copy.
 
 Which documents that is needs no sorted source: a histogram over the leading bits of the order key
