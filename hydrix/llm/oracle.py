@@ -1,7 +1,7 @@
 """DuckDB SQL of the training-data queries whose results SQL can express over whole tables.
 
 Each text is written from the contract alone, by a plain method (self joins, recursive reachability,
-row-by-row claims) that shares nothing with the operator it checks.  Three results have no SQL: link
+row-by-row claims) that shares nothing with the operator it checks.  Four results have no SQL: link
 propagation and trained models (``op1``, ``op5``, ``op6``) end in floating sums or trained weights, and
 span positions of a pattern (``op2``) have no function there.
 """
@@ -170,6 +170,81 @@ SELECT doc_id, size, source_size, target, (copies * size + least(size, greatest(
 FROM streams
 """
 
+#: Seed 7; all texts may be cut, half of them with the suffix first.
+_OP11 = """
+WITH lines AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256(concat('7:', doc_id)) AS h,
+           regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS unit
+    FROM documents
+), drawn AS (
+    SELECT *, len(unit) AS n, ('0x' || h[1:8])::BIGINT % (len(unit) + 1) AS r1, ('0x' || h[9:16])::BIGINT % (len(unit) + 1) AS r2,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+                WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM lines
+), parts AS (
+    SELECT *, array_to_string(unit[1 : least(r1, r2)], '') AS p, array_to_string(unit[least(r1, r2) + 1 : greatest(r1, r2)], '') AS m,
+           array_to_string(unit[greatest(r1, r2) + 1 :], '') AS s
+    FROM drawn
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', p, '<S>', s, '<M>', m)
+              ELSE concat('<S>', s, '<P>', p, '<M>', m) END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
+_OP12 = """
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM texts),
+keyed AS (
+    SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM placed
+), shared AS (
+    SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (last IS NOT NULL AND doc_id <> last) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (last IS NULL OR doc_id = last), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared USING (key) GROUP BY doc_id
+"""
+
+
+def _op13(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every assignment compares all entries; a round is a pair of named tables."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""nearest{r} AS MATERIALIZED (
+    SELECT row, p, min({{'d': list_sum(list_transform(list_zip(part, entry), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}}) AS best
+    FROM parts JOIN book{r} USING (p) GROUP BY row, p
+)""")
+        if r < rounds:
+            steps.append(f"""book{r + 1} AS MATERIALIZED (
+    SELECT b.p, b.e, coalesce(m.entry, b.entry) AS entry FROM book{r} b LEFT JOIN (
+        SELECT p, e, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY j) AS entry FROM (
+            SELECT p, best.e AS e, j, sum(part[j]) AS s, count(*) AS n
+            FROM nearest{r} JOIN parts USING (row, p), (SELECT unnest(range(1, max(len(part)) + 1)) AS j FROM parts)
+            GROUP BY ALL) GROUP BY p, e
+    ) m ON m.p = b.p AND m.e = b.e
+)""")
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS row,
+           list_transform(embedding, lambda x: floor(x::DOUBLE * 4096)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT row, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS part FROM kept, range({parts}) t(p)
+), book0 AS MATERIALIZED (SELECT p, row - 1 AS e, part AS entry FROM parts WHERE row <= {entries}),
+{", ".join(steps)},
+codes AS (
+    SELECT row, string_agg(format('{{:02x}}', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM nearest{rounds} GROUP BY row
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN codes USING (row)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_sharding": _OP3,
     "op4_projection_collisions": _OP4,
@@ -177,4 +252,7 @@ ORACLE_SQL: dict[str, str] = {
     "op8_fm_decontam": _OP8,
     "op9_bucket_pointer": _OP9,
     "op10_source_mix": _OP10,
+    "op11_fill_middle": _OP11,
+    "op12_line_dedup": _OP12,
+    "op13_vector_codes": _op13(),
 }

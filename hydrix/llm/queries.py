@@ -15,13 +15,17 @@ from hydrix.llm import (
     bucket_pointer,
     byte_cnn,
     embed_dedup,
+    fill_middle,
     fm_decontam,
+    heavy,
     interpolation_lm,
+    line_dedup,
     minhash_join,
     mixing,
     secrets,
     sharding,
     url_graph,
+    vector_codes,
 )
 from hydrix.llm.oracle import ORACLE_SQL
 
@@ -97,11 +101,35 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", _sha256(F.col("fim.output")).alias("output_sha256"),
+        _sha256(fill_middle.restore_text(F.col("fim.output"), F.col("fim.form"))).alias("restored_sha256"),
+    )
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_shared_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", "lines.n_lines", "lines.n_dropped", _sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256")
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress_vectors(_table(spark, sf_dir, "embeddings"))
+    sums = coded.groupBy("label").agg(F.try_sum("error").alias("label_error"), F.count(F.lit(1)).alias("rows"))
+    found = heavy.join_by_key(coded, sums, ["label"], F.col("rows"), coded.count(), F.col("vec_id"))
+    return found.select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_graph, op2_secret_linking, op3_sharding, op4_projection_collisions, op5_deleted_interpolation,
-        op6_byte_cnn, op7_minhash_join, op8_fm_decontam, op9_bucket_pointer, op10_source_mix,
+        op6_byte_cnn, op7_minhash_join, op8_fm_decontam, op9_bucket_pointer, op10_source_mix, op11_fill_middle, op12_line_dedup, op13_vector_codes,
     )
 }
 
