@@ -21,7 +21,6 @@ import json
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from hydrix.operators.quality import CheckFailed, assert_checks, render_report
 from hydrix.plans.explore import raw_profile
@@ -29,14 +28,14 @@ from hydrix.plans.gates import gold_gate, silver_gate
 from hydrix.plans.gold import GOLD_TABLES, GoldSpec, category_is, status_is
 from hydrix.plans.medallion import (
     SILVER_TABLE,
-    cleaning_report,
     read_bronze,
     run_medallion,
     silver_path_of,
     write_gold,
+    write_silver,
 )
-from hydrix.plans.silver import SilverSpec, build_silver
-from hydrix.sources.files import read_parquet, reads_json, write_parquet
+from hydrix.plans.silver import DEFECTS, NOT_TAKEN, SilverSpec
+from hydrix.sources.files import read_parquet, write_parquet
 
 
 def _predicate(args):
@@ -59,9 +58,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             sp.add_argument("--format", default="jsonl", choices=["jsonl", "pages", "parquet"])
             sp.add_argument("--partitions", type=int, default=None)
             sp.add_argument("--schema", default=None, help="DDL of one raw row; without it JSON is inferred")
-            sp.add_argument("--corrupt-column", default=None, help="keep malformed JSON lines in this column and count them")
+            sp.add_argument("--corrupt-column", default=None, help="malformed JSON lines become rejects, with their text in this column")
             sp.add_argument("--page-col", default=None, help="page number column of landed pages")
             sp.add_argument("--on-malformed", default="raise", choices=["raise", "skip"])
+            sp.add_argument("--reject", default=",".join(NOT_TAKEN),
+                            help=f"comma list of the defects whose rows become rejects: {', '.join(DEFECTS)}")
             sp.add_argument("--start", default=None, help="first day of the sample dates to keep")
             sp.add_argument("--end", default=None, help="last day of the sample dates to keep")
             sp.add_argument("--tie-break", default=None, help="comma list: which row of a duplicate key stays")
@@ -120,18 +121,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             spark, args.bronze, fmt=args.format, partitions=args.partitions, corrupt_column=args.corrupt_column,
             row_schema=spark.createDataFrame([], args.schema).schema if args.schema else None,
             page_col=args.page_col, on_malformed=args.on_malformed,
+            window=(args.start, args.end) if args.start and args.step == "profile" else None,
+        )
+        landing = dict(
+            corrupt_column=args.corrupt_column, reject=tuple(d for d in args.reject.split(",") if d),
             window=(args.start, args.end) if args.start else None,
         )
         silver_spec = SilverSpec(tie_break=tuple(args.tie_break.split(",")) if args.tie_break else None)
         partition_by = tuple(args.partition_by.split(",")) if args.partition_by else None
     if args.step == "silver":
-        if reads_json(bronze):  # parse once; silver and the report then read Parquet
-            bronze = read_parquet(spark, write_parquet(bronze, f"{out}/bronze_landed"))
-        corrupt = args.corrupt_column if args.corrupt_column in bronze.columns else None
-        rows = bronze.filter(F.col(corrupt).isNull()).drop(corrupt) if corrupt else bronze
-        write_parquet(build_silver(rows, silver_spec), silver_path, partition_by=partition_by)
-        report = cleaning_report(bronze, silver_spec, corrupt).first().asDict()
-        report["rows_silver"] = read_parquet(spark, silver_path).count()
+        _, _, report = write_silver(
+            spark, bronze, out, silver_spec, table=args.silver_table, partition_by=partition_by, **landing
+        )
         print(json.dumps(report))
         return 0
     if args.step == "gold":
@@ -153,8 +154,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         try:
             res = run_medallion(
                 spark, bronze, out, predicate=_predicate(args), gold_spec=spec, silver_spec=silver_spec,
-                silver_partition_by=partition_by, silver_table=args.silver_table, corrupt_column=args.corrupt_column,
-                on_failure=args.on_failure,
+                silver_partition_by=partition_by, silver_table=args.silver_table, on_failure=args.on_failure, **landing,
             )
         except CheckFailed as err:
             print(err)

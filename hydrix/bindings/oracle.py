@@ -237,6 +237,7 @@ SELECT CAST(landed + (last <> 2)::INT + ones + 1 AS BIGINT) AS n_pages,
   CAST(n + n0 + coalesce((SELECT n FROM p WHERE page = last AND page <> 2), 0) AS BIGINT) AS n_rows,
   CAST(ones AS BIGINT) AS n_empty_pages, TRUE AS has_last_page, CAST(1 AS BIGINT) AS n_malformed, CAST(last AS BIGINT) AS end_page,
   CAST((last <> 2)::INT + ones AS BIGINT) AS n_repeated_pages, CAST(1 AS BIGINT) AS n_pages_after_end,
+  CAST(0 AS BIGINT) AS n_unnumbered,
   CAST((last > 2)::INT AS BIGINT) AS n_missing_pages FROM t""",
         "silver_window": f"""WITH m0 AS ({_m()}), m AS (SELECT * FROM m0
   WHERE {_sql_date('date_prelevement')} BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'),
@@ -290,6 +291,53 @@ WHERE resultat_valeur_float < 0 OR resultat_valeur_float > 100""",
         "parameter_type_counts": f"{m} SELECT code_type_parametre, count(*) AS count FROM m GROUP BY code_type_parametre",
         "status_counts": f"""{m} SELECT conclusion_conformite_prelevement, count(*) AS count FROM m
 GROUP BY conclusion_conformite_prelevement""",
+    }
+    cut = "event_id % 211 = 0"
+    date, value = _sql_date("date_prelevement"), _sql_parse("resultat_alphanumerique")
+    bad_date = f"(date_prelevement IS NOT NULL AND {date} IS NULL)"
+    unparsed = f"(resultat_alphanumerique IS NOT NULL AND ({value}) IS NULL)"
+    required = "(code_prelevement IS NOT NULL AND libelle_parametre IS NOT NULL AND nom_commune IS NOT NULL)"
+    inside = f"{date} BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'"
+    missing = ", ".join(
+        f"CASE WHEN {cut} OR {c} IS NULL THEN 'missing_{c}' END" for c in ("code_prelevement", "libelle_parametre", "nom_commune")
+    )
+    keys = f"code_prelevement, code_parametre, {date}, CASE WHEN {date} IS NULL THEN date_prelevement END"
+
+    def report(src: str, kept: str, extra: str) -> str:
+        return f"""SELECT count(*) AS rows_raw, count(*) FILTER (WHERE NOT lost AND {unparsed}) AS parse_failures,
+  count(*) FILTER (WHERE NOT lost AND {bad_date}) AS bad_dates, count(*) FILTER (WHERE NOT lost AND {required}) AS rows_required,
+  count(*) FILTER (WHERE NOT ({kept})) - {extra} AS rows_rejected,
+  (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {src} WHERE {kept})) AS rows_silver,
+  count(*) FILTER (WHERE {kept}) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {src} WHERE {kept})) AS duplicates_removed"""
+
+    # a sum of doubles as an exact whole number of 2^-60 (the values have at least two digits before that)
+    unit = "1152921504606846976"
+    exact_mean = lambda c: f"(sum((CAST({c} AS DOUBLE) * {unit})::HUGEINT)::VARCHAR::DOUBLE / {unit}) / count({c})"
+    trend = "SELECT annee, parametre_nom, avg(resultat_valeur_float) AS moyenne_resultat, count(*) AS nb_mesures FROM silver GROUP BY annee, parametre_nom"
+    sql |= {
+        "reject_rows": f"""{m} SELECT * FROM (SELECT CASE WHEN NOT ({cut}) THEN event_id END AS event_id,
+  concat_ws(',', CASE WHEN {cut} THEN 'malformed' END, {missing}, CASE WHEN NOT ({cut}) AND {bad_date} THEN 'bad_date' END,
+            CASE WHEN NOT ({cut}) AND {unparsed} THEN 'unparseable_result' END) AS reasons FROM m) WHERE reasons <> ''""",
+        "reject_kept_rows": f"{m} SELECT * FROM m WHERE NOT ({cut}) AND {required} AND NOT {bad_date} AND NOT {unparsed}",
+        "silver_report": f"""{m}, t AS (SELECT *, {cut} AS lost FROM m)
+{report("t", f"NOT lost AND {required}", "0")}, count(*) FILTER (WHERE lost) AS rows_malformed FROM t""",
+        "silver_window_report": f"""{m}, t AS (SELECT *, FALSE AS lost, {required} AND {date} IS NOT NULL AND NOT {inside} AS outside FROM m)
+{report("t", f"coalesce({required} AND {inside}, FALSE)", "count(*) FILTER (WHERE outside)")},
+  count(*) FILTER (WHERE outside) AS rows_outside FROM t""",
+        "window_counts": f"""{m} SELECT count(*) AS rows_raw, count(*) FILTER (WHERE {inside}) AS rows_inside,
+  count(*) FILTER (WHERE NOT ({inside})) AS rows_outside, count(*) FILTER (WHERE date_prelevement IS NULL) AS rows_without_date,
+  count(*) FILTER (WHERE {bad_date}) AS bad_dates FROM m""",
+        "paged_json_stats_unnumbered": f"""WITH p AS (SELECT event_id // {PAGE_SIZE} AS page, count(*) AS n FROM events GROUP BY 1)
+SELECT count(*) AS n_pages, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_empty_pages, TRUE AS has_last_page,
+  CAST(0 AS BIGINT) AS n_malformed, CAST(max(CASE WHEN page <> 1 THEN page END) FILTER (WHERE page = (SELECT max(page) FROM p)) AS BIGINT) AS end_page,
+  CAST(0 AS BIGINT) AS n_repeated_pages, CAST(0 AS BIGINT) AS n_pages_after_end, count(*) FILTER (WHERE page = 1) AS n_unnumbered,
+  CAST(0 AS BIGINT) AS n_missing_pages FROM p""",
+        "gold_trend_exact": f"{silver_src} {trend}",
+        "gold_onepass_trend_exact": f"{silver_src} {trend}",
+        "numeric_extremes_exact": f"{m} SELECT min(resultat_numerique) AS min, max(resultat_numerique) AS max, {exact_mean('resultat_numerique')} AS avg FROM m",
+        "describe_numeric_exact": f"""{m} SELECT 'resultat_numerique' AS column_name, count(resultat_numerique) AS n,
+  {exact_mean('resultat_numerique')} AS mean, min(resultat_numerique) AS min, max(resultat_numerique) AS max FROM m
+UNION ALL SELECT 'event_id', count(event_id), avg(event_id), CAST(min(event_id) AS DOUBLE), CAST(max(event_id) AS DOUBLE) FROM m""",
     }
     return sql
 

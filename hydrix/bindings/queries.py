@@ -39,12 +39,22 @@ from hydrix.operators.metrics import (
     worst_k,
     yearly_trend,
 )
+from hydrix.operators.rejects import write_split
 from hydrix.operators.profile import describe_numeric, null_profile, numeric_extremes
 from hydrix.plans.explore import raw_profile
 from hydrix.plans.gates import gold_gate, silver_gate, source_silver_checks
-from hydrix.plans.gold import build_gold, category_is, gold_aggregate, split_gold, status_is
-from hydrix.plans.medallion import read_bronze
-from hydrix.plans.silver import BAD_DATE, DEFAULT_RENAMES, bad_date, build_silver, clean
+from hydrix.plans.gold import GoldSpec, build_gold, category_is, gold_aggregate, split_gold, status_is
+from hydrix.plans.medallion import read_bronze, write_silver
+from hydrix.plans.silver import (
+    BAD_DATE,
+    DEFAULT_RENAMES,
+    DEFECTS,
+    bad_date,
+    build_silver,
+    clean,
+    reject_rules,
+    window_counts,
+)
 from hydrix.session import scratch_path, stage
 from hydrix.sources.files import read_json, read_parquet, write_json, write_parquet, written_counts
 from hydrix.sources.paged import page_rows, page_stats, read_pages, write_pages
@@ -362,6 +372,80 @@ def q_status_counts(spark, sf_dir):
     return value_counts(m_view(spark, sf_dir), "conclusion_conformite_prelevement", sort=False)
 
 
+def _landing_lines(spark, sf_dir):
+    """M as landed JSON lines, of which some were cut short; the cut ones are kept in ``_corrupt_record``."""
+    m = m_view(spark, sf_dir)
+    line = F.to_json(F.struct(*m.columns))
+    cut = F.when(F.col("event_id") % 211 == 0, F.substring(line, 1, 40)).otherwise(line)
+    path = scratch_path(spark, "cut-lines")
+    m.select(cut.alias("value")).write.text(path)
+    return read_bronze(spark, path, row_schema=m.schema, corrupt_column="_corrupt_record")
+
+
+def _split_all_defects(spark, sf_dir):
+    rules = reject_rules(SILVER_SPEC, drop=DEFECTS, corrupt_column="_corrupt_record")
+    return write_split(_landing_lines(spark, sf_dir), scratch_path(spark, "split"), rules)
+
+
+def q_reject_rows(spark, sf_dir):
+    """The written rejects, with the codes of all their defects."""
+    return _split_all_defects(spark, sf_dir).rejects.select("event_id", F.array_join("reject_reasons", ",").alias("reasons"))
+
+
+def q_reject_kept_rows(spark, sf_dir):
+    """The rows without any defect; with the rejects they are all rows of the landing."""
+    return _split_all_defects(spark, sf_dir).kept.drop("_corrupt_record")
+
+
+def q_silver_report(spark, sf_dir):
+    """The cleaning report observed in the writes of silver and the rejects."""
+    _, _, report = write_silver(
+        spark, _landing_lines(spark, sf_dir), scratch_path(spark, "report"), SILVER_SPEC, corrupt_column="_corrupt_record"
+    )
+    return spark.createDataFrame([report], ", ".join(f"{k} long" for k in sorted(report)))
+
+
+def q_silver_window_report(spark, sf_dir):
+    """S3: what a date window keeps, leaves out and cannot place, from the writes."""
+    bronze = read_parquet(spark, write_parquet(m_view(spark, sf_dir), scratch_path(spark, "bronze-window")))
+    _, _, report = write_silver(spark, bronze, scratch_path(spark, "window-report"), SILVER_SPEC, window=WINDOW)
+    return spark.createDataFrame([report], ", ".join(f"{k} long" for k in sorted(report)))
+
+
+def q_window_counts(spark, sf_dir):
+    return window_counts(m_view(spark, sf_dir), WINDOW, SILVER_SPEC)
+
+
+def q_paged_json_stats_unnumbered(spark, sf_dir):
+    """S2 on a landing whose page 1 lost its number."""
+    m = m_view(spark, sf_dir)
+    path = write_pages(m, scratch_path(spark, "pages-unnumbered"), PAGE_SIZE, "event_id", with_page=True)
+    pages = read_pages(spark, path, m.schema, with_page=True)
+    return page_stats(pages.withColumn("page", F.when(F.col("page") != 1, F.col("page"))), page_col="page")
+
+
+EXACT_SPEC = GoldSpec(exact_means=True)
+
+
+def q_gold_trend_exact(spark, sf_dir):
+    """A3 with exact sums, unrounded."""
+    return build_gold(silver_m(spark, sf_dir), category_is(), EXACT_SPEC)["evolution_temporelle"]
+
+
+def q_gold_onepass_trend_exact(spark, sf_dir):
+    return split_gold(gold_aggregate(silver_m(spark, sf_dir), status_is(STATUS_OK), EXACT_SPEC), EXACT_SPEC)["evolution_temporelle"]
+
+
+def q_numeric_extremes_exact(spark, sf_dir):
+    """A7 with an exact sum, unrounded."""
+    return numeric_extremes(m_view(spark, sf_dir), "resultat_numerique", exact=True)
+
+
+def q_describe_numeric_exact(spark, sf_dir):
+    """A8's means with exact sums, unrounded; the deviation is left out (it stays a floating sum)."""
+    return describe_numeric(m_view(spark, sf_dir), exact=True).drop("stddev")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -20,6 +20,7 @@ from hydrix.operators.metrics import (
     yearly_trend,
 )
 from hydrix.operators.profile import describe_numeric, null_profile, numeric_extremes, row_count
+from hydrix.operators.rejects import RejectRule, observed, reject_reasons, split_rejects, write_split
 from hydrix.operators.quality import (
     aggregate_consistency,
     assert_checks,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hydrix._util import as_col, as_list, require_columns, require_nonempty
 from hydrix.functions.arith import count_true, ratio
+from hydrix.functions.exact import kind_of, mean_of, state_columns
 
 # Output names of the gold tables.
 TOTAL = "total_tests"
@@ -66,15 +67,26 @@ def yearly_trend(
     mean: str = MEAN,
     count: str = N_MEASURES,
     round_digits: int | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """Per (period, group): mean of ``value`` (NULLs skipped) and row count (NULLs included).
 
-    A NULL period is its own group.  ``round_digits`` rounds the mean (useful for stable output).
+    A NULL period is its own group.  ``round_digits`` rounds the mean.  ``exact`` sums exactly (see
+    ``functions.exact``), so that the mean has the same bits under any partitioning.
     """
     group = as_list(group) if isinstance(group, str) else list(group)
     if isinstance(value, str):
         require_columns(df, [value], "value column")
     avg = F.avg(as_col(value))
+    if exact:
+        kind = kind_of(df.select(as_col(value)).schema[0].dataType)
+        names = [period, *group]
+        sums = df.groupBy(*_group_exprs(df, names)).agg(
+            *state_columns(as_col(value), "_x", kind), F.count(F.lit(1)).alias(count)
+        )
+        avg = mean_of("_x", kind)
+        avg = avg if round_digits is None else F.round(avg, round_digits)
+        return sums.select(*sums.columns[: len(names)], avg.alias(mean), count)
     if round_digits is not None:
         avg = F.round(avg, round_digits)
     return df.groupBy(*_group_exprs(df, [period, *group])).agg(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hydrix._util import as_list, require_columns
 from hydrix.functions.arith import percentage
+from hydrix.functions.exact import kind_of, mean_of, state_columns
 from hydrix.operators.columns import numeric_columns
 
 
@@ -32,11 +33,17 @@ def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def numeric_extremes(df: DataFrame, col: str, *, digits: int | None = None) -> DataFrame:
-    """One row: ``min``, ``max``, ``avg`` of ``col`` (NULLs skipped)."""
+def numeric_extremes(df: DataFrame, col: str, *, digits: int | None = None, exact: bool = False) -> DataFrame:
+    """One row: ``min``, ``max``, ``avg`` of ``col`` (NULLs skipped).
+
+    ``exact`` gives a mean whose bits do not depend on the partitioning (``functions.exact``)."""
     require_columns(df, [col])
     _require_numeric(df, [col])
     c = F.col(col)
+    if exact:
+        kind = kind_of(df.schema[col].dataType)
+        sums = df.agg(F.min(c).cast("double").alias("_lo"), F.max(c).cast("double").alias("_hi"), *state_columns(c, "_x", kind))
+        return sums.select(_r(F.col("_lo"), digits).alias("min"), _r(F.col("_hi"), digits).alias("max"), _r(mean_of("_x", kind), digits).alias("avg"))
     return df.agg(
         _r(F.min(c).cast("double"), digits).alias("min"),
         _r(F.max(c).cast("double"), digits).alias("max"),
@@ -44,11 +51,14 @@ def numeric_extremes(df: DataFrame, col: str, *, digits: int | None = None) -> D
     )
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, *, digits: int | None = None) -> DataFrame:
+def describe_numeric(
+    df: DataFrame, cols: Sequence[str] | None = None, *, digits: int | None = None, exact: bool = False
+) -> DataFrame:
     """Long form ``(column_name, n, mean, stddev, min, max)``, one row per numeric column.
 
     ``cols`` defaults to every numeric column.  ``n`` counts non-NULL values; ``stddev`` is the
-    sample standard deviation (NULL for fewer than two values).
+    sample standard deviation (NULL for fewer than two values).  ``exact`` gives means whose bits do not
+    depend on the partitioning (``functions.exact``); the deviation stays a floating sum.
     """
     cols = numeric_columns(df) if cols is None else as_list(cols)
     require_columns(df, cols)
@@ -58,9 +68,10 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, *, digits
     aggs, rows = [], []
     for i, name in enumerate(cols):
         c = F.col(name).cast("double")
+        kind = kind_of(df.schema[name].dataType) if exact else None
+        aggs += state_columns(F.col(name), f"m{i}", kind) if exact else [_r(F.avg(c), digits).alias(f"m{i}")]
         aggs += [
             F.count(c).alias(f"n{i}"),
-            _r(F.avg(c), digits).alias(f"m{i}"),
             _r(F.stddev_samp(c), digits).alias(f"s{i}"),
             F.min(c).alias(f"lo{i}"),
             F.max(c).alias(f"hi{i}"),
@@ -69,7 +80,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None, *, digits
             F.struct(
                 F.lit(name).alias("column_name"),
                 F.col(f"n{i}").alias("n"),
-                F.col(f"m{i}").alias("mean"),
+                (_r(mean_of(f"m{i}", kind), digits) if exact else F.col(f"m{i}")).alias("mean"),
                 F.col(f"s{i}").alias("stddev"),
                 F.col(f"lo{i}").alias("min"),
                 F.col(f"hi{i}").alias("max"),

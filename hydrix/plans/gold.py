@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hydrix.functions.arith import count_true, ratio
+from hydrix.functions.exact import kind_of, mean_of, state_columns, state_names
 from hydrix.operators.metrics import (
     KO,
     MEAN,
@@ -58,6 +59,8 @@ class GoldSpec:
     value_col: str = "resultat_valeur_float"
     k: int = 10
     trend_round: int | None = None
+    #: means whose bits do not depend on the order of the rows (``functions.exact``)
+    exact_means: bool = False
 
 
 def gold_conformity(silver: DataFrame, predicate: Column, spec: GoldSpec = GoldSpec()) -> DataFrame:
@@ -66,7 +69,8 @@ def gold_conformity(silver: DataFrame, predicate: Column, spec: GoldSpec = GoldS
 
 def gold_trend(silver: DataFrame, spec: GoldSpec = GoldSpec()) -> DataFrame:
     return yearly_trend(
-        silver, spec.year_col, [spec.parameter_col], spec.value_col, round_digits=spec.trend_round
+        silver, spec.year_col, [spec.parameter_col], spec.value_col, round_digits=spec.trend_round,
+        exact=spec.exact_means,
     )
 
 
@@ -120,13 +124,16 @@ def gold_aggregate(silver: DataFrame, predicate: Column, spec: GoldSpec = GoldSp
     for g in tables.values():
         if g not in sets:
             sets.append(g)
-    return silver.groupingSets(sets, *cols).agg(
+    kind = kind_of(silver.schema[spec.value_col].dataType) if spec.exact_means else None
+    value = F.col(spec.value_col)
+    out = silver.groupingSets(sets, *cols).agg(
         F.count(F.lit(1)).alias("_n"),
         count_true(predicate).alias("_ok"),
         count_true(~predicate).alias("_ko"),
-        F.avg(F.col(spec.value_col)).alias("_mean"),
+        *(state_columns(value, "_mean", kind) if kind else [F.avg(value).alias("_mean")]),
         F.grouping_id().alias("_gid"),
     )
+    return out.withColumn("_mean", mean_of("_mean", kind)).drop(*state_names("_mean", kind)) if kind else out
 
 
 def split_gold(agg: DataFrame, spec: GoldSpec = GoldSpec()) -> dict[str, DataFrame]:

@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from hydrix._util import require_columns
 from hydrix.functions.categories import DEFAULT_CATEGORY, DEFAULT_RULES, Rule, categorize
-from hydrix.functions.dates import parse_date, year_of
+from hydrix.functions.dates import in_window, parse_date, year_of
 from hydrix.functions.measures import parse_measurement
 from hydrix.operators.columns import require_fields
 from hydrix.operators.dedup import dedup_keys, orderable_columns
+from hydrix.operators.rejects import RejectRule
 
 # Source column names, the renames and the derived column names of the silver table.
 DEFAULT_RENAMES = {
@@ -82,6 +83,59 @@ def bad_date(spec: SilverSpec = SilverSpec()) -> Column:
     return F.when(F.col(spec.clean_date_col).isNull(), F.col(raw))
 
 
+# Defects of a raw row, by family.
+MALFORMED, MISSING, DATE, RESULT = "malformed", "missing", "bad_date", "unparseable"
+DEFECTS = (MALFORMED, MISSING, DATE, RESULT)
+#: What silver never takes; the other defects leave a NULL in the row.
+NOT_TAKEN = (MALFORMED, MISSING)
+
+
+def reject_rules(
+    spec: SilverSpec = SilverSpec(),
+    *,
+    drop: Sequence[str] = NOT_TAKEN,
+    corrupt_column: str | None = None,
+    windowed: bool = False,
+) -> list[RejectRule]:
+    """The defects of raw rows as rules: ``malformed`` (text in ``corrupt_column``), ``missing_<field>`` of every
+    required field, ``bad_date`` and ``unparseable_result`` (text that does not parse).
+
+    ``drop`` names the families whose rows are rejected.  Under a date window (``windowed``) a row without a
+    readable date cannot be placed, so ``bad_date`` and ``missing_<date>`` always reject.
+    """
+    unknown = sorted(set(drop) - set(DEFECTS))
+    if unknown:
+        raise ValueError(f"unknown defects {unknown}; known: {DEFECTS}")
+    raw_name = {new: old for old, new in spec.renames.items()}
+    rules = []
+    if corrupt_column is not None:
+        rules.append(RejectRule("malformed", F.col(corrupt_column).isNotNull(), MALFORMED in drop))
+    fields = [raw_name.get(c, c) for c in spec.required]
+    rules += [RejectRule(f"missing_{c}", F.col(c).isNull(), MISSING in drop) for c in fields]
+    date, result = F.col(spec.date_col), F.col(spec.result_col)
+    if windowed and spec.date_col not in fields:
+        rules.append(RejectRule(f"missing_{spec.date_col}", date.isNull()))
+    rules.append(RejectRule("bad_date", date.isNotNull() & parse_date(date).isNull(), windowed or DATE in drop))
+    unparsed = result.isNotNull() & parse_measurement(result, spec.censored).isNull()
+    if spec.censored == "null":  # a detection limit that is set aside did parse
+        unparsed = result.isNotNull() & parse_measurement(result).isNull()
+    rules.append(RejectRule("unparseable_result", unparsed, RESULT in drop))
+    return rules
+
+
+def window_counts(raw: DataFrame, window: tuple[str, str], spec: SilverSpec = SilverSpec()) -> DataFrame:
+    """One row: rows inside and outside a date window, and rows that cannot be placed (no date, a bad date)."""
+    require_columns(raw, [spec.date_col])
+    text, day = F.col(spec.date_col), parse_date(spec.date_col)
+    return raw.agg(
+        F.count(F.lit(1)).alias("rows_raw"),
+        F.count_if(in_window(day, *window)).alias("rows_inside"),
+        F.count_if(~in_window(day, *window)).alias("rows_outside"),
+        F.count_if(text.isNull()).alias("rows_without_date"),
+        F.count_if(text.isNotNull() & day.isNull()).alias("bad_dates"),
+    )
+
+
 def build_silver(raw: DataFrame, spec: SilverSpec = SilverSpec()) -> DataFrame:
     """Steps 1-6.  The only shuffle is the keyed dedup (hash exchange on ``spec.dedup_keys``).
 

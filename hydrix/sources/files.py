@@ -4,6 +4,8 @@
 * ``read_parquet`` / ``read_json`` take a missing-input policy: ``raise`` (default) or ``skip``
   (returns ``None``); it works on any Hadoop file system because it relies on Spark's own
   ``PATH_NOT_FOUND`` error rather than a local ``os.path`` test.
+* A JSON record that does not parse stops the job unless the caller skips such records or keeps them in a
+  column: it never becomes a row of NULLs.
 * ``write_parquet`` / ``write_json`` overwrite whole directories and refuse to overwrite a path that
   the DataFrame itself reads from (Spark would delete the input before reading it); paths are compared
   as their file system qualifies them, by the plan's root paths.
@@ -15,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from hydrix._util import as_list
@@ -41,6 +44,31 @@ def _read(reader, path: str, fmt: str, on_missing: str) -> DataFrame | None:
 
 
 JSON_MODES = ("PERMISSIVE", "FAILFAST", "DROPMALFORMED")
+#: Column of the text of records that do not parse, unless another is named.
+CORRUPT_RECORD = "_corrupt_record"
+ON_MALFORMED = ("raise", "skip")
+
+
+#: A field that no record has.  Spark refuses to read the corrupt text alone (a bare count), and a data column
+#: beside it would let a later not-null filter on that column hide the record.
+_PROBE = "_hydrix_probe"
+
+
+def only_parsed(df: DataFrame, column: str, on_malformed: str = "raise", what: str = "JSON record") -> DataFrame:
+    """The records that parsed, without ``column`` (the text of those that did not).
+
+    ``raise`` fails the job on the first other one, ``skip`` leaves it out.
+    """
+    if on_malformed not in ON_MALFORMED:
+        raise ValueError(f"on_malformed must be one of {ON_MALFORMED}, got {on_malformed!r}")
+    bad = F.col(column).isNotNull()
+    probe = F.col(_PROBE) if _PROBE in df.columns else F.lit(None).cast("string")
+    if on_malformed == "skip":
+        good = ~bad & probe.isNull()
+    else:
+        text = F.concat(F.lit(f"malformed {what}: "), F.substring(column, 1, 200), F.coalesce(probe, F.lit("")))
+        good = F.when(bad, F.raise_error(text).cast("boolean")).otherwise(True)
+    return df.filter(good).drop(column, _PROBE)
 
 
 def read_json(
@@ -52,27 +80,35 @@ def read_json(
     on_missing: str = "raise",
     mode: str = "PERMISSIVE",
     corrupt_column: str | None = None,
+    on_malformed: str = "raise",
 ) -> DataFrame | None:
     """JSON Lines (or ``multiline`` documents).
 
-    With no schema, Spark infers one (an extra pass) and malformed lines land in ``_corrupt_record``.
-    With a declared schema, pass ``corrupt_column`` to keep malformed lines visible in that string
-    column (otherwise PERMISSIVE mode turns them into all-NULL rows), or ``mode="FAILFAST"`` to stop
-    on the first one.
+    With no schema, Spark infers one (an extra pass) and malformed records show in ``_corrupt_record``.  With a
+    declared schema, a record that does not parse, or does not fit its types, stops the job
+    (``on_malformed="raise"``) or is left out (``"skip"``).  ``corrupt_column`` keeps such records as rows instead, with their text in
+    that string column.  ``mode="FAILFAST"`` or ``"DROPMALFORMED"`` leaves the decision to Spark's reader.
+    A query that reads few columns judges records by those columns and their syntax.
     """
     if mode not in JSON_MODES:
         raise ValueError(f"mode must be one of {JSON_MODES}, got {mode!r}")
+    if on_malformed not in ON_MALFORMED:
+        raise ValueError(f"on_malformed must be one of {ON_MALFORMED}, got {on_malformed!r}")
     reader = spark.read.option("multiLine", multiline).option("mode", mode)
+    column, keep = corrupt_column or CORRUPT_RECORD, corrupt_column is not None or schema is None or mode != "PERMISSIVE"
     if schema is not None:
-        if corrupt_column is not None:
-            if isinstance(schema, str):
-                schema = StructType.fromDDL(schema) if hasattr(StructType, "fromDDL") else _ddl(spark, schema)
-            if corrupt_column not in schema.fieldNames():
-                schema = StructType(schema.fields + [StructField(corrupt_column, StringType())])
+        if isinstance(schema, str):
+            schema = StructType.fromDDL(schema) if hasattr(StructType, "fromDDL") else _ddl(spark, schema)
+        if column in schema.fieldNames():
+            keep = True  # the caller's schema asks for the column
+        elif mode == "PERMISSIVE" or corrupt_column is not None:
+            probe = [] if keep else [StructField(_PROBE, StringType())]
+            schema = StructType([*schema.fields, StructField(column, StringType()), *probe])
         reader = reader.schema(schema)
-    if corrupt_column is not None:
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return _read(reader, path, "json", on_missing)
+    df = _read(reader.option("columnNameOfCorruptRecord", column), path, "json", on_missing)
+    if df is None or keep:
+        return df
+    return only_parsed(df, column, on_malformed)
 
 
 def _ddl(spark: SparkSession, ddl: str) -> StructType:
@@ -120,16 +156,16 @@ def guard_not_input(df: DataFrame, path: str) -> None:
 
 
 def write_parquet(
-    df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: Sequence[str] | None = None
+    df: DataFrame, path: str, *, mode: str = "overwrite", partition_by: Sequence[str] | None = None, rebalance: bool = True
 ) -> str:
     """Write ``df`` as a Parquet directory; returns ``path``.
 
-    With ``partition_by`` the rows are rebalanced on those columns first: a partition value gets few
-    files, and adaptive execution splits the large values over several tasks.
+    With ``partition_by`` the rows are rebalanced on those columns first (unless the caller did so): a
+    partition value gets few files, and adaptive execution splits the large values over several tasks.
     """
     if mode == "overwrite":
         guard_not_input(df, path)
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *as_list(partition_by))
     writer = df.write.mode(mode)
     if partition_by:

@@ -9,8 +9,9 @@ pages are landed as files (one envelope per line, or one pretty-printed document
   follows the source's paging rules: one envelope per page number (a re-requested page is read
   once), and nothing after the first page that is empty or has no ``next`` link (``crawl_pages``).
 * ``page_stats`` -- page and row totals, empty and malformed pages, and whether the last page (no
-  ``next``) is there; with page numbers also the end page, repeated, missing and late pages.
+  ``next``) is there; with page numbers also the end page, repeated, missing, unnumbered and late pages.
 * a malformed envelope stops the job or, if the caller says so, is skipped; it never counts as a page.
+* where page numbers decide, so does an envelope without one: its place in the crawl cannot be known.
 * ``write_pages`` -- lands a table as page envelopes (pages of ``page_size`` consecutive key values);
   used to build fixtures and to re-page data.
 
@@ -26,12 +27,11 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 
 from hydrix._util import require_columns
 from hydrix.session import stage
-from hydrix.sources.files import read_json, write_json
+from hydrix.sources.files import ON_MALFORMED, only_parsed, read_json, write_json
 
 DATA, NEXT, PAGE = "data", "next", "page"
 #: Text of an envelope that does not parse; NULL in a good one.
 CORRUPT = "_corrupt_page"
-ON_MALFORMED = ("raise", "skip")
 
 
 def envelope_schema(row_schema: StructType, with_page: bool = False, corrupt: bool = False) -> StructType:
@@ -65,14 +65,20 @@ def _malformed(pages: DataFrame) -> Column:
 def well_formed(pages: DataFrame, on_malformed: str = "raise") -> DataFrame:
     """The envelopes that parsed.  ``raise`` fails the job on the first other one, ``skip`` leaves it
     out (``page_stats`` counts them)."""
+    if CORRUPT in pages.columns:
+        return only_parsed(pages, CORRUPT, on_malformed, "page envelope")
     if on_malformed not in ON_MALFORMED:
         raise ValueError(f"on_malformed must be one of {ON_MALFORMED}, got {on_malformed!r}")
-    if CORRUPT not in pages.columns:
-        return pages
+    return pages
+
+
+def numbered(pages: DataFrame, page_col: str = PAGE, on_malformed: str = "raise") -> DataFrame:
+    """The envelopes with a page number.  ``raise`` fails the job on the first other one, ``skip`` leaves
+    it out (``page_stats`` counts them)."""
     if on_malformed == "skip":
-        return pages.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    text = F.concat(F.lit("malformed page envelope: "), F.substring(CORRUPT, 1, 200))
-    return pages.filter(F.when(F.col(CORRUPT).isNotNull(), F.raise_error(text).cast("boolean")).otherwise(True)).drop(CORRUPT)
+        return pages.filter(F.col(page_col).isNotNull())
+    text = F.concat(F.lit("page envelope without a number, rows: "), _size().cast("string"))
+    return pages.filter(F.when(F.col(page_col).isNull(), F.raise_error(text).cast("boolean")).otherwise(True))
 
 
 def _size(data: str = DATA):
@@ -98,7 +104,7 @@ def _page_index(pages: DataFrame, page_col: str) -> tuple[DataFrame, Column]:
         F.sum(F.when(~F.col("_copy.has_next"), F.col("_same")).otherwise(0)).alias("_last"),
     )
     index = index.select("_page", F.col("_best._copy").alias("_copy"), F.col("_best._same").alias("_same"), "_copies", "_rows", "_empty", "_last")
-    ends = (F.col("_copy.n") == 0) | ~F.col("_copy.has_next")
+    ends = ((F.col("_copy.n") == 0) | ~F.col("_copy.has_next")) & F.col("_page").isNotNull()
     return index, index.filter(ends).select(F.min("_page")).scalar()
 
 
@@ -109,14 +115,15 @@ def crawl_pages(
 
     One envelope per page number (see ``_page_index`` for the copy that counts).  Pages after the end
     page -- the first whose chosen copy is empty or has no ``next`` -- are dropped; if none has landed
-    yet, every page is kept.  Pass ``end_page`` if the landing step already knows it.
+    yet, every page is kept.  Pass ``end_page`` if the landing step already knows it.  An envelope without
+    a page number is malformed here: it stops the job, or is skipped if the caller says so.
 
     Page numbers, sizes and hashes decide first; the pages themselves stay where they were read, and
     only the numbers that landed more than once (a list that is left to Spark's size check) are joined
     and made single.
     """
     require_columns(pages, [DATA, NEXT, page_col])
-    pages = well_formed(pages, on_malformed)
+    pages = numbered(well_formed(pages, on_malformed), page_col, on_malformed)
     index, found_end = _page_index(pages, page_col)
     end = F.lit(int(end_page)) if end_page is not None else found_end
     kept = pages.filter(end.isNull() | (F.col(page_col) <= end))
@@ -141,9 +148,10 @@ def page_rows(pages: DataFrame, page_col: str | None = None, *, on_malformed: st
 def page_stats(pages: DataFrame, page_col: str | None = None) -> DataFrame:
     """One row: ``n_pages``, ``n_rows``, ``n_empty_pages``, ``has_last_page``, ``n_malformed``; with
     ``page_col`` also ``end_page`` (first page whose chosen copy is empty or link-less),
-    ``n_repeated_pages``, ``n_pages_after_end`` and ``n_missing_pages`` (numbers between the first and
-    the end page, or the highest one, that did not land).  A malformed envelope counts in
-    ``n_malformed`` only."""
+    ``n_repeated_pages``, ``n_pages_after_end``, ``n_unnumbered`` (envelopes without a page number: they count
+    in the page and row totals, but cannot be placed) and ``n_missing_pages`` (numbers between the first and
+    the end page, or the highest one, that no landed page accounts for: an unnumbered page may be any of
+    them).  A malformed envelope counts in ``n_malformed`` only."""
     require_columns(pages, [DATA, NEXT] + ([page_col] if page_col else []))
     bad = _malformed(pages)
     if page_col is None:
@@ -159,6 +167,9 @@ def page_stats(pages: DataFrame, page_col: str | None = None) -> DataFrame:
     index, end = _page_index(pages.filter(~bad), page_col)
     inside = (end.isNull() | (F.col("_page") <= end)) & F.col("_page").isNotNull()
     first, last = F.min("_page"), F.coalesce(end, F.max("_page"))
+    known = F.col("_page").isNotNull()
+    unnumbered = F.coalesce(F.sum(F.when(~known, F.col("_copies"))), F.lit(0)).cast("long")
+    gaps = F.coalesce(last - first + 1 - F.count_if(inside), F.lit(0))
     return index.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).cast("long").alias("n_pages"),
         F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("n_rows"),
@@ -166,9 +177,10 @@ def page_stats(pages: DataFrame, page_col: str | None = None) -> DataFrame:
         (F.coalesce(F.sum("_last"), F.lit(0)) > 0).alias("has_last_page"),
         malformed.alias("n_malformed"),
         end.alias("end_page"),
-        F.coalesce(F.sum("_copies") - F.count(F.lit(1)), F.lit(0)).cast("long").alias("n_repeated_pages"),
+        F.coalesce(F.sum(F.when(known, F.col("_copies") - 1)), F.lit(0)).cast("long").alias("n_repeated_pages"),
         F.count_if(F.col("_page") > end).alias("n_pages_after_end"),
-        F.coalesce(last - first + 1 - F.count_if(inside), F.lit(0)).cast("long").alias("n_missing_pages"),
+        unnumbered.alias("n_unnumbered"),
+        F.greatest(gaps - unnumbered, F.lit(0)).cast("long").alias("n_missing_pages"),
     )
 
 

@@ -1,0 +1,80 @@
+"""Exact sums: equal bits under any partitioning, against Python's exact arithmetic."""
+
+import math
+import random
+import struct
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from hydrix.functions.exact import kind_of, mean_of, merged_columns, state_columns, total_of
+
+f32 = lambda x: struct.unpack("f", struct.pack("f", x))[0]
+
+
+def totals(df, kind):
+    return df.groupBy("g").agg(*state_columns(F.col("x"), "x", kind)).select("g", total_of("x", kind).alias("t"), mean_of("x", kind).alias("m"), "x_n")
+
+
+def exact(values):
+    return float(sum((Fraction(v) for v in values), Fraction(0)))
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_totals_are_the_nearest_numbers_and_do_not_depend_on_partitions(spark, kind):
+    rng = random.Random(3)
+    groups = {
+        0: [rng.uniform(-1, 1) * 10 ** rng.randrange(-20, 20) for _ in range(400)],
+        1: [0.1] * 1000,
+        2: [1e30, 1.0, -1e30],
+        3: [-1e-40, 1e-45, 3e-42],
+        4: [-(2.0**-100)] + [2.0**60, -(2.0**60)] * 50,
+        5: [3e38, 3e38, -3e38] if kind == "float" else [1.7e308, -1.7e308, 5e-324],
+        6: [0.0, -0.0],
+    }
+    cast = f32 if kind == "float" else float
+    rows = [(g, cast(v)) for g, vs in groups.items() for v in vs] + [(7, None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, f"g int, x {kind}")
+    found = [
+        {r.g: (r.t, r.m, r.x_n) for r in totals(df.repartition(p), kind).collect()} for p in (1, 8, 211)
+    ]
+    assert found[0] == found[1] == found[2]
+    assert found[0].pop(7) == (None, None, 0)
+    for g, vs in groups.items():
+        want = exact(cast(v) for v in vs)
+        t, m, n = found[0][g]
+        assert n == len(vs) and m == t / n
+        assert t == want or math.isclose(t, want, rel_tol=4e-16), (g, t, want)
+
+
+def test_plain_sums_do_depend_on_the_order(spark):
+    """The reason for all this: the same rows, two partial sums."""
+    values = [0.1, 0.2, 0.3]
+    assert (values[0] + values[1]) + values[2] != values[0] + (values[1] + values[2])
+    df = spark.createDataFrame([(0, x) for x in values], "g int, x double")
+    assert totals(df, "double").first().t == exact(values)
+
+
+def test_special_numbers_and_integers(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(0, inf), (0, 1.0), (1, inf), (1, -inf), (2, nan), (2, 1.0), (3, -inf)]
+    got = {r.g: r.t for r in totals(spark.createDataFrame(rows, "g int, x double"), "double").collect()}
+    assert got[0] == inf and math.isnan(got[1]) and math.isnan(got[2]) and got[3] == -inf
+    big = [(0, 2**62), (0, 2**62), (0, 2**62), (1, -5), (1, None)]
+    got = {r.g: (r.t, r.m) for r in totals(spark.createDataFrame(big, "g int, x long"), "long").collect()}
+    assert got == {0: (3.0 * 2**62, float(2**62)), 1: (-5.0, -5.0)}
+
+
+def test_states_merge_and_subtract(spark):
+    rng = random.Random(9)
+    values = [f32(rng.gauss(0, 50)) for _ in range(900)]
+    df = spark.createDataFrame([(i % 3, i // 300, v) for i, v in enumerate(values)], "g int, batch int, x float")
+    kind = kind_of(df.schema["x"].dataType)
+    states = df.groupBy("g", "batch").agg(*state_columns(F.col("x"), "x", kind))
+    merged = states.groupBy("g").agg(*merged_columns("x", kind)).select("g", total_of("x", kind).alias("t"))
+    whole = {r.g: r.t for r in totals(df, kind).collect()}
+    assert {r.g: r.t for r in merged.collect()} == whole
+    with pytest.raises(ValueError):
+        kind_of(spark.createDataFrame([], "s string").schema["s"].dataType)

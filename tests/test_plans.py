@@ -120,7 +120,7 @@ def test_medallion_end_to_end(spark, m):
     bronze = read_bronze(spark, path, fmt="pages", row_schema=m.schema)
     res = run_medallion(spark, bronze, root)
     assert res.report == {
-        "rows_raw": 1000, "parse_failures": 200, "bad_dates": 9, "rows_required": 966, "rows_silver": 880,
+        "rows_raw": 1000, "parse_failures": 200, "bad_dates": 9, "rows_required": 966, "rows_rejected": 34, "rows_silver": 880,
         "duplicates_removed": 86,
     }
     assert len(res.checks) == 15 and [r["column_name"] for r in res.checks if not r["success"]] == ["date_prelevement"]

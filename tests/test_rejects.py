@@ -1,0 +1,156 @@
+"""Rejects, the report observed in the writes, and input that used to vanish without a word."""
+
+import contextlib
+import io
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from hydrix import bindings as B
+from hydrix.operators.rejects import RejectRule, reject_reasons, split_rejects, write_split
+from hydrix.plans import SilverSpec, cleaning_report, read_bronze, reject_rules, run_medallion, window_counts, write_silver
+from hydrix.session import scratch_path
+from hydrix.sources import crawl_pages, page_rows, page_stats, read_json, read_pages, write_json, write_parquet
+
+ROW = "code_prelevement string, code_parametre string, libelle_parametre string, nom_commune string, nom_departement string, " \
+      "code_departement string, date_prelevement string, resultat_alphanumerique string, event_id long"
+
+
+@pytest.fixture(scope="module")
+def m(spark):
+    return B.m_view(spark, SF_SMALL)
+
+
+def _row(i, place="C1", date="2024-01-05T10:00:00Z", result="1,5", code="P1"):
+    return (code, "X1", "Plomb", place, "D", "1", date, result, i)
+
+
+def _lines(spark, lines, name):
+    path = scratch_path(spark, name).removeprefix("file:")
+    os.makedirs(path)
+    with open(f"{path}/part.json", "w") as f:
+        f.write("".join(line + "\n" for line in lines))
+    return path
+
+
+def test_reasons_and_split(spark):
+    rows = spark.createDataFrame(
+        [_row(1), _row(2, place=None), _row(3, date="le 5"), _row(4, result="N.M."), _row(5, code=None, date="x", result="?"), _row(6, date=None, result=None)], ROW
+    )
+    rules = reject_rules()
+    got = {r.event_id: list(r.why) for r in rows.select("event_id", reject_reasons(rules).alias("why")).collect()}
+    assert got == {1: [], 2: ["missing_nom_commune"], 3: ["bad_date"], 4: ["unparseable_result"],
+                   5: ["missing_code_prelevement", "bad_date", "unparseable_result"], 6: []}
+    kept, rejected = split_rejects(rows, rules)
+    assert sorted(r.event_id for r in kept.collect()) == [1, 3, 4, 6]
+    assert sorted(r.event_id for r in rejected.collect()) == [2, 5]
+    strict = reject_rules(drop=("malformed", "missing", "bad_date", "unparseable"))
+    assert sorted(r.event_id for r in split_rejects(rows, strict)[0].collect()) == [1, 6]
+    with pytest.raises(ValueError, match="unknown defects"):
+        reject_rules(drop=("late",))
+
+
+def test_censored_limits_are_no_parse_failures(spark):
+    rows = spark.createDataFrame([_row(1, result="<0,5"), _row(2, result="N.M.")], ROW)
+    rules = reject_rules(SilverSpec(censored="null"), drop=("unparseable",))
+    assert [r.event_id for r in split_rejects(rows, rules)[1].collect()] == [2]
+
+
+@pytest.mark.parametrize("copy_kept", [True, False])
+def test_write_split_is_one_job_with_exact_counts(spark, m, copy_kept):
+    source = spark.read.parquet(write_parquet(m, scratch_path(spark, "t-split-in")))
+    rules = reject_rules(drop=("missing", "bad_date"))
+    out = write_split(source, scratch_path(spark, "t-split"), rules, copy_kept=copy_kept, metrics={"top": F.max("event_id")})
+    n = out.counts
+    assert (n["rows_in"], n["n_bad_date"], n["n_unparseable_result"], n["top"], n["rows_outside"]) == (1000, 9, 200, 999, 0)
+    assert out.kept.count() + out.rejects.count() == 1000 and out.rejects.count() == n["rows_rejected"]
+    assert out.kept.columns == m.columns and out.rejects.columns == [*m.columns, "reject_reasons"]
+    ids = lambda df: {r.event_id for r in df.select("event_id").collect()}
+    assert ids(out.kept) | ids(out.rejects) == set(range(1000))
+
+
+def test_split_of_empty_and_clean_tables(spark):
+    empty = spark.createDataFrame([], ROW)
+    out = write_split(empty, scratch_path(spark, "t-split-empty"), reject_rules())
+    assert out.counts["rows_in"] == 0 and out.kept.count() == out.rejects.count() == 0
+    clean = write_split(spark.createDataFrame([_row(1)], ROW), scratch_path(spark, "t-split-clean"), reject_rules())
+    assert (clean.kept.count(), clean.rejects.count(), clean.counts["rows_rejected"]) == (1, 0, 0)
+    bad = write_split(spark.createDataFrame([_row(1, code=None)], ROW), scratch_path(spark, "t-split-bad"), reject_rules())
+    assert (bad.kept.count(), [list(r.reject_reasons) for r in bad.rejects.collect()]) == (0, [["missing_code_prelevement"]])
+    with pytest.raises(ValueError, match="already has a column"):
+        write_split(empty.withColumn("_split", F.lit(1)), "unused", [RejectRule("x", F.lit(True))])
+
+
+def test_report_from_the_writes_equals_the_report_by_scan(spark, m):
+    root = scratch_path(spark, "t-observed")
+    bronze = spark.read.parquet(write_parquet(m.repartition(7), f"{root}/bronze"))
+    scan = cleaning_report(bronze, B.SILVER_SPEC).first().asDict()
+    for partition_by in (None, ("annee",)):
+        path, rejects, report = write_silver(spark, bronze, f"{root}/{partition_by}", B.SILVER_SPEC, partition_by=partition_by)
+        assert {k: report[k] for k in scan} == scan
+        assert report["rows_silver"] == spark.read.parquet(path).count() == 880
+        assert report["rows_rejected"] == spark.read.parquet(rejects).count() == 34 and report["duplicates_removed"] == 86
+
+
+def test_malformed_json_lines_are_loud(spark, m):
+    good = [json.dumps(dict(zip((f.split()[0] for f in ROW.split(", ")), _row(i, place=f"C{i}", code=f"P{i}")))) for i in range(5)]
+    path = _lines(spark, [*good, '{"code_prelevement": "P9', "not json"], "t-bad-lines")
+    schema = spark.createDataFrame([], ROW).schema
+    for action in (lambda d: d.collect(), lambda d: d.count(), lambda d: d.select("event_id").collect()):
+        with pytest.raises(Exception, match="malformed JSON record"):
+            action(read_json(spark, path, schema))
+    with pytest.raises(Exception, match="malformed JSON record"):
+        read_json(spark, path, schema).filter("code_prelevement is not null").collect()  # a filter hides none
+    assert read_json(spark, path, schema, on_malformed="skip").count() == 5
+    with pytest.raises(Exception, match="malformed JSON record"):
+        read_bronze(spark, path).count()  # inferred schema
+    with pytest.raises(Exception, match="malformed JSON record"):
+        run_medallion(spark, read_bronze(spark, path, row_schema=schema), scratch_path(spark, "t-bad-run"))
+    bronze = read_bronze(spark, path, row_schema=schema, corrupt_column="_text")
+    silver, rejects, report = write_silver(spark, bronze, scratch_path(spark, "t-bad-kept"), corrupt_column="_text")
+    assert (report["rows_raw"], report["rows_malformed"], report["rows_rejected"], report["rows_silver"]) == (7, 2, 2, 5)
+    found = spark.read.parquet(rejects).collect()
+    assert sorted(r._text for r in found) == ["not json", '{"code_prelevement": "P9'] and all(r.reject_reasons[0] == "malformed" for r in found)
+
+
+def test_window_counts_rows_that_cannot_be_placed(spark, m):
+    window = ("2024-01-10", "2024-01-20")
+    root = scratch_path(spark, "t-window")
+    w = window_counts(m, window).first()
+    assert w.rows_raw == 1000 == w.rows_inside + w.rows_outside + w.rows_without_date + w.bad_dates
+    assert (w.rows_without_date, w.bad_dates) == (10, 9)
+    bronze = spark.read.parquet(write_parquet(m, f"{root}/bronze"))
+    silver, rejects, report = write_silver(spark, bronze, root, B.SILVER_SPEC, window=window)
+    assert report["rows_outside"] + report["rows_rejected"] + report["duplicates_removed"] + report["rows_silver"] == 1000
+    why = [x for r in spark.read.parquet(rejects).collect() for x in r.reject_reasons]
+    assert why.count("bad_date") == 9 and why.count("missing_date_prelevement") == 10
+    days = spark.read.parquet(silver).agg(F.min("date_prelevement_clean"), F.max("date_prelevement_clean")).first()
+    assert window[0] <= str(days[0]) and str(days[1]) <= window[1]
+    same = B.QUERIES["silver_window"](spark, SF_SMALL)
+    assert sorted(r.event_id for r in same.collect()) == sorted(r.event_id for r in spark.read.parquet(silver).collect())
+
+
+def test_pages_without_a_number(spark):
+    schema = spark.createDataFrame([], "id long").schema
+    pages = [{"page": 1, "data": [{"id": 1}], "next": "x"}, {"page": None, "data": [{"id": 2}], "next": "x"}, {"page": 3, "data": [{"id": 3}], "next": None}]
+    path = _lines(spark, [json.dumps(p) for p in pages], "t-unnumbered")
+    read = read_pages(spark, path, schema, with_page=True)
+    with pytest.raises(Exception, match="without a number"):
+        page_rows(read, page_col="page").collect()
+    assert sorted(r.id for r in page_rows(read, page_col="page", on_malformed="skip").collect()) == [1, 3]
+    s = page_stats(read, page_col="page").first()
+    assert (s.n_pages, s.n_rows, s.n_unnumbered, s.n_missing_pages, s.n_repeated_pages, s.end_page) == (3, 3, 1, 0, 0, 3)
+    assert crawl_pages(read.filter("page is not null")).count() == 2
+
+
+def test_one_scan_of_json_bronze(spark, m):
+    root = scratch_path(spark, "t-one-scan")
+    bronze = read_bronze(spark, write_json(m, f"{root}/in"), row_schema=m.schema)
+    split = write_split(bronze, f"{root}/landed", reject_rules())
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        split.kept.explain()
+    assert "json" not in buf.getvalue().lower() and "_split" in buf.getvalue()
