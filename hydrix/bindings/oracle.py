@@ -332,6 +332,11 @@ SELECT count(*) AS n_pages, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT)
   CAST(0 AS BIGINT) AS n_malformed, CAST(max(CASE WHEN page <> 1 THEN page END) FILTER (WHERE page = (SELECT max(page) FROM p)) AS BIGINT) AS end_page,
   CAST(0 AS BIGINT) AS n_repeated_pages, CAST(0 AS BIGINT) AS n_pages_after_end, count(*) FILTER (WHERE page = 1) AS n_unnumbered,
   CAST(0 AS BIGINT) AS n_missing_pages FROM p""",
+        "incremental_silver": f"{silver_src} SELECT * FROM silver",
+        "incremental_gold_conformity": f"{gold_status} SELECT * FROM conf",
+        "incremental_gold_trend": f"{silver_src} {trend}",
+        "silver_window_rerun": f"""{silver_src} SELECT * REPLACE (CASE WHEN date_prelevement_clean BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'
+  THEN 'ug/L' ELSE libelle_unite END AS libelle_unite) FROM silver""",
         "gold_trend_exact": f"{silver_src} {trend}",
         "gold_onepass_trend_exact": f"{silver_src} {trend}",
         "numeric_extremes_exact": f"{m} SELECT min(resultat_numerique) AS min, max(resultat_numerique) AS max, {exact_mean('resultat_numerique')} AS avg FROM m",

@@ -44,7 +44,8 @@ from hydrix.operators.profile import describe_numeric, null_profile, numeric_ext
 from hydrix.plans.explore import raw_profile
 from hydrix.plans.gates import gold_gate, silver_gate, source_silver_checks
 from hydrix.plans.gold import GoldSpec, build_gold, category_is, gold_aggregate, split_gold, status_is
-from hydrix.plans.medallion import read_bronze, write_silver
+from hydrix.plans.incremental import merge_batch, publish_gold, rerun_window
+from hydrix.plans.medallion import read_bronze, silver_path_of, write_silver
 from hydrix.plans.silver import (
     BAD_DATE,
     DEFAULT_RENAMES,
@@ -446,6 +447,42 @@ def q_describe_numeric_exact(spark, sf_dir):
     return describe_numeric(m_view(spark, sf_dir), exact=True).drop("stddev")
 
 
+def _merged(spark, sf_dir):
+    """M taken in as three batches, whose keys meet across batches; the root folder."""
+    m, root = m_view(spark, sf_dir), scratch_path(spark, "batches")
+    for i in (2, 0, 1):
+        merge_batch(spark, m.filter(F.col("event_id") % 3 == i), root, f"batch-{i}", status_is(STATUS_OK), spec=SILVER_SPEC)
+    return root
+
+
+def q_incremental_silver(spark, sf_dir):
+    """A11 across batches: the rows of one full build."""
+    return read_parquet(spark, silver_path_of(_merged(spark, sf_dir)))
+
+
+def _merged_gold(spark, sf_dir, name):
+    root = _merged(spark, sf_dir)
+    publish_gold(spark, root)
+    return read_parquet(spark, f"{root}/gold/{name}")
+
+
+def q_incremental_gold_conformity(spark, sf_dir):
+    """L2 from the states of three batches: the table of one full build."""
+    return _merged_gold(spark, sf_dir, "conformite_commune")
+
+
+def q_incremental_gold_trend(spark, sf_dir):
+    return _merged_gold(spark, sf_dir, "evolution_temporelle")
+
+
+def q_silver_window_rerun(spark, sf_dir):
+    """Silver whose rows of one window were built anew (from rows in another unit); all others stay."""
+    m, path = m_view(spark, sf_dir), scratch_path(spark, "rerun")
+    write_parquet(build_silver(m, SILVER_SPEC), path, partition_by=("annee",))
+    rerun_window(spark, m.withColumn("libelle_unite", F.lit("ug/L")), path, WINDOW, spec=SILVER_SPEC)
+    return read_parquet(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -44,9 +44,9 @@ def places(kind: str) -> int:
 
 
 def state_sums(c: Column, kind: str) -> list[Column]:
-    """Aggregates of a state: one integer sum a place, the sum of non-finite numbers, and the count.
+    """Aggregates of a state: one integer sum a place, the counts of NaN, +inf and -inf, and of all numbers.
 
-    NULLs are skipped.  NaN and infinities are kept apart: they decide the total whatever the others are.
+    NULLs are skipped.  Every part is an integer, so states can be added and subtracted.
     """
     if kind == "long":
         return [F.sum(c.cast("decimal(38,0)")), F.count(c)]
@@ -61,25 +61,27 @@ def state_sums(c: Column, kind: str) -> list[Column]:
         rest = x0 % F.lit(2.0**top) if top < high else x0
         part = rest / F.lit(2.0 ** (low + LIMB * i))
         sums.append(F.coalesce(F.sum(part.cast("long")), F.lit(0).cast("long")))
-    return [*sums, F.sum(F.when(~finite, x)), F.count(c)]
+    return [*sums, F.count_if(F.isnan(x)), F.count_if(x == float("inf")), F.count_if(x == float("-inf")), F.count(c)]
 
 
 def state_names(prefix: str, kind: str) -> list[str]:
     """Column names of a state, in the order of ``state_sums``."""
     if kind == "long":
         return [f"{prefix}_sum", f"{prefix}_n"]
-    return [*(f"{prefix}_p{i}" for i in range(places(kind))), f"{prefix}_special", f"{prefix}_n"]
+    return [*(f"{prefix}_p{i}" for i in range(places(kind))), *(f"{prefix}_{s}" for s in ("nan", "inf", "minus_inf", "n"))]
 
 
 def state_columns(c: Column, prefix: str, kind: str) -> list[Column]:
     return [s.alias(n) for s, n in zip(state_sums(c, kind), state_names(prefix, kind))]
 
 
-def merged_columns(prefix: str, kind: str) -> list[Column]:
-    """Aggregates that add stored states up, under the same names."""
+def merged_columns(prefix: str, kind: str, sign: Column | None = None) -> list[Column]:
+    """Aggregates that add stored states up, under the same names; ``sign`` (1 or -1) takes states away."""
+    weight = F.lit(1) if sign is None else sign
+
     def total(name: str) -> Column:
-        c = F.col(name)
-        return F.sum(c).cast("decimal(38,0)" if name.endswith("_sum") else "double" if name.endswith("_special") else "long")
+        c = F.coalesce(F.col(name), F.lit(0).cast("long")) * weight
+        return F.sum(c).cast("decimal(38,0)" if name.endswith("_sum") else "long")
 
     return [total(n).alias(n) for n in state_names(prefix, kind)]
 
@@ -117,7 +119,11 @@ def total_of(prefix: str, kind: str) -> Column:
     over = F.lit(2.0**above if above < high_of_double else float("inf"))
     beyond = lambda k: F.when(k > 0, k.cast("double") * over).otherwise(F.lit(0.0))
     finite = F.when(carry < 0, -(down + beyond(back))).otherwise(up + beyond(carry))
-    return F.when(n > 0, F.coalesce(F.col(f"{prefix}_special"), finite))
+    up_to, down_to = F.col(f"{prefix}_inf") > 0, F.col(f"{prefix}_minus_inf") > 0
+    special = F.when((F.col(f"{prefix}_nan") > 0) | (up_to & down_to), float("nan")).when(up_to, float("inf")).when(
+        down_to, float("-inf")
+    )
+    return F.when(n > 0, F.coalesce(special, finite))
 
 
 def mean_of(prefix: str, kind: str) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hydrix.functions.arith import count_true, ratio
-from hydrix.functions.exact import kind_of, mean_of, state_columns, state_names
+from hydrix.functions.exact import kind_of, mean_of, merged_columns, state_columns, state_names
 from hydrix.operators.metrics import (
     KO,
     MEAN,
@@ -124,16 +124,56 @@ def gold_aggregate(silver: DataFrame, predicate: Column, spec: GoldSpec = GoldSp
     for g in tables.values():
         if g not in sets:
             sets.append(g)
-    kind = kind_of(silver.schema[spec.value_col].dataType) if spec.exact_means else None
-    value = F.col(spec.value_col)
-    out = silver.groupingSets(sets, *cols).agg(
+    if spec.exact_means:
+        return finish_states(gold_states(silver, predicate, spec), value_kind(silver, spec))
+    return silver.groupingSets(sets, *cols).agg(
         F.count(F.lit(1)).alias("_n"),
         count_true(predicate).alias("_ok"),
         count_true(~predicate).alias("_ko"),
-        *(state_columns(value, "_mean", kind) if kind else [F.avg(value).alias("_mean")]),
+        F.avg(F.col(spec.value_col)).alias("_mean"),
         F.grouping_id().alias("_gid"),
     )
-    return out.withColumn("_mean", mean_of("_mean", kind)).drop(*state_names("_mean", kind)) if kind else out
+
+
+COUNTS = ("_n", "_ok", "_ko")
+
+
+def value_kind(silver: DataFrame, spec: GoldSpec = GoldSpec()) -> str:
+    return kind_of(silver.schema[spec.value_col].dataType)
+
+
+def gold_states(silver: DataFrame, predicate: Column, spec: GoldSpec = GoldSpec()) -> DataFrame:
+    """``gold_aggregate`` as mergeable states: integer counts and exact sums (``functions.exact``) a group.
+
+    States of disjoint row sets add up to the states of all rows, and can be taken away again.
+    """
+    cols, tables = _sets(spec)
+    sets = []
+    for g in tables.values():
+        if g not in sets:
+            sets.append(g)
+    return silver.groupingSets(sets, *cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        count_true(predicate).alias("_ok"),
+        count_true(~predicate).alias("_ko"),
+        *state_columns(F.col(spec.value_col), "_mean", value_kind(silver, spec)),
+        F.grouping_id().alias("_gid"),
+    )
+
+
+def merge_states(states: DataFrame, kind: str, spec: GoldSpec = GoldSpec(), sign: str | None = None) -> DataFrame:
+    """One state a group from any number of them; ``sign`` is a column of 1 and -1.  Groups without rows go."""
+    cols, _ = _sets(spec)
+    weight = F.lit(1) if sign is None else F.col(sign)
+    sums = [F.sum(F.col(c) * weight).alias(c) for c in COUNTS]
+    merged = states.groupBy(*cols, "_gid").agg(*sums, *merged_columns("_mean", kind, weight))
+    return merged.select(*cols, *COUNTS, *state_names("_mean", kind), "_gid")
+
+
+def finish_states(states: DataFrame, kind: str) -> DataFrame:
+    """The aggregate that ``split_gold`` takes, from one state a group."""
+    out = states.filter(F.col("_n") > 0).withColumn("_mean", mean_of("_mean", kind))
+    return out.drop(*state_names("_mean", kind))
 
 
 def split_gold(agg: DataFrame, spec: GoldSpec = GoldSpec()) -> dict[str, DataFrame]:

@@ -27,6 +27,7 @@ from hydrix.operators.rejects import Split, observed, write_split
 from hydrix.plans.gates import gold_gate, silver_gate
 from hydrix.plans.gold import (
     CONFORMITY,
+    GOLD_TABLES,
     NONCONFORMITY,
     TREND,
     WORST,
@@ -39,6 +40,7 @@ from hydrix.plans.gold import (
 from hydrix.plans.silver import NOT_TAKEN, SilverSpec, bad_date, build_silver, clean, reject_rules
 from hydrix.sources.files import CORRUPT_RECORD, read_json, read_parquet, reads_json, write_parquet
 from hydrix.sources.paged import page_rows, read_pages
+from hydrix.sources.publish import Publication
 
 
 #: Folder of the silver table under the output root.
@@ -133,13 +135,14 @@ def write_silver(
     corrupt_column: str | None = None,
     reject: tuple[str, ...] = NOT_TAKEN,
     window: tuple[str, str] | None = None,
+    silver_path: str | None = None,
 ) -> tuple[str, str, dict]:
     """Writes silver and the rejects table under ``out_root``: (silver path, rejects path, report).
 
     ``reject`` names the defects (``silver.DEFECTS``) whose rows go to ``rejects`` instead of silver, each with
     the codes of all its defects.  With ``window`` rows outside it are left out and counted, and rows without
     a readable date are rejects.  JSON is landed as Parquet by the job that splits it; of other formats only
-    the rejects are written.
+    the rejects are written.  ``silver_path`` names another folder for silver (a staged one).
     """
     out_root = out_root.rstrip("/")
     malformed = corrupt_column if corrupt_column in bronze.columns else None
@@ -156,7 +159,7 @@ def write_silver(
     silver = build_silver(split.kept.drop(malformed) if malformed else split.kept, spec)
     if partition_by:  # before the metrics: no shuffle may follow them
         silver = silver.hint("rebalance", *as_list(partition_by))
-    silver_path = silver_path_of(out_root, table)
+    silver_path = silver_path or silver_path_of(out_root, table)
     written = observed(
         silver, {"rows_silver": F.count(F.lit(1))},
         lambda rows: write_parquet(rows, silver_path, partition_by=partition_by, rebalance=False),
@@ -174,22 +177,29 @@ def write_silver(
     return silver_path, rejects_path, report
 
 
+def stage_gold(publication: Publication, aggregate: DataFrame, spec: GoldSpec, folder: str = "") -> dict[str, DataFrame]:
+    """Writes the aggregate and the four gold tables as staged tables; they become ``<root>/<folder><table>``.
+
+    The aggregate is written once (``_aggregate``) and split into the grouped tables; the worst-k table is
+    taken from the written conformity table.
+    """
+    spark = publication.spark
+    path = lambda t: publication.path(f"{folder}{t}")
+    tables = split_gold(read_parquet(spark, write_parquet(aggregate, path("_aggregate"))), spec)
+    staged = {t: read_parquet(spark, write_parquet(tables[t], path(t))) for t in (CONFORMITY, TREND, NONCONFORMITY)}
+    staged[WORST] = read_parquet(spark, write_parquet(gold_worst(staged[CONFORMITY], spec), path(WORST)))
+    return {t: staged[t] for t in GOLD_TABLES}
+
+
 def write_gold(
     spark: SparkSession, silver: DataFrame, predicate: Column, gold_root: str, spec: GoldSpec = GoldSpec()
 ) -> dict[str, str]:
-    """Write the four gold tables under ``gold_root``; returns their paths.
-
-    One grouping-sets aggregate over silver is written once (``_aggregate``) and split into the
-    grouped tables; the worst-k table is taken from the written conformity table.
-    """
+    """Write the four gold tables under ``gold_root``, all or none; returns their paths."""
     gold_root = gold_root.rstrip("/")
-    agg_path = write_parquet(gold_aggregate(silver, predicate, spec), f"{gold_root}/_aggregate")
-    tables = split_gold(read_parquet(spark, agg_path), spec)
-    paths = {t: f"{gold_root}/{t}" for t in (CONFORMITY, TREND, WORST, NONCONFORMITY)}
-    for t in (CONFORMITY, TREND, NONCONFORMITY):
-        write_parquet(tables[t], paths[t])
-    write_parquet(gold_worst(read_parquet(spark, paths[CONFORMITY]), spec), paths[WORST])
-    return paths
+    with Publication(spark, gold_root) as publication:
+        stage_gold(publication, gold_aggregate(silver, predicate, spec), spec)
+        publication.switch()
+    return {t: f"{gold_root}/{t}" for t in GOLD_TABLES}
 
 
 def run_medallion(
@@ -209,22 +219,27 @@ def run_medallion(
 ) -> RunResult:
     """Build, gate and write every layer under ``out_root``; return paths, report and checks.
 
-    Order: silver and the rejects (``write_silver``), silver's checks, gold, its checks.  With
-    ``on_failure="raise"`` a failed silver check stops the run before any gold table is touched.
+    Order: silver and the rejects (``write_silver``), silver's checks, gold, its checks.  Silver and gold are
+    staged, and published together after the last check: an error, or a failed check with
+    ``on_failure="raise"``, leaves the tables of the former run.  Rejects and check results are written as
+    they come, for they explain a run that stopped.
     """
     out_root = out_root.rstrip("/")
     predicate = category_is() if predicate is None else predicate
-    silver_path, rejects_path, report = write_silver(
-        spark, bronze, out_root, silver_spec, table=silver_table, partition_by=silver_partition_by,
-        corrupt_column=corrupt_column, reject=reject, window=window,
-    )
-    silver = read_parquet(spark, silver_path)
     quality_path = f"{out_root}/quality/checks"
-    checks = write_parquet(silver_gate(silver), f"{quality_path}/layer=silver")
-    checks = assert_checks(read_parquet(spark, checks), on_failure)
-
-    gold_paths = write_gold(spark, silver, predicate, f"{out_root}/gold", gold_spec)
-    gold = {t: read_parquet(spark, p) for t, p in gold_paths.items()}
-    gold_checks = write_parquet(gold_gate(gold, gold_spec), f"{quality_path}/layer=gold")
-    checks += assert_checks(read_parquet(spark, gold_checks), on_failure)
+    silver_path = silver_path_of(out_root, silver_table)
+    with Publication(spark, out_root) as publication:
+        staged, rejects_path, report = write_silver(
+            spark, bronze, out_root, silver_spec, table=silver_table, partition_by=silver_partition_by,
+            corrupt_column=corrupt_column, reject=reject, window=window,
+            silver_path=publication.path(silver_path.removeprefix(f"{out_root}/")),
+        )
+        silver = read_parquet(spark, staged)
+        checks = write_parquet(silver_gate(silver), f"{quality_path}/layer=silver")
+        checks = assert_checks(read_parquet(spark, checks), on_failure)
+        gold = stage_gold(publication, gold_aggregate(silver, predicate, gold_spec), gold_spec, "gold/")
+        gold_checks = write_parquet(gold_gate(gold, gold_spec), f"{quality_path}/layer=gold")
+        checks += assert_checks(read_parquet(spark, gold_checks), on_failure)
+        publication.switch()
+    gold_paths = {t: f"{out_root}/gold/{t}" for t in GOLD_TABLES}
     return RunResult(silver_path, gold_paths, quality_path, rejects_path, report, checks)

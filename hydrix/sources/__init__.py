@@ -9,9 +9,12 @@ from hydrix.sources.files import (
     written_counts,
 )
 from hydrix.sources.paged import crawl_pages, envelope_schema, page_rows, page_stats, read_pages, write_pages
+from hydrix.sources.publish import Publication, recover
 from hydrix.sources.preview import preview_rows, schema_text
 
 __all__ = [
+    "Publication",
+    "recover",
     "crawl_pages",
     "envelope_schema",
     "guard_not_input",
