@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hydrix.llm.names import free
+
 BITS = 25
 
 
@@ -34,7 +36,9 @@ def key_filter(keys: DataFrame, column: str) -> DataFrame:
 def may_match(rows: DataFrame, key: Column, words: DataFrame, out: str = "__may") -> DataFrame:
     """``rows`` with a boolean column: false only where the key is surely not in the filter."""
     word, at = _place(key)
-    marked = rows.withColumn("__word", word).withColumn("__bit", _bit(at))
-    marked = marked.join(F.broadcast(words), "__word", "left")
-    hit = F.coalesce(F.col("__bits").bitwiseAND(F.col("__bit")) != 0, F.lit(False))
-    return marked.withColumn(out, hit).drop("__word", "__bit", "__bits")
+    place, entry = free("place", rows), free("entry", rows)
+    listed = words.select(F.struct("__word", "__bits").alias(entry))
+    marked = rows.withColumn(place, F.struct(word.alias("word"), _bit(at).alias("bit")))
+    marked = marked.join(F.broadcast(listed), F.col(f"{place}.word") == F.col(f"{entry}.__word"), "left")
+    hit = F.coalesce(F.col(f"{entry}.__bits").bitwiseAND(F.col(f"{place}.bit")) != 0, F.lit(False))
+    return marked.withColumn(out, hit).drop(place, entry)

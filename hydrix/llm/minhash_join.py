@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from hydrix.llm.components import connected_components
 from hydrix.llm.keyfilter import key_filter, may_match
+from hydrix.llm.names import free
 from hydrix.llm.words import LOWER, NOT_BLANK, buffers, gram_hashes, mix, row_chunks, seeds, word_hashes, word_spans
 from hydrix.session import Scratch
 
@@ -333,13 +334,14 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
             judged.where("not stay or n > 1").select(F.xxhash64("doc_id", "thash").alias("rkey"), "doc_id", "thash", "stay"),
             "special", keep=True,
         )
-    marked = docs.withColumn("__thash", F.xxhash64(F.col(f"`{text}`")))
-    marked = may_match(marked, F.xxhash64(F.col(f"`{key}`"), "__thash"), key_filter(special, "rkey"), "__maybe")
-    listed = special.select(F.struct("doc_id", "thash", "stay").alias("__s"), F.col("rkey").alias("__rkey"))
-    doubtful = marked.where("__maybe").withColumn("__rkey", F.xxhash64(F.col(f"`{key}`"), "__thash"))
-    doubtful = doubtful.join(listed, "__rkey", "left").where("__s is null or __s.stay")
-    repeated = doubtful.where("__s is not null").dropDuplicates(["__rkey"])
+    rkey, maybe, found = (free(n, docs) for n in ("rkey", "maybe", "found"))
+    marked = docs.withColumn(rkey, F.xxhash64(F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))))
+    marked = may_match(marked, F.col(rkey), key_filter(special, "rkey"), maybe)
+    listed = special.select(F.struct("rkey", "stay").alias(found))
+    doubtful = marked.where(F.col(maybe)).join(listed, F.col(rkey) == F.col(f"{found}.rkey"), "left")
+    doubtful = doubtful.where(F.col(found).isNull() | F.col(f"{found}.stay"))
+    repeated = doubtful.where(F.col(found).isNotNull()).dropDuplicates([rkey])
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return marked.where("not __maybe").select(*names).unionByName(
-        doubtful.where("__s is null").select(*names)
+    return marked.where(~F.col(maybe)).select(*names).unionByName(
+        doubtful.where(F.col(found).isNull()).select(*names)
     ).unionByName(repeated.select(*names))

@@ -16,6 +16,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hydrix.llm.names import free
+
 SHARDS = 32
 #: Prime; over 100 slots a shard keeps shares within a percent of each other.
 SLOTS = 4099
@@ -60,12 +62,12 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
 
 
 def slot_table(spark: SparkSession, shards: list[str], slots: int = SLOTS) -> DataFrame:
-    """The table as rows ``(slot, shard)``, built from one packed literal."""
+    """The table as rows of one column ``place`` (slot, shard), built from one packed literal."""
     packed = b"".join(i.to_bytes(4, "big") for i in fill_table(shards, slots))
     names = F.array(*(F.lit(s) for s in shards))
     index = F.conv(F.hex(F.substring(F.lit(bytearray(packed)), F.col("id").cast("int") * 4 + 1, F.lit(4))), 16, 10)
     return spark.range(slots).select(
-        F.col("id").alias("__slot"), F.element_at(names, (index.cast("int") + 1)).alias("__shard")
+        F.struct(F.col("id").alias("slot"), F.element_at(names, (index.cast("int") + 1)).alias("shard")).alias("place")
     )
 
 
@@ -87,9 +89,10 @@ def place(
     names = [f"shard-{i:05d}" for i in range(shards)] if isinstance(shards, int) else list(shards)
     fallback = F.col(f"`{text}`") if text in docs.columns else F.lit(None).cast("string")
     where = slot_of(F.coalesce(F.col(f"`{key}`").cast("string"), fallback, F.lit("")), slots)
-    rows = docs.drop(slot_col, shard_col).withColumn("__slot", where)
-    table = F.broadcast(slot_table(docs.sparkSession, names, slots))
+    found, owner = free("found", docs), free("owner", docs)
+    table = F.broadcast(slot_table(docs.sparkSession, names, slots).withColumnRenamed("place", owner))
     rest = [c for c in docs.columns if c not in (slot_col, shard_col)]
-    return rows.join(table, "__slot", "left").select(
-        *(F.col(f"`{c}`") for c in rest), F.col("__slot").alias(slot_col), F.col("__shard").alias(shard_col)
+    rows = docs.withColumn(found, where).join(table, F.col(found) == F.col(f"{owner}.slot"), "left")
+    return rows.select(
+        *(F.col(f"`{c}`") for c in rest), F.col(found).alias(slot_col), F.col(f"{owner}.shard").alias(shard_col)
     )
