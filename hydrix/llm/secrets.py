@@ -11,6 +11,10 @@ the end of one part to the start of the other) and reports
   endpoint,
 * an endpoint that has both an identifier and a secret in scope.
 
+A span fills one role.  Strong secrets come first, then labelled secrets, labelled identifiers, endpoints and
+long random-looking tokens; a candidate that overlaps a part taken before it is none.  So the parts that meet
+are always disjoint: a value is never its own complement, and a piece of a URL is no secret beside it.
+
 All parts of a text are in that text's row, so the interval join is a sorted sweep
 (``searchsorted`` over part starts) inside the row: nothing is shuffled, no pairs are made, and a
 text with many parts costs n log n.
@@ -46,9 +50,11 @@ WEAK_ID = re.compile(
     r"(?:(?-i:AKIA[A-Z0-9]+)|(?:access_?key_?id|client_?id|account_?id|user(?:name)?|login)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,})",
     re.IGNORECASE | re.ASCII,
 )
-WEAK_SECRET = re.compile(
-    r"(?:(?i:password|passwd|pwd|pass|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{4,}"
-    r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]*[A-Z])(?=[A-Za-z0-9+/_=-]*[a-z])(?=[A-Za-z0-9+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,})",
+LABELLED_SECRET = re.compile(
+    r"(?i:password|passwd|pwd|pass|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{4,}", re.ASCII
+)
+MIXED_TOKEN = re.compile(
+    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]*[A-Z])(?=[A-Za-z0-9+/_=-]*[a-z])(?=[A-Za-z0-9+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}",
     re.ASCII,
 )
 ENDPOINT = re.compile(
@@ -95,18 +101,21 @@ def linked_spans(text: str, base: list[tuple[int, int, str]], scope: int = SCOPE
     """Weak candidates whose complementary parts co-occur within ``scope`` characters."""
     if not _HINT.search(text):
         return []
-    taken = _Intervals([(s, e) for s, e, _ in base])
+    taken = [(s, e) for s, e, _ in base]
 
     def free(pattern: re.Pattern) -> list[tuple[int, int]]:
         spans = [m.span() for m in pattern.finditer(text)]
-        return [s for s, covered in zip(spans, taken.near([(a + 1, b - 1) for a, b in spans], 0)) if not covered]
+        covered = _Intervals(taken).near([(a + 1, b - 1) for a, b in spans], 0)
+        found = [s for s, c in zip(spans, covered) if not c]
+        taken.extend(found)
+        return found
 
     strong_ids = [(s, e) for s, e, k in base if k == "access"]
     strong_secrets = [(s, e) for s, e, k in base if k != "access"]
-    ids, ends = free(WEAK_ID), free(ENDPOINT)
+    weak, ids, ends = free(LABELLED_SECRET), free(WEAK_ID), free(ENDPOINT)
     if not (ids or strong_ids or (ends and strong_secrets)):
         return []  # nothing that a weak secret could complement
-    weak = free(WEAK_SECRET)
+    weak += free(MIXED_TOKEN)
     identifier, secret, endpoint = _Intervals(strong_ids + ids), _Intervals(strong_secrets + weak), _Intervals(ends)
     found = [(s, e, "weak_id") for (s, e), ok in zip(ids, secret.near(ids, scope)) if ok]
     with_id = identifier.near(weak, scope)
