@@ -28,9 +28,9 @@ from hydrix.session import Scratch
 
 #: Bytes of text of a group; tokens whose requests one reducer adds up.
 GROUP_BYTES, PART_TOKENS = 6 << 20, 2 << 20
-#: Frequency buckets of contexts; EM grid cells per factor of two, and factors of two covered (half of
+#: Frequency buckets of contexts (one per power of two of a 64-bit count); EM grid cells per factor of two, and factors of two covered (half of
 #: them above 1: a ratio is at most V + 1 and at least (V + 1) / N, both within 2^64).
-BUCKETS, STEPS, OCTAVES = 16, 2, 128
+BUCKETS, STEPS, OCTAVES = 64, 2, 128
 EM_ROUNDS, FLOOR = 60, 1e-6
 ADDED = 0.1  # fixed value: the base score's added count
 
