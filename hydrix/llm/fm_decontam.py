@@ -12,8 +12,9 @@ rounds of prefix doubling even between copies.  Over the Burrows-Wheeler transfo
   other rows walk there by last-to-first steps.
 
 Located windows are merged into removal spans per document.  The benchmark is the stated query set:
-it is read in blocks of at most ``BLOCK_BYTES`` of text, each of which travels with the task code;
-a larger benchmark takes one pass over the shards per block.
+it is read in blocks of at most ``BLOCK_BYTES`` of text, each of which travels with the task code.  A larger
+benchmark takes one pass over the shards per block; a pass writes its result before the next block is
+read, so the driver holds one block at a time.
 """
 
 from __future__ import annotations
@@ -26,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hydrix.llm.names import free
 from hydrix.llm.words import ALNUM, LOWER, buffers, row_chunks, word_hashes, word_spans
+from hydrix.session import Scratch
 
 WINDOW = 10
 SHARD_WORDS = 1 << 19
 SAMPLE = 16
 #: Benchmark text that one pass carries to the executors.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 
 RESULT = (
     "struct<n_words:bigint,n_hit:bigint,items:array<string>,word_starts:array<bigint>,word_ends:array<bigint>,"
@@ -61,24 +64,23 @@ def make_phrases(rows: list[tuple[str | None, str | None]], window: int = WINDOW
     hashes = word_hashes(data, starts, ends)
     vocabulary = np.unique(hashes)
     symbols = np.searchsorted(vocabulary, hashes) + 1
-    found: dict[bytes, set[int]] = {}
     items = sorted({i for i, _ in rows if i is not None})
     number = {v: k for k, v in enumerate(items)}
-    for d, (item, _) in enumerate(rows):
-        words = symbols[first[d] : first[d + 1]]
-        for at in range(max(min(len(words), 1), len(words) - window + 1)):
-            owners = found.setdefault(words[at : at + window].astype(np.int32).tobytes(), set())
-            if item is not None:
-                owners.add(number[item])
-    keys = sorted(found)
-    table = np.zeros((len(keys), window), np.int32)
-    lengths = np.array([len(k) // 4 for k in keys], np.int64)
-    for i, k in enumerate(keys):
-        table[i, window - lengths[i] :] = np.frombuffer(k, np.int32)
-    owners = [sorted(found[k]) for k in keys]
-    bounds = np.concatenate([[0], np.cumsum([len(o) for o in owners])]).astype(np.int64)
-    flat = np.array([x for o in owners for x in o], np.int64)
-    return Phrases(vocabulary, table, lengths, bounds, flat, items)
+    counts = np.diff(first)
+    lengths = np.minimum(counts, window)
+    per_row = np.where(counts > 0, np.maximum(counts - window + 1, 1), 0)
+    row = np.repeat(np.arange(len(rows)), per_row)
+    start = first[:-1][row] + np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
+    table = np.zeros((len(row), window), np.int32)
+    for back in range(window):  # the last word is on the right
+        own = np.flatnonzero(lengths[row] > back)
+        table[own, window - 1 - back] = symbols[start[own] + lengths[row[own]] - 1 - back]
+    # equal windows as equal byte strings: one sort, no Python object a window
+    _, kept, which = np.unique(table.view(f"V{4 * window}").ravel(), return_index=True, return_inverse=True)
+    owner = np.array([-1 if i is None else number[i] for i, _ in rows], np.int64)[row]
+    pairs = np.unique(which.ravel()[owner >= 0] * np.int64(max(len(items), 1)) + owner[owner >= 0])
+    bounds = np.searchsorted(pairs // max(len(items), 1), np.arange(len(kept) + 1))
+    return Phrases(vocabulary, table[kept], lengths[row[kept]], bounds, pairs % max(len(items), 1), items)
 
 
 class Lookup:
@@ -317,14 +319,15 @@ def scan_column(text: Column, phrases: Phrases) -> Column:
     return apply(text)
 
 
-def benchmark_blocks(benchmark: DataFrame, item: str, text: str, window: int, limit: int) -> Iterator[Phrases]:
-    """The query set in blocks of at most about ``limit`` bytes of text (or one longer item)."""
-    rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text"))
+def benchmark_blocks(benchmark: DataFrame, item: str, text: str, window: int, limit: int) -> Iterator[tuple[Phrases, int]]:
+    """The query set in blocks of at most about ``limit`` bytes of text (or one longer item), each with the
+    number of blocks."""
+    rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("item"), F.col(f"`{text}`").alias("text")).distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // limit))
     for b in range(blocks):
         part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        yield make_phrases([(r["item"], r["text"]) for r in part.collect()], window)
+        yield make_phrases([(r["item"], r["text"]) for r in part.collect()], window), blocks
 
 
 def find_contamination(
@@ -338,11 +341,16 @@ def find_contamination(
     repeated items count once; every row and column stays, an input column named ``out`` is replaced.
     """
     body = F.col(f"`{text}`")
-    scans = [scan_column(body, p) for p in benchmark_blocks(benchmark, item, item_text, window, block_bytes)]
-    if len(scans) == 1:
-        return docs.withColumn(out, scans[0])
-    names = [f"__{out}_{i}" for i in range(len(scans))]
-    rows = docs.withColumns(dict(zip(names, scans)))
+    rows, names = docs, []
+    with Scratch(docs.sparkSession, "contamination") as scratch:
+        for phrases, blocks in benchmark_blocks(benchmark, item, item_text, window, block_bytes):
+            if blocks == 1:
+                return docs.withColumn(out, scan_column(body, phrases))
+            before = rows
+            names.append(free(f"{out}_{len(names)}", rows))
+            rows = scratch.stage(rows.withColumn(names[-1], scan_column(body, phrases)), "pass", keep=len(names) == blocks)
+            if len(names) > 1:
+                scratch.drop(before)
     items = F.array_sort(F.array_distinct(F.flatten(F.array(*(F.col(f"{n}.items") for n in names)))))
 
     # spans of all passes in order of their first word; those that touch or overlap become one
