@@ -38,6 +38,9 @@ from hydrix.session import Scratch
 LENGTH, GRAM, STEP = 200, 40, 16
 #: Places of a q-gram in a string; bytes that the strings of a block share, and around them.
 PLACES, CORE, RIM = LENGTH - GRAM + 1, LENGTH - STEP + 1, STEP - 1
+#: Bits of a position beside the leading bits of an identifier: a text is below 2^31 bytes.  The number is fixed,
+#: for equal strings must choose their anchors by the same bits wherever they lie.
+PLACE_BITS = 32
 #: Bytes of text whose identifiers fit a core's cache.
 CHUNK = 1 << 17
 
@@ -78,7 +81,7 @@ def anchors(ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     starts = np.flatnonzero(np.arange(n) <= last)
     if not len(starts):
         return (np.zeros(0, np.int64),) * 4
-    bits = _U(max(1, n.bit_length()))
+    bits = _U(PLACE_BITS)
     low = (_U(1) << bits) - _U(1)
     least = np.full(n + PLACES, ~_U(0))
     least[:n] = (ids & ~low) | np.arange(n, dtype=_U)  # ties go to the leftmost
