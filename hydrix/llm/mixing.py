@@ -5,13 +5,15 @@ times its source and the excess is reshared by weight (solved at once: sources s
 weight are capped while the remaining budget still fills them).  The budget is then a whole number of
 blocks of ``block`` words, awarded to sources by the highest quotients target / (2 s + 1); cumulative
 apportionments for each output shard give integer quotas per shard (the method is house monotone, so
-they never fall).  Only a source's total over all shards reaches the selection: no block or document is
-assigned to a shard here, and ``first_block`` is not used.  Selection: a source's documents form one word stream in a seeded order, cut into
-blocks; its quota takes the first blocks of that stream, wrapping round into a second copy.
+they never fall).  Selection: a source's documents form one word stream in a seeded order, cut into
+blocks; shard after shard takes as many of the stream's next blocks as its quota says, and the stream
+wraps round into a second copy.  ``mix_sources`` names the block in which a document starts and the shard
+that takes it.
 
-Which documents that is needs no sorted source: a histogram over the leading bits of the order key
+Which documents are taken needs no sorted source: a histogram over the leading bits of the order key
 finds the bucket in which the quota ends, a window over that one bucket finds the document, and every
-other document is decided by comparing its key with the boundary key.  Only DataFrame functions run.
+other document is decided by comparing its key with the boundary key.  Where a document starts is the sum
+of the buckets before its own and of the keys before it in the bucket.  Only DataFrame functions run.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hydrix.llm.heavy import join_by_key
+from hydrix.llm.names import free
 from hydrix.session import Scratch
 
 # Fixed values of the mixing contract: the word pattern, the repeating weights, the budget and cap.
@@ -183,6 +187,29 @@ def mix_plan(
     return words, plan, quotas
 
 
+def stream_starts(words: DataFrame) -> DataFrame:
+    """``(source, okey, rows, start)``: words of the source's stream before each order key.
+
+    Rows that share a key are one entry.  A window sees one of 2^BITS buckets of a source.
+    """
+    keys = words.groupBy("source", "okey").agg(F.sum("size").alias("ksize"), F.count(F.lit(1)).alias("rows"))
+    keys = keys.withColumn("bucket", F.shiftrightunsigned("okey", KEY_BITS - BITS))
+    sums = keys.groupBy("source", "bucket").agg(F.sum("ksize").alias("bsize"))
+    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("base", F.coalesce(F.sum("bsize").over(earlier), F.lit(0)))
+    inside = Window.partitionBy("source", "bucket").orderBy("okey").rowsBetween(Window.unboundedPreceding, -1)
+    keys = keys.withColumn("own", F.coalesce(F.sum("ksize").over(inside), F.lit(0)))
+    placed = keys.alias("k").join(sums.alias("s"), F.expr("k.source <=> s.source and k.bucket = s.bucket"))
+    return placed.select("k.source", "okey", "rows", (F.col("base") + F.col("own")).alias("start"))
+
+
+def shard_ends(quotas: DataFrame) -> DataFrame:
+    """``(source, ends)``: per source, the blocks that are taken up to the end of each shard, in order."""
+    upto = (F.col("first_block") + F.col("quota")).alias("upto")
+    listed = quotas.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("shard", upto))).alias("listed"))
+    return listed.select("source", F.col("listed.upto").alias("ends"))
+
+
 def taken_words(size: Column, okey: Column) -> Column:
     """Words that the mix takes of a document, given its source's plan columns."""
     bucket = F.shiftrightunsigned(okey, KEY_BITS - BITS)
@@ -192,18 +219,30 @@ def taken_words(size: Column, okey: Column) -> Column:
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target (its source's), taken, source.
+    """One row per document: doc_id, size, source_size, target (its source's), taken, source, block, shard.
 
-    A null or blank text has size 0 and gives nothing; a null source is a source of its own, listed
+    ``block`` is the block of its source's stream in which the document starts, ``shard`` (from 1) the output
+    shard whose quota takes that block; both are null where nothing of it is taken.  A null or blank text has size 0 and gives nothing; a null source is a source of its own, listed
     last; rows that repeat the same id and text share their words evenly; an empty table gives an empty
     result; extra columns are ignored.  The result depends only on the rows and the seed.
     """
     with Scratch(docs.sparkSession, "mix") as scratch:
-        words, plan, _ = mix_plan(docs, scratch, **options)
+        words, plan, quotas = mix_plan(docs, scratch, **options)
+        ends = shard_ends(quotas)
+        plan = scratch.stage(
+            plan.alias("p").join(ends.alias("e"), F.expr("p.source <=> e.source"), "left").select("p.*", "ends").coalesce(1),
+            "recipe", keep=True,
+        )
+        starts = scratch.stage(stream_starts(words), "starts", keep=True)
+    placed = join_by_key(words, starts, ["source", "okey"], F.col("rows"), words.count(), F.col("doc_id"))
     # one row per source of the recipe: small, but left to Spark's size check
-    return words.alias("w").join(plan.alias("p"), F.expr("w.source <=> p.source"), "left").select(
-        "w.doc_id", "w.size", "p.source_size", "p.target", taken_words(F.col("w.size"), F.col("w.okey")).alias("taken"),
-        "w.source",
+    rows = placed.alias("w").join(plan.alias("p"), F.expr("w.source <=> p.source"), "left")
+    taken = taken_words(F.col("w.size"), F.col("w.okey"))
+    at = F.floor(F.col("w.start") / options.get("block", BLOCK)).cast("long")
+    shard = F.size(F.filter("p.ends", lambda e: e <= at)) + 1
+    return rows.select(
+        "w.doc_id", "w.size", "p.source_size", "p.target", taken.alias("taken"), "w.source",
+        F.when(taken > 0, at).alias("block"), F.when(taken > 0, shard).cast("long").alias("shard"),
     )
 
 
@@ -218,15 +257,16 @@ def mixed_documents(
     """
     with Scratch(docs.sparkSession, "mix") as scratch:
         _, plan, _ = mix_plan(docs, scratch, key=key, source=source, text=text, seed=seed, **options)
-    plan = plan.select(F.struct("copies", "end_bucket", "end_key", "end_words", "source").alias("__plan"))
-    rows = docs.withColumn("__okey", order_key(key, text, seed))
-    rows = rows.join(plan, F.col(f"`{source}`").eqNullSafe(F.col("__plan.source")), "left")
-    bucket = F.shiftrightunsigned("__okey", KEY_BITS - BITS)
-    before = (bucket < F.col("__plan.end_bucket")) | (
-        (bucket == F.col("__plan.end_bucket")) & (F.col("__okey") < F.col("__plan.end_key"))
+    own, okey, piece = free("plan", docs), free("okey", docs), free("piece", docs)
+    plan = plan.select(F.struct("copies", "end_bucket", "end_key", "end_words", "source").alias(own))
+    rows = docs.withColumn(okey, order_key(key, text, seed))
+    rows = rows.join(plan, F.col(f"`{source}`").eqNullSafe(F.col(f"{own}.source")), "left")
+    bucket = F.shiftrightunsigned(okey, KEY_BITS - BITS)
+    before = (bucket < F.col(f"{own}.end_bucket")) | (
+        (bucket == F.col(f"{own}.end_bucket")) & (F.col(okey) < F.col(f"{own}.end_key"))
     )
-    whole = (F.coalesce("__plan.copies", F.lit(0)) + F.coalesce(before.cast("long"), F.lit(0))).cast("int")
-    words = F.when(F.col("__okey") == F.col("__plan.end_key"), F.col("__plan.end_words")).otherwise(0)
+    whole = (F.coalesce(f"{own}.copies", F.lit(0)) + F.coalesce(before.cast("long"), F.lit(0))).cast("int")
+    words = F.when(F.col(okey) == F.col(f"{own}.end_key"), F.col(f"{own}.end_words")).otherwise(0)
     body = F.col(f"`{text}`")
     pieces = F.regexp_extract_all(body, F.lit(f"({BLANKS}{WORD})"))
     part = F.array_join(F.slice(pieces, 1, F.greatest(words, F.lit(1)).cast("int")), "")
@@ -234,8 +274,8 @@ def mixed_documents(
     cut = F.when(F.coalesce(words, F.lit(0)) > 0, F.array(part)).otherwise(F.array().cast("array<string>"))
     has_words = F.regexp_like(body, F.lit(WORD))
     texts = F.when(has_words, F.concat(F.array_repeat(body, whole), cut)).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumn("__text", F.explode(texts))
-    out = {text: F.col("__text")}
+    rows = rows.withColumn(piece, F.explode(texts))
+    out = {text: F.col(piece)}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.char_length("__text").cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.char_length(piece).cast(docs.schema["n_chars"].dataType)
     return rows.select(*(out[c].alias(c) if c in out else F.col(f"`{c}`") for c in docs.columns))

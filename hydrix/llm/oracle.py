@@ -134,7 +134,7 @@ SELECT doc_id, octet_length(t)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGIN
 FROM texts LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-#: Seed 17, blocks of 128 words, weights 3, 1, 2, a budget of 1.5 and at most 2 copies.
+#: Seed 17, blocks of 128 words, 16 shards, weights 3, 1, 2, a budget of 1.5 and at most 2 copies.
 _OP10 = f"""
 WITH docs AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_BLANK_WORDS}))::BIGINT AS size,
@@ -155,6 +155,13 @@ targets AS (
 ), quotients AS (
     SELECT source, row_number() OVER (ORDER BY target / (2 * s + 1) DESC, source NULLS LAST, s) AS seat
     FROM (SELECT source, target, unnest(range(0, (cap / 128)::BIGINT + 2)) AS s FROM targets)
+), seats AS (
+    SELECT k, (SELECT round(sum(target) / 128 * k / 16) FROM targets) AS seats FROM range(1, 17) t(k)
+), ends AS (
+    SELECT source, list(upto ORDER BY k) AS ends
+    FROM (SELECT s.source, k, count(seat) AS upto FROM targets s CROSS JOIN seats
+          LEFT JOIN quotients q ON q.source IS NOT DISTINCT FROM s.source AND seat <= seats GROUP BY s.source, k)
+    GROUP BY source
 ), won AS (
     SELECT source, count(*) AS blocks FROM quotients
     WHERE seat <= (SELECT round(sum(target) / 128) FROM targets) GROUP BY source
@@ -166,8 +173,10 @@ targets AS (
            coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
     FROM docs d JOIN plans p ON p.source IS NOT DISTINCT FROM d.source
 )
-SELECT doc_id, size, source_size, target, (copies * size + least(size, greatest(rest - before, 0)))::BIGINT AS taken, source
-FROM streams
+SELECT doc_id, size, source_size, target, taken, source, CASE WHEN taken > 0 THEN (before // 128)::BIGINT END AS block,
+       CASE WHEN taken > 0 THEN (1 + len(list_filter(ends, lambda e: e <= before // 128)))::BIGINT END AS shard
+FROM (SELECT *, (copies * size + least(size, greatest(rest - before, 0)))::BIGINT AS taken FROM streams) s
+JOIN (SELECT source AS end_source, ends FROM ends) ON end_source IS NOT DISTINCT FROM source
 """
 
 #: Seed 7; all texts may be cut, half of them with the suffix first.

@@ -98,7 +98,7 @@ def op9_bucket_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "block", "shard")
 
 
 def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -172,4 +172,4 @@ def test_url_rules_and_propagation(spark):
 
 def test_oracle_keys():
     assert set(queries.oracle_sql()) <= set(queries.QUERIES)
-    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
