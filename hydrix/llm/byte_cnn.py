@@ -27,6 +27,8 @@ from hydrix.llm.words import buffers, row_chunks
 #: Bytes of a window; the bounds of the training sample; the seed of weights and batches.
 WINDOW = 128
 SAMPLE_PER_LANG = 600
+#: Times its sample that a language's first choice holds, and languages with such a choice.
+SPARE, LARGEST = 2, 4096
 SAMPLE_ROWS = 9600
 WINDOWS_PER_TEXT = 3
 SEED = 7
@@ -142,15 +144,24 @@ def training_sample(
     """``(lang, windows)``: byte windows of a bounded, reproducible sample of the labelled texts.
 
     Copies of a text count once.  The windows lie evenly over a text; only they leave the executors,
-    never whole texts.
+    never whole texts.  A language's sample is its texts of the smallest hashes.  A first, narrow pass counts
+    a language's distinct texts, and only hashes below a share that holds about ``SPARE`` times the sample
+    go on, so that ranking a language sees a bounded number of rows whatever its size.
     """
     raw = F.col(f"`{text}`").cast("binary")
     size = F.octet_length(raw)
     starts = [F.greatest(F.lit(0), F.floor((size - WINDOW) * ((2 * i + 1) / (2 * per_text)))) for i in range(per_text)]
     cuts = F.array(*(F.substring(raw, (s + 1).cast("int"), F.lit(WINDOW)) for s in starts))
-    labelled = docs.where(F.col(f"`{lang}`").isNotNull() & (size > 0)).select(
-        F.col(f"`{lang}`").alias("lang"), cuts.alias("windows"), F.xxhash64(F.lit(seed), raw).alias("__h")
-    )
+    hashed = F.xxhash64(F.lit(seed), raw)
+    some = docs.where(F.col(f"`{lang}`").isNotNull() & (size > 0))
+    sizes = some.groupBy(F.col(f"`{lang}`").alias("lang")).agg(F.approx_count_distinct(hashed).alias("texts"))
+    share = F.least(F.lit(1.0), F.lit(float(SPARE * per_lang)) / F.col("texts"))
+    # hashes are spread evenly over the 64-bit range; beyond the largest languages all texts are few
+    below = (share * F.lit(2.0**64) - F.lit(2.0**63)).alias("below")
+    largest = sizes.orderBy(F.col("texts").desc(), "lang").limit(LARGEST).select("lang", below)
+    labelled = some.select(F.col(f"`{lang}`").alias("lang"), cuts.alias("windows"), hashed.alias("__h"))
+    labelled = labelled.join(F.broadcast(largest), "lang", "left")
+    labelled = labelled.where(F.col("below").isNull() | (F.col("__h") <= F.col("below"))).drop("below")
     distinct = labelled.groupBy("lang", "__h").agg(F.min("windows").alias("windows"))  # each task sends a text once
     best = Window.partitionBy("lang").orderBy("__h")  # a rank limit: each task keeps per_lang rows
     ranked = distinct.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= per_lang)
