@@ -11,8 +11,8 @@ bindings/    the registered queries over the driver's test tables and their Duck
 session.py   shared scratch folder (spark.checkpoint.dir), staging, cluster sizing, local sessions
 
 Every operator is lazy: it returns a DataFrame (or Column) and leaves planning to Catalyst.
-No operator calls ``collect``/``toPandas`` or a Python UDF (``assert_checks`` alone collects its
-result: one row per check).
+Outside the optional ``llm`` part no operator calls ``toPandas`` or a Python UDF; collected are check results
+(one row per check), observed counts and the partition values that a batch touches.
 """
 
 __version__ = "0.1.0"
