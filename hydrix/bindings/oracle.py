@@ -337,6 +337,13 @@ SELECT count(*) AS n_pages, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT)
         "incremental_gold_trend": f"{silver_src} {trend}",
         "silver_window_rerun": f"""{silver_src} SELECT * REPLACE (CASE WHEN date_prelevement_clean BETWEEN DATE '{WINDOW[0]}' AND DATE '{WINDOW[1]}'
   THEN 'ug/L' ELSE libelle_unite END AS libelle_unite) FROM silver""",
+        "silver_gate_states": f"{silver_src} " + _SILVER_GATE,
+        "paged_json_landed_rows": f"{m} SELECT * FROM m",
+        "categorize_rule_table": f"{m} SELECT event_id, libelle_parametre, {_sql_category('libelle_parametre')} AS categorie FROM m",
+        "categorize_many_rules": """WITH o AS (SELECT o_orderkey, 'Order ' || CAST(o_orderkey * 7919 AS VARCHAR) AS o_name FROM orders),
+r AS (SELECT CAST(round(c_acctbal) AS BIGINT) AS rank, c_mktsegment AS label, right(c_name, 4) AS keyword FROM customer),
+best AS (SELECT o_name, arg_min(label, (rank, label)) AS label FROM (SELECT DISTINCT o_name FROM o) JOIN r ON contains(o_name, keyword) GROUP BY o_name)
+SELECT o_orderkey, o_name, coalesce(label, 'none') AS segment FROM o LEFT JOIN best USING (o_name)""",
         "gold_trend_exact": f"{silver_src} {trend}",
         "gold_onepass_trend_exact": f"{silver_src} {trend}",
         "numeric_extremes_exact": f"{m} SELECT min(resultat_numerique) AS min, max(resultat_numerique) AS max, {exact_mean('resultat_numerique')} AS avg FROM m",

@@ -40,8 +40,10 @@ from hydrix.operators.metrics import (
     yearly_trend,
 )
 from hydrix.operators.rejects import write_split
+from hydrix.operators.rule_tables import KEYWORD, LABEL, RANK, categorize_by_table, rule_table
 from hydrix.operators.profile import describe_numeric, null_profile, numeric_extremes
 from hydrix.plans.explore import raw_profile
+from hydrix.plans.gate_states import gate_partitions
 from hydrix.plans.gates import gold_gate, silver_gate, source_silver_checks
 from hydrix.plans.gold import GoldSpec, build_gold, category_is, gold_aggregate, split_gold, status_is
 from hydrix.plans.incremental import merge_batch, publish_gold, rerun_window
@@ -58,8 +60,9 @@ from hydrix.plans.silver import (
 )
 from hydrix.session import scratch_path, stage
 from hydrix.sources.files import read_json, read_parquet, write_json, write_parquet, written_counts
-from hydrix.sources.paged import page_rows, page_stats, read_pages, write_pages
+from hydrix.sources.paged import crawl_landed, page_rows, page_stats, read_pages, write_pages
 from hydrix.sources.preview import preview_rows
+from hydrix.streaming.landing import land_pages
 
 
 
@@ -483,6 +486,48 @@ def q_silver_window_rerun(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+def _gated_twice(spark, sf_dir):
+    """Silver by department, gated before and after the last department and a second part of another came in."""
+    silver, root = silver_m(spark, sf_dir), scratch_path(spark, "gate-states")
+    late = (F.col("code_dept") == "3") | ((F.col("code_dept") == "5") & (F.col("annee").isNull() | F.col("commune").endswith("5")))
+    path = write_parquet(silver.filter(~late), f"{root}/table", partition_by=("code_dept",))
+    gate_partitions(spark, path, f"{root}/states", "code_dept")
+    write_parquet(silver.filter(late), path, mode="append", partition_by=("code_dept",))
+    return gate_partitions(spark, path, f"{root}/states", "code_dept")
+
+
+def q_silver_gate_states(spark, sf_dir):
+    """L3, Q1-Q6 from stored states: the rows of a full gate, though only two partitions are scanned again."""
+    return _gated_twice(spark, sf_dir).results
+
+
+def q_paged_json_landed_rows(spark, sf_dir):
+    """S1, S2 from a landing with manifest: page 1 was landed twice, page 2 lost its rows in one of two copies."""
+    m, root = m_view(spark, sf_dir), scratch_path(spark, "pages-manifest")
+    first = write_pages(m, f"{root}/json/first", PAGE_SIZE, "event_id", with_page=True)
+    envelopes = read_pages(spark, first, m.schema, with_page=True)
+    again = envelopes.filter("page = 1").unionByName(
+        envelopes.filter("page = 2").withColumn("data", F.slice("data", 1, 0)))
+    write_json(again.drop("_corrupt_page"), f"{root}/json/again")
+    land_pages(spark, f"{root}/json/*", f"{root}/pages", m.schema).awaitTermination()
+    return page_rows(crawl_landed(read_parquet(spark, f"{root}/pages")))
+
+
+def q_categorize_rule_table(spark, sf_dir):
+    """F5 with the rules as a table: the families of every row's parameter name."""
+    m = m_view(spark, sf_dir).select("event_id", "libelle_parametre")
+    return categorize_by_table(m, "libelle_parametre", rule_table(spark))
+
+
+def q_categorize_many_rules(spark, sf_dir):
+    """F5 with a rule for every customer: a keyword of the last digits of its name, ranked by balance."""
+    customers = table(spark, sf_dir, "customer")
+    rules = customers.select(
+        F.round("c_acctbal").cast("long").alias(RANK), F.col("c_mktsegment").alias(LABEL), F.expr("right(c_name, 4)").alias(KEYWORD))
+    orders = _orders(spark, sf_dir).select("o_orderkey", F.concat(F.lit("Order "), F.col("o_orderkey") * 7919).alias("o_name"))
+    return categorize_by_table(orders, "o_name", rules, "segment", "none")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -6,7 +6,7 @@ in the text wins.  NULL and empty text fall to the default.  Matching is plain s
 
 Rules are data: pass your own ``rules`` list to change families or keywords.  The chain stays a
 native expression (constant-folded, inside whole-stage codegen); for rule lists in the thousands,
-categorise the distinct parameter names once and join the result back instead.
+use the rules as a table (``hydrix.operators.rule_tables``).
 """
 
 from __future__ import annotations

@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
+from hydrix.operators.check_states import partition_states, state_results
 from hydrix.operators.columns import (
     count_parse_failures,
     date_window,
@@ -41,4 +42,6 @@ from hydrix.operators.quality import (
     suite_summary,
 )
 
+from hydrix.operators.rule_tables import categorize_by_table, rule_table
+
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -126,7 +126,7 @@ def expect(name_column: str, violation: Column, rule: str) -> Check:
     return Check(RULE, name_column, violation_expr=violation, rule_text=rule)
 
 
-def _row(table: str, check: Check, unexpected: Column, total: Column, success: Column) -> Column:
+def result_row(table: str, check: Check, unexpected: Column, total: Column, success: Column) -> Column:
     status = F.when(success.isNull(), F.lit(SKIPPED)).when(success, F.lit(PASSED)).otherwise(F.lit(FAILED))
     return F.struct(
         F.lit(table).alias("table_name"),
@@ -152,9 +152,9 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table_name: str) -> DataF
         if check.kind == RULE or check.column in present:
             aggs.append(F.count_if(check.violation()).alias(f"_u{i}"))
             u = F.col(f"_u{i}")
-            rows.append(_row(table_name, check, u, total, check.success(u, total)))
+            rows.append(result_row(table_name, check, u, total, check.success(u, total)))
         else:
-            rows.append(_row(table_name, check, F.lit(None).cast("long"), total, F.lit(None).cast("boolean")))
+            rows.append(result_row(table_name, check, F.lit(None).cast("long"), total, F.lit(None).cast("boolean")))
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
@@ -201,7 +201,7 @@ def check_subset(sub: DataFrame, sup: DataFrame, keys: Sequence[str], table_name
     total = F.coalesce(F.sum("_in_sub"), F.lit(0))
     unexpected = total - F.coalesce(F.sum("_found"), F.lit(0))
     check = Check(SUBSET, ",".join(keys), rule_text="keys present in parent table")
-    return marked.agg(F.inline(F.array(_row(table_name, check, unexpected, total, unexpected == 0))))
+    return marked.agg(F.inline(F.array(result_row(table_name, check, unexpected, total, unexpected == 0))))
 
 
 def counts_within_total(total: str = "total_tests", ok: str = "nb_conformes", ko: str = "nb_non_conformes") -> Check:

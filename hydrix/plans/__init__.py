@@ -1,6 +1,7 @@
 """Compositions of operators: silver, gold, gates, raw profile, end-to-end run."""
 
 from hydrix.plans.explore import distributions, profile_summary, raw_profile
+from hydrix.plans.gate_states import GateRun, gate_partitions
 from hydrix.plans.gates import gold_gate, silver_checks, silver_gate, silver_gate_at, source_silver_checks
 from hydrix.plans.gold import GoldSpec, build_gold, category_is, gold_aggregate, split_gold, status_is
 from hydrix.plans.incremental import compact_states, merge_batch, publish_gold, rerun_window

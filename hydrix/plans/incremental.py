@@ -71,7 +71,7 @@ def _values(rows: DataFrame, cols: Sequence[str]) -> list[tuple]:
     return [tuple(r) for r in found]
 
 
-def _in_partitions(cols: Sequence[str], values: Sequence[tuple]) -> Column:
+def in_partitions(cols: Sequence[str], values: Sequence[tuple]) -> Column:
     """Predicate on partition columns only, so that Spark prunes folders."""
     found = F.lit(False)
     if len(cols) == 1:
@@ -133,7 +133,7 @@ def apply_delta(spark: SparkSession, path: str, delta: DataFrame, spec: SilverSp
     if stored is None:
         _overwrite_partitions(added, path, cols)
         return
-    touched = stored.filter(_in_partitions(cols, _values(delta, cols)))
+    touched = stored.filter(in_partitions(cols, _values(delta, cols)))
     keys = [*spec.dedup_keys, BAD_DATE]
     gone = delta.withColumn(BAD_DATE, bad_date(spec)).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).distinct()
     same = F.lit(True)
@@ -175,7 +175,7 @@ def merge_batch(
             require_columns(new, cols, "partition column")
             stored = read_parquet(spark, path, on_missing="skip")
             if stored is not None:
-                stored = stored.filter(_in_partitions(cols, _values(new, cols)))
+                stored = stored.filter(in_partitions(cols, _values(new, cols)))
             write_parquet(silver_delta(stored, new, spec), delta_path)
     delta = read_parquet(spark, delta_path)
     state_path = f"{root}/gold_states/batch={batch}"

@@ -8,13 +8,23 @@ from hydrix.sources.files import (
     write_parquet,
     written_counts,
 )
-from hydrix.sources.paged import crawl_pages, envelope_schema, page_rows, page_stats, read_pages, write_pages
+from hydrix.sources.paged import (
+    crawl_landed,
+    crawl_pages,
+    envelope_schema,
+    page_rows,
+    page_stats,
+    read_pages,
+    with_manifest,
+    write_pages,
+)
 from hydrix.sources.publish import Publication, recover
 from hydrix.sources.preview import preview_rows, schema_text
 
 __all__ = [
     "Publication",
     "recover",
+    "crawl_landed",
     "crawl_pages",
     "envelope_schema",
     "guard_not_input",
@@ -25,6 +35,7 @@ __all__ = [
     "read_pages",
     "read_parquet",
     "schema_text",
+    "with_manifest",
     "write_json",
     "write_pages",
     "write_parquet",

@@ -32,6 +32,8 @@ from hydrix.sources.files import ON_MALFORMED, only_parsed, read_json, write_jso
 DATA, NEXT, PAGE = "data", "next", "page"
 #: Text of an envelope that does not parse; NULL in a good one.
 CORRUPT = "_corrupt_page"
+#: Manifest columns of a landed page: number of rows, hash of the rows.
+PAGE_SIZE, PAGE_HASH = "_page_size", "_page_hash"
 
 
 def envelope_schema(row_schema: StructType, with_page: bool = False, corrupt: bool = False) -> StructType:
@@ -77,10 +79,26 @@ def numbered(pages: DataFrame, page_col: str = PAGE, on_malformed: str = "raise"
     it out (``page_stats`` counts them)."""
     if on_malformed == "skip":
         return pages.filter(F.col(page_col).isNotNull())
-    text = F.concat(F.lit("page envelope without a number, rows: "), _size().cast("string"))
+    text = F.concat(F.lit("page envelope without a number, rows: "), _described(pages)[0].cast("string"))
     return pages.filter(F.when(F.col(page_col).isNull(), F.raise_error(text).cast("boolean")).otherwise(True))
 
 
+def with_manifest(pages: DataFrame) -> DataFrame:
+    """The envelopes with their size and content hash, so that later readers need not open the rows.
+
+    Written as Parquet these are narrow columns of their own: ``crawl_pages`` and ``page_stats`` then decide
+    from page, next, size and hash, and read ``data`` only to give out the rows.
+    """
+    return pages.withColumns({PAGE_SIZE: _size(), PAGE_HASH: F.xxhash64(F.to_json(F.col(DATA)))})
+
+
+def _described(pages: DataFrame) -> tuple[Column, Column]:
+    """(size, hash) of a page: those of its manifest, else computed."""
+    if {PAGE_SIZE, PAGE_HASH} <= set(pages.columns):
+        return F.col(PAGE_SIZE), F.col(PAGE_HASH)
+    return _size(), F.xxhash64(F.to_json(F.col(DATA)))
+
+
 def _size(data: str = DATA):
     n = F.coalesce(F.size(data), F.lit(0))
     return F.when(n < 0, F.lit(0)).otherwise(n)  # size(NULL) is -1 in legacy mode
@@ -94,7 +112,8 @@ def _page_index(pages: DataFrame, page_col: str) -> tuple[DataFrame, Column]:
     numbers cross the shuffle, never the page's rows.
     """
     has_next = F.coalesce(F.col(NEXT) != "", F.lit(False))
-    copy = F.struct(_size().alias("n"), has_next.alias("has_next"), F.xxhash64(F.to_json(F.col(DATA))).alias("hash"))
+    size, content = _described(pages)
+    copy = F.struct(size.alias("n"), has_next.alias("has_next"), content.alias("hash"))
     narrow = pages.select(F.col(page_col).alias("_page"), copy.alias("_copy"))
     same = narrow.groupBy("_page", "_copy").agg(F.count(F.lit(1)).alias("_same"))
     index = same.groupBy("_page").agg(
@@ -118,8 +137,8 @@ def crawl_pages(
     yet, every page is kept.  Pass ``end_page`` if the landing step already knows it.  An envelope without
     a page number is malformed here: it stops the job, or is skipped if the caller says so.
 
-    Page numbers, sizes and hashes decide first; the pages themselves stay where they were read, and
-    only the numbers that landed more than once (a list that is left to Spark's size check) are joined
+    Page numbers, sizes and hashes decide first (those of the manifest, if the pages were landed with one:
+    then the pages are read once); the pages themselves stay where they were read, and only the numbers that landed more than once (a list that is left to Spark's size check) are joined
     and made single.
     """
     require_columns(pages, [DATA, NEXT, page_col])
@@ -130,13 +149,38 @@ def crawl_pages(
     repeated = stage(index.filter("_copies > 1").select(F.col("_page").alias("_rp"), "_copy"), "repeated-pages")
     cond = F.col(page_col).eqNullSafe(F.col("_rp"))
     once = kept.join(repeated, cond, "left_anti")
+    size, content = _described(pages)
     more = kept.join(repeated, cond).filter(
-        (_size() == F.col("_copy.n")) & (F.coalesce(F.col(NEXT) != "", F.lit(False)) == F.col("_copy.has_next"))
-        & (F.xxhash64(F.to_json(F.col(DATA))) == F.col("_copy.hash"))
+        (size == F.col("_copy.n")) & (F.coalesce(F.col(NEXT) != "", F.lit(False)) == F.col("_copy.has_next"))
+        & (content == F.col("_copy.hash"))
     )
     return once.unionByName(more.select(*pages.columns).dropDuplicates([page_col]))
 
 
+def crawl_landed(
+    landed: DataFrame, page_col: str = PAGE, *, end_page: int | None = None, on_malformed: str = "raise"
+) -> DataFrame:
+    """``crawl_pages`` over a Parquet landing with manifest (``streaming.land_pages``): ``data`` is scanned once.
+
+    The manifest columns decide.  Of the equal copies of a page the one that is last by file and row number
+    counts, so the wanted copy is known by its place and needs no second look at the rows.
+    """
+    require_columns(landed, [DATA, NEXT, page_col, PAGE_SIZE, PAGE_HASH])
+    number, file, row = "_number", "_file", "_row"
+    pages = numbered(landed, page_col, on_malformed).withColumns({file: F.col("_metadata.file_path"), row: F.col("_metadata.row_index")})
+    has_next = F.coalesce(F.col(NEXT) != "", F.lit(False)).alias("has_next")
+    copy = F.struct(F.col(PAGE_SIZE).alias("n"), has_next, F.col(PAGE_HASH).alias("hash"), F.col(file), F.col(row))
+    index = pages.select(F.col(page_col).alias(number), copy.alias("_copy")).groupBy(number).agg(
+        F.max("_copy").alias("_copy"), F.count(F.lit(1)).alias("_copies")
+    )
+    ends = (F.col("_copy.n") == 0) | ~F.col("_copy.has_next")
+    end = F.lit(int(end_page)) if end_page is not None else index.filter(ends).select(F.min(number)).scalar()
+    repeated = stage(index.filter("_copies > 1").select(number, "_copy"), "repeated-pages")
+    kept = pages.filter(end.isNull() | (F.col(page_col) <= end)).join(repeated, F.col(page_col) == F.col(number), "left")
+    wanted = F.col(number).isNull() | ((F.col(file) == F.col(f"_copy.{file}")) & (F.col(row) == F.col(f"_copy.{row}")))
+    return kept.filter(wanted).select(*landed.columns)
+
+
 def page_rows(pages: DataFrame, page_col: str | None = None, *, on_malformed: str = "raise") -> DataFrame:
     """Flatten envelopes to rows (inside the scan stage, no shuffle); with ``page_col``, only the
     pages ``crawl_pages`` keeps."""
@@ -155,7 +199,7 @@ def page_stats(pages: DataFrame, page_col: str | None = None) -> DataFrame:
     require_columns(pages, [DATA, NEXT] + ([page_col] if page_col else []))
     bad = _malformed(pages)
     if page_col is None:
-        n = _size()
+        n = _described(pages)[0]
         return pages.agg(
             F.count_if(~bad).alias("n_pages"),
             F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("n_rows"),
@@ -163,7 +207,7 @@ def page_stats(pages: DataFrame, page_col: str | None = None) -> DataFrame:
             (F.count_if(~bad & (F.col(NEXT).isNull() | (F.col(NEXT) == ""))) > 0).alias("has_last_page"),
             F.count_if(bad).alias("n_malformed"),
         )
-    malformed = pages.agg(F.count_if(bad & (_size() >= 0))).scalar()  # Spark wants a data column read too
+    malformed = pages.agg(F.count_if(bad & (_described(pages)[0] >= 0))).scalar()  # Spark wants a data column read too
     index, end = _page_index(pages.filter(~bad), page_col)
     inside = (end.isNull() | (F.col("_page") <= end)) & F.col("_page").isNotNull()
     first, last = F.min("_page"), F.coalesce(end, F.max("_page"))

@@ -10,19 +10,23 @@ landing folder; a Structured Streaming query turns every new envelope file into
 * ``availableNow`` trigger: process what has landed, then stop (a scheduled batch job), or a
   ``processingTime`` trigger to keep running.
 
+``land_pages`` keeps the envelopes themselves, as Parquet with their manifest (page number, size, content
+hash).  The end of the crawl and the copies that count are then found without opening a page again
+(``sources.crawl_landed``).
+
 Duplicate pages (the source re-requests its last page) are not removed here; the silver build's keyed
 dedup removes the repeated rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from hydrix.session import path_exists
-from hydrix.sources.paged import CORRUPT, DATA, envelope_schema, well_formed
+from hydrix.sources.paged import CORRUPT, DATA, envelope_schema, well_formed, with_manifest
 
 
 def ingest_pages(
@@ -45,14 +49,46 @@ def ingest_pages(
     envelope that does not parse stops the query (``on_malformed="raise"``) or is left out ("skip";
     ``page_stats`` over the landing folder counts such pages).
     """
-    bronze_dir = bronze_dir.rstrip("/")
-    checkpoint = checkpoint or f"{bronze_dir}/_checkpoint"
-    if path_exists(spark, f"{bronze_dir}/_spark_metadata") and not path_exists(spark, checkpoint):
-        raise ValueError(f"{bronze_dir} was filled under another checkpoint than {checkpoint}")
-    reader = spark.readStream.schema(envelope_schema(row_schema, corrupt=True)).option("columnNameOfCorruptRecord", CORRUPT)
+    pages = _landing_stream(spark, landing_dir, envelope_schema(row_schema, corrupt=True), on_malformed, max_files_per_trigger)
+    return _append(pages.select(F.inline(DATA)), bronze_dir, checkpoint, available_now, processing_time)
+
+
+def land_pages(
+    spark: SparkSession,
+    landing_dir: str,
+    pages_dir: str,
+    row_schema: StructType,
+    *,
+    checkpoint: str | None = None,
+    on_malformed: str = "raise",
+    available_now: bool = True,
+    processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Like ``ingest_pages``, for envelopes with page numbers that stay envelopes: ``page``, ``data``, ``next``
+    and the manifest columns.  Read them back as Parquet and pass them to ``crawl_landed``."""
+    schema = envelope_schema(row_schema, with_page=True, corrupt=True)
+    pages = _landing_stream(spark, landing_dir, schema, on_malformed, max_files_per_trigger)
+    return _append(with_manifest(pages.drop(CORRUPT)), pages_dir, checkpoint, available_now, processing_time)
+
+
+def _landing_stream(
+    spark: SparkSession, landing_dir: str, schema: StructType, on_malformed: str, max_files_per_trigger: int | None
+) -> DataFrame:
+    reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    rows = well_formed(reader.json(landing_dir), on_malformed).select(F.inline(DATA))
+    return well_formed(reader.json(landing_dir), on_malformed)
+
+
+def _append(
+    rows: DataFrame, target: str, checkpoint: str | None, available_now: bool, processing_time: str | None
+) -> StreamingQuery:
+    """Starts the query that appends ``rows`` to a Parquet table, exactly once per landed file."""
+    spark, target = rows.sparkSession, target.rstrip("/")
+    checkpoint = checkpoint or f"{target}/_checkpoint"
+    if path_exists(spark, f"{target}/_spark_metadata") and not path_exists(spark, checkpoint):
+        raise ValueError(f"{target} was filled under another checkpoint than {checkpoint}")
     writer = (
         rows.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -62,4 +98,4 @@ def ingest_pages(
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start(bronze_dir)
+    return writer.start(target)
