@@ -132,7 +132,7 @@ def requests(parts: int):
                 ordered = pair[order]
                 del pair
                 first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                pair_counts = np.add.reduceat(train[order].astype(np.uint32), first)
+                pair_counts = np.add.reduceat(train[order], first, dtype=np.uint32)  # the sum's own type is wider
                 word_counts = np.bincount(tokens[train], minlength=len(words)).astype(np.uint32)
                 pairs = ordered[first]
                 del order, ordered, first
