@@ -16,8 +16,9 @@ the bucket of their anchor.  Then, each level being a grouped minimum and maximu
    them share; blocks with equal surroundings are settled whole.
 4. Strings of the blocks that are left, bucketed one by one.
 
-Texts go through as distinct classes (64-bit text fingerprints): a text with copies is repeated as a
-whole.  Only texts with a shared anchor are shuffled, once.
+Texts go through as distinct classes (64-bit text fingerprints; texts that share one but differ in SHA-256
+get classes of their own): a text with copies is repeated as a whole.  Only texts with a shared anchor are
+shuffled, once.
 """
 
 from __future__ import annotations
@@ -47,6 +48,10 @@ CHUNK = 1 << 17
 _U = np.uint64
 
 
+def fingerprint(body: Column) -> Column:
+    return F.xxhash64(body)
+
+
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Identifier of a bucket from the identifiers of two parts of its string."""
     x = a * _U(0x9E3779B97F4A7C15) + b * _U(0xC2B2AE3D27D4EB4F)
@@ -212,11 +217,47 @@ def _shared(rows: DataFrame, keys: list[str], loc: Column, scratch: Scratch, nam
     return scratch.stage(found.drop("top"), name)
 
 
-def repeated_strings(docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def _copies(rows: DataFrame) -> DataFrame:
+    """Classes of two rows or more: number, size, and whether their texts differ (``clash``)."""
+    mark = F.xxhash64("own")
+    found = rows.where(F.col("n_bytes") >= LENGTH).groupBy("cls").agg(
+        F.count(F.lit(1)).alias("n"), F.first("n_bytes").alias("n_bytes"), (F.min(mark) != F.max(mark)).alias("clash")
+    )
+    return found.where("n > 1")
+
+
+def _apart(rows: DataFrame, own: Column, clash: DataFrame | None) -> DataFrame:
+    """``rows`` with classes made from the SHA-256 (``own``) of their texts where a fingerprint is shared."""
+    if clash is None:
+        return rows
+    listed = clash.select(F.col("cls").alias("clashing"))
+    marked = rows.join(listed, F.col("cls") == F.col("clashing"), "left")
+    return marked.withColumn("cls", F.when(F.col("clashing").isNull(), F.col("cls")).otherwise(F.xxhash64(own))).drop("clashing")
+
+
+def text_classes(docs: DataFrame, key: str, body: Column, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """``(rows, copied, clash)``: the documents with their class, size and SHA-256, kept; the classes of copies;
+    and the fingerprints that different texts share (None where there is none)."""
+    rows = scratch.stage(
+        docs.select(F.col(f"`{key}`").alias("doc_id"), fingerprint(body).alias("cls"),
+                    F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body.cast("binary"), 256).alias("own")),
+        "rows", keep=True,
+    )
+    copied = scratch.stage(_copies(rows), "copied")
+    clash = copied.where("clash").select("cls")
+    if clash.isEmpty():
+        return rows, copied, None
+    clash = scratch.stage(clash, "clash", keep=True)
+    again = _copies(_apart(rows.join(clash, "cls", "left_semi"), F.col("own"), clash))
+    return _apart(rows, F.col("own"), clash), scratch.stage(copied.where("not clash").unionByName(again), "apart"), clash
+
+
+def repeated_strings(docs: DataFrame, text: str, scratch: Scratch, clash: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(ranges, texts)``: for text classes ``cls`` the ranges (first, last) of starts of repeated
     strings, and the text of every class that has a shared anchor.  Copies of whole texts don't count."""
     body = F.col(f"`{text}`")
-    plain = docs.where(F.octet_length(body) >= LENGTH).select(F.xxhash64(body).alias("cls"), body.alias("text"))
+    plain = docs.where(F.octet_length(body) >= LENGTH).select(fingerprint(body).alias("cls"), body.alias("text"))
+    plain = _apart(plain, F.sha2(F.col("text").cast("binary"), 256), clash)
     marks = scratch.stage(
         plain.select("cls", F.explode(anchor_rows(F.col("text"))).alias("m")).select("cls", "m.place", "m.gram", "m.around"), "marks"
     )
@@ -270,20 +311,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     (starts, ends: byte offsets; ``kept_bytes`` gives the remaining text).
 
     A null text is empty; texts shorter than a string keep every byte; a text with an exact copy (a
-    repeated row too) of at least one string's length loses every byte.  Strings are compared by
-    identifiers of 64 bits, levels 3 and 4 within their bucket by bytes.  Null ids, ties and extra
+    repeated row too, told by SHA-256) of at least one string's length loses every byte.  Strings are compared
+    by identifiers of 64 bits, levels 3 and 4 within their bucket by bytes.  Null ids, ties and extra
     columns do not matter; an empty table gives an empty result.
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     with Scratch(docs.sparkSession, "repeats") as scratch:
-        ranges, texts = repeated_strings(docs, text, scratch)
-        rows = scratch.stage(
-            docs.select(F.col(f"`{key}`").alias("doc_id"), F.xxhash64(body).alias("cls"),
-                        F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body.cast("binary"), 256).alias("own")),
-            "rows", keep=True,
-        )
-        copied = rows.where(F.col("n_bytes") >= LENGTH).groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.first("n_bytes").alias("n_bytes")).where("n > 1")
-        copied = scratch.stage(copied, "copied")
+        rows, copied, clash = text_classes(docs, key, body, scratch)
+        ranges, texts = repeated_strings(docs, text, scratch, clash)
         found = texts.select("cls", "text").join(ranges, "cls").join(copied.select("cls"), "cls", "left_anti")
         found = found.select("cls", span_rows(F.col("text"), F.col("ranges")).alias("r")).select("cls", "r.*")
         empty = hashlib.sha256(b"").hexdigest()

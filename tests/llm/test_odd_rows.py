@@ -66,6 +66,19 @@ def test_repeated_strings(docs, plain):
     assert bag((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == bag((d, *w) for (d, _), w in zip(plain, want))
 
 
+def test_repeats_where_fingerprints_of_texts_collide(spark, monkeypatch):
+    """Different texts under one 64-bit fingerprint keep apart."""
+    rng = random.Random(6)
+    passage = words(rng, 60)
+    texts = [words(rng, 80), words(rng, 90), passage + words(rng, 30), words(rng, 20) + passage, words(rng, 50), "short", ""]
+    texts += [texts[1], "a" * 450]
+    rows = list(enumerate(texts)) + [(20, None)]
+    monkeypatch.setattr(bucket_pointer, "fingerprint", lambda body: F.xxhash64(F.octet_length(body) < 300))
+    got = bucket_pointer.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute.repeats([t for _, t in rows])
+    assert bag((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == bag((d, *w) for (d, _), w in zip(rows, want))
+
+
 def test_language(docs, plain):
     model = byte_cnn.fit(docs.where(fold("doc_id", 5) != 0))
     got = byte_cnn.identify(docs, model).collect()
