@@ -6,10 +6,17 @@ counts: every training token is predicted from the counts without itself.
 
 The texts are tokenised once into *groups* (about ``GROUP_BYTES`` of text, or one longer text), each a
 row of packed arrays in the shared scratch folder.  A group asks for the training counts of its distinct
-words and word pairs, so a frequent word is one entry per group whatever its count: requests go as
-sorted blocks of fingerprints to ``parts`` reducers, which add them up and answer each group in the
-same order.  EM sees a fixed grid of (bucket, p2/p0, p1/p0) cells, counted over all training tokens.
-Nothing but that grid and the totals N and V reaches the driver.
+words and word pairs, so a frequent word is one entry per group whatever its count.
+
+Requests go as sorted blocks of fingerprints through levels of *nodes*.  A node owns one of ``fan`` times as
+many fingerprint ranges as the level before had, and takes the blocks of about ``fan`` nodes (or groups) of the
+range around it; it adds them up and asks on for the sums.  The nodes of the last level see all groups, so
+their sums are the counts, and answers go back the same way, each in the order of its request.  A block is
+one of at most ``FAN`` that a node sends, so blocks, entries and work grow with the number of groups, and
+levels with its logarithm: one to some 3 GB of text, two to 0.8 TB, three to 200 TB.
+
+EM sees a fixed grid of (bucket, p2/p0, p1/p0) cells, counted over all training tokens.  Nothing but that
+grid, the totals N and V and the numbers of groups and tokens reaches the driver.
 """
 
 from __future__ import annotations
@@ -26,8 +33,9 @@ from pyspark.sql import functions as F
 from hydrix.llm.words import LOWER, NOT_BLANK, buffers, mix, release_memory, row_chunks, seeds, word_hashes, word_spans
 from hydrix.session import Scratch
 
-#: Bytes of text of a group; tokens whose requests one reducer adds up.
-GROUP_BYTES, PART_TOKENS = 6 << 20, 2 << 20
+#: Bytes of text of a group; tokens whose requests a node of the last level adds up; the most ranges into which a
+#: group or node splits its requests.
+GROUP_BYTES, PART_TOKENS, FAN = 6 << 20, 2 << 20, 256
 #: Frequency buckets of contexts (one per power of two of a 64-bit count); EM grid cells per factor of two, and factors of two covered (half of
 #: them above 1: a ratio is at most V + 1 and at least (V + 1) / N, both within 2^64).
 BUCKETS, STEPS, OCTAVES = 64, 2, 128
@@ -112,14 +120,40 @@ def _train_mask(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(~np.frombuffer(row["held"], bool), np.diff(bounds)), bounds
 
 
-def _split(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Bounds of each part's range of (sorted) fingerprints."""
-    edges = np.array([(p << 64) // parts for p in range(1, parts)], dtype=_U)
+def exchange_shape(parts: int) -> tuple[int, int]:
+    """(levels, fan): the fewest levels with at most ``FAN`` ranges a node, and the least fan for ``parts`` ranges."""
+    levels, fan = 1, 1
+    while FAN**levels < parts:
+        levels += 1
+    while fan**levels < parts:
+        fan += 1
+    return levels, fan
+
+
+def _split(keys: np.ndarray, ranges: range, total: int) -> np.ndarray:
+    """Bounds of (sorted) fingerprints in successive ranges of the ``total`` equal ones."""
+    edges = np.array([(r << 64) // total for r in ranges[1:]], dtype=_U)
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def requests(parts: int):
-    """Each group's distinct words and pairs with its own training counts, a row per reducer."""
+ASKED = "part bigint, gid bigint, w binary, nw binary, p binary, np binary"
+
+
+def _blocks(gid: int, words, word_counts, pairs, pair_counts, ranges: range, total: int, bundles: int, bundle: int) -> dict[str, list]:
+    """A request's rows (columns of ``ASKED``): its keys and counts by range, to the node of each range and the bundle."""
+    w, p = _split(words, ranges, total), _split(pairs, ranges, total)
+    out: dict[str, list] = {c: [] for c in ("part", "gid", "w", "nw", "p", "np")}
+    for k, r in enumerate(ranges):
+        if w[k + 1] > w[k] or p[k + 1] > p[k]:
+            own, pair = slice(w[k], w[k + 1]), slice(p[k], p[k + 1])
+            values = (r * bundles + bundle, gid, _pack(words[own]), _pack(word_counts[own]), _pack(pairs[pair]), _pack(pair_counts[pair]))
+            for c, v in zip(out.values(), values):
+                c.append(v)
+    return out
+
+
+def requests(fan: int, bundles: int = 1):
+    """Each group's distinct words and pairs with its own training counts, a row per range of the first level."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,17 +170,11 @@ def requests(parts: int):
                 word_counts = np.bincount(tokens[train], minlength=len(words)).astype(np.uint32)
                 pairs = ordered[first]
                 del order, ordered, first
-                w, p = _split(words, parts), _split(pairs, parts)
-                columns = [[], [], [], [], [], []]
-                for k in range(parts):
-                    if w[k + 1] > w[k] or p[k + 1] > p[k]:
-                        values = (k, row["gid"], _pack(words[w[k] : w[k + 1]]), _pack(word_counts[w[k] : w[k + 1]]),
-                                  _pack(pairs[p[k] : p[k + 1]]), _pack(pair_counts[p[k] : p[k + 1]]))
-                        for c, v in zip(columns, values):
-                            c.append(v)
+                bundle = int(mix(np.array([row["gid"]], np.int64).view(_U))[0] % _U(bundles))
+                columns = _blocks(row["gid"], words, word_counts, pairs, pair_counts, range(fan), fan, bundles, bundle)
                 kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
-                asked = [pa.array(c, t) for c, t in zip(columns, kinds)]
-                del row, words, tokens, train, pairs, pair_counts, columns, values
+                asked = [pa.array(c, t) for c, t in zip(columns.values(), kinds)]
+                del row, words, tokens, train, pairs, pair_counts, columns
                 release_memory()
                 yield pa.RecordBatch.from_arrays(asked, ["part", "gid", "w", "nw", "p", "np"])
                 del asked
@@ -154,6 +182,52 @@ def requests(parts: int):
     return apply
 
 
+def _counts_of(blob: bytes, keys: bytes) -> np.ndarray:
+    """A block's counts; their width follows from the number of its keys."""
+    return _unpack(blob, f"u{len(blob) * 8 // len(keys)}") if len(keys) else np.zeros(0, np.uint32)
+
+
+def _added(keys: pd.Series, counts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of several blocks, sorted, and their summed counts in the least width that holds them."""
+    flat = np.concatenate([_unpack(b, _U) for b in keys])
+    n = np.concatenate([_counts_of(b, k) for b, k in zip(counts, keys)])
+    order = np.argsort(flat)
+    flat, n = flat[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])[: len(flat)])
+    sums = np.add.reduceat(n, first, dtype=np.uint64) if len(first) else np.zeros(0, _U)
+    return flat[first], sums.astype(np.min_scalar_type(int(sums.max(initial=0))))
+
+
+def merged(level: int, fan: int, bundles: int, above: int):
+    """A node of a level before the last (``bundles`` a range): what its blocks hold together, as requests to the
+    nodes of its ``fan`` finer ranges (``above`` bundles a range)."""
+
+    def apply(part: pd.DataFrame) -> pd.DataFrame:
+        node = int(part["part"].iloc[0])
+        own, bundle = divmod(node, bundles)
+        words, pairs = _added(part["w"], part["nw"]), _added(part["p"], part["np"])
+        release_memory()
+        ranges = range(own * fan, (own + 1) * fan)
+        return pd.DataFrame(_blocks(node, *words, *pairs, ranges, fan ** (level + 1), above, bundle * above // bundles))
+
+    return apply
+
+
+def handed_down(asked: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+    """A node's answers to each of its requests, from those to its own."""
+    asked, replies = asked.sort_values("gid"), replies.sort_values("above")
+    out = {"gid": asked["gid"].to_numpy(), "part": asked["part"].to_numpy()}
+    for name, keys in (("cw", "w"), ("cp", "p")):
+        blocks = [_unpack(b, _U) for b in asked[keys]]
+        bounds = np.cumsum([len(b) for b in blocks])[:-1]
+        _, place = np.unique(np.concatenate(blocks), return_inverse=True)
+        blocks.clear()
+        total = np.concatenate([_unpack_counts(b) for b in replies[name]])
+        out[name] = [_pack_counts(x) for x in np.split(total[place], bounds)]
+    release_memory()
+    return pd.DataFrame(out)
+
+
 def _totals(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], int, int]:
     """Each request's keys' summed counts; the sum and the number of keys that have any."""
     bounds = np.cumsum([len(k) for k in keys])[:-1]
@@ -173,10 +247,10 @@ def _totals(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.n
 
 
 def answers(part: pd.DataFrame) -> pd.DataFrame:
-    """A reducer: training counts for every requesting group, and this part's totals on its first row."""
+    """A node of the last level: training counts for every request, and its range's totals on its first row."""
     part = part.sort_values("gid")
-    words, n, v = _totals([_unpack(b, _U) for b in part["w"]], [_unpack(b, np.uint32) for b in part["nw"]])
-    pairs, _, _ = _totals([_unpack(b, _U) for b in part["p"]], [_unpack(b, np.uint32) for b in part["np"]])
+    words, n, v = _totals([_unpack(b, _U) for b in part["w"]], [_counts_of(b, k) for b, k in zip(part["nw"], part["w"])])
+    pairs, _, _ = _totals([_unpack(b, _U) for b in part["p"]], [_counts_of(b, k) for b, k in zip(part["np"], part["p"])])
     release_memory()
     return pd.DataFrame({
         "gid": part["gid"].to_numpy(), "part": part["part"].to_numpy(), "cw": [_pack_counts(x) for x in words],
@@ -280,6 +354,33 @@ def scored(id_type: pa.DataType, weights: np.ndarray, n_train: int, n_types: int
     return apply
 
 
+def training_counts(groups: DataFrame, scratch: Scratch) -> tuple[DataFrame, int, int]:
+    """``(replies, N, V)``: to each group (gid) the training counts of its words and pairs, a row per range of the
+    first level (part), in the order of its request; training tokens; distinct words in them."""
+    n_groups, tokens = groups.agg(F.count(F.lit(1)), F.sum("n_tokens")).first()
+    levels, fan = exchange_shape(max(1, -(-(tokens or 0) // PART_TOKENS)))
+    # bundles of a range at each level: one at the last
+    bundles = [max(1, -(-n_groups // fan**level)) for level in range(1, levels)] + [1]
+    asked = groups.select("gid", "held", "bounds", "words", "tokens").mapInArrow(requests(fan, bundles[0]), ASKED)
+    waiting = []
+    for level in range(1, levels):
+        waiting.append(scratch.stage(asked, f"asked-{level}"))
+        asked = waiting[-1].groupBy("part").applyInPandas(merged(level, fan, bundles[level - 1], bundles[level]), ASKED)
+    replies = asked.groupBy("part").applyInPandas(answers, "gid bigint, part bigint, cw binary, cp binary, n bigint, v bigint")
+    replies = scratch.stage(replies, "replies")
+    n_train, n_types = (x or 0 for x in replies.agg(F.sum("n"), F.sum("v")).first())
+    while waiting:
+        own = waiting.pop()
+        given = replies.select(F.col("gid").alias("part"), F.col("part").alias("above"), "cw", "cp")
+        lower = own.select("part", "gid", "w", "p").groupBy("part").cogroup(given.groupBy("part")).applyInPandas(
+            handed_down, "gid bigint, part bigint, cw binary, cp binary"
+        )
+        lower = scratch.stage(lower, "handed-down")
+        scratch.drop(own, replies)
+        replies = lower
+    return replies, n_train, n_types
+
+
 def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
@@ -298,14 +399,7 @@ def score_texts(docs: DataFrame, held_out, key: str = "doc_id", text: str = "tex
             tokenised(id_type),
             f"gid bigint, n_tokens bigint, doc_ids array<{ddl}>, held binary, bounds binary, words binary, tokens binary",
         ), "groups")
-        tokens = groups.agg(F.sum("n_tokens")).first()[0] or 0
-        parts = max(1, -(-tokens // PART_TOKENS))
-        asked = groups.select("gid", "held", "bounds", "words", "tokens").mapInArrow(
-            requests(parts), "part bigint, gid bigint, w binary, nw binary, p binary, np binary"
-        )
-        replies = asked.groupBy("part").applyInPandas(answers, "gid bigint, part bigint, cw binary, cp binary, n bigint, v bigint")
-        replies = scratch.stage(replies, "replies")
-        n_train, n_types = (x or 0 for x in replies.agg(F.sum("n"), F.sum("v")).first())
+        replies, n_train, n_types = training_counts(groups, scratch)
         both = groups.groupBy("gid").cogroup(replies.select("gid", "part", "cw", "cp").groupBy("gid")).applyInPandas(
             joined(n_train, n_types),
             f"doc_ids array<{ddl}>, held binary, bounds binary, tokens binary, end bigint, cw binary, cp binary, "

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
@@ -118,8 +119,11 @@ def reference_scores(rows, folds=10):
     return out
 
 
-@pytest.mark.parametrize("group,part", [(lm.GROUP_BYTES, lm.PART_TOKENS), (700, 300)])
-def test_scores_equal_plain_counting(spark, monkeypatch, group, part):
+@pytest.mark.parametrize("group,part,fan", [
+    (lm.GROUP_BYTES, lm.PART_TOKENS, lm.FAN), (700, 300, lm.FAN), (700, 300, 4), (400, 150, 3), (700, 20000, 2),
+])  # one level, one with several parts, two and three levels, one part of many groups
+def test_scores_equal_plain_counting(spark, monkeypatch, group, part, fan):
+    monkeypatch.setattr(lm, "FAN", fan)
     monkeypatch.setattr(lm, "GROUP_BYTES", group)
     monkeypatch.setattr(lm, "PART_TOKENS", part)
     rng = random.Random(8)
@@ -135,3 +139,38 @@ def test_scores_equal_plain_counting(spark, monkeypatch, group, part):
     for g, w in zip(got, sorted(want, key=key), strict=True):
         assert g[:4] == w[:4]
         assert g[4:] == (pytest.approx(w[4], rel=1e-9), pytest.approx(w[5], rel=1e-9))
+
+
+def test_exchange_grows_by_levels():
+    assert lm.exchange_shape(1) == (1, 1) and lm.exchange_shape(64) == (1, 64) and lm.exchange_shape(256) == (1, 256)
+    assert lm.exchange_shape(257) == (2, 17) and lm.exchange_shape(1 << 24) == (3, 256)
+    for parts in (2, 300, 70_000, 10**8):
+        levels, fan = lm.exchange_shape(parts)
+        assert fan <= lm.FAN and (fan - 1) ** levels < parts <= fan**levels
+
+
+def test_levels_answer_in_the_order_of_the_requests(spark, monkeypatch):
+    """Blocks a group sends stay at the fan, whatever the number of parts; two levels answer like one."""
+    texts = [(i, " ".join(f"w{(i * 7 + j * j) % 211}" for j in range(40))) for i in range(400)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    monkeypatch.setattr(lm, "GROUP_BYTES", 600)
+    found = []
+    for part, fan in ((400, 256), (400, 7)):
+        monkeypatch.setattr(lm, "PART_TOKENS", part)
+        monkeypatch.setattr(lm, "FAN", fan)
+        with lm.Scratch(spark, "test") as scratch:
+            rows = df.select("doc_id", (fold("doc_id", 10) == 0).alias("held_out"), "text")
+            groups = scratch.stage(rows.mapInArrow(
+                lm.tokenised(pa.int64()),
+                "gid bigint, n_tokens bigint, doc_ids array<bigint>, held binary, bounds binary, words binary, tokens binary",
+            ))
+            replies, n, v = lm.training_counts(groups, scratch)
+            by_group = {}
+            for r in sorted(replies.collect(), key=lambda r: (r.gid, r.part)):
+                by_group.setdefault(r.gid, []).append(r)
+            assert max(len(rs) for rs in by_group.values()) <= fan
+            found.append((n, v, {
+                g: (np.concatenate([lm._unpack_counts(r.cw) for r in rs]).tolist(), np.concatenate([lm._unpack_counts(r.cp) for r in rs]).tolist())
+                for g, rs in by_group.items()
+            }))
+    assert len(found[0][2]) > 20 and found[0] == found[1]
