@@ -362,21 +362,25 @@ def training_counts(groups: DataFrame, scratch: Scratch) -> tuple[DataFrame, int
     # bundles of a range at each level: one at the last
     bundles = [max(1, -(-n_groups // fan**level)) for level in range(1, levels)] + [1]
     asked = groups.select("gid", "held", "bounds", "words", "tokens").mapInArrow(requests(fan, bundles[0]), ASKED)
-    waiting = []
+    # the groups' requests, the largest table, are made again for the way back instead of being kept
+    waiting, staged = [], []
     for level in range(1, levels):
-        waiting.append(scratch.stage(asked, f"asked-{level}"))
-        asked = waiting[-1].groupBy("part").applyInPandas(merged(level, fan, bundles[level - 1], bundles[level]), ASKED)
+        waiting.append(asked)
+        asked = asked.groupBy("part").applyInPandas(merged(level, fan, bundles[level - 1], bundles[level]), ASKED)
+        asked = scratch.stage(asked, f"asked-{level + 1}")
+        staged.append(asked)
     replies = asked.groupBy("part").applyInPandas(answers, "gid bigint, part bigint, cw binary, cp binary, n bigint, v bigint")
     replies = scratch.stage(replies, "replies")
     n_train, n_types = (x or 0 for x in replies.agg(F.sum("n"), F.sum("v")).first())
     while waiting:
         own = waiting.pop()
+        scratch.drop(staged.pop())
         given = replies.select(F.col("gid").alias("part"), F.col("part").alias("above"), "cw", "cp")
         lower = own.select("part", "gid", "w", "p").groupBy("part").cogroup(given.groupBy("part")).applyInPandas(
             handed_down, "gid bigint, part bigint, cw binary, cp binary"
         )
         lower = scratch.stage(lower, "handed-down")
-        scratch.drop(own, replies)
+        scratch.drop(replies)
         replies = lower
     return replies, n_train, n_types
 
