@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from hydrix.llm.components import connected_components
 from hydrix.llm.keyfilter import key_filter, may_match
 from hydrix.llm.names import free
-from hydrix.llm.words import LOWER, NOT_BLANK, buffers, gram_hashes, mix, row_chunks, seeds, word_hashes, word_spans
+from hydrix.llm.words import LOWER, NOT_BLANK, buffers, gram_hashes, mix, release_memory, row_chunks, seeds, word_hashes, word_spans
 from hydrix.session import Scratch
 
 SHINGLE = 5
@@ -86,46 +86,59 @@ def _class_of(grams: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nd
     return mix(np.add.reduceat(mix(grams ^ _FLIP[0]), starts) ^ mix(sizes.astype(_U) * _TURN[1]))
 
 
+def _signature_pieces(batches: Iterator[pa.Array], shingle: int) -> Iterator[pa.Array]:
+    """Rows of ``signatures``, one array for each run of rows of ``_text_sets``."""
+    for texts in batches:
+        for _, grams, bounds in _text_sets(texts, shingle):
+            n = np.diff(bounds)
+            full = np.flatnonzero(n)
+            cls, keys = np.zeros(len(n), np.int64), np.zeros((0, COORDINATES), np.int64)
+            if len(full):
+                cls[full] = _class_of(grams, bounds[full], n[full]).view(np.int64)
+                keys = _signatures(grams, bounds[full]).view(np.int64)
+            offsets = np.concatenate([[0], np.cumsum((n > 0) * COORDINATES)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.reshape(-1), pa.int64()))
+            yield pa.StructArray.from_arrays(
+                [pa.array(n, pa.int64()), pa.array(cls, pa.int64(), mask=n == 0), lists], ["n", "cls", "keys"]
+            )
+    texts = None
+    release_memory()
+
+
 def signatures(text: Column, shingle: int = SHINGLE) -> Column:
     """Struct column (n: set size, cls: the set's fingerprint, keys: its posting keys); an empty set
     has n = 0 and nulls."""
 
     @F.arrow_udf("struct<n:bigint,cls:bigint,keys:array<bigint>>")
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            sizes, classes, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros((0, COORDINATES), np.int64)]
-            for _, grams, bounds in _text_sets(texts, shingle):
-                n = np.diff(bounds)
-                full = np.flatnonzero(n)
-                cls = np.zeros(len(n), np.int64)
-                if len(full):
-                    cls[full] = _class_of(grams, bounds[full], n[full]).view(np.int64)
-                    keys.append(_signatures(grams, bounds[full]).view(np.int64))
-                sizes.append(n)
-                classes.append(cls)
-            n, cls, flat = np.concatenate(sizes), np.concatenate(classes), np.concatenate(keys).reshape(-1)
-            offsets = np.concatenate([[0], np.cumsum((n > 0) * COORDINATES)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.StructArray.from_arrays(
-                [pa.array(n, pa.int64()), pa.array(cls, pa.int64(), mask=n == 0), lists], ["n", "cls", "keys"]
-            )
+        yield from _signature_pieces(batches, shingle)
 
     return apply(text)
 
 
+def _set_pieces(batches: Iterator[pa.Array], shingle: int) -> Iterator[pa.Array]:
+    """Rows of ``shingle_sets``, one array for each run of rows of ``_text_sets``."""
+    for texts in batches:
+        for rows, grams, bounds in _text_sets(texts, shingle):
+            n = np.diff(bounds)
+            full = np.flatnonzero(n)
+            cls = np.zeros(rows, np.int64)
+            if len(full):
+                cls[full] = _class_of(grams, bounds[full], n[full]).view(np.int64)
+            blobs = [grams[lo:hi].tobytes() for lo, hi in zip(bounds[:-1], bounds[1:])]
+            yield pa.StructArray.from_arrays(
+                [pa.array(cls, pa.int64(), mask=n == 0), pa.array(blobs, pa.binary())], ["cls", "grams"]
+            )
+    texts = blobs = None
+    release_memory()
+
+
 def shingle_sets(text: Column, shingle: int = SHINGLE) -> Column:
     """Struct column (cls, grams: the sorted set as packed 64-bit fingerprints)."""
 
     @F.arrow_udf("struct<cls:bigint,grams:binary>")
     def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            classes, blobs = [], []
-            for _, grams, bounds in _text_sets(texts, shingle):
-                for lo, hi in zip(bounds[:-1], bounds[1:]):
-                    own = grams[lo:hi]
-                    classes.append(int(_class_of(own, np.zeros(1, int), np.array([hi - lo])).view(np.int64)[0]) if hi > lo else None)
-                    blobs.append(own.tobytes())
-            yield pa.StructArray.from_arrays([pa.array(classes, pa.int64()), pa.array(blobs, pa.binary())], ["cls", "grams"])
+        yield from _set_pieces(batches, shingle)
 
     return apply(text)
 
@@ -288,7 +301,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text
     wanted = scratch.stage(posted.select("cls").distinct().join(classes.select("cls", "thash"), "cls"), "wanted")
     found = may_match(docs.select(body.alias("text"), F.xxhash64(body).alias("thash")), F.col("thash"), key_filter(wanted, "thash"))
     sets = found.where("__may").select(shingle_sets(F.col("text"), shingle).alias("s")).select("s.cls", "s.grams")
-    sets = scratch.stage(sets.where("cls is not null").groupBy("cls").agg(F.first("grams").alias("grams")), "sets")
+    # a text without words has no class: dropped from the written table, as a filter on the function's result
+    # before that is pushed below it and evaluates it a second time
+    sets = scratch.stage(sets.groupBy("cls").agg(F.first("grams").alias("grams")), "sets").where("cls is not null")
     linked = scratch.stage(link_components(posted, classes, sets, scratch), "linked")
     placed = classes.select("cls", "min_id").join(linked, F.col("cls") == F.col("node"), "left").select(
         "cls", "min_id", F.coalesce("component", "cls").alias("comp")

@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
-from hydrix.llm import bucket_pointer, embed_dedup, minhash_join
+from hydrix.llm import bucket_pointer, embed_dedup, minhash_join, words
 from hydrix.llm.components import connected_components
 from hydrix.session import Scratch
 
@@ -65,6 +66,38 @@ def test_open_pairs_are_blocked_and_complete(spark, rows, monkeypatch):
     assert got == {d: c for d, _, c in brute.near_duplicates(rows)}
 
 
+def test_texts_go_through_python_once_per_written_table(spark, rows, monkeypatch):
+    plans, stage = {}, Scratch.stage
+
+    def seen(self, df, name="t", keep=False):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+        return stage(self, df, name, keep)
+
+    monkeypatch.setattr(Scratch, "stage", seen)
+    minhash_join.near_duplicate_classes(frame(spark, rows))
+    assert plans["rows"] == plans["sets"] == 1
+    assert max(plans.values()) == 1
+
+
+def test_kernels_return_bounded_pieces():
+    texts = [None, "", "a b"] + [" ".join(f"w{i}x{j}" for j in range(20_000)) for i in range(16)] + [" "]
+    batch = pa.array(texts)
+    assert batch.nbytes > 2 * words.CHUNK_BYTES
+    sizes, classes = [], []
+    for piece in minhash_join._signature_pieces(iter([batch, batch[:0]]), minhash_join.SHINGLE):
+        sizes.append(piece.field("n").to_pylist())
+        classes += piece.field("cls").to_pylist()
+        assert [k if k is None else len(k) for k in piece.field("keys").to_pylist()] == [
+            minhash_join.COORDINATES if n else 0 for n in sizes[-1]
+        ]
+    assert len(sizes) > 2 and sum(sizes, []) == [0, 0, 1] + [19_996] * 16 + [0]
+    pieces = list(minhash_join._set_pieces(iter([batch, batch[:0]]), minhash_join.SHINGLE))
+    assert len(pieces) > 2
+    assert [c for p in pieces for c in p.field("cls").to_pylist()] == classes
+    assert [len(g) // 8 for p in pieces for g in p.field("grams").to_pylist()] == sum(sizes, [])
+    assert [c is None for c in classes] == [n == 0 for n in sum(sizes, [])]
+
+
 def test_components_of_chains_hubs_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(7, 7), (5, 6), (None, 3)]
     with Scratch(spark) as scratch:
